@@ -30,10 +30,8 @@ def _render_one(template: tpl.ChatTemplate, msg: Column) -> Column:
     return template.render(F.array(msg))
 
 
-def with_status(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATING,
-                final_turn: tpl.ChatTemplate | None = tpl.FINAL_TURN,
-                system_message: str = tpl.DEFAULT_SYSTEM_MESSAGE) -> DataFrame:
-    """Add ``status`` and the three rendered strings (NULL unless status is ok)."""
+def _status_frame(pairs: DataFrame, template: tpl.ChatTemplate,
+                  final_turn: tpl.ChatTemplate | None, system_message: str) -> tuple[DataFrame, tpl.ChatTemplate]:
     final_turn = tpl.resolve_final_turn(template, final_turn)
     keep = [c for c in pairs.columns if c not in ("chosen", "rejected")]
 
@@ -65,13 +63,24 @@ def with_status(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATING,
             final_turn.violation(F.array("_resp_c")),
             final_turn.violation(F.array("_resp_r")),
             F.lit(OK))))
-    s3 = s2.select(*keep, status.alias("status"), "_prompt", "_resp_c", "_resp_r")
+    return s2.select(*keep, status.alias("status"), "_prompt", "_resp_c", "_resp_r"), final_turn
+
+
+def _rendered(template: tpl.ChatTemplate, final_turn: tpl.ChatTemplate) -> dict[str, Column]:
+    return {"prompt": template.render("_prompt"),
+            "chosen": _render_one(final_turn, F.col("_resp_c")),
+            "rejected": _render_one(final_turn, F.col("_resp_r"))}
+
+
+def with_status(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATING,
+                final_turn: tpl.ChatTemplate | None = tpl.FINAL_TURN,
+                system_message: str = tpl.DEFAULT_SYSTEM_MESSAGE) -> DataFrame:
+    """Add ``status`` and the three rendered strings (NULL unless status is ok)."""
+    s3, final_turn = _status_frame(pairs, template, final_turn, system_message)
+    keep = [c for c in s3.columns if c not in ("status", "_prompt", "_resp_c", "_resp_r")]
     ok = F.col("status") == OK
-    return s3.select(
-        *keep, "status",
-        F.when(ok, template.render("_prompt")).alias("prompt"),
-        F.when(ok, _render_one(final_turn, F.col("_resp_c"))).alias("chosen"),
-        F.when(ok, _render_one(final_turn, F.col("_resp_r"))).alias("rejected"))
+    return s3.select(*keep, "status",
+                     *[F.when(ok, c).alias(n) for n, c in _rendered(template, final_turn).items()])
 
 
 def create_triplets(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATING,
@@ -84,14 +93,19 @@ def create_triplets(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATI
     chosen, rejected``; bad has ``key, status``. ``mode="strict"`` returns one
     DataFrame whose first malformed row fails the job, like the reference.
     """
+    if mode not in ("strict", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}")
+    s3, final_turn = _status_frame(pairs, template, final_turn, system_message)
+    if mode == "quarantine":
+        # Catalyst evaluates the status filter below the projection; rendering
+        # happens only above it and only for good rows.
+        good = s3.where(F.col("status") == OK).select(
+            key, *[c.alias(n) for n, c in _rendered(template, final_turn).items()])
+        bad = s3.where(F.col("status") != OK).select(key, "status")
+        return good, bad
     df = with_status(pairs, template, final_turn, system_message)
     if mode == "strict":
         fail = F.raise_error(F.concat(F.lit("malformed pair "), F.col(key).cast("string"),
                                       F.lit(": "), F.col("status")))
         return df.select(key, F.when(F.col("status") == OK, F.col("prompt")).otherwise(fail)
                          .alias("prompt"), "chosen", "rejected")
-    if mode != "quarantine":
-        raise ValueError(f"unknown mode {mode!r}")
-    good = df.where(F.col("status") == OK).select(key, "prompt", "chosen", "rejected")
-    bad = df.where(F.col("status") != OK).select(key, "status")
-    return good, bad

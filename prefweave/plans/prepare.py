@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from prefweave.functions import templates as tpl
-from prefweave.operators.sampling import sample_n, train_test_split
+from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets
 from prefweave.sources.records import materialize, write_records
 
@@ -52,6 +52,6 @@ def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: st
             good, bad = create_triplets(sampled, template, final_turn, system_message)
             if quarantine_path:
                 write_records(bad, quarantine_path, mode="overwrite")
-        return train_test_split(good, test_fraction=test_fraction, seed=split_seed)
+        return split_column(good, test_fraction=test_fraction, seed=split_seed)
 
     return materialize(spark, build, "preference", params, root=root)

@@ -23,9 +23,13 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     assistant turn), and turn 0 edited for every 13th id to force a prefix
     mismatch. One shuffle folds the turns; one join looks up the next text.
     """
-    convs = turns_to_messages(conversations).select(
+    # Turns without a conversation id belong to no pair. Filtering them up
+    # front keeps both uses of the fold identical, so Spark shuffles once and
+    # reuses the exchange for the next-text lookup and the count.
+    turns = conversations.where(F.col("conv_id").isNotNull())
+    convs = turns_to_messages(turns).select(
         "conv_id", "messages", final_assistant_index("messages").alias("fi"))
-    n_convs = conversations.select(F.count_distinct("conv_id")).scalar()
+    n_convs = convs.select(F.count(F.lit(1))).scalar()
     last_text = convs.select(
         F.col("conv_id").alias("next_id"),
         message_at("messages", "fi").content.alias("alt_text"))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,20 +48,29 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def materialize(spark: SparkSession, build: Callable[[], Mapping[str, DataFrame]],
+# Bump when the meaning of a cached output changes, so old caches are never served.
+CACHE_VERSION = "1"
+
+
+def materialize(spark: SparkSession, build: Callable[[], DataFrame],
                 name: str, params: Mapping, schema: StructType = TRIPLET,
+                splits: tuple[str, ...] = ("train", "test"), split_col: str = "split",
                 root: str | None = None) -> dict[str, DataFrame]:
-    """Return ``{split: DataFrame}`` read from ``root/name-<fingerprint>/split``.
+    """Return ``{split: DataFrame}`` read from ``root/name-<fingerprint>/split=<s>``.
 
-    All splits must carry a ``_SUCCESS`` marker to count as cached; otherwise
-    everything is rebuilt (overwriting any half-written output of a failed
-    run) and read back with the same explicit schema.
+    ``build`` returns one DataFrame with a ``split`` column; it is written in a
+    single job partitioned by split (so the plan behind it runs once), unless
+    a complete earlier write (``_SUCCESS``) with the same fingerprint exists.
+    A failed run leaves no marker and is overwritten. Splits are always read
+    back with the explicit schema.
     """
-    base = f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint(params)}"
-    splits = list(params.get("splits", ("train", "test")))
-    paths = {s: f"{base}/{s}" for s in splits}
-    if not all(path_exists(spark, f"{p}/_SUCCESS") for p in paths.values()):
-        built = build()
-        for s, p in paths.items():
-            write_records(built[s], p, mode="overwrite")
-    return {s: read_records(spark, p, schema) for s, p in paths.items()}
+    tag = {"cache_version": CACHE_VERSION, "run_tag": os.environ.get("PREFWEAVE_RUN_TAG", "")}
+    base = f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint({**params, **tag})}"
+    if not path_exists(spark, f"{base}/_SUCCESS"):
+        build().write.mode("overwrite").partitionBy(split_col).json(base)
+    out = {}
+    for s in splits:
+        p = f"{base}/{split_col}={s}"
+        out[s] = (read_records(spark, p, schema) if path_exists(spark, p)
+                  else spark.createDataFrame([], schema))
+    return out
