@@ -22,6 +22,8 @@ from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data
 from prefweave.sources import fixtures
+from prefweave.session import scratch_path
+from prefweave.sources.records import read_pairs, write_records
 from prefweave.sources.tables import read_table
 
 # Parameters of the registered queries.
@@ -147,6 +149,30 @@ def q_json_round_trip(spark, sf):
         parts["test"].withColumn("split", F.lit("test")))
 
 
+def q_pairs_json_round_trip(spark, sf):
+    """S1 + S3: the pair dataset (nested conversations) written as JSON lines
+    to the shared folder and read back by path with the explicit PAIR schema."""
+    path = scratch_path(spark, "pairs-json")
+    write_records(pairs(spark, sf), path)
+    back = read_pairs(spark, path, fmt="json")
+
+    def transcript(c: str) -> Column:
+        return F.array_join(F.transform(c, lambda x: F.concat(x.role, F.lit(": "), x.content)), "\n")
+
+    return back.select("pair_id", _size("chosen").alias("n_chosen"), _size("rejected").alias("n_rejected"),
+                       transcript("chosen").alias("chosen_text"), transcript("rejected").alias("rejected_text"))
+
+
+def q_prepare_sampled(spark, sf):
+    """The reference's order: seeded sample of pairs -> triplets -> exact split
+    -> JSON records -> read back."""
+    parts = prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
+                                    n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED,
+                                    split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
+    return parts["train"].withColumn("split", F.lit("train")).unionByName(
+        parts["test"].withColumn("split", F.lit("test")))
+
+
 def q_dataset_profile(spark, sf):
     return profile(_prepared(spark, sf))
 
@@ -251,6 +277,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_n": q_sample_n,
     "train_test_split": q_train_test_split,
     "json_round_trip": q_json_round_trip,
+    "pairs_json_round_trip": q_pairs_json_round_trip,
+    "prepare_sampled": q_prepare_sampled,
     "dataset_profile": q_dataset_profile,
     "length_limits": q_length_limits,
     "length_filtered": q_length_filtered,

@@ -194,6 +194,22 @@ SELECT pair_id FROM pairs ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_
 
     "json_round_trip": f"WITH {SPLIT}\nSELECT pair_id, prompt, chosen, rejected, split FROM split",
 
+    "pairs_json_round_trip": f"""WITH {PAIRS}
+SELECT pair_id, CAST(len(chosen) AS BIGINT) AS n_chosen, CAST(len(rejected) AS BIGINT) AS n_rejected,
+       array_to_string(list_transform(chosen, lambda x: x.role || ': ' || x.content), chr(10)) AS chosen_text,
+       array_to_string(list_transform(rejected, lambda x: x.role || ': ' || x.content), chr(10)) AS rejected_text
+FROM pairs""",
+
+    "prepare_sampled": f"""WITH {triplets_cte()},
+sampled AS (SELECT pair_id FROM pairs ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)), pair_id LIMIT 70),
+ok AS (SELECT t.pair_id, t.prompt, t.chosen, t.rejected FROM trip t JOIN sampled s ON s.pair_id = t.pair_id
+       WHERE t.status = 'ok'),
+r AS (SELECT pair_id, row_number() OVER (ORDER BY md5('7:' || CAST(pair_id AS VARCHAR)), pair_id) AS rn,
+             count(*) OVER () AS n FROM ok)
+SELECT o.pair_id, o.prompt, o.chosen, o.rejected,
+       CASE WHEN r.rn <= CAST(floor(0.2 * r.n) AS BIGINT) THEN 'test' ELSE 'train' END AS split
+FROM ok o JOIN r ON r.pair_id = o.pair_id""",
+
     "dataset_profile": f"""WITH {SPLIT}
 SELECT split, count(*) AS n_rows,
        CAST(min(length(prompt)) AS BIGINT) AS min_prompt_chars, CAST(max(length(prompt)) AS BIGINT) AS max_prompt_chars,
