@@ -9,13 +9,17 @@ and filters, so the output keeps the input's partitioning.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Up to this many rows the k-th key is found with one bounded top-k
-# (TakeOrderedAndProject over two columns). Above it, a radix search over hash
-# prefixes narrows the range first; each step collects at most 65,536 counts.
+# A direct top-k (TakeOrderedAndProject) runs only over a candidate set of at
+# most this many rows: its final merge is one task that receives every
+# partition's local top-k. Larger inputs are first narrowed by a radix search
+# over hash prefixes; each step is one aggregation whose result (at most 16**3
+# bucket counts) is all the driver sees.
 TOPK_LIMIT = 200_000
-_PREFIX_CHARS = 4
+_PREFIX_CHARS = 3
+_HASH_CHARS = 32
 
 
 def order_hash(key, seed) -> Column:
@@ -23,34 +27,40 @@ def order_hash(key, seed) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string")))
 
 
-def kth_smallest(df: DataFrame, h: str, key: str, k: int) -> tuple[str, object, int] | None:
-    """(hash, key) of the k-th smallest row by (hash, key), and the row count
-    seen; None when the input has fewer than ``k`` rows. ``df`` holds the two
-    columns only."""
-    if k <= 0:
-        return None
-    prefix, rest = "", df
-    depth = 0
-    while k > TOPK_LIMIT and depth < 32 // _PREFIX_CHARS:
-        start = len(prefix) + 1
-        counts = (rest.groupBy(F.substring(h, start, _PREFIX_CHARS).alias("p"))
-                  .count().orderBy("p").collect())        # <= 16**4 rows
+def _prefix_counts(df: DataFrame, h: str, start: int) -> list[tuple[str, int]]:
+    rows = df.groupBy(F.substring(h, start, _PREFIX_CHARS).alias("p")).count().collect()
+    return sorted((r["p"], r["count"]) for r in rows)
+
+
+def kth_smallest(df: DataFrame, h: str, key: str, k: int | None = None,
+                 fraction: float | None = None):
+    """Find the k-th smallest row by (hash, key) without gathering rows.
+
+    ``df`` holds the two columns only; keys should be unique. Give ``k``, or
+    ``fraction`` for ``k = int(fraction * count)``. Returns
+    ``(hash, key, k, count)`` or ``(None, None, k, count)`` when there are
+    fewer than ``k`` rows (or ``k`` is 0).
+    """
+    counts = _prefix_counts(df, h, 1)           # also yields the row count
+    total = sum(c for _, c in counts)
+    if k is None:
+        k = int(fraction * total)
+    if k <= 0 or total < k:
+        return None, None, k, total
+    want, prefix, rest, size = k, "", df, total
+    while size > TOPK_LIMIT and len(prefix) < _HASH_CHARS:
+        if prefix:
+            counts = _prefix_counts(rest, h, len(prefix) + 1)
         seen = 0
-        for row in counts:
-            if seen + row["count"] >= k:
-                prefix += row["p"]
-                k -= seen
+        for p, c in counts:
+            if seen + c >= want:
+                prefix, want, size = prefix + p, want - seen, c
                 break
-            seen += row["count"]
-        else:
-            return None
+            seen += c
         rest = df.where(F.substring(h, 1, len(prefix)) == prefix)
-        depth += 1
-    top = rest.orderBy(h, key).limit(k)
-    row = top.agg(F.max(F.struct(h, key)).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] < k:
-        return None
-    return row["m"][h], row["m"][key], row["n"]
+    row = (rest.orderBy(h, key).limit(want)
+           .agg(F.max(F.struct(h, key)).alias("m")).first())
+    return row["m"][h], row["m"][key], k, total
 
 
 def _at_or_below(h: str, key: str, cut) -> Column:
@@ -61,34 +71,39 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "pair_id",
              allow_fewer: bool = False) -> DataFrame:
     """The first ``n`` rows of a seeded random order (L1 + L2)."""
     keys = df.select(order_hash(key, seed).alias("_h"), key)
-    cut = kth_smallest(keys, "_h", key, n)
-    if cut is None:
-        if not allow_fewer:
-            raise ValueError(f"sample_n: fewer than {n} rows in the input")
-        return df
+    cut_h, cut_k, _, total = kth_smallest(keys, "_h", key, n)
+    if cut_h is None:
+        if total < n and not allow_fewer:
+            raise ValueError(f"sample_n: {total} rows in the input, fewer than {n}")
+        return df if n > 0 else df.limit(0)
     return (df.withColumn("_h", order_hash(key, seed))
-            .where(_at_or_below("_h", key, cut)).drop("_h"))
+            .where(_at_or_below("_h", key, (cut_h, cut_k))).drop("_h"))
 
 
 def split_column(df: DataFrame, test_size: int | None = None, test_fraction: float = 0.2,
                  seed: int = 7, key: str = "pair_id") -> DataFrame:
     """Add ``split`` = 'test' for exactly ``test_size`` rows, else 'train' (L3).
 
-    Default size is ``int(test_fraction * count)``, the reference's rule. Use a
-    seed different from the sampling seed, or the test split is the head of
-    the sample.
+    Default size is ``int(test_fraction * count)``, the reference's rule; the
+    count (G5) comes from the same job as the first hash histogram. Use a seed
+    different from the sampling seed, or the test split is the head of the
+    sample.
     """
-    if test_size is None:
-        n = df.count()                                          # G5
-        test_size = int(test_fraction * n)
-    keys = df.select(order_hash(key, seed).alias("_h"), key)
-    cut = kth_smallest(keys, "_h", key, test_size)
-    h = order_hash(key, seed)
-    if cut is None:
-        is_test = F.lit(test_size > 0)
+    # The cutoff search scans the keys two or more times; keep just this small
+    # projection (not the rows) so the plan behind ``df`` runs once for it.
+    keys = df.select(order_hash(key, seed).alias("_h"), key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        cut_h, cut_k, k, _ = kth_smallest(keys, "_h", key, test_size,
+                                          None if test_size is not None else test_fraction)
+    finally:
+        keys.unpersist()
+    if cut_h is None:
+        is_test = F.lit(k > 0)                  # k > count: everything is test
     else:
-        is_test = (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(key) <= F.lit(cut[1])))
-    return df.withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+        is_test = _at_or_below("_h", key, (cut_h, cut_k))
+    return (df.withColumn("_h", order_hash(key, seed))
+            .withColumn("split", F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+            .drop("_h"))
 
 
 def train_test_split(df: DataFrame, test_size: int | None = None, test_fraction: float = 0.2,

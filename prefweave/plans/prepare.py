@@ -31,7 +31,7 @@ def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: st
                             system_message: str = tpl.DEFAULT_SYSTEM_MESSAGE,
                             mode: str = "quarantine", allow_fewer: bool = True,
                             quarantine_path: str | None = None,
-                            root: str | None = None) -> dict[str, DataFrame]:
+                            root: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
     """Return ``{"train": df, "test": df}`` of ``pair_id, prompt, chosen, rejected``.
 
     ``source`` identifies the input in the cache fingerprint. Malformed pairs
@@ -54,4 +54,4 @@ def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: st
                 write_records(bad, quarantine_path, mode="overwrite")
         return split_column(good, test_fraction=test_fraction, seed=split_seed)
 
-    return materialize(spark, build, "preference", params, root=root)
+    return materialize(spark, build, "preference", params, root=root, fmt=fmt)

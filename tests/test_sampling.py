@@ -37,6 +37,7 @@ def test_radix_path_equals_topk_path(keys_df, monkeypatch):
     want = {r.pair_id for r in sample_n(keys_df, 300, seed=9).collect()}
     monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
     monkeypatch.setattr(sampling, "_PREFIX_CHARS", 1)
+    assert sampling.kth_smallest(keys_df.select(sampling.order_hash("pair_id", 9).alias("h"), "pair_id"), "h", "pair_id", 300)[3] == 1000
     got = {r.pair_id for r in sample_n(keys_df, 300, seed=9).collect()}
     assert got == want
 
@@ -66,3 +67,13 @@ def test_sample_plan_keeps_input_partitioning(keys_df):
     # Selection is a filter on a scalar cutoff: no global sort of the rows.
     plan = sample_n(keys_df, 10)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" not in plan and "Sort" not in plan
+
+
+@pytest.mark.parametrize("k", [1, 16, 63, 299, 999, 1000])
+def test_radix_search_exact_for_any_k(keys_df, monkeypatch, k):
+    monkeypatch.setattr(sampling, "TOPK_LIMIT", 7)
+    monkeypatch.setattr(sampling, "_PREFIX_CHARS", 1)
+    keys = keys_df.select(sampling.order_hash("pair_id", 5).alias("h"), "pair_id")
+    h, key, _, total = sampling.kth_smallest(keys, "h", "pair_id", k)
+    assert total == 1000
+    assert key == brute_order(range(1000), 5)[k - 1]
