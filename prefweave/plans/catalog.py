@@ -130,7 +130,7 @@ def q_templated_eval_prompts(spark, sf):
 
 
 def q_sample_n(spark, sf):
-    return sample_n(pairs(spark, sf), SAMPLE_N, seed=SAMPLE_SEED).select("pair_id")
+    return sample_n(pairs(spark, sf), SAMPLE_N, seed=SAMPLE_SEED, allow_fewer=True).select("pair_id")
 
 
 def q_train_test_split(spark, sf):
