@@ -17,9 +17,14 @@ def _col(c) -> Column:
 
 
 def final_assistant_index(messages) -> Column:
-    """0-based index of the last assistant message; NULL if there is none (A2)."""
+    """0-based index of the last assistant message; NULL if there is none (A2).
+
+    Position of the first 'assistant' in the reversed role array: built-in
+    array functions only, no per-element lambda.
+    """
     m = _col(messages)
-    return F.array_max(F.transform(m, lambda x, i: F.when(x.role == ASSISTANT, i)))
+    pos = F.array_position(F.reverse(m.getField("role")), ASSISTANT)
+    return F.when(pos > 0, (F.size(m) - pos).cast("int"))
 
 
 def final_assistant_message(messages) -> Column:

@@ -94,7 +94,7 @@ class ChatTemplate:
                 expr = expr.when(cond, F.lit(status))
             return expr
 
-        return F.get(F.filter(F.transform(m, check), lambda s: s.isNotNull()), 0)
+        return F.get(F.array_compact(F.transform(m, check)), 0)
 
 
 # The alternating instruction template used for prompts (no bos, space before
