@@ -21,7 +21,8 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     with its last assistant text replaced by that of the next conversation
     (``(conv_id + 1) mod #conversations``; its own text if that one has no
     assistant turn), and turn 0 edited for every 13th id to force a prefix
-    mismatch. One shuffle folds the turns; one join looks up the next text.
+    mismatch. One shuffle folds the turns; the next-text lookup shuffles only
+    ids and one text per conversation.
     """
     # Turns without a conversation id belong to no pair. Filtering them up
     # front keeps both uses of the fold identical, so Spark shuffles once and
@@ -30,11 +31,15 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     convs = turns_to_messages(turns).select(
         "conv_id", "messages", final_assistant_index("messages").alias("fi"))
     n_convs = convs.select(F.count(F.lit(1))).scalar()
+    # The lookup moves only narrow (id, id) and (id, text) rows; the result
+    # joins back on conv_id, the key the fold already partitioned the
+    # conversations by, so the message arrays are shuffled once.
     last_text = convs.select(
         F.col("conv_id").alias("next_id"),
         message_at("messages", "fi").content.alias("alt_text"))
-    with_alt = (convs.withColumn("next_id", (F.col("conv_id") + 1) % n_convs)
-                .join(last_text, "next_id", "left"))
+    alt = (convs.select("conv_id", ((F.col("conv_id") + 1) % n_convs).alias("next_id"))
+           .join(last_text, "next_id").select("conv_id", "alt_text"))
+    with_alt = convs.join(alt, "conv_id", "left")
 
     fi = F.col("fi")
     edit = (F.col("conv_id") % PREFIX_EDIT_EVERY == 0)
