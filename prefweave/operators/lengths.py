@@ -23,16 +23,21 @@ def with_token_lengths(triplets: DataFrame, tokenizer: Callable | None = None) -
     })
 
 
-def length_limits(lengths: DataFrame, target_percentile: float = 97) -> DataFrame:
+def length_limits(lengths: DataFrame, target_percentile: float = 97,
+                  approx_accuracy: int | None = None) -> DataFrame:
     """One row of limits from the lengths of one split.
 
     Exact ``percentile`` with linear interpolation, truncated to an integer.
     Its aggregation buffer is a map of distinct lengths, merged map-side, so a
-    single global group stays small however many rows there are.
+    single global group stays small however many rows there are. With
+    ``approx_accuracy`` set, ``percentile_approx`` (a mergeable sketch) is used
+    instead; it returns an observed value, not an interpolated one.
     """
     q = target_percentile / 100.0
 
     def pct(c: str) -> Column:
+        if approx_accuracy is not None:
+            return F.percentile_approx(F.col(c), q, approx_accuracy).cast("bigint")
         return F.floor(F.percentile(F.col(c), q)).cast("bigint")
 
     return (lengths.agg(pct("prompt_len").alias("prompt_length"),

@@ -52,3 +52,13 @@ def test_user_tokenizer_hook(spark):
     df = spark.createDataFrame([("a b c",), (None,)], "t string")
     got = [r.n for r in df.select(token_count("t", tokenizer=lambda s: s.split()).alias("n")).collect()]
     assert got == [3, None]
+
+
+def test_approximate_percentile_is_close(spark):
+    vals = list(range(1, 10001))
+    df = spark.createDataFrame([(v, v, v) for v in vals],
+                               "prompt_len long, prompt_chosen_len long, prompt_rejected_len long")
+    exact = length_limits(df).first().prompt_length
+    approx = length_limits(df, approx_accuracy=10000).first().prompt_length
+    assert exact == int(np.percentile(vals, 97))
+    assert abs(approx - exact) <= 10
