@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefweave.functions import templates as tpl
 from prefweave.operators import judge, metrics
-from prefweave.operators.batching import assign_batches, collect_batches, truncate_left
+from prefweave.operators.batching import (
+    assign_batches, collect_batches, template_prompts, truncate_left)
 from prefweave.operators.conversations import final_assistant, prompt_and_response, turns_to_messages
 from prefweave.operators.lengths import filter_by_length, length_limits, with_token_lengths
 from prefweave.operators.profile import profile
@@ -21,8 +22,8 @@ from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data
-from prefweave.sources import fixtures
 from prefweave.session import scratch_path
+from prefweave.sources import fixtures
 from prefweave.sources.records import read_pairs, write_records
 from prefweave.sources.tables import read_table
 
@@ -41,9 +42,8 @@ LOG_EVERY = 25
 BASELINE_MODEL = "src0"
 
 
-def _r(c, name: str | None = None) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.round(col, 6).alias(name or (c if isinstance(c, str) else None))
+def _r(c: str) -> Column:
+    return F.round(F.col(c), 6).alias(c)
 
 
 def _size(c: str) -> Column:
@@ -125,7 +125,6 @@ def q_prompts_upstream_template(spark, sf):
 
 
 def q_templated_eval_prompts(spark, sf):
-    from prefweave.operators.batching import template_prompts
     return template_prompts(prompts(spark, sf)).select("pos", "templated")
 
 
@@ -137,6 +136,12 @@ def q_train_test_split(spark, sf):
     return split_triplets(spark, sf).select("pair_id", "split")
 
 
+def _stacked(parts: dict[str, DataFrame]) -> DataFrame:
+    """Both splits in one DataFrame with a ``split`` column."""
+    return parts["train"].withColumn("split", F.lit("train")).unionByName(
+        parts["test"].withColumn("split", F.lit("test")))
+
+
 def _prepared(spark, sf):
     return prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
                                    n_samples=None, split_seed=SPLIT_SEED,
@@ -145,8 +150,7 @@ def _prepared(spark, sf):
 
 def q_json_round_trip(spark, sf):
     parts = _prepared(spark, sf)
-    return parts["train"].withColumn("split", F.lit("train")).unionByName(
-        parts["test"].withColumn("split", F.lit("test")))
+    return _stacked(parts)
 
 
 def q_pairs_json_round_trip(spark, sf):
@@ -169,8 +173,7 @@ def q_prepare_sampled(spark, sf):
     parts = prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
                                     n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED,
                                     split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
-    return parts["train"].withColumn("split", F.lit("train")).unionByName(
-        parts["test"].withColumn("split", F.lit("test")))
+    return _stacked(parts)
 
 
 def q_dataset_profile(spark, sf):
@@ -180,13 +183,11 @@ def q_dataset_profile(spark, sf):
 def _lengths(spark, sf):
     # Like the reference, length work reads the prepared records back.
     parts = _prepared(spark, sf)
-    return with_token_lengths(parts["train"].withColumn("split", F.lit("train")).unionByName(
-        parts["test"].withColumn("split", F.lit("test"))))
+    return with_token_lengths(_stacked(parts))
 
 
 def q_length_limits(spark, sf):
-    lim = length_limits(_lengths(spark, sf).where(F.col("split") == "train"), TARGET_PERCENTILE)
-    return lim
+    return length_limits(_lengths(spark, sf).where(F.col("split") == "train"), TARGET_PERCENTILE)
 
 
 def q_length_filtered(spark, sf):
