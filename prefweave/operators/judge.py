@@ -27,8 +27,13 @@ def pairwise_matchups(answers: DataFrame, max_models: int = MAX_MODELS) -> DataF
     question with many answers spreads over many join keys.
     """
     models = model_list(answers, max_models)
-    partners = F.filter(F.array(*[F.lit(m) for m in models]) if models else F.array().cast("array<string>"),
-                        lambda m: m > F.col("model"))
+    if not models:
+        return answers.sparkSession.createDataFrame(
+            [], "question_id bigint, model_a string, model_b string, n_chars_a bigint, n_chars_b bigint")
+    # The list is sorted (code-point order = Spark's UTF-8 byte order), so a
+    # model's partners are the entries after its own position.
+    ordered = F.array(*[F.lit(m) for m in models])
+    partners = F.slice(ordered, F.array_position(ordered, F.col("model")).cast("int") + 1, len(models))
     a = answers.select("question_id", F.col("model").alias("model_a"),
                        F.col("n_chars").alias("n_chars_a"), F.explode(partners).alias("model_b"))
     b = answers.select("question_id", F.col("model").alias("model_b"),

@@ -54,13 +54,16 @@ def test_wins_equal_losses_and_top_model(spark):
 
 
 def test_matchups_match_brute_force(spark):
-    ans = spark.createDataFrame([(1, "m1", 10), (1, "m2", 20), (1, "m3", 30), (2, "m1", 5), (2, "m3", 6)],
+    ans = spark.createDataFrame([(1, "m1", 10), (1, "m2", 20), (1, "m3", 30), (2, "m1", 5), (2, "m3", 6),
+                                 (2, "Zed", 1), (2, "éa", 2), (2, None, 3), (3, "éa", 4), (3, "e", 5)],
                                 "question_id long, model string, n_chars long")
     got = sorted((r.question_id, r.model_a, r.model_b) for r in judge.pairwise_matchups(ans).collect())
     rows = ans.collect()
     want = sorted((a.question_id, a.model, b.model) for a in rows for b in rows
-                  if a.question_id == b.question_id and a.model < b.model)
+                  if a.question_id == b.question_id and a.model is not None and b.model is not None
+                  and a.model.encode() < b.model.encode())
     assert got == want
+    assert judge.pairwise_matchups(ans.where("model IS NULL")).count() == 0
 
 
 def test_model_list_is_bounded(spark):
