@@ -39,25 +39,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder for written tables: the cluster's ``spark.checkpoint.dir``.
+    """Shared folder for written tables: the cluster's ``spark.checkpoint.dir``
+    (or a checkpoint dir set on the context).
 
-    Only a local-mode session (tests) without that setting gets a private
-    folder, which is then also registered as its checkpoint dir.
+    Only a local-mode session (tests) without either gets a private folder,
+    which is then registered as its checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:          # no SparkContext on this client (Spark Connect)
+            root = None
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(HDFS/S3/ABFS) before running jobs that write intermediate tables")
     root = tempfile.mkdtemp(prefix="prefweave-")
-    spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
-    return root
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

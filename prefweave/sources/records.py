@@ -14,6 +14,7 @@ import json
 import os
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -42,10 +43,13 @@ def fingerprint(params: Mapping) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+    """Whether a file or directory exists, through the public reader API (a
+    missing path fails analysis; no job runs)."""
+    try:
+        spark.read.format("text").load(path).columns
+        return True
+    except AnalysisException:
+        return False
 
 
 # Bump when the meaning of a cached output changes, so old caches are never served.
