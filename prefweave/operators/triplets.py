@@ -103,9 +103,9 @@ def create_triplets(pairs: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATI
             key, *[c.alias(n) for n, c in _rendered(template, final_turn).items()])
         bad = s3.where(F.col("status") != OK).select(key, "status")
         return good, bad
-    df = with_status(pairs, template, final_turn, system_message)
-    if mode == "strict":
-        fail = F.raise_error(F.concat(F.lit("malformed pair "), F.col(key).cast("string"),
-                                      F.lit(": "), F.col("status")))
-        return df.select(key, F.when(F.col("status") == OK, F.col("prompt")).otherwise(fail)
-                         .alias("prompt"), "chosen", "rejected")
+    # Strict: the check is a filter predicate, which column pruning never
+    # removes, so the first malformed pair fails any action on the result.
+    fail = F.raise_error(F.concat(F.lit("malformed pair "), F.col(key).cast("string"),
+                                  F.lit(": "), F.col("status")))
+    checked = s3.where(F.coalesce(F.when(F.col("status") != OK, fail), F.lit(True)))
+    return checked.select(key, *[c.alias(n) for n, c in _rendered(template, final_turn).items()])

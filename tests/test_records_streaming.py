@@ -71,3 +71,26 @@ def test_stream_resumes_from_checkpoint(spark):
     rs = sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
                 for r in again.select(*cols).collect())
     assert rs == sorted(tuple(r) for r in b.select(*cols).collect())
+
+
+def test_prepare_writes_quarantine_and_strict_fails(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    from prefweave.schemas import PAIR
+    from prefweave.sources.records import read_records
+    from pyspark.sql import types as T
+
+    good = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+    rows = [(1, good, good), (2, [{"role": "user", "content": "q"}], good)]
+    pairs = spark.createDataFrame(rows, PAIR)
+    qpath = scratch_path(spark, "test-quarantine")
+    out = prepare_preference_data(spark, pairs, source="q", n_samples=None, quarantine_path=qpath,
+                                  root=scratch_path(spark, "test-q-root"))
+    assert out["train"].count() + out["test"].count() == 1
+    bad = read_records(spark, qpath, T.StructType([T.StructField("pair_id", T.LongType()),
+                                                   T.StructField("status", T.StringType())]))
+    assert [tuple(r) for r in bad.collect()] == [(2, "no_assistant")]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        prepare_preference_data(spark, pairs, source="q", n_samples=None, mode="strict",
+                                root=scratch_path(spark, "test-strict-root"))

@@ -92,6 +92,10 @@ def test_strict_mode_fails_on_first_bad_row(pairs):
     strict = create_triplets(pairs, mode="strict")
     with pytest.raises((PySparkException, Py4JJavaError)):
         strict.collect()
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        strict.select("pair_id").collect()          # pruning must not skip the check
+    good_only = pairs.where("pair_id IN (12, 13, 16)")
+    assert create_triplets(good_only, mode="strict").count() == 3
 
 
 def test_alternating_template_cannot_be_its_own_final_turn(pairs):
