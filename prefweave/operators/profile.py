@@ -19,6 +19,7 @@ def profile(splits: Mapping[str, DataFrame], key: str = "pair_id") -> DataFrame:
         for c in ("prompt", "chosen", "rejected"):
             aggs += [F.min(F.length(c)).cast("bigint").alias(f"min_{c}_chars"),
                      F.max(F.length(c)).cast("bigint").alias(f"max_{c}_chars")]
-        aggs += [F.min(key).alias(f"first_{key}"), F.min_by("prompt", key).alias("first_prompt")]
+        aggs += [F.min(key).alias(f"first_{key}")]
+        aggs += [F.min_by(c, key).alias(f"first_{c}") for c in ("prompt", "chosen", "rejected")]
         parts.append(df.agg(*aggs).select(F.lit(name).alias("split"), "*"))
     return reduce(DataFrame.unionByName, parts)

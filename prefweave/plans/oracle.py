@@ -216,7 +216,8 @@ SELECT split, count(*) AS n_rows,
        CAST(min(length(chosen)) AS BIGINT) AS min_chosen_chars, CAST(max(length(chosen)) AS BIGINT) AS max_chosen_chars,
        CAST(min(length(rejected)) AS BIGINT) AS min_rejected_chars,
        CAST(max(length(rejected)) AS BIGINT) AS max_rejected_chars,
-       min(pair_id) AS first_pair_id, arg_min(prompt, pair_id) AS first_prompt
+       min(pair_id) AS first_pair_id, arg_min(prompt, pair_id) AS first_prompt,
+       arg_min(chosen, pair_id) AS first_chosen, arg_min(rejected, pair_id) AS first_rejected
 FROM split GROUP BY split""",
 
     "length_limits": f"""WITH {LENGTHS}
