@@ -13,14 +13,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings a job of this library wants on any cluster. AQE re-plans joins and
-# shuffle partition counts from runtime sizes and splits skewed join partitions.
+# shuffle partition counts from runtime sizes and splits skewed join
+# partitions; the shuffle starts wide and is coalesced to ~256 MB partitions,
+# and scans are split at 256 MB so that a task's input fits executor memory.
 RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Initial shuffle width for a large cluster (AQE coalesces it at run time);
+# tests and the bench use a handful instead.
+CLUSTER_SHUFFLE_PARTITIONS = 20_000
+
+
+def cluster_conf(shuffle_partitions: int = CLUSTER_SHUFFLE_PARTITIONS) -> dict[str, str]:
+    """Settings to pass at submit time (``--conf k=v``) for large inputs."""
+    return {**RECOMMENDED_CONF, "spark.sql.shuffle.partitions": str(shuffle_partitions)}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     builder = (
