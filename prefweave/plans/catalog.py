@@ -22,9 +22,9 @@ from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data
-from prefweave.session import scratch_path
+from prefweave.session import shared_root
 from prefweave.sources import fixtures
-from prefweave.sources.records import read_pairs, write_records
+from prefweave.sources.records import CACHE_VERSION, fingerprint, read_pairs, write_records
 from prefweave.sources.tables import read_table
 
 # Parameters of the registered queries.
@@ -156,8 +156,8 @@ def q_json_round_trip(spark, sf):
 def q_pairs_json_round_trip(spark, sf):
     """S1 + S3: the pair dataset (nested conversations) written as JSON lines
     to the shared folder and read back by path with the explicit PAIR schema."""
-    path = scratch_path(spark, "pairs-json")
-    write_records(pairs(spark, sf), path)
+    path = f"{shared_root(spark)}/prefweave/pairs-json-{fingerprint({'source': sf, 'v': CACHE_VERSION})}"
+    write_records(pairs(spark, sf), path, mode="overwrite")
     back = read_pairs(spark, path, fmt="json")
 
     def transcript(c: str) -> Column:
