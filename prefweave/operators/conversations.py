@@ -16,11 +16,11 @@ def turns_to_messages(turns: DataFrame, key: str = "conv_id", order: str = "turn
     A row of the output is one conversation, the unit of the pair data model.
     """
     folded = turns.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"),
+        F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(role).alias("role"),
                                              F.col(text).alias("content")))).alias("t"))
-    return folded.select(
-        key, F.transform("t", lambda x: F.struct(x.role.alias("role"), x.content.alias("content")))
-        .alias("messages"))
+    # Drop the ordering field without a per-element lambda: zipping the two
+    # extracted field arrays yields struct<role, content> directly.
+    return folded.select(key, F.arrays_zip(F.col("t.role"), F.col("t.content")).alias("messages"))
 
 
 def final_assistant(convs: DataFrame, messages: str = "messages") -> DataFrame:
