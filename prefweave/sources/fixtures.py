@@ -25,8 +25,9 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     ids and one text per conversation.
     """
     # Turns without a conversation id belong to no pair. Filtering them up
-    # front keeps both uses of the fold identical, so Spark shuffles once and
-    # reuses the exchange for the next-text lookup and the count.
+    # front keeps both uses of the fold identical, so Spark shuffles the turns
+    # once and reuses that exchange for the next-text lookup; the count and the
+    # id list are pruned by Catalyst to a distinct over conv_id alone.
     turns = conversations.where(F.col("conv_id").isNotNull())
     convs = turns_to_messages(turns).select(
         "conv_id", "messages", final_assistant_index("messages").alias("fi"))
