@@ -70,31 +70,42 @@ class ChatTemplate:
         body = F.array_join(F.transform(m, lambda x: self._piece(x)), "")
         return F.concat(F.lit(self.bos), body) if self.bos else body
 
-    def violation(self, messages) -> Column:
-        """Status of the first message that cannot be rendered, else NULL.
+    def render_message(self, message) -> Column:
+        """One message (a struct column) rendered on its own, without mapping
+        over an array."""
+        msg = F.col(message) if isinstance(message, str) else message
+        piece = self._piece(msg)
+        return F.concat(F.lit(self.bos), piece) if self.bos else piece
+
+    def _check(self, x: Column, i) -> Column:
+        """Status for message ``x`` at 0-based position ``i`` (a Column or an
+        int), or NULL. Within one message: alternation first, then role, then
+        NULL content, the order in which the reference's template fails."""
+        roles = self.roles
+        conds = []
+        if self.alternating:
+            is_user = F.coalesce(x.role == "user", F.lit(False))
+            even = (i % 2 == 0) if isinstance(i, Column) else F.lit(i % 2 == 0)
+            conds.append((is_user != even, ROLES_NOT_ALTERNATING))
+        if roles is None:
+            conds.append((x.role.isNull(), UNSUPPORTED_ROLE))
+        else:
+            conds.append((~F.coalesce(x.role.isin(*roles), F.lit(False)), UNSUPPORTED_ROLE))
+        conds.append((x.content.isNull(), NULL_CONTENT))
+        expr = F.when(conds[0][0], F.lit(conds[0][1]))
+        for cond, status in conds[1:]:
+            expr = expr.when(cond, F.lit(status))
+        return expr
 
-        Within one message: alternation first, then role, then NULL content,
-        the order in which the reference's template would fail.
-        """
+    def violation(self, messages) -> Column:
+        """Status of the first message that cannot be rendered, else NULL."""
         m = F.col(messages) if isinstance(messages, str) else messages
-        roles = self.roles
+        return F.get(F.array_compact(F.transform(m, lambda x, i: self._check(x, i))), 0)
 
-        def check(x, i):
-            conds = []
-            if self.alternating:
-                is_user = F.coalesce(x.role == "user", F.lit(False))
-                conds.append((is_user != (i % 2 == 0), ROLES_NOT_ALTERNATING))
-            if roles is None:
-                conds.append((x.role.isNull(), UNSUPPORTED_ROLE))
-            else:
-                conds.append((~F.coalesce(x.role.isin(*roles), F.lit(False)), UNSUPPORTED_ROLE))
-            conds.append((x.content.isNull(), NULL_CONTENT))
-            expr = F.when(conds[0][0], F.lit(conds[0][1]))
-            for cond, status in conds[1:]:
-                expr = expr.when(cond, F.lit(status))
-            return expr
-
-        return F.get(F.array_compact(F.transform(m, check)), 0)
+    def message_violation(self, message) -> Column:
+        """``violation`` of a one-message conversation, without an array."""
+        msg = F.col(message) if isinstance(message, str) else message
+        return self._check(msg, 0)
 
 
 # The alternating instruction template used for prompts (no bos, space before

@@ -27,7 +27,7 @@ SYSTEM_NOT_SUPPORTED = "system_not_supported"
 
 
 def _render_one(template: tpl.ChatTemplate, msg: Column) -> Column:
-    return template.render(F.array(msg))
+    return template.render_message(msg)
 
 
 def _status_frame(pairs: DataFrame, template: tpl.ChatTemplate,
@@ -60,8 +60,8 @@ def _status_frame(pairs: DataFrame, template: tpl.ChatTemplate,
         .when(F.col("_sys_first") & F.lit(not template.supports_system), F.lit(SYSTEM_NOT_SUPPORTED))
         .otherwise(F.coalesce(
             template.violation("_prompt"),
-            final_turn.violation(F.array("_resp_c")),
-            final_turn.violation(F.array("_resp_r")),
+            final_turn.message_violation("_resp_c"),
+            final_turn.message_violation("_resp_r"),
             F.lit(OK))))
     return s2.select(*keep, status.alias("status"), "_prompt", "_resp_c", "_resp_r"), final_turn
 
