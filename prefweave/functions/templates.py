@@ -146,7 +146,7 @@ def resolve_final_turn(template: ChatTemplate, final_turn: ChatTemplate | None)
     return final_turn
 
 
-def user_turn(text) -> Column:
-    """A plain string prompt as a one-message conversation (T7 input)."""
+def user_message(text) -> Column:
+    """A plain string prompt as one user message (T7 input)."""
     t = F.col(text) if isinstance(text, str) else text
-    return F.array(F.struct(F.lit("user").alias("role"), t.alias("content")))
+    return F.struct(F.lit("user").alias("role"), t.alias("content"))

@@ -23,7 +23,7 @@ def truncate_left(triplets: DataFrame, max_prompt_length: int, max_length: int,
 
 def template_prompts(prompts: DataFrame, template: tpl.ChatTemplate = tpl.ALTERNATING) -> DataFrame:
     """Render each plain prompt as a one-turn conversation."""
-    return prompts.withColumn("templated", template.render(tpl.user_turn("prompt")))
+    return prompts.withColumn("templated", template.render_message(tpl.user_message("prompt")))
 
 
 def assign_batches(prompts: DataFrame, batch_size: int, pos: str = "pos") -> DataFrame:
@@ -38,10 +38,10 @@ def collect_batches(batched: DataFrame, pos: str = "pos", value: str = "prompt")
     """One row per batch with its members in order. Groups are bounded by the
     batch size, so collecting them is safe."""
     return (batched.groupBy("batch_id")
-            .agg(F.array_sort(F.collect_list(F.struct(pos, value))).alias("members"))
+            .agg(F.sort_array(F.collect_list(F.struct(pos, value))).alias("members"))
             .select("batch_id", F.size("members").cast("bigint").alias("n_prompts"),
-                    F.transform("members", lambda m: m[pos]).alias("positions"),
-                    F.transform("members", lambda m: m[value]).alias("prompts")))
+                    F.col("members").getField(pos).alias("positions"),
+                    F.col("members").getField(value).alias("prompts")))
 
 
 def pad_batches(batched: DataFrame, token_col: str = "tokens", pad: str = tpl.EOS) -> DataFrame:
