@@ -39,6 +39,7 @@ PAD_BATCH_SIZE = 8
 GROUP_BATCH_SIZE = 7       # 40 prompts -> the last batch is short
 BETA = 0.1
 LOG_EVERY = 25
+EVAL_EVERY = 700
 BASELINE_MODEL = "src0"
 
 
@@ -240,6 +241,10 @@ def q_preference_metric_log(spark, sf):
     return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), LOG_EVERY), ["log_step"])
 
 
+def q_preference_eval_log(spark, sf):
+    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), EVAL_EVERY), ["log_step"])
+
+
 def q_preference_metric_log_stream(spark, sf):
     from prefweave.streaming.metric_log import run_metric_log_stream
     out = run_metric_log_stream(spark, sf, "embeddings.parquet", every=LOG_EVERY, beta=BETA)
@@ -289,6 +294,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preference_row_metrics": q_preference_row_metrics,
     "preference_summary": q_preference_summary,
     "preference_metric_log": q_preference_metric_log,
+    "preference_eval_log": q_preference_eval_log,
     "preference_metric_log_stream": q_preference_metric_log_stream,
     "pairwise_matchups": q_pairwise_matchups,
     "baseline_matchups": q_baseline_matchups,

@@ -293,3 +293,6 @@ FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source""",
 }
 
 ORACLE_SQL["preference_metric_log_stream"] = ORACLE_SQL["preference_metric_log"]
+ORACLE_SQL["preference_eval_log"] = f"""WITH {LOGPROBS}
+SELECT CAST((floor((step - 1) / 700) + 1) * 700 AS BIGINT) AS log_step, {SUMMARY_COLS}
+FROM m3 GROUP BY 1"""
