@@ -7,6 +7,7 @@ rounded to 6 places, so that the SQL oracle can compare values.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -24,7 +25,8 @@ from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data
 from prefweave.session import shared_root
 from prefweave.sources import fixtures
-from prefweave.sources.records import CACHE_VERSION, fingerprint, read_pairs, write_records
+from prefweave.sources.records import (
+    CACHE_VERSION, fingerprint, path_exists, read_pairs, write_records)
 from prefweave.sources.tables import read_table
 
 # Parameters of the registered queries.
@@ -157,8 +159,11 @@ def q_json_round_trip(spark, sf):
 def q_pairs_json_round_trip(spark, sf):
     """S1 + S3: the pair dataset (nested conversations) written as JSON lines
     to the shared folder and read back by path with the explicit PAIR schema."""
-    path = f"{shared_root(spark)}/prefweave/pairs-json-{fingerprint({'source': sf, 'v': CACHE_VERSION})}"
-    write_records(pairs(spark, sf), path, mode="overwrite")
+    tag = {"source": sf, "v": CACHE_VERSION, "run": os.environ.get("PREFWEAVE_RUN_TAG", "")}
+    path = f"{shared_root(spark)}/prefweave/pairs-json-{fingerprint(tag)}"
+    # Deterministic content: write once, so earlier results never lose their files.
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        write_records(pairs(spark, sf), path, mode="overwrite")
     back = read_pairs(spark, path, fmt="json")
 
     def transcript(c: str) -> Column:
