@@ -23,19 +23,27 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def token_count(text, tokenizer: Callable[[str], list] | None = None) -> Column:
-    """Number of tokens (G1). ``tokenizer`` is an optional user hook."""
+def token_count(text, tokenizer: Callable | None = None, batched: bool = False) -> Column:
+    """Number of tokens (G1). ``tokenizer`` is an optional user hook (U2):
+    ``text -> ids``, or with ``batched=True`` ``list[text] -> list[ids]``."""
     if tokenizer is None:
         return F.regexp_count(_col(text), F.lit(TOKEN_PATTERN)).cast("bigint")
-    return tokenizer_length_udf(tokenizer)(_col(text))
+    return tokenizer_length_udf(tokenizer, batched)(_col(text))
 
 
-def tokenizer_length_udf(tokenizer: Callable[[str], list]):
-    """Wrap a text -> ids callable as a vectorised length function."""
+def tokenizer_length_udf(tokenizer: Callable, batched: bool = False):
+    """Wrap a tokenizer as a pandas UDF returning lengths. Spark hands it Arrow
+    batches; a batched tokenizer is called once per batch."""
 
     @F.pandas_udf(T.LongType())
     def _len(s: pd.Series) -> pd.Series:
-        return s.map(lambda v: None if v is None else len(tokenizer(v))).astype("Int64")
+        if not batched:
+            return s.map(lambda v: None if v is None else len(tokenizer(v))).astype("Int64")
+        present = s.notna()
+        out = pd.Series(pd.NA, index=s.index, dtype="Int64")
+        if present.any():
+            out[present] = [len(ids) for ids in tokenizer(s[present].tolist())]
+        return out
 
     return _len
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from prefweave.functions.tokens import round_up_even, token_count
 
 
-def with_token_lengths(triplets: DataFrame, tokenizer: Callable | None = None) -> DataFrame:
+def with_token_lengths(triplets: DataFrame, tokenizer: Callable | None = None,
+                       batched: bool = False) -> DataFrame:
     """Token counts of prompt, prompt+chosen and prompt+rejected.
 
     Counted on the concatenated text, as the reference does: a token may span
@@ -17,9 +18,9 @@ def with_token_lengths(triplets: DataFrame, tokenizer: Callable | None = None) -
     """
     p, c, r = F.col("prompt"), F.col("chosen"), F.col("rejected")
     return triplets.withColumns({
-        "prompt_len": token_count(p, tokenizer),
-        "prompt_chosen_len": token_count(F.concat(p, c), tokenizer),
-        "prompt_rejected_len": token_count(F.concat(p, r), tokenizer),
+        "prompt_len": token_count(p, tokenizer, batched),
+        "prompt_chosen_len": token_count(F.concat(p, c), tokenizer, batched),
+        "prompt_rejected_len": token_count(F.concat(p, r), tokenizer, batched),
     })
 
 

@@ -62,3 +62,14 @@ def test_approximate_percentile_is_close(spark):
     approx = length_limits(df, approx_accuracy=10000).first().prompt_length
     assert exact == int(np.percentile(vals, 97))
     assert abs(approx - exact) <= 10
+
+
+def test_batched_tokenizer_hook(spark):
+    df = spark.createDataFrame([("a b c",), (None,), ("d e",)], "t string")
+    calls = []
+
+    def encode_batch(texts):
+        return [t.split() for t in texts]
+
+    got = [r.n for r in df.select(token_count("t", tokenizer=encode_batch, batched=True).alias("n")).collect()]
+    assert got == [3, None, 2]
