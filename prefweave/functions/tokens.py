@@ -39,11 +39,12 @@ def tokenizer_length_udf(tokenizer: Callable, batched: bool = False):
     def _len(s: pd.Series) -> pd.Series:
         if not batched:
             return s.map(lambda v: None if v is None else len(tokenizer(v))).astype("Int64")
-        present = s.notna()
-        out = pd.Series(pd.NA, index=s.index, dtype="Int64")
-        if present.any():
-            out[present] = [len(ids) for ids in tokenizer(s[present].tolist())]
-        return out
+        values = s.tolist()
+        keep = [i for i, v in enumerate(values) if v is not None]
+        lengths: list[int | None] = [None] * len(values)
+        for i, ids in zip(keep, tokenizer([values[i] for i in keep]) if keep else []):
+            lengths[i] = len(ids)
+        return pd.Series(lengths, index=s.index, dtype="Int64")
 
     return _len
 

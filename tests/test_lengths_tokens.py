@@ -66,7 +66,6 @@ def test_approximate_percentile_is_close(spark):
 
 def test_batched_tokenizer_hook(spark):
     df = spark.createDataFrame([("a b c",), (None,), ("d e",)], "t string")
-    calls = []
 
     def encode_batch(texts):
         return [t.split() for t in texts]
