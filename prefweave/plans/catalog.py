@@ -17,12 +17,12 @@ from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
     assign_batches, collect_batches, template_prompts, truncate_left)
 from prefweave.operators.conversations import final_assistant, prompt_and_response, turns_to_messages
-from prefweave.operators.lengths import filter_by_length, length_limits, with_token_lengths
+from prefweave.operators.lengths import filter_by_length, length_limits
 from prefweave.operators.profile import profile
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
-from prefweave.plans.prepare import prepare_preference_data
+from prefweave.plans.prepare import prepare_preference_data, token_length_table
 from prefweave.session import shared_root
 from prefweave.sources import fixtures
 from prefweave.sources.records import (
@@ -187,9 +187,9 @@ def q_dataset_profile(spark, sf):
 
 
 def _lengths(spark, sf):
-    # Like the reference, length work reads the prepared records back.
-    parts = _prepared(spark, sf)
-    return with_token_lengths(_stacked(parts))
+    # Like the reference, length work reads the prepared records back; the
+    # lengths are computed once into a narrow table that both queries read.
+    return token_length_table(spark, _prepared(spark, sf), source=f"conversations:{sf}")
 
 
 def q_length_limits(spark, sf):

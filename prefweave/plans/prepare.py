@@ -10,9 +10,10 @@ written records cut the lineage, so training reads plain files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from prefweave.functions import templates as tpl
+from prefweave.operators.lengths import with_token_lengths
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets
 from prefweave.sources.records import materialize, write_records
@@ -55,3 +56,42 @@ def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: st
         return split_column(good, test_fraction=test_fraction, seed=split_seed)
 
     return materialize(spark, build, "preference", params, root=root, fmt=fmt)
+
+
+LENGTHS = T.StructType([
+    T.StructField("pair_id", T.LongType()),
+    T.StructField("prompt_len", T.LongType()),
+    T.StructField("prompt_chosen_len", T.LongType()),
+    T.StructField("prompt_rejected_len", T.LongType()),
+])
+
+
+def token_length_table(spark: SparkSession, splits: dict[str, DataFrame], *, source: str,
+                       tokenizer=None, batched: bool = False,
+                       root: str | None = None) -> DataFrame:
+    """Token lengths of every split, computed once and kept as a narrow table.
+
+    The reference tokenises each text for the percentile and again for the
+    filter; here the three lengths per pair are written once (parquet, by
+    split, under the shared folder) and statistics and filter both read them.
+    Returns ``pair_id, split, prompt_len, prompt_chosen_len, prompt_rejected_len``.
+    """
+    names = tuple(splits)
+
+    def build():
+        parts = [with_token_lengths(df, tokenizer, batched)
+                 .select("pair_id", "prompt_len", "prompt_chosen_len", "prompt_rejected_len")
+                 .withColumn("split", F.lit(name)) for name, df in splits.items()]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    params = {"source": source, "tokenizer": repr(tokenizer), "batched": batched, "splits": names}
+    tables = materialize(spark, build, "token-lengths", params, schema=LENGTHS, splits=names,
+                         root=root, fmt="parquet")
+    out = None
+    for name in names:
+        t = tables[name].withColumn("split", F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return out
