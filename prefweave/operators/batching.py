@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from prefweave import constants as C
 from prefweave.functions import templates as tpl
 from prefweave.functions.tokens import attention_mask, left_pad, left_truncate, tokens
 
 
-def truncate_left(triplets: DataFrame, max_prompt_length: int, max_length: int,
-                  response: str = "chosen") -> DataFrame:
+def truncate_left(triplets: DataFrame, max_prompt_length: int = C.MAX_PROMPT_LENGTH,
+                  max_length: int = C.MAX_LENGTH, response: str = "chosen") -> DataFrame:
     """Keep the end of prompt and sequence so responses survive (K1, K2).
 
     prompt tokens -> last ``max_prompt_length``; then prompt + response tokens

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from prefweave import constants as C
 from prefweave.functions.tokens import round_up_even, token_count
 
 
@@ -24,7 +25,7 @@ def with_token_lengths(triplets: DataFrame, tokenizer: Callable | None = None,
     })
 
 
-def length_limits(lengths: DataFrame, target_percentile: float = 97,
+def length_limits(lengths: DataFrame, target_percentile: float = C.TARGET_PERCENTILE,
                   approx_accuracy: int | None = None) -> DataFrame:
     """One row of limits from the lengths of one split.
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from prefweave import constants as C
 from prefweave.functions.metrics import neg_log_sigmoid
 
-DEFAULT_BETA = 0.1
+DEFAULT_BETA = C.BETA
 
 
 def preference_metrics(logprobs: DataFrame, beta: float = DEFAULT_BETA) -> DataFrame:
@@ -40,7 +41,7 @@ def summarize(rows: DataFrame) -> DataFrame:
     return rows.agg(*_aggs())
 
 
-def metric_log(rows: DataFrame, every: int = 25) -> DataFrame:
+def metric_log(rows: DataFrame, every: int = C.LOGGING_STEPS) -> DataFrame:
     """Means over consecutive blocks of ``every`` steps, reported at the block's
     last step (M3): the trainer's logging (25) or evaluation (700) interval."""
     log_step = ((F.floor((F.col("step") - 1) / every) + 1) * every).cast("bigint")

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from prefweave import constants as C
 from prefweave.functions import templates as tpl
 from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
@@ -33,15 +34,15 @@ from prefweave.sources.tables import read_table
 SAMPLE_N = 70
 SAMPLE_SEED = 42
 SPLIT_SEED = 7
-TEST_FRACTION = 0.2
-TARGET_PERCENTILE = 97
+TEST_FRACTION = C.TEST_FRACTION
+TARGET_PERCENTILE = C.TARGET_PERCENTILE
 TRUNC_PROMPT = 64          # small limits so that cuts occur on the test tables
 TRUNC_SEQUENCE = 96
 PAD_BATCH_SIZE = 8
 GROUP_BATCH_SIZE = 7       # 40 prompts -> the last batch is short
-BETA = 0.1
-LOG_EVERY = 25
-EVAL_EVERY = 700
+BETA = C.BETA
+LOG_EVERY = C.LOGGING_STEPS
+EVAL_EVERY = C.EVAL_STEPS
 BASELINE_MODEL = "src0"
 
 

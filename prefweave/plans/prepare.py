@@ -12,15 +12,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from prefweave import constants as C
 from prefweave.functions import templates as tpl
 from prefweave.operators.lengths import with_token_lengths
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets
 from prefweave.sources.records import materialize, write_records
 
-# Workload constants of the reference run (sizes, not results).
-REFERENCE_SAMPLE_SIZE = 13_750
-REFERENCE_TEST_FRACTION = 0.2
+REFERENCE_SAMPLE_SIZE = C.SAMPLE_SIZE
+REFERENCE_TEST_FRACTION = C.TEST_FRACTION
 
 
 def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: str,

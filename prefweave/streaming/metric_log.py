@@ -12,19 +12,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from prefweave import constants as C
 from prefweave.operators.metrics import metric_log, preference_metrics
 from prefweave.schemas import TABLES
 from prefweave.session import scratch_path
 from prefweave.sources.fixtures import logprobs_from_embeddings
 
 
-def metric_log_stream(logprobs: DataFrame, every: int = 25, beta: float = 0.1) -> DataFrame:
+def metric_log_stream(logprobs: DataFrame, every: int = C.LOGGING_STEPS, beta: float = C.BETA) -> DataFrame:
     """Streaming DataFrame of interval means; same columns as ``metric_log``."""
     return metric_log(preference_metrics(logprobs, beta), every)
 
 
 def run_metric_log_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet",
-                          every: int = 25, beta: float = 0.1,
+                          every: int = C.LOGGING_STEPS, beta: float = C.BETA,
                           out: str | None = None, checkpoint: str | None = None,
                           max_files_per_trigger: int = 1) -> DataFrame:
     """Drain the files in ``directory`` matching ``file_glob`` (embeddings
