@@ -178,7 +178,7 @@ def q_prepare_sampled(spark, sf):
     """The reference's order: seeded sample of pairs -> triplets -> exact split
     -> JSON records -> read back."""
     parts = prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
-                                    n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED,
+                                    n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED, allow_fewer=True,
                                     split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
     return _stacked(parts)
 

@@ -30,14 +30,15 @@ def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: st
                             template: tpl.ChatTemplate = tpl.ALTERNATING,
                             final_turn: tpl.ChatTemplate | None = tpl.FINAL_TURN,
                             system_message: str = tpl.DEFAULT_SYSTEM_MESSAGE,
-                            mode: str = "quarantine", allow_fewer: bool = True,
+                            mode: str = "quarantine", allow_fewer: bool = False,
                             quarantine_path: str | None = None,
                             root: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
     """Return ``{"train": df, "test": df}`` of ``pair_id, prompt, chosen, rejected``.
 
     ``source`` identifies the input in the cache fingerprint. Malformed pairs
     are dropped in quarantine mode (optionally written to ``quarantine_path``)
-    or fail the job in strict mode.
+    or fail the job in strict mode. An input with fewer than ``n_samples``
+    pairs is an error unless ``allow_fewer`` is set.
     """
     params = {"source": source, "n": n_samples, "sample_seed": sample_seed,
               "split_seed": split_seed, "test_fraction": test_fraction,

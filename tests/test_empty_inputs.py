@@ -12,7 +12,11 @@ def test_empty_pairs_flow(spark):
     pairs = spark.createDataFrame([], PAIR)
     assert sample_n(pairs, 10, allow_fewer=True).count() == 0
     assert split_column(pairs).count() == 0
-    out = prepare_preference_data(spark, pairs, source="empty", root=scratch_path(spark, "test-empty"))
+    out = prepare_preference_data(spark, pairs, source="empty", allow_fewer=True,
+                                  root=scratch_path(spark, "test-empty"))
+    import pytest
+    with pytest.raises(ValueError):
+        prepare_preference_data(spark, pairs, source="empty", root=scratch_path(spark, "test-empty2"))
     assert out["train"].count() == 0 and out["test"].count() == 0
 
 
