@@ -72,3 +72,10 @@ def test_batched_tokenizer_hook(spark):
 
     got = [r.n for r in df.select(token_count("t", tokenizer=encode_batch, batched=True).alias("n")).collect()]
     assert got == [3, None, 2]
+
+
+def test_lengths_count_the_concatenated_text(spark):
+    # "ab" + "cd" is one token, as in the reference, which tokenises prompt + response.
+    df = spark.createDataFrame([("ab", "cd", " x")], "prompt string, chosen string, rejected string")
+    r = with_token_lengths(df).first()
+    assert (r.prompt_len, r.prompt_chosen_len, r.prompt_rejected_len) == (1, 1, 2)

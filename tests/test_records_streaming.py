@@ -16,7 +16,6 @@ def test_prepare_writes_reads_back_and_caches(spark):
     assert not (tr & te)
     assert len(te) == int(0.2 * (len(tr) + len(te)))
     assert set(first["train"].columns) == {"pair_id", "prompt", "chosen", "rejected"}
-    calls = []
     again = prepare_preference_data(spark, pairs.where(F.lit(False)), source="t", n_samples=80, root=root)
     # The cache is keyed by the fingerprint, so the (empty) input is never read.
     assert {r.pair_id for r in again["test"].collect()} == te
