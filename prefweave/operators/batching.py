@@ -27,9 +27,46 @@ def template_prompts(prompts: DataFrame, template: tpl.ChatTemplate = tpl.ALTERN
     return prompts.withColumn("templated", template.render_message(tpl.user_message("prompt")))
 
 
+_ROW_BITS = 33          # monotonically_increasing_id: partition id above, row number below
+
+
+def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos") -> DataFrame:
+    """Dense 0-based positions in ``order_by`` order (unique keys), for inputs
+    without a list index (K4).
+
+    No global window (it would pull every row into one task): rows are range-
+    partitioned and sorted, tagged with ``monotonically_increasing_id`` and
+    written once to the shared folder, so the tags stay fixed even if an
+    executor is lost. One count per partition (bounded by the partition count)
+    gives each partition's offset; a position is offset + row number within the
+    partition.
+    """
+    from prefweave.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "positions")
+    (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    tagged = spark.read.parquet(path)
+    pid = F.shiftright(F.col("_mid"), _ROW_BITS)
+    counts = sorted(tuple(r) for r in tagged.groupBy(pid.alias("p")).count().collect())
+    offsets, seen = {}, 0
+    for p, n in counts:
+        offsets[p] = seen
+        seen += n
+    if not offsets:
+        return tagged.drop("_mid").withColumn(pos, F.lit(None).cast("bigint"))
+    table = F.array(*[F.lit(offsets.get(i, 0)) for i in range(max(offsets) + 1)])
+    row = F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)
+    return tagged.withColumn(pos, (F.element_at(table, (pid + 1).cast("int")) + row).cast("bigint")) \
+        .drop("_mid")
+
+
 def assign_batches(prompts: DataFrame, batch_size: int, pos: str = "pos") -> DataFrame:
     """Consecutive batches of ``batch_size`` by 0-based position; the last may
-    be short (K4). ``pos`` must be dense, like a list index."""
+    be short (K4). ``pos`` must be dense, like a list index (see
+    ``with_positions`` for inputs that only have an order)."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
     return prompts.withColumn("batch_id", F.floor(F.col(pos) / batch_size).cast("bigint"))

@@ -16,7 +16,7 @@ from prefweave import constants as C
 from prefweave.functions import templates as tpl
 from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
-    assign_batches, collect_batches, template_prompts, truncate_left)
+    assign_batches, collect_batches, template_prompts, truncate_left, with_positions)
 from prefweave.operators.conversations import final_assistant, prompt_and_response, turns_to_messages
 from prefweave.operators.lengths import filter_by_length, length_limits
 from prefweave.operators.profile import profile
@@ -217,6 +217,14 @@ def q_prompt_batches(spark, sf):
                     F.array_join(F.transform("positions", lambda p: p.cast("string")), ",").alias("positions"))
 
 
+def q_positioned_batches(spark, sf):
+    """K4 on a table without a list index: labelled documents in doc_id order
+    (ids have gaps) get dense positions, then batches of 7."""
+    labels = read_table(spark, sf, "labels")
+    b = assign_batches(with_positions(labels, ["doc_id"]), GROUP_BATCH_SIZE)
+    return b.select("doc_id", "pos", "batch_id")
+
+
 def q_padded_batches(spark, sf):
     p = padded_prompt_batches(prompts(spark, sf), PAD_BATCH_SIZE)
     return p.select("pos", "batch_id", "width",
@@ -296,6 +304,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_filtered": q_length_filtered,
     "left_truncated": q_left_truncated,
     "prompt_batches": q_prompt_batches,
+    "positioned_batches": q_positioned_batches,
     "padded_batches": q_padded_batches,
     "preference_row_metrics": q_preference_row_metrics,
     "preference_summary": q_preference_summary,

@@ -244,6 +244,9 @@ FROM t3""",
        string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id) AS positions
 FROM benchmark GROUP BY 1""",
 
+    "positioned_batches": """WITH r AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS pos FROM labels)
+SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(floor(pos / 7) AS BIGINT) AS batch_id FROM r""",
+
     "padded_batches": f"""WITH t AS (SELECT item_id AS pos, CAST(floor(item_id / 8) AS BIGINT) AS batch_id,
                   regexp_extract_all('[INST] ' || text || ' [/INST]', '{P}') AS tokens FROM benchmark),
 w AS (SELECT *, max(len(tokens)) OVER (PARTITION BY batch_id) AS width FROM t)

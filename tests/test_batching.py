@@ -10,3 +10,17 @@ def test_batches_and_left_padding(spark):
     assert rows[0].input_tokens == ["<p>", "t"] and rows[0].attention_mask == [0, 1]
     assert rows[1].input_tokens == ["t", "t"] and rows[1].attention_mask == [1, 1]
     assert rows[4].width == 5 and rows[4].attention_mask == [1] * 5
+
+
+def test_with_positions_dense_for_any_partitioning(spark):
+    from prefweave.operators.batching import with_positions
+    ids = [i * 3 + (i % 2) for i in range(500)]          # gaps, unsorted input below
+    df = spark.createDataFrame([(k, f"t{k}") for k in reversed(ids)], "k long, v string").repartition(7)
+    got = {r.k: r.pos for r in with_positions(df, ["k"]).collect()}
+    assert got == {k: i for i, k in enumerate(sorted(ids))}
+
+
+def test_with_positions_empty(spark):
+    from prefweave.operators.batching import with_positions
+    df = spark.createDataFrame([], "k long")
+    assert with_positions(df, ["k"]).count() == 0
