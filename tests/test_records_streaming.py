@@ -93,3 +93,13 @@ def test_prepare_writes_quarantine_and_strict_fails(spark):
     with pytest.raises((PySparkException, Py4JJavaError)):
         prepare_preference_data(spark, pairs, source="q", n_samples=None, mode="strict",
                                 root=scratch_path(spark, "test-strict-root"))
+
+
+def test_read_pairs_selects_split_subdirectory(spark):
+    from prefweave.sources.records import read_pairs, write_records
+    base = scratch_path(spark, "test-pair-splits")
+    pairs = catalog.pairs(spark, SF001)
+    write_records(pairs.where("pair_id < 5"), base + "/train")
+    write_records(pairs.where("pair_id >= 5"), base + "/test")
+    got = read_pairs(spark, base, fmt="json", split="train")
+    assert sorted(r.pair_id for r in got.collect()) == [0, 1, 2, 3, 4]
