@@ -46,3 +46,13 @@ def test_turns_to_messages_orders_by_turn(spark):
     got = {r.conv_id: [(x.role, x.content) for x in r.messages]
            for r in turns_to_messages(turns.repartition(3)).collect()}
     assert got == {7: [("user", "a"), ("assistant", "b"), ("user", "c")], 8: [("user", "z")]}
+
+
+def test_chunked_fold_equals_single_level(spark):
+    from tests.conftest import SF01
+    from prefweave.sources.tables import read_table
+    turns = read_table(spark, SF01, "conversations")
+    one = {r.conv_id: r.messages for r in turns_to_messages(turns).collect()}
+    for chunk in (1, 2, 3):
+        two = {r.conv_id: r.messages for r in turns_to_messages(turns, chunk_turns=chunk).collect()}
+        assert two == one
