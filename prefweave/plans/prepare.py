@@ -3,9 +3,11 @@
 read pairs -> seeded sample of N -> triplets (status gate) -> exact split ->
 JSON records in the shared folder -> read back.
 
-Plan shape: the sample cutoff and the split cutoff are two small scalar jobs
-(a bounded top-k over two columns each); the triplet projection is narrow; the
-written records cut the lineage, so training reads plain files.
+Plan shape: the sample and the split each find their cutoff with a hash
+histogram plus a bounded top-k over two columns (driver sees only counts and
+one key); the triplet projection is narrow; both splits are written in one
+partitioned job, and the written records cut the lineage, so training and
+length statistics read plain files.
 """
 
 from __future__ import annotations
