@@ -26,8 +26,9 @@ from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data, token_length_table
 from prefweave.session import shared_root
 from prefweave.sources import fixtures
+from prefweave.schemas import PAIR
 from prefweave.sources.records import (
-    CACHE_VERSION, fingerprint, path_exists, read_pairs, write_records)
+    CACHE_VERSION, fingerprint, materialize_table, path_exists, read_pairs, write_records)
 from prefweave.sources.tables import read_table
 
 # Parameters of the registered queries.
@@ -61,7 +62,10 @@ def conversations(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return fixtures.pairs_from_conversations(conversations(spark, sf))
+    """The pair fixture, derived from the conversations once and written to the
+    shared folder; every pair-based query reads it back instead of re-folding."""
+    return materialize_table(spark, lambda: fixtures.pairs_from_conversations(conversations(spark, sf)),
+                             "pairs", {"source": sf}, PAIR)
 
 
 def ok_triplets(spark: SparkSession, sf: str) -> DataFrame:

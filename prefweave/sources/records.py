@@ -53,7 +53,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 # Bump when the meaning of a cached output changes, so old caches are never served.
-CACHE_VERSION = "2"
+CACHE_VERSION = "3"
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame],
@@ -83,3 +83,17 @@ def materialize(spark: SparkSession, build: Callable[[], DataFrame],
         except AnalysisException:
             out[s] = spark.createDataFrame([], schema)
     return out
+
+
+def materialize_table(spark: SparkSession, build: Callable[[], DataFrame], name: str,
+                      params: Mapping, schema: StructType, root: str | None = None,
+                      fmt: str = "parquet") -> DataFrame:
+    """Write an expensive derived table once (per fingerprint) to the shared
+    folder and read it back with its explicit schema. Cuts the lineage, so
+    every later job starts from plain files instead of recomputing."""
+    tag = {"cache_version": CACHE_VERSION, "fmt": fmt,
+           "run_tag": os.environ.get("PREFWEAVE_RUN_TAG", "")}
+    path = f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint({**params, **tag})}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").format(fmt).save(path)
+    return spark.read.schema(schema).format(fmt).load(path)
