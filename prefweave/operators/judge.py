@@ -80,6 +80,12 @@ def win_rates(judgements: DataFrame) -> DataFrame:
     })
 
 
+def leaderboard(rates: DataFrame) -> DataFrame:
+    """Win rates in published order: best adjusted win rate first, then model
+    name (J4). One row per model, so the global sort is small."""
+    return rates.orderBy(F.desc("win_rate_adjusted"), F.asc("model"))
+
+
 def score_summary(scores: DataFrame) -> DataFrame:
     """Single-answer grading: mean score per model and turn."""
     return scores.groupBy("model", "turn").agg(F.count(F.lit(1)).alias("n_scores"),

@@ -279,7 +279,7 @@ def q_baseline_matchups(spark, sf):
 
 def q_pairwise_win_rates(spark, sf):
     j = fixtures.judge_by_length(judge.pairwise_matchups(answers(spark, sf)))
-    w = judge.win_rates(j)
+    w = judge.leaderboard(judge.win_rates(j))
     return w.select("model", "win", "loss", "tie", _r("win_rate"), _r("loss_rate"),
                     _r("win_rate_adjusted"))
 

@@ -37,7 +37,9 @@ def test_published_judge_rows_golden(spark):
            [(100 + i, "tuned", "base", "b") for i in range(20)] + \
            [(200 + i, "base", "tuned", "tie") for i in range(79)]
     j = spark.createDataFrame(rows, "question_id long, model_a string, model_b string, winner string")
-    got = {r.model: r for r in judge.win_rates(j).collect()}
+    board = judge.leaderboard(judge.win_rates(j)).collect()
+    assert [r.model for r in board] == ["tuned", "base"]
+    got = {r.model: r for r in board}
     t, b = got["tuned"], got["base"]
     assert (t.win, t.loss, t.tie) == (61, 20, 79)
     assert (t.win_rate, t.loss_rate, t.win_rate_adjusted) == pytest.approx((0.38125, 0.125, 0.628125))
