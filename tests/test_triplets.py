@@ -101,3 +101,16 @@ def test_strict_mode_fails_on_first_bad_row(pairs):
 def test_alternating_template_cannot_be_its_own_final_turn(pairs):
     with pytest.raises(ValueError):
         with_status(pairs, tpl.ALTERNATING, None)
+
+
+def test_user_defined_template(spark):
+    custom = tpl.ChatTemplate(name="tags", wrappers=(("user", "<u>", "</u>"), ("assistant", "<a>", "</a>")),
+                              bos="<bos>")
+    df = spark.createDataFrame(
+        [(1, [m(U, "q"), m(A, "x"), m(U, "q2"), m(A, "c")], [m(U, "q"), m(A, "x"), m(U, "q2"), m(A, "r")]),
+         (2, [m(U, "q"), m("tool", "t"), m(A, "c")], [m(U, "q"), m("tool", "t"), m(A, "r")])], PAIR)
+    got = {r.pair_id: r for r in with_status(df, custom, custom).collect()}
+    assert got[1].status == "ok"
+    assert got[1].prompt == "<bos><u>q</u><a>x</a><u>q2</u>"
+    assert got[1].chosen == "<bos><a>c</a>"
+    assert got[2].status == "unsupported_role"
