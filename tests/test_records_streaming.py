@@ -103,3 +103,19 @@ def test_read_pairs_selects_split_subdirectory(spark):
     write_records(pairs.where("pair_id >= 5"), base + "/test")
     got = read_pairs(spark, base, fmt="json", split="train")
     assert sorted(r.pair_id for r in got.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_prepare_is_independent_of_partitioning(spark):
+    pairs = catalog.pairs(spark, SF01)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    results = []
+    try:
+        for n in ("3", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = prepare_preference_data(spark, pairs.repartition(int(n)), source="parts", n_samples=60,
+                                          root=scratch_path(spark, f"test-parts-{n}"))
+            results.append({s: sorted(map(tuple, out[s].collect())) for s in ("train", "test")})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert results[0] == results[1]
+    assert len(results[0]["test"]) == int(0.2 * (len(results[0]["train"]) + len(results[0]["test"])))
