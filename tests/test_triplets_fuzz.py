@@ -114,3 +114,18 @@ def test_random_pairs_match_model(spark, chatml):
     if not chatml:
         expected |= {"system_not_supported", "roles_not_alternating"}
     assert expected <= statuses           # the generator reaches every status
+
+
+@pytest.mark.parametrize("chatml", [False, True])
+def test_fixture_pairs_match_model(spark, chatml):
+    """The real pair fixture (sf0.01) through Spark and through the Python model."""
+    from prefweave.plans import catalog
+    from tests.conftest import SF01
+    pairs = catalog.pairs(spark, SF01)
+    rows = [(r.pair_id, [m.asDict() for m in r.chosen], [m.asDict() for m in r.rejected])
+            for r in pairs.collect()]
+    t = (tpl.CHATML, None) if chatml else (tpl.ALTERNATING, tpl.FINAL_TURN)
+    got = {r.pair_id: (r.status, r.prompt, r.chosen, r.rejected) for r in with_status(pairs, *t).collect()}
+    want = {pid: model(c, r, chatml) for pid, c, r in rows}
+    assert got == want
+    assert sum(v[0] == "ok" for v in want.values()) == (90 if chatml else 70)
