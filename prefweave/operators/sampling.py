@@ -93,12 +93,14 @@ def split_column(df: DataFrame, test_size: int | None = None, test_fraction: flo
     # projection (not the rows) so the plan behind ``df`` runs once for it.
     keys = df.select(order_hash(key, seed).alias("_h"), key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cut_h, cut_k, k, _ = kth_smallest(keys, "_h", key, test_size,
-                                          None if test_size is not None else test_fraction)
+        cut_h, cut_k, k, total = kth_smallest(keys, "_h", key, test_size,
+                                              None if test_size is not None else test_fraction)
     finally:
         keys.unpersist()
     if cut_h is None:
-        is_test = F.lit(k > 0)                  # k > count: everything is test
+        if k > 0:
+            raise ValueError(f"split_column: test_size {k} exceeds the {total} input rows")
+        is_test = F.lit(False)
     else:
         is_test = _at_or_below("_h", key, (cut_h, cut_k))
     return (df.withColumn("_h", order_hash(key, seed))

@@ -77,3 +77,9 @@ def test_radix_search_exact_for_any_k(keys_df, monkeypatch, k):
     h, key, _, total = sampling.kth_smallest(keys, "h", "pair_id", k)
     assert total == 1000
     assert key == brute_order(range(1000), 5)[k - 1]
+
+
+def test_split_larger_than_input_fails(keys_df):
+    with pytest.raises(ValueError):
+        split_column(keys_df, test_size=1001)
+    assert split_column(keys_df, test_size=1000).where("split = 'test'").count() == 1000
