@@ -27,12 +27,14 @@ def metric_log_stream(logprobs: DataFrame, every: int = C.LOGGING_STEPS, beta: f
 def run_metric_log_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet",
                           every: int = C.LOGGING_STEPS, beta: float = C.BETA,
                           out: str | None = None, checkpoint: str | None = None,
-                          max_files_per_trigger: int = 1) -> DataFrame:
+                          max_files_per_trigger: int = 100) -> DataFrame:
     """Drain the files in ``directory`` matching ``file_glob`` (embeddings
     layout) once and return the table.
 
     Uses ``trigger(availableNow=True)``: every file present is processed in
-    bounded micro-batches, then the query stops.
+    micro-batches of at most ``max_files_per_trigger`` files (bounded memory
+    per batch, without paying per-batch overhead for every file), then the
+    query stops.
     """
     out = out or scratch_path(spark, "metric-log")
     checkpoint = checkpoint or f"{out}-checkpoint"
