@@ -82,13 +82,23 @@ def collect_batches(batched: DataFrame, pos: str = "pos", value: str = "prompt")
                     F.col("members").getField(value).alias("prompts")))
 
 
-def pad_batches(batched: DataFrame, token_col: str = "tokens", pad: str = tpl.EOS) -> DataFrame:
+def pad_batches(batched: DataFrame, token_col: str = "tokens", pad: str = tpl.EOS,
+                width: int | None = None) -> DataFrame:
     """Left-pad every sequence to the longest in its batch, with a mask (K3).
 
     The batch width is a window max partitioned by batch: one exchange, and a
-    partition holds at most ``batch_size`` rows.
+    partition holds at most ``batch_size`` rows. With a constant ``width`` the
+    step is narrow (no exchange): sequences are padded to ``width`` and longer
+    ones are cut from the left, the truncation side the reference uses.
     """
-    width = F.max(F.size(token_col)).over(Window.partitionBy("batch_id"))
-    return (batched.withColumn("width", width.cast("bigint"))
+    if width is not None:
+        if width <= 0:
+            raise ValueError("width must be positive")
+        cut = left_truncate(token_col, width)
+        return (batched.withColumn("width", F.lit(width).cast("bigint"))
+                .withColumn("input_tokens", left_pad(cut, width, pad))
+                .withColumn("attention_mask", attention_mask(cut, width)))
+    w = F.max(F.size(token_col)).over(Window.partitionBy("batch_id"))
+    return (batched.withColumn("width", w.cast("bigint"))
             .withColumn("input_tokens", left_pad(token_col, "width", pad))
             .withColumn("attention_mask", attention_mask(token_col, "width")))

@@ -24,3 +24,12 @@ def test_with_positions_empty(spark):
     from prefweave.operators.batching import with_positions
     df = spark.createDataFrame([], "k long")
     assert with_positions(df, ["k"]).count() == 0
+
+
+def test_constant_width_padding_is_narrow(spark):
+    df = spark.createDataFrame([(0, ["a"]), (1, ["a", "b", "c", "d"])], "pos long, tokens array<string>")
+    out = pad_batches(assign_batches(df, 2), "tokens", pad="<p>", width=3)
+    rows = {r.pos: r for r in out.collect()}
+    assert rows[0].input_tokens == ["<p>", "<p>", "a"] and rows[0].attention_mask == [0, 0, 1]
+    assert rows[1].input_tokens == ["b", "c", "d"] and rows[1].attention_mask == [1, 1, 1]
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
