@@ -40,6 +40,7 @@ TARGET_PERCENTILE = C.TARGET_PERCENTILE
 TRUNC_PROMPT = 64          # small limits so that cuts occur on the test tables
 TRUNC_SEQUENCE = 96
 PAD_BATCH_SIZE = 8
+PAD_WIDTH = 32             # constant width: some prompts are cut, others padded
 GROUP_BATCH_SIZE = 7       # 40 prompts -> the last batch is short
 BETA = C.BETA
 LOG_EVERY = C.LOGGING_STEPS
@@ -238,6 +239,14 @@ def q_padded_batches(spark, sf):
                     F.array_join("input_tokens", " ").alias("input_text"))
 
 
+def q_padded_fixed_width(spark, sf):
+    p = padded_prompt_batches(prompts(spark, sf), PAD_BATCH_SIZE, width=PAD_WIDTH)
+    return p.select("pos", "batch_id", "width",
+                    F.aggregate("attention_mask", F.lit(0).cast("bigint"),
+                                lambda acc, x: acc + x).alias("mask_sum"),
+                    F.array_join("input_tokens", " ").alias("input_text"))
+
+
 def q_preference_row_metrics(spark, sf):
     m = logprob_metrics(spark, sf)
     return m.select("step", "pair_id", _r("reward_chosen"), _r("reward_rejected"), _r("margin"),
@@ -310,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prompt_batches": q_prompt_batches,
     "positioned_batches": q_positioned_batches,
     "padded_batches": q_padded_batches,
+    "padded_fixed_width": q_padded_fixed_width,
     "preference_row_metrics": q_preference_row_metrics,
     "preference_summary": q_preference_summary,
     "preference_metric_log": q_preference_metric_log,

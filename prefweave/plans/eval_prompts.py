@@ -15,9 +15,11 @@ from prefweave.operators.batching import assign_batches, pad_batches, template_p
 
 def padded_prompt_batches(prompts: DataFrame, batch_size: int,
                           template: tpl.ChatTemplate = tpl.ALTERNATING,
-                          pad: str = tpl.EOS) -> DataFrame:
+                          pad: str = tpl.EOS, width: int | None = None) -> DataFrame:
+    """Batch width = longest prompt in the batch, or a constant ``width``
+    (prompts longer than it are cut from the left)."""
     t = template_prompts(prompts, template).withColumn("tokens", tokens("templated"))
-    return pad_batches(assign_batches(t, batch_size), "tokens", pad)
+    return pad_batches(assign_batches(t, batch_size), "tokens", pad, width)
 
 
 def token_text(col: str) -> F.Column:

@@ -256,6 +256,14 @@ SELECT pos, batch_id, CAST(width AS BIGINT) AS width, CAST(width - len(tokens) A
          AS input_text
 FROM w""",
 
+    "padded_fixed_width": f"""WITH t AS (SELECT item_id AS pos, CAST(floor(item_id / 8) AS BIGINT) AS batch_id,
+                  regexp_extract_all('[INST] ' || text || ' [/INST]', '{P}') AS tokens FROM benchmark),
+c AS (SELECT pos, batch_id, {_last_n('tokens', 32)} AS cut FROM t)
+SELECT pos, batch_id, CAST(32 AS BIGINT) AS width, CAST(len(cut) AS BIGINT) AS mask_sum,
+       array_to_string(list_concat(list_transform(range(32 - len(cut)), lambda x: '</s>'), cut), ' ')
+         AS input_text
+FROM c""",
+
     "preference_row_metrics": f"""WITH {LOGPROBS}
 SELECT step, pair_id, round(reward_chosen, 6) AS reward_chosen, round(reward_rejected, 6) AS reward_rejected,
        round(margin, 6) AS margin, round(loss, 6) AS loss, CAST(correct AS BIGINT) AS correct
