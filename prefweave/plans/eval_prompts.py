@@ -6,7 +6,7 @@ batches it consumes, in parallel rather than batch after batch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from prefweave.functions import templates as tpl
 from prefweave.functions.tokens import tokens
@@ -20,7 +20,3 @@ def padded_prompt_batches(prompts: DataFrame, batch_size: int,
     (prompts longer than it are cut from the left)."""
     t = template_prompts(prompts, template).withColumn("tokens", tokens("templated"))
     return pad_batches(assign_batches(t, batch_size), "tokens", pad, width)
-
-
-def token_text(col: str) -> F.Column:
-    return F.array_join(F.col(col), " ")
