@@ -55,6 +55,15 @@ def baseline_matchups(answers: DataFrame, baseline: str) -> DataFrame:
                     "n_chars", "baseline_n_chars"))
 
 
+def baseline_judgement_frame(matchups: DataFrame) -> DataFrame:
+    """Baseline match-ups in the pairwise judgement layout: the model under
+    test is side a, the baseline side b (``n_chars_a`` / ``n_chars_b``)."""
+    return matchups.select("question_id", F.col("model").alias("model_a"),
+                           F.col("baseline").alias("model_b"),
+                           F.col("n_chars").alias("n_chars_a"),
+                           F.col("baseline_n_chars").alias("n_chars_b"))
+
+
 def win_rates(judgements: DataFrame) -> DataFrame:
     """Win/loss/tie per model, each judgement counted from both sides.
 

@@ -293,6 +293,15 @@ def q_pairwise_win_rates(spark, sf):
                     _r("win_rate_adjusted"))
 
 
+def q_baseline_win_rates(spark, sf):
+    """Every model against the baseline (J2), judged and turned into win rates
+    (J3, J4); the baseline's own row counts each comparison from its side."""
+    m = judge.baseline_judgement_frame(judge.baseline_matchups(answers(spark, sf), BASELINE_MODEL))
+    w = judge.leaderboard(judge.win_rates(fixtures.judge_by_length(m)))
+    return w.select("model", "win", "loss", "tie", _r("win_rate"), _r("loss_rate"),
+                    _r("win_rate_adjusted"))
+
+
 def q_score_summary(spark, sf):
     s = fixtures.scores_from_labels(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
     return judge.score_summary(s).select("model", "turn", "n_scores", _r("avg_score"))
@@ -328,5 +337,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairwise_matchups": q_pairwise_matchups,
     "baseline_matchups": q_baseline_matchups,
     "pairwise_win_rates": q_pairwise_win_rates,
+    "baseline_win_rates": q_baseline_win_rates,
     "score_summary": q_score_summary,
 }

@@ -298,6 +298,24 @@ SELECT model, win, loss, tie, round(win / (win + loss + tie), 6) AS win_rate,
        round((win + 0.5 * tie) / (win + loss + tie), 6) AS win_rate_adjusted
 FROM c""",
 
+    "baseline_win_rates": f"""WITH {ANSWERS},
+j AS (SELECT a.model AS model_a, b.model AS model_b,
+             CASE WHEN abs(a.n_chars - b.n_chars) * 10 <= greatest(a.n_chars, b.n_chars) THEN 'tie'
+                  WHEN a.n_chars > b.n_chars THEN 'a' ELSE 'b' END AS winner
+      FROM ans a JOIN ans b ON a.question_id = b.question_id AND b.model = 'src0'
+      WHERE a.model <> 'src0'),
+s AS (SELECT model_a AS model, CAST(winner = 'a' AS BIGINT) AS win, CAST(winner = 'b' AS BIGINT) AS loss,
+             CAST(winner = 'tie' AS BIGINT) AS tie FROM j
+      UNION ALL
+      SELECT model_b, CAST(winner = 'b' AS BIGINT), CAST(winner = 'a' AS BIGINT), CAST(winner = 'tie' AS BIGINT)
+      FROM j),
+c AS (SELECT model, CAST(sum(win) AS BIGINT) AS win, CAST(sum(loss) AS BIGINT) AS loss,
+             CAST(sum(tie) AS BIGINT) AS tie FROM s GROUP BY model)
+SELECT model, win, loss, tie, round(win / (win + loss + tie), 6) AS win_rate,
+       round(loss / (win + loss + tie), 6) AS loss_rate,
+       round((win + 0.5 * tie) / (win + loss + tie), 6) AS win_rate_adjusted
+FROM c""",
+
     "score_summary": """SELECT d.source AS model, 1 AS turn, count(*) AS n_scores,
        round(avg(CAST(1 + 6 * l.quality + 3 * (1 - l.toxic) AS DOUBLE)), 6) AS avg_score
 FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source""",

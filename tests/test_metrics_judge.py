@@ -72,3 +72,11 @@ def test_model_list_is_bounded(spark):
     ans = spark.createDataFrame([(1, f"m{i}", 1) for i in range(5)], "question_id long, model string, n_chars long")
     with pytest.raises(ValueError):
         judge.pairwise_matchups(ans, max_models=3)
+
+
+def test_baseline_win_rates_balance(spark):
+    rows = {r.model: r for r in catalog.q_baseline_win_rates(spark, SF01).collect()}
+    base = rows.pop(catalog.BASELINE_MODEL)
+    assert base.win == sum(r.loss for r in rows.values())
+    assert base.loss == sum(r.win for r in rows.values())
+    assert base.tie == sum(r.tie for r in rows.values())
