@@ -19,8 +19,9 @@ when ``100 * common >= percent * union``. Steps:
 6. Components of the links.
 
 All links between different texts are found; nothing is capped. What the driver
-receives is bounded: the order's frequent shingles (``HOT_SHINGLES``) and a bit
-map of at most ``MAP_BITS`` bits that spares shuffling sets no pair needs.
+receives is bounded: the order's frequent shingles (``HOT_SHINGLES``) and bit maps
+of at most ``MAP_BITS`` bits, sieves that spare shuffling shingles and sets no
+pair needs. Texts are read and cut anew in each pass rather than stored as sets.
 
 Edge cases: null and empty texts have an empty set and no links; a text with
 fewer than ``k`` words has its whole sequence as one shingle; repeated rows are
@@ -120,59 +121,78 @@ class Order:
         return np.concatenate([cold, rest[np.lexsort((rest, counts))][:n - len(cold)]])
 
 
-def _prefixes(k: int, percent: int, shared):
+def _bit_map(places: DataFrame, n: int) -> tuple[np.ndarray, int]:
+    """Bits set at the low bits of column ``p``, about 16 for each of ``n``
+    values and at most MAP_BITS: a first sieve of bounded size, which lets some
+    others through and none of the values out."""
+    bits = min(MAP_BITS, 1 << max(16, (16 * n).bit_length()))
+    cells = places.select(F.col("p").bitwiseAND(F.lit(bits - 1)).alias("p")).select(
+        F.shiftright("p", 6).alias("cell"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
+    table = cells.groupBy("cell").agg(F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(bits // 64, dtype=np.uint64)
+    out[table["cell"].to_numpy()] = table["bit"].to_numpy().view(np.uint64)
+    return out, bits
+
+
+def _in_map(bit_map: tuple[np.ndarray, int], values: np.ndarray) -> np.ndarray:
+    cells, bits = bit_map
+    place = values.view(np.uint64) & np.uint64(bits - 1)
+    return (cells[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _groups(sets: list[np.ndarray], order: Order, percent: int):
+    """({(group, size): prefix}, {(group, size, class)}) of a chunk."""
+    prefixes, members = {}, set()
+    for s in sets:
+        if len(s):
+            p = order.prefix(s, len(s) - -(-percent * len(s) // 100) + 1)
+            gid = int.from_bytes(hashlib.blake2b(p.tobytes(), digest_size=8).digest(), "little", signed=True)
+            prefixes[gid, len(s)] = p
+            members.add((gid, len(s), digest(s)))
+    return prefixes, members
+
+
+def _prefix_shingles(k: int, percent: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = shared.value
         for batch in batches:
             for _, _, buf, offs in chunks(batch):
-                found, members = {}, set()
-                for s in sets_of(buf, offs, k):
-                    if len(s):
-                        p = order.prefix(s, len(s) - -(-percent * len(s) // 100) + 1)
-                        gid = int.from_bytes(hashlib.blake2b(p.tobytes() + len(s).to_bytes(8, "little"),
-                                                             digest_size=8).digest(), "little", signed=True)
-                        found[gid, len(s)] = p
-                        members.add((gid, len(s), digest(s)))
-                size = [len(p) for p in found.values()]
-                gids, ns = [g for g, _ in found], [n for _, n in found]
+                prefixes, _ = _groups(sets_of(buf, offs, k), order.value, percent)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(np.concatenate([np.zeros(0, np.uint64), *prefixes.values()]))], ["shingle"])
+    return run
+
+
+def _postings(k: int, percent: int, order, shared):
+    """The groups' members, and their prefix shingles that pass the sieve."""
+    names = ["shingle", "gid", "n", "pos", "cid"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, buf, offs in chunks(batch):
+                prefixes, members = _groups(sets_of(buf, offs, k), order.value, percent)
+                hits = [np.flatnonzero(_in_map(shared.value, p)) for p in prefixes.values()]
+                size = [len(h) for h in hits]
                 rows = int(np.sum(size, dtype=np.int64))
+                ids, ns = [g for g, _ in prefixes], [n for _, n in prefixes]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(np.concatenate([np.zeros(0, np.uint64), *found.values()])),
-                     pa.array(np.repeat(np.array(gids, np.int64), size)), pa.array(np.repeat(np.array(ns, np.int32), size)),
-                     pa.array(np.concatenate([np.zeros(0, np.int32), *(np.arange(m, dtype=np.int32) for m in size)])),
-                     pa.nulls(rows, pa.binary())], ["shingle", "gid", "n", "pos", "cid"])
+                    [_signed(np.concatenate([np.zeros(0, np.uint64), *(p[h] for p, h in zip(prefixes.values(), hits))])),
+                     pa.array(np.repeat(np.array(ids, np.int64), size)), pa.array(np.repeat(np.array(ns, np.int32), size)),
+                     pa.array(np.concatenate([np.zeros(0, np.int64), *hits]).astype(np.int32)),
+                     pa.nulls(rows, pa.binary())], names)
                 g, n, c = zip(*sorted(members)) if members else ((), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(g), pa.int64()), pa.array(g, pa.int64()), pa.array(n, pa.int32()),
-                     pa.nulls(len(g), pa.int32()), pa.array(c, pa.binary())], ["shingle", "gid", "n", "pos", "cid"])
+                     pa.nulls(len(g), pa.int32()), pa.array(c, pa.binary())], names)
     return run
 
 
-def _bit_map(keys: DataFrame, n: int) -> tuple[np.ndarray, int]:
-    """Bits set at the hash of each ``cid``: at most MAP_BITS, by the count."""
-    bits = min(MAP_BITS, 1 << max(16, (16 * n).bit_length()))
-    # The first eight bytes of a digest are uniform; their low bits are the place.
-    place = F.conv(F.hex(F.substring("cid", 1, 7)), 16, 10).cast("long").bitwiseAND(bits - 1)
-    cells = keys.select(place.alias("p")).select(
-        F.shiftright("p", 6).alias("cell"), F.expr("shiftleft(1L, cast(p & 63 as int))").alias("bit"))
-    out = np.zeros(bits // 64, dtype=np.int64)
-    for r in cells.groupBy("cell").agg(F.bit_or("bit").alias("bit")).collect():
-        out[r["cell"]] = r["bit"]
-    return out, bits
-
-
-def _sets(k: int, shared):
+def _sets(k: int, wanted):
+    """Whole sets of the rows whose ``p`` passes the sieve."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, bits = shared.value
         for batch in batches:
-            for lo, _, buf, offs in chunks(batch):
-                found = {}
-                for s in sets_of(buf, offs, k):
-                    if len(s):
-                        cid = digest(s)
-                        place = int.from_bytes(cid[:7], "big") & (bits - 1)
-                        if int(cells[place >> 6]) >> (place & 63) & 1:
-                            found[cid] = s.tobytes()
+            batch = batch.filter(pa.array(_in_map(wanted.value, column(batch, "p").to_numpy())))
+            for _, _, buf, offs in chunks(batch):
+                found = {digest(s): s.tobytes() for s in sets_of(buf, offs, k) if len(s)}
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()),
                                                   pa.array(list(found.values()), pa.binary())], ["cid", "members"])
     return run
@@ -227,15 +247,17 @@ def jaccard_links(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[
            .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).collect())
     order = context.broadcast(Order([(r["shingle"], r["df"]) for r in hot]))
 
-    prefixes = stored(docs.select("text").mapInArrow(
-        _prefixes(k, percent, order), "shingle bigint, gid bigint, n int, pos int, cid binary").where(
-        "cid is not null or shingle is not null"), "prefixes")
-    lists = prefixes.where("cid is null").select("shingle", "gid", "n", "pos")
-    members = stored(prefixes.where("cid is not null").select("gid", "n", "cid").distinct(), "groups")
-    # A shingle of one group only links nothing. Equal rows come from copies.
-    shared = lists.groupBy("shingle").agg(F.min(F.struct("gid", "n")).alias("lo"), F.max(F.struct("gid", "n")).alias("hi")) \
-        .where("lo <> hi").select("shingle")
-    postings = stored(lists.join(shared, "shingle", "left_semi").distinct(), "postings")
+    # A shingle in one prefix only links nothing; few are in several. Counting
+    # them moves bare shingles; then the lists are made of the shared ones alone.
+    texts = docs.select("text")
+    shared = stored(texts.mapInArrow(_prefix_shingles(k, percent, order), "shingle bigint")
+                    .groupBy("shingle").count().where("count > 1").select("shingle"), "shared-shingles")
+    sieve = context.broadcast(_bit_map(shared.select(F.col("shingle").alias("p")), shared.count()))
+    made = stored(texts.mapInArrow(_postings(k, percent, order, sieve),
+                                   "shingle bigint, gid bigint, n int, pos int, cid binary"), "prefixes")
+    members = stored(made.where("cid is not null").select("gid", "n", "cid").distinct(), "groups")
+    postings = stored(made.where("cid is null").select("shingle", "gid", "n", "pos").distinct()
+                      .join(shared, "shingle", "left_semi"), "postings")
 
     groups = stored(_candidates(postings, percent), "group-pairs")
     m1 = members.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("cid").alias("ca"))
@@ -245,14 +267,17 @@ def jaccard_links(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[
         .select("ca", "cb")
     pairs = stored(across.unionByName(within), "class-pairs")
 
-    wanted = stored(pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct(),
-                    "wanted")
-    bits = context.broadcast(_bit_map(wanted, wanted.count()))
-    sets = docs.select("text").mapInArrow(_sets(k, bits), "cid binary, members binary")
-    sets = stored(sets.join(wanted, "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-    links = (pairs.join(sets.select(F.col("cid").alias("ca"), F.col("members").alias("sa")), "ca")
-             .join(sets.select(F.col("cid").alias("cb"), F.col("members").alias("sb")), "cb")
-             .select("ca", "cb", "sa", "sb").mapInArrow(_verify(percent), "ca binary, cb binary"))
+    # Whole sets of the classes in some pair, each from its first document.
+    paired = pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct()
+    first = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
+                   .join(paired, "cid", "left_semi"), "wanted")
+    wanted = context.broadcast(_bit_map(first.select(F.xxhash64("doc_id").alias("p")), first.count()))
+    sets = docs.select("text", F.xxhash64("doc_id").alias("p")).mapInArrow(_sets(k, wanted), "cid binary, members binary")
+    sets = stored(sets.join(first.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
+    sa, sb = sets.alias("sa"), sets.alias("sb")
+    links = (pairs.join(sa, F.col("ca") == F.col("sa.cid")).select("ca", "cb", F.col("sa.members").alias("sa"))
+             .join(sb, F.col("cb") == F.col("sb.cid")).select("ca", "cb", "sa", F.col("sb.members").alias("sb"))
+             .mapInArrow(_verify(percent), "ca binary, cb binary"))
     return rows, stored(links, "links")
 
 
