@@ -11,14 +11,18 @@ when ``100 * common >= percent * union``. Steps:
    linked sets share one of them. Classes with identical prefixes and size form
    one group, which stands in the lists once.
 4. Groups that share a prefix shingle and pass the size and position bounds are
-   candidate pairs. A pair is made at the first shingle that it shares (checked
-   against each group's first ``SEEN`` shared shingles, then made distinct).
-   Lists are split by size band, so a frequent shingle is many join keys.
-5. Candidate groups, and groups with several members, are expanded into member
-   classes, and each pair of classes is verified on whole sets.
-6. Components of the links.
-
-All links between different texts are found; nothing is capped. What the driver
+   candidate pairs; groups and pairs are expanded into member classes, and each
+   pair of classes is verified on whole sets.
+5. So that a large group of near copies does not cost the square of its size,
+   pairs come in rounds. Star rounds pair each list's groups with one leader;
+   verified links give components. The last round makes every remaining pair of
+   groups in different components; pairs inside a component need no look, since
+   they cannot change it. Lists are split by size band, and a pair is made at the
+   first shingle that it shares (checked against each group's first ``SEEN``
+   shared shingles, then made distinct).
+
+Components are exact: no pair that could join two of them goes unverified, and
+nothing is capped. What the driver
 receives is bounded: the order's frequent shingles (``HOT_SHINGLES``) and bit maps
 of at most ``MAP_BITS`` bits, sieves that spare shuffling shingles and sets no
 pair needs. Texts are read and cut anew in each pass rather than stored as sets.
@@ -48,6 +52,7 @@ HOT_LEAST = 4                  # occurrences within one count that make a shingl
 COUNTED = 4_000_000            # shingles per count inside a task
 SEEN = 8
 MAP_BITS = 1 << 26
+STAR_ROUNDS = 2
 
 
 def sets_of(buf: np.ndarray, offs: np.ndarray, k: int) -> list[np.ndarray]:
@@ -213,92 +218,170 @@ def _verify(percent: int):
     return run
 
 
+def _bounds(percent: int) -> str:
+    """Size and position bounds of a pair with na <= nb."""
+    return (f"100L * na >= {percent}L * nb "
+            f"and {100 + percent}L * least(na - pa, nb - pb) >= {percent}L * (na + nb)")
+
+
+def _stars(postings: DataFrame, percent: int) -> DataFrame:
+    """Group pairs (ga, gb): in every list and size band, each group of another
+    component with the leader, a group of the largest component there; and the
+    leaders of neighbouring bands. As many pairs as list entries at most."""
+    entry = F.struct("size", F.xxhash64("gid").alias("h"), "gid", "n", "pos", "comp")
+    leaders = postings.groupBy("shingle", "band").agg(F.max(entry).alias("l"), F.min("comp").alias("lo"),
+                                                      F.max("comp").alias("hi"))
+    mixed = leaders.where("lo <> hi").select("shingle", "band", "l")
+    inside = postings.join(mixed, ["shingle", "band"]).where("comp <> l.comp").select(
+        "gid", "n", "pos", F.col("l.gid").alias("lg"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"))
+    above = leaders.select("shingle", (F.col("band") - 1).alias("band"), F.col("l").alias("u"))
+    across = leaders.join(above, ["shingle", "band"]).where("l.comp <> u.comp").select(
+        F.col("l.gid").alias("gid"), F.col("l.n").alias("n"), F.col("l.pos").alias("pos"),
+        F.col("u.gid").alias("lg"), F.col("u.n").alias("ln"), F.col("u.pos").alias("lp"))
+    swap = F.col("n") > F.col("ln")
+    pick = lambda a, b, name: F.when(swap, F.col(b)).otherwise(F.col(a)).alias(name)              # noqa: E731
+    return (inside.unionByName(across)
+            .select(pick("gid", "lg", "ga"), pick("lg", "gid", "gb"), pick("n", "ln", "na"), pick("ln", "n", "nb"),
+                    pick("pos", "lp", "pa"), pick("lp", "pos", "pb"))
+            .where(_bounds(percent)).select("ga", "na", "gb", "nb").distinct())
+
+
 def _candidates(postings: DataFrame, percent: int) -> DataFrame:
-    """Distinct group pairs (ga, na, gb, nb) that share a prefix shingle within
-    the size and position bounds, na <= nb."""
-    listed = postings.groupBy("gid", "n").agg(F.sort_array(F.collect_list(F.struct("pos", "shingle"))).alias("l"))
-    listed = listed.select("gid", "n", F.expr(f"transform(slice(l, 1, {SEEN}), x -> x.shingle)").alias("early"),
+    """Distinct pairs (ga, na, xa, gb, nb, xb), na <= nb, of groups' parts in
+    different components xa and xb that share a prefix shingle within the
+    bounds. Lists that hold one component are left out first."""
+    spread = postings.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
+        .where("lo <> hi").select("shingle")
+    postings = postings.join(spread, "shingle", "left_semi")
+    listed = postings.groupBy("gid", "n", "comp", "band").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "shingle"))).alias("l"))
+    listed = listed.select("gid", "n", "comp", "band", F.expr(f"transform(slice(l, 1, {SEEN}), x -> x.shingle)").alias("early"),
                            F.posexplode("l").alias("i", "x"))
-    band = F.floor(F.log("n") / math.log(100 / percent * 1.0001)) if percent < 100 else F.col("n")
-    rows = listed.select("gid", "n", F.col("x.shingle").alias("shingle"), F.col("x.pos").alias("pos"),
-                         F.expr(f"slice(early, 1, least(i, {SEEN}))").alias("before"), band.cast("int").alias("band"))
-    a = rows.select("shingle", "band", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("pos").alias("pa"),
-                    F.col("before").alias("ba"))
+    rows = listed.select("gid", "n", "comp", F.col("x.shingle").alias("shingle"), F.col("x.pos").alias("pos"),
+                         F.expr(f"slice(early, 1, least(i, {SEEN}))").alias("before"), "band")
+    a = rows.select("shingle", "band", F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("xa"),
+                    F.col("pos").alias("pa"), F.col("before").alias("ba"))
     near = F.array(F.col("band"), F.col("band") - 1)
     b = rows.select("shingle", F.explode(near).alias("band"), F.col("gid").alias("gb"), F.col("n").alias("nb"),
-                    F.col("pos").alias("pb"), F.col("before").alias("bb"))
-    bound = (f"(na < nb or (na = nb and ga < gb)) and 100L * na >= {percent}L * nb "
-             f"and {100 + percent}L * (1 + least(na - pa, nb - pb) - 1) >= {percent}L * (na + nb) "
-             "and not arrays_overlap(ba, bb)")
-    return a.join(b, ["shingle", "band"]).where(bound).select("ga", "na", "gb", "nb").distinct()
-
-
-def jaccard_links(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
-    """(rows, links): doc_id, n and class digest (null: empty set) of every
-    row; and the linked pairs (ca, cb) of different classes."""
-    if not 0 < percent <= 100 or k < 1:
-        raise ValueError("percent must be in 1..100 and k positive")
-    docs = need(documents, "doc_id", "text").selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
-    context = docs.sparkSession.sparkContext
-    described = stored(docs.mapInArrow(_describe(k), "doc_id bigint, n bigint, cid binary, shingle bigint, df bigint"),
-                       "shingle-sets")
-    rows = described.where("n is not null").select("doc_id", "n", "cid")
-    hot = (described.where("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df"))
-           .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).collect())
-    order = context.broadcast(Order([(r["shingle"], r["df"]) for r in hot]))
-
-    # A shingle in one prefix only links nothing; few are in several. Counting
-    # them moves bare shingles; then the lists are made of the shared ones alone.
-    texts = docs.select("text")
-    shared = stored(texts.mapInArrow(_prefix_shingles(k, percent, order), "shingle bigint")
-                    .groupBy("shingle").count().where("count > 1").select("shingle"), "shared-shingles")
-    sieve = context.broadcast(_bit_map(shared.select(F.col("shingle").alias("p")), shared.count()))
-    made = stored(texts.mapInArrow(_postings(k, percent, order, sieve),
-                                   "shingle bigint, gid bigint, n int, pos int, cid binary"), "prefixes")
-    members = stored(made.where("cid is not null").select("gid", "n", "cid").distinct(), "groups")
-    postings = stored(made.where("cid is null").select("shingle", "gid", "n", "pos").distinct()
-                      .join(shared, "shingle", "left_semi"), "postings")
-
-    groups = stored(_candidates(postings, percent), "group-pairs")
-    m1 = members.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("cid").alias("ca"))
-    m2 = members.select(F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("cid").alias("cb"))
-    across = groups.join(m1, ["ga", "na"]).join(m2, ["gb", "nb"]).select("ca", "cb")
-    within = m1.join(m2, (F.col("ga") == F.col("gb")) & (F.col("na") == F.col("nb")) & (F.col("ca") < F.col("cb"))) \
-        .select("ca", "cb")
-    pairs = stored(across.unionByName(within), "class-pairs")
-
-    # Whole sets of the classes in some pair, each from its first document.
-    paired = pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct()
-    first = stored(rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
-                   .join(paired, "cid", "left_semi"), "wanted")
-    wanted = context.broadcast(_bit_map(first.select(F.xxhash64("doc_id").alias("p")), first.count()))
-    sets = docs.select("text", F.xxhash64("doc_id").alias("p")).mapInArrow(_sets(k, wanted), "cid binary, members binary")
-    sets = stored(sets.join(first.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-    sa, sb = sets.alias("sa"), sets.alias("sb")
-    links = (pairs.join(sa, F.col("ca") == F.col("sa.cid")).select("ca", "cb", F.col("sa.members").alias("sa"))
-             .join(sb, F.col("cb") == F.col("sb.cid")).select("ca", "cb", "sa", F.col("sb.members").alias("sb"))
-             .mapInArrow(_verify(percent), "ca binary, cb binary"))
-    return rows, stored(links, "links")
+                    F.col("comp").alias("xb"), F.col("pos").alias("pb"), F.col("before").alias("bb"))
+    return (a.join(b, ["shingle", "band"])
+            .where(f"xa <> xb and (na < nb or (na = nb and xa < xb)) and {_bounds(percent)} and not arrays_overlap(ba, bb)")
+            .select("ga", "na", "xa", "gb", "nb", "xb").distinct())
+
+
+class _Join:
+    """The passes over the documents that candidate pairs and links come from."""
+
+    def __init__(self, documents: DataFrame, k: int, percent: int):
+        if not 0 < percent <= 100 or k < 1:
+            raise ValueError("percent must be in 1..100 and k positive")
+        self.k, self.percent = k, percent
+        self.docs = need(documents, "doc_id", "text").selectExpr("cast(doc_id as bigint) doc_id",
+                                                                 "cast(text as string) text")
+        self.context = self.docs.sparkSession.sparkContext
+        described = stored(self.docs.mapInArrow(
+            _describe(k), "doc_id bigint, n bigint, cid binary, shingle bigint, df bigint"), "shingle-sets")
+        self.rows = described.where("n is not null").select("doc_id", "n", "cid")
+        self.classes = stored(self.rows.where("cid is not null").groupBy("cid").agg(
+            F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
+        hot = (described.where("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df"))
+               .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).collect())
+        self.order = self.context.broadcast(Order([(r["shingle"], r["df"]) for r in hot]))
+        self._lists()
+
+    def _lists(self) -> None:
+        # A shingle in one prefix only links nothing; few are in several. Counting
+        # them moves bare shingles; then the lists are made of the shared ones alone.
+        texts, k, percent = self.docs.select("text"), self.k, self.percent
+        shared = stored(texts.mapInArrow(_prefix_shingles(k, percent, self.order), "shingle bigint")
+                        .groupBy("shingle").count().where("count > 1").select("shingle"), "shared-shingles")
+        sieve = self.context.broadcast(_bit_map(shared.select(F.col("shingle").alias("p")), shared.count()))
+        made = stored(texts.mapInArrow(_postings(k, percent, self.order, sieve),
+                                       "shingle bigint, gid bigint, n int, pos int, cid binary"), "prefixes")
+        self.members = stored(made.where("cid is not null").select("gid", "n", "cid").distinct(), "groups")
+        lists = made.where("cid is null").select("shingle", "gid", "n", "pos")
+        several = lists.groupBy("shingle").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.min("n").alias("a"),
+                                               F.max("n").alias("b")).where("lo <> hi or a <> b").select("shingle")
+        band = F.floor(F.log("n") / math.log(100 / percent * 1.0001)) if percent < 100 else F.col("n")
+        self.postings = stored(lists.join(several, "shingle", "left_semi").distinct()
+                               .withColumn("band", band.cast("int")), "postings")
+
+    def parts(self, components: DataFrame) -> DataFrame:
+        """gid, n, cid with its component and the component's size."""
+        of = stored(self.classes.join(components, "cid", "left")
+                    .select("cid", F.coalesce("root", "cid").alias("comp"), "copies"), "class-components")
+        sizes = of.groupBy("comp").agg(F.sum("copies").alias("size"))
+        return stored(self.members.join(of, "cid").join(sizes, "comp"), "parts")
+
+    def star_pairs(self, parts: DataFrame) -> DataFrame:
+        """Class pairs of the star rounds: a group stands for its class in the
+        largest component; inside a group that class meets the other ones."""
+        best = F.max(F.struct("size", "copies", "cid", "comp")).alias("rep")
+        reps = parts.groupBy("gid", "n").agg(best).select("gid", "n", F.col("rep.cid").alias("rep"),
+                                                          F.col("rep.comp").alias("comp"), F.col("rep.size").alias("size"))
+        reps = stored(reps, "group-representatives")
+        groups = _stars(self.postings.join(reps.drop("rep"), ["gid", "n"]), self.percent)
+        left = reps.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("rep").alias("ca"))
+        right = reps.select(F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("rep").alias("cb"))
+        across = groups.join(left, ["ga", "na"]).join(right, ["gb", "nb"]).select("ca", "cb")
+        within = parts.select("gid", "n", "cid", F.col("comp").alias("own")).join(reps, ["gid", "n"]).where("own <> comp") \
+            .select(F.col("rep").alias("ca"), F.col("cid").alias("cb"))
+        return across.unionByName(within)
+
+    def cross_pairs(self, parts: DataFrame) -> DataFrame:
+        """All class pairs of different components that may still be linked."""
+        spots = parts.select("gid", "n", "comp").distinct()
+        groups = stored(_candidates(self.postings.join(spots, ["gid", "n"]), self.percent), "group-pairs")
+        m1 = parts.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("xa"),
+                          F.col("cid").alias("ca"))
+        m2 = parts.select(F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("comp").alias("xb"),
+                          F.col("cid").alias("cb"))
+        across = groups.join(m1, ["ga", "na", "xa"]).join(m2, ["gb", "nb", "xb"]).select("ca", "cb")
+        within = m1.join(m2, (F.col("ga") == F.col("gb")) & (F.col("na") == F.col("nb")) & (F.col("xa") < F.col("xb"))) \
+            .select("ca", "cb")
+        return across.unionByName(within)
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The linked pairs, from whole sets; each class's set is taken from its
+        first document."""
+        pairs = stored(pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct(),
+                       "class-pairs")
+        paired = pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct()
+        first = stored(self.classes.join(paired, "cid", "left_semi").select("cid", "first"), "wanted")
+        wanted = self.context.broadcast(_bit_map(first.select(F.xxhash64("first").alias("p")), first.count()))
+        sets = self.docs.select("text", F.xxhash64("doc_id").alias("p")).mapInArrow(_sets(self.k, wanted),
+                                                                                   "cid binary, members binary")
+        sets = sets.join(first.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
+        sa, sb = sets.alias("sa"), sets.alias("sb")
+        links = (pairs.join(sa, F.col("ca") == F.col("sa.cid")).select("ca", "cb", F.col("sa.members").alias("sa"))
+                 .join(sb, F.col("cb") == F.col("sb.cid")).select("ca", "cb", "sa", F.col("sb.members").alias("sb"))
+                 .mapInArrow(_verify(self.percent), "ca binary, cb binary"))
+        return stored(links, "links")
+
+
+def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): doc_id, n and class digest (null: empty set) of every
+    row; cid, first id and component root of every class."""
+    join = _Join(documents, k, percent)
+    components = join.classes.select("cid", F.col("cid").alias("root")).where("false")
+    links = None
+    for pairs in (*[join.star_pairs] * STAR_ROUNDS, join.cross_pairs):
+        found = join.verified(pairs(join.parts(components)))
+        links = found if links is None else links.unionByName(found)
+        components = connected_components(links, "ca", "cb").select(F.col("node").alias("cid"), "root")
+    classes = join.classes.join(components, "cid", "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
+    return join.rows, stored(classes, "components")
 
 
 def near_duplicates(documents: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least id
-    reachable by links, its own included) and n_links (documents linked to it)."""
-    rows, links = jaccard_links(documents, k, percent)
-    classes = rows.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    roots = connected_components(links, "ca", "cb").select(F.col("node").alias("cid"), "root")
-    both = links.unionByName(links.select(F.col("cb").alias("ca"), F.col("ca").alias("cb")))
-    degrees = (both.join(classes.select(F.col("cid").alias("cb"), "copies"), "cb")
-               .groupBy(F.col("ca").alias("cid")).agg(F.sum("copies").alias("others")))
-    labelled = stored(classes.join(roots, "cid", "left").join(degrees, "cid", "left")
-                      .select("cid", "first", F.coalesce("root", "cid").alias("root"),
-                              (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes")
-    names = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = labelled.join(names, "root").select("cid", "component_id", "n_links")
+    """One row per document: doc_id, n_shingles and component_id (least id
+    reachable by links, its own included)."""
+    rows, classes = jaccard_components(documents, k, percent)
+    names = classes.groupBy("root").agg(F.min("first").alias("component_id"))
+    of_class = classes.join(names, "root").select("cid", "component_id")
     some = rows.where("cid is not null").join(of_class, "cid")
-    none = rows.where("cid is null").select("cid", "doc_id", "n", F.col("doc_id").alias("component_id"),
-                                            F.lit(0).cast("bigint").alias("n_links"))
-    return some.unionByName(none).select("doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links")
+    none = rows.where("cid is null").select("cid", "doc_id", "n", F.col("doc_id").alias("component_id"))
+    return some.unionByName(none).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
