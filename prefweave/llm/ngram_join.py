@@ -12,7 +12,8 @@ when ``100 * common >= percent * union``. Steps:
    one group, which stands in the lists once.
 4. Groups that share a prefix shingle and pass the size and position bounds are
    candidate pairs; groups and pairs are expanded into member classes, and each
-   pair of classes is verified on whole sets.
+   pair of classes is verified: by an upper bound from small histograms of the
+   hash space, then on whole sets.
 5. So that a large group of near copies does not cost the square of its size,
    pairs come in rounds. Star rounds pair each list's groups with one leader;
    verified links give components. The last round makes every remaining pair of
@@ -145,15 +146,48 @@ def _in_map(bit_map: tuple[np.ndarray, int], values: np.ndarray) -> np.ndarray:
     return (cells[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
 
 
+def histogram(s: np.ndarray) -> bytes:
+    """How many members fall into each of a power of two of equal parts of the
+    hash space, about 8 a part. Two sets have at most the sum of the parts'
+    smaller counts in common."""
+    parts = 1 << max(4, (len(s) // 8).bit_length())
+    counts = np.bincount((s >> np.uint64(64 - parts.bit_length() + 1)).astype(np.int64), minlength=parts)
+    return counts.astype("<u2" if counts.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _counts(data: bytes, n: int) -> np.ndarray:
+    parts = 1 << max(4, (n // 8).bit_length())
+    return np.frombuffer(data, "<u2" if len(data) == 2 * parts else "<u4").astype(np.int64)
+
+
+def may_link(a: bytes, na: int, b: bytes, nb: int, percent: int) -> bool:
+    """Whether the histograms leave room for a link."""
+    x, y = _counts(a, na), _counts(b, nb)
+    while len(x) > len(y):
+        x = x[0::2] + x[1::2]
+    while len(y) > len(x):
+        y = y[0::2] + y[1::2]
+    return (100 + percent) * int(np.minimum(x, y).sum()) >= percent * (na + nb)
+
+
+def _sift(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(column(batch, c).to_pylist() for c in ("ha", "na", "hb", "nb")))
+            keep = pa.array([may_link(*r, percent) for r in rows], pa.bool_())
+            yield pa.RecordBatch.from_arrays([column(batch, c).filter(keep) for c in ("ca", "cb")], ["ca", "cb"])
+    return run
+
+
 def _groups(sets: list[np.ndarray], order: Order, percent: int):
-    """({(group, size): prefix}, {(group, size, class)}) of a chunk."""
+    """({(group, size): prefix}, {(group, size, class, histogram)}) of a chunk."""
     prefixes, members = {}, set()
     for s in sets:
         if len(s):
             p = order.prefix(s, len(s) - -(-percent * len(s) // 100) + 1)
             gid = int.from_bytes(hashlib.blake2b(p.tobytes(), digest_size=8).digest(), "little", signed=True)
             prefixes[gid, len(s)] = p
-            members.add((gid, len(s), digest(s)))
+            members.add((gid, len(s), digest(s), histogram(s)))
     return prefixes, members
 
 
@@ -169,7 +203,7 @@ def _prefix_shingles(k: int, percent: int, order):
 
 def _postings(k: int, percent: int, order, shared):
     """The groups' members, and their prefix shingles that pass the sieve."""
-    names = ["shingle", "gid", "n", "pos", "cid"]
+    names = ["shingle", "gid", "n", "pos", "cid", "histogram"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,11 +217,11 @@ def _postings(k: int, percent: int, order, shared):
                     [_signed(np.concatenate([np.zeros(0, np.uint64), *(p[h] for p, h in zip(prefixes.values(), hits))])),
                      pa.array(np.repeat(np.array(ids, np.int64), size)), pa.array(np.repeat(np.array(ns, np.int32), size)),
                      pa.array(np.concatenate([np.zeros(0, np.int64), *hits]).astype(np.int32)),
-                     pa.nulls(rows, pa.binary())], names)
-                g, n, c = zip(*sorted(members)) if members else ((), (), ())
+                     pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], names)
+                g, n, c, h = zip(*sorted(members)) if members else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(len(g), pa.int64()), pa.array(g, pa.int64()), pa.array(n, pa.int32()),
-                     pa.nulls(len(g), pa.int32()), pa.array(c, pa.binary())], names)
+                     pa.nulls(len(g), pa.int32()), pa.array(c, pa.binary()), pa.array(h, pa.binary())], names)
     return run
 
 
@@ -297,8 +331,10 @@ class _Join:
                         .groupBy("shingle").count().where("count > 1").select("shingle"), "shared-shingles")
         sieve = self.context.broadcast(_bit_map(shared.select(F.col("shingle").alias("p")), shared.count()))
         made = stored(texts.mapInArrow(_postings(k, percent, self.order, sieve),
-                                       "shingle bigint, gid bigint, n int, pos int, cid binary"), "prefixes")
-        self.members = stored(made.where("cid is not null").select("gid", "n", "cid").distinct(), "groups")
+                                       "shingle bigint, gid bigint, n int, pos int, cid binary, histogram binary"), "prefixes")
+        found = made.where("cid is not null").select("gid", "n", "cid", "histogram").dropDuplicates(["cid"])
+        self.described = stored(found, "groups")
+        self.members = self.described.select("gid", "n", "cid")
         lists = made.where("cid is null").select("shingle", "gid", "n", "pos")
         several = lists.groupBy("shingle").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.min("n").alias("a"),
                                                F.max("n").alias("b")).where("lo <> hi or a <> b").select("shingle")
@@ -342,10 +378,14 @@ class _Join:
         return across.unionByName(within)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked pairs, from whole sets; each class's set is taken from its
-        first document."""
-        pairs = stored(pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct(),
-                       "class-pairs")
+        """The linked pairs: first those whose histograms leave room for a link,
+        then by whole sets; a class's set is taken from its first document."""
+        pairs = pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
+        of = self.described
+        ha = of.select(F.col("cid").alias("ca"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
+        hb = of.select(F.col("cid").alias("cb"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
+        pairs = stored(pairs.join(ha, "ca").join(hb, "cb").select("ca", "cb", "na", "ha", "nb", "hb")
+                       .mapInArrow(_sift(self.percent), "ca binary, cb binary"), "class-pairs")
         paired = pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct()
         first = stored(self.classes.join(paired, "cid", "left_semi").select("cid", "first"), "wanted")
         wanted = self.context.broadcast(_bit_map(first.select(F.xxhash64("first").alias("p")), first.count()))
