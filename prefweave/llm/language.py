@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from prefweave.llm.tables import need, split_crc
 from prefweave.llm.textarrays import mix
@@ -147,37 +147,46 @@ def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | Non
     return fit([r[0] for r in rows], [r[1] for r in rows])
 
 
+def _classify(model: Model | None, texts: list[str]) -> tuple[list[str], list[float]]:
+    """(language, score) of a batch of texts."""
+    ok = [model is not None and has_letter(t) for t in texts]
+    rows = [presence(t) for t, o in zip(texts, ok) if o]
+    p = np.clip((model.scores(rows) + 1) / 2, 1e-6, 1) if rows else np.zeros((0, 1))
+    p = p / p.sum(axis=1, keepdims=True)
+    best = iter(zip(p.argmax(axis=1), p.max(axis=1)))
+    names, scores = [], []
+    for o in ok:
+        c, s = next(best) if o else (None, 0.0)
+        names.append(model.languages[c] if o else UNKNOWN)
+        scores.append(float(s))
+    return names, scores
+
+
+def _classified(model: Model | None, column: pa.Array) -> tuple[list[str], list[float]]:
+    names, scores = [], []
+    for lo in range(0, len(column), 256):
+        n, s = _classify(model, [v.as_py() or "" for v in column[lo:lo + 256]])
+        names += n
+        scores += s
+    return names, scores
+
+
 def predict(documents: DataFrame, model: Model | None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and the columns in ``keep``."""
-    extra = [c for c in keep if c not in ("doc_id", "text")]
-    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                            F.coalesce(split_crc() == 0, F.lit(False)).alias("held_out"), *extra)
-    out = ["doc_id", "held_out", *(["text"] if "text" in keep else []), *extra]
-    fields = [docs.schema[c] for c in out]
+    """doc_id, held_out, the columns in ``keep``, lang_pred and score."""
+    docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                            F.coalesce(split_crc() == 0, F.lit(False)).alias("held_out"), *keep,
+                            F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)     # n-gram buckets x languages: fixed size
+    out = docs.columns[:-1]
 
     def run(batches):
-        m = shared.value
         for batch in batches:
-            texts = batch.column(1)
-            names, scores = [], []
-            for lo in range(0, batch.num_rows, 256):
-                part = [v.as_py() or "" for v in texts[lo:lo + 256]]
-                ok = [m is not None and has_letter(t) for t in part]
-                rows = [presence(t) for t, o in zip(part, ok) if o]
-                p = np.clip((m.scores(rows) + 1) / 2, 1e-6, 1) if rows else np.zeros((0, 1))
-                p = p / p.sum(axis=1, keepdims=True)
-                best = iter(zip(p.argmax(axis=1), p.max(axis=1)))
-                for o in ok:
-                    c, s = next(best) if o else (None, 0.0)
-                    names.append(m.languages[c] if o else UNKNOWN)
-                    scores.append(float(s))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(c)) for c in out]
-                + [pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*out, "lang_pred", "score"])
-
-    from pyspark.sql import types as T
-    schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+            names, scores = _classified(shared.value, batch.column(len(out)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(out)], pa.array(names, pa.string()),
+                                              pa.array(scores, pa.float64())], [*out, "lang_pred", "score"])
+
+    schema = T.StructType([*docs.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(run, schema)
 
 
@@ -189,6 +198,13 @@ def identify_languages(documents: DataFrame, per_language: int = PER_LANGUAGE) -
 def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """The documents whose language is recognised: neither ``und`` nor scored
     below ``min_score``. The columns stay as they are."""
-    columns = documents.columns
-    marked = predict(documents, learn(documents), keep=tuple(columns))
-    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*columns)
+    shared = documents.sparkSession.sparkContext.broadcast(learn(documents))
+    text = documents.columns.index("text")
+
+    def run(batches):
+        for batch in batches:
+            names, scores = _classified(shared.value, batch.column(text))
+            keep = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)

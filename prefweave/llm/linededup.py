@@ -37,6 +37,7 @@ from prefweave.llm.tables import stored
 from prefweave.llm.textarrays import chunks, column, mix, span_hashes, words
 
 MIN_WORDS = 30
+OWN_COLUMNS = ("n_lines", "n_removed", "removed", "_runs")     # replaced where the input has them
 
 _U = np.uint64
 _SEEDS = (_U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93))
@@ -211,8 +212,7 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows and columns, ``text`` without later repeated runs, plus
     ``n_lines`` (non-blank, before), ``n_removed`` and ``removed``
     (``first-last`` line numbers, from 0)."""
-    for c in ("n_lines", "n_removed", "removed", "_runs"):
-        documents = documents.drop(c)
+    documents = documents.drop(*OWN_COLUMNS)
     rid = row_key(documents)
     runs = repeated_runs(documents, min_words).select(F.col("doc_id").alias("_doc"), F.col("rid").alias("_rid"),
                                                       F.col("runs").alias("_runs"))
@@ -247,9 +247,11 @@ def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFra
     """The documents with later repeated runs deleted; a document nothing is
     left of goes. The columns stay; ``n_chars``, where there is one, follows."""
     names = documents.columns
+    aside = {c: f"_input_{c}" for c in OWN_COLUMNS if c in names}
+    documents = documents.withColumnsRenamed(aside)
     out = dedup_lines(documents, min_words).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars"))
                              .otherwise(F.length("text").cast(kind)))
-    return out.select(*names)
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in names])
