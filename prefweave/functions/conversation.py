@@ -29,9 +29,7 @@ def final_assistant_index(messages) -> Column:
 
 def final_assistant_message(messages) -> Column:
     """The last assistant message itself; NULL if there is none (A1)."""
-    m = _col(messages)
-    only = F.filter(m, lambda x: x.role == ASSISTANT)
-    return F.get(only, F.size(only) - 1)
+    return message_at(messages, final_assistant_index(messages))
 
 
 def messages_before(messages, idx0) -> Column:

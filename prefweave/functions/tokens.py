@@ -78,4 +78,4 @@ def attention_mask(seq, width) -> Column:
 def round_up_even(n) -> Column:
     """((n + 1) div 2) * 2."""
     c = _col(n)
-    return (F.floor((c + 1) / 2) * 2).cast("bigint")
+    return (c + 1 - F.pmod(c + 1, F.lit(2))).cast("bigint")

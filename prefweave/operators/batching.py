@@ -37,9 +37,8 @@ def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos") -> Data
     No global window (it would pull every row into one task): rows are range-
     partitioned and sorted, tagged with ``monotonically_increasing_id`` and
     written once to the shared folder, so the tags stay fixed even if an
-    executor is lost. One count per partition (bounded by the partition count)
-    gives each partition's offset; a position is offset + row number within the
-    partition.
+    executor is lost. A table of one row per partition holds its offset and is
+    joined by partition; a position is offset + row number within the partition.
     """
     from prefweave.session import scratch_path
 
@@ -50,17 +49,12 @@ def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos") -> Data
      .write.parquet(path))
     tagged = spark.read.parquet(path)
     pid = F.shiftright(F.col("_mid"), _ROW_BITS)
-    counts = sorted(tuple(r) for r in tagged.groupBy(pid.alias("p")).count().collect())
-    offsets, seen = {}, 0
-    for p, n in counts:
-        offsets[p] = seen
-        seen += n
-    if not offsets:
-        return tagged.drop("_mid").withColumn(pos, F.lit(None).cast("bigint"))
-    table = F.array(*[F.lit(offsets.get(i, 0)) for i in range(max(offsets) + 1)])
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (tagged.groupBy(pid.alias("_p")).count()              # one row per partition
+               .select("_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")))
     row = F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)
-    return tagged.withColumn(pos, (F.element_at(table, (pid + 1).cast("int")) + row).cast("bigint")) \
-        .drop("_mid")
+    return (tagged.withColumn("_p", pid).join(offsets, "_p")
+            .withColumn(pos, (F.col("_before") + row).cast("bigint")).drop("_mid", "_p", "_before"))
 
 
 def assign_batches(prompts: DataFrame, batch_size: int, pos: str = "pos") -> DataFrame:
@@ -69,7 +63,7 @@ def assign_batches(prompts: DataFrame, batch_size: int, pos: str = "pos") -> Dat
     ``with_positions`` for inputs that only have an order)."""
     if batch_size <= 0:
         raise ValueError("batch_size must be positive")
-    return prompts.withColumn("batch_id", F.floor(F.col(pos) / batch_size).cast("bigint"))
+    return prompts.withColumn("batch_id", F.expr(f"`{pos}` div {int(batch_size)}"))
 
 
 def collect_batches(batched: DataFrame, pos: str = "pos", value: str = "prompt") -> DataFrame:
@@ -88,16 +82,17 @@ def pad_batches(batched: DataFrame, token_col: str = "tokens", pad: str = tpl.EO
 
     The batch width is a window max partitioned by batch: one exchange, and a
     partition holds at most ``batch_size`` rows. With a constant ``width`` the
-    step is narrow (no exchange): sequences are padded to ``width`` and longer
-    ones are cut from the left, the truncation side the reference uses.
+    step is narrow (no exchange). Padding never cuts: a sequence longer than the
+    constant width fails the job (cut it first, ``left_truncate``).
     """
     if width is not None:
         if width <= 0:
             raise ValueError("width must be positive")
-        cut = left_truncate(token_col, width)
-        return (batched.withColumn("width", F.lit(width).cast("bigint"))
-                .withColumn("input_tokens", left_pad(cut, width, pad))
-                .withColumn("attention_mask", attention_mask(cut, width)))
+        fits = F.when(F.size(token_col) <= width, F.lit(width)).otherwise(
+            F.raise_error(F.lit(f"a sequence is longer than the width {width}")).cast("int"))
+        return (batched.withColumn("width", fits.cast("bigint"))
+                .withColumn("input_tokens", left_pad(token_col, "width", pad))
+                .withColumn("attention_mask", attention_mask(token_col, "width")))
     w = F.max(F.size(token_col)).over(Window.partitionBy("batch_id"))
     return (batched.withColumn("width", w.cast("bigint"))
             .withColumn("input_tokens", left_pad(token_col, "width", pad))

@@ -4,42 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# The model list is broadcast into every task as a literal; refuse lists
-# beyond this size instead of letting the pair count explode.
-MAX_MODELS = 1000
+# Shares one question's answers are dealt into, by a hash of the model.
+SPREAD = 8
 
 
-def model_list(answers: DataFrame, max_models: int = MAX_MODELS) -> list[str]:
-    """Distinct model names, at most ``max_models`` (checked)."""
-    rows = answers.select("model").where(F.col("model").isNotNull()).distinct() \
-        .limit(max_models + 1).collect()
-    if len(rows) > max_models:
-        raise ValueError(f"more than {max_models} models; raise max_models explicitly")
-    return sorted(r[0] for r in rows)
-
-
-def pairwise_matchups(answers: DataFrame, max_models: int = MAX_MODELS) -> DataFrame:
+def pairwise_matchups(answers: DataFrame, spread: int = SPREAD) -> DataFrame:
     """Every unordered pair of models that answered the same question.
 
-    Each answer row fans out to the (checked, bounded) list of models that
-    sort after it, then meets its partner by an equi-join on
-    ``(question_id, model)`` -- a key with at most one answer per side, so a
-    question with many answers spreads over many join keys.
+    An equi-join on the question with ``model_a < model_b``. So that a question
+    with very many answers is not one join key, side b is dealt into ``spread``
+    shares by a hash of its model and side a is copied into each: the copies do
+    not depend on how many models there are.
     """
-    models = model_list(answers, max_models)
-    if not models:
-        return answers.sparkSession.createDataFrame(
-            [], "question_id bigint, model_a string, model_b string, n_chars_a bigint, n_chars_b bigint")
-    # The list is sorted (code-point order = Spark's UTF-8 byte order), so a
-    # model's partners are the entries after its own position.
-    ordered = F.array(*[F.lit(m) for m in models])
-    partners = F.slice(ordered, F.array_position(ordered, F.col("model")).cast("int") + 1, len(models))
-    a = answers.select("question_id", F.col("model").alias("model_a"),
-                       F.col("n_chars").alias("n_chars_a"), F.explode(partners).alias("model_b"))
-    b = answers.select("question_id", F.col("model").alias("model_b"),
-                       F.col("n_chars").alias("n_chars_b"))
-    return a.join(b, ["question_id", "model_b"]).select(
-        "question_id", "model_a", "model_b", "n_chars_a", "n_chars_b")
+    share = F.pmod(F.xxhash64("model"), F.lit(spread)).cast("int")
+    a = answers.select("question_id", F.col("model").alias("model_a"), F.col("n_chars").alias("n_chars_a"),
+                       F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("share"))
+    b = answers.select("question_id", F.col("model").alias("model_b"), F.col("n_chars").alias("n_chars_b"),
+                       share.alias("share"))
+    return (a.join(b, ["question_id", "share"]).where("model_a < model_b")
+            .select("question_id", "model_a", "model_b", "n_chars_a", "n_chars_b"))
 
 
 def baseline_matchups(answers: DataFrame, baseline: str) -> DataFrame:
@@ -68,24 +51,28 @@ def win_rates(judgements: DataFrame) -> DataFrame:
     """Win/loss/tie per model, each judgement counted from both sides.
 
     One scan: every judgement becomes two perspective rows by ``explode``,
-    then a partial + final aggregation by model.
+    then a partial + final aggregation by model. Other verdicts (null included)
+    are counted in ``unknown`` and take no part in the rates, which are null for
+    a model without a known verdict.
     """
     w = F.col("winner")
 
     def side(model: str, won: str, lost: str):
         return F.struct(F.col(model).alias("model"), (w == won).cast("bigint").alias("win"),
                         (w == lost).cast("bigint").alias("loss"),
-                        (w == "tie").cast("bigint").alias("tie"))
+                        (w == "tie").cast("bigint").alias("tie"),
+                        (~F.coalesce(w.isin("a", "b", "tie"), F.lit(False))).cast("bigint").alias("unknown"))
 
     per_side = judgements.select(F.explode(F.array(side("model_a", "a", "b"),
                                                    side("model_b", "b", "a"))).alias("s")).select("s.*")
     counts = per_side.groupBy("model").agg(F.sum("win").alias("win"), F.sum("loss").alias("loss"),
-                                            F.sum("tie").alias("tie"))
+                                            F.sum("tie").alias("tie"), F.sum("unknown").alias("unknown"))
+    counts = counts.fillna(0, ["win", "loss", "tie"])
     n = F.col("win") + F.col("loss") + F.col("tie")
     return counts.withColumns({
-        "win_rate": F.col("win") / n,
-        "loss_rate": F.col("loss") / n,
-        "win_rate_adjusted": (F.col("win") + 0.5 * F.col("tie")) / n,
+        "win_rate": F.try_divide(F.col("win"), n),
+        "loss_rate": F.try_divide(F.col("loss"), n),
+        "win_rate_adjusted": F.try_divide(F.col("win") + 0.5 * F.col("tie"), n),
     })
 
 

@@ -44,5 +44,5 @@ def summarize(rows: DataFrame) -> DataFrame:
 def metric_log(rows: DataFrame, every: int = C.LOGGING_STEPS) -> DataFrame:
     """Means over consecutive blocks of ``every`` steps, reported at the block's
     last step (M3): the trainer's logging (25) or evaluation (700) interval."""
-    log_step = ((F.floor((F.col("step") - 1) / every) + 1) * every).cast("bigint")
+    log_step = F.expr(f"((step - 1) div {int(every)} + 1) * {int(every)}")
     return rows.groupBy(log_step.alias("log_step")).agg(*_aggs())

@@ -61,7 +61,7 @@ def logprobs_from_embeddings(embeddings: DataFrame) -> DataFrame:
     """Stand-in log-probabilities: four consecutive vectors per step."""
     e = F.col("embedding")
     return embeddings.select(
-        (F.floor(F.col("vec_id") / 4).cast("bigint") + 1).alias("step"),
+        F.expr("vec_id div 4 + 1").alias("step"),
         F.col("vec_id").alias("pair_id"),
         *[(F.get(e, i).cast("double") * 100).alias(name)
           for i, name in enumerate(("pol_c", "pol_r", "ref_c", "ref_r"))])
@@ -70,7 +70,7 @@ def logprobs_from_embeddings(embeddings: DataFrame) -> DataFrame:
 def answers_from_documents(documents: DataFrame) -> DataFrame:
     """Each source plays a model; each block of 20 documents is a question."""
     return documents.select(
-        F.floor(F.col("doc_id") / 20).cast("bigint").alias("question_id"),
+        F.expr("doc_id div 20").alias("question_id"),
         F.col("source").alias("model"),
         F.col("n_chars"))
 

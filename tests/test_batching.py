@@ -26,10 +26,18 @@ def test_with_positions_empty(spark):
     assert with_positions(df, ["k"]).count() == 0
 
 
-def test_constant_width_padding_is_narrow(spark):
-    df = spark.createDataFrame([(0, ["a"]), (1, ["a", "b", "c", "d"])], "pos long, tokens array<string>")
+def test_constant_width_padding_is_narrow_and_never_cuts(spark):
+    import pytest
+    df = spark.createDataFrame([(0, ["a"]), (1, ["a", "b", "c"])], "pos long, tokens array<string>")
     out = pad_batches(assign_batches(df, 2), "tokens", pad="<p>", width=3)
     rows = {r.pos: r for r in out.collect()}
     assert rows[0].input_tokens == ["<p>", "<p>", "a"] and rows[0].attention_mask == [0, 0, 1]
-    assert rows[1].input_tokens == ["b", "c", "d"] and rows[1].attention_mask == [1, 1, 1]
+    assert rows[1].input_tokens == ["a", "b", "c"] and rows[1].attention_mask == [1, 1, 1]
     assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="longer than the width"):
+        pad_batches(assign_batches(df, 2), "tokens", pad="<p>", width=2).collect()
+
+
+def test_batch_ids_are_exact_for_large_positions(spark):
+    df = spark.createDataFrame([(9007199254740993,)], "pos long")
+    assert assign_batches(df, 1).first().batch_id == 9007199254740993

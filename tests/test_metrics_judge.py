@@ -68,10 +68,17 @@ def test_matchups_match_brute_force(spark):
     assert judge.pairwise_matchups(ans.where("model IS NULL")).count() == 0
 
 
-def test_model_list_is_bounded(spark):
-    ans = spark.createDataFrame([(1, f"m{i}", 1) for i in range(5)], "question_id long, model string, n_chars long")
-    with pytest.raises(ValueError):
-        judge.pairwise_matchups(ans, max_models=3)
+def test_any_number_of_models(spark):
+    ans = spark.range(1500).selectExpr("id div 500 question_id", "concat('m', id) model", "1L n_chars")
+    assert judge.pairwise_matchups(ans).count() == 3 * 500 * 499 // 2
+
+
+def test_unknown_verdicts_do_not_fail(spark):
+    j = spark.createDataFrame([(1, "x", "y", "a"), (2, "x", "y", None), (3, "z", "z2", "error")],
+                              "question_id long, model_a string, model_b string, winner string")
+    got = {r.model: r for r in judge.win_rates(j).collect()}
+    assert (got["x"].win, got["x"].unknown, got["x"].win_rate) == (1, 1, 1.0)
+    assert (got["z"].win, got["z"].unknown, got["z"].win_rate) == (0, 1, None)
 
 
 def test_baseline_win_rates_balance(spark):

@@ -1,17 +1,21 @@
-"""Every registered query against its DuckDB SQL at sf0.01 (the driver's gate)."""
+"""Every registered query with SQL against DuckDB at sf0.01 (the driver's gate)."""
 
 import pytest
 
 import __spark_entry__ as E
+from prefweave.plans.catalog import QUERIES
 from tests.conftest import SF01
 from tests.oracle_compare import compare
 
 SQL = E.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_every_preference_query_has_sql():
+    assert set(QUERIES) <= set(SQL) <= set(E.queries())
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
-    assert name in SQL, f"{name} has no oracle SQL"
     problems = compare(E.queries()[name](spark, SF01), duck, SQL[name])
     assert not problems, "\n".join(problems)
 

@@ -33,13 +33,22 @@ def test_sample_fewer_rows(keys_df):
     assert sample_n(keys_df, 5000, allow_fewer=True).count() == 1000
 
 
-def test_radix_path_equals_topk_path(keys_df, monkeypatch):
-    want = {r.pair_id for r in sample_n(keys_df, 300, seed=9).collect()}
-    monkeypatch.setattr(sampling, "TOPK_LIMIT", 10)
-    monkeypatch.setattr(sampling, "_PREFIX_CHARS", 1)
-    assert sampling.kth_smallest(keys_df.select(sampling.order_hash("pair_id", 9).alias("h"), "pair_id"), "h", "pair_id", 300)[3] == 1000
-    got = {r.pair_id for r in sample_n(keys_df, 300, seed=9).collect()}
-    assert got == want
+def test_null_and_repeated_keys_stay_exact(spark):
+    rows = [(None, i) for i in range(20)] + [(1, i) for i in range(20)] + [(2, 7)] * 30
+    df = spark.createDataFrame(rows, "pair_id long, v long")
+    for n in (1, 3, 10, 25, 40, 55, 69):
+        got = sorted((str(r.pair_id), r.v) for r in sample_n(df, n).collect())
+        assert len(got) == n
+        assert got == sorted((str(r.pair_id), r.v) for r in sample_n(df.repartition(5), n).collect())
+        parts = dict(split_column(df, test_size=n).groupBy("split").count().collect())
+        assert parts == {"test": n, "train": 70 - n}
+    whole = sorted((str(r.pair_id), r.v) for r in split_column(df, test_size=45).collect())
+    assert whole == sorted((str(k), v) for k, v in rows)
+
+
+def test_all_null_keys(spark):
+    df = spark.range(50).selectExpr("cast(null as bigint) pair_id", "id v")
+    assert sample_n(df, 10).count() == 10
 
 
 def test_split_exact_disjoint_complete(keys_df):
@@ -70,13 +79,12 @@ def test_sample_plan_keeps_input_partitioning(keys_df):
 
 
 @pytest.mark.parametrize("k", [1, 16, 63, 299, 999, 1000])
-def test_radix_search_exact_for_any_k(keys_df, monkeypatch, k):
-    monkeypatch.setattr(sampling, "TOPK_LIMIT", 7)
+def test_prefix_search_exact_for_any_k(keys_df, monkeypatch, k):
     monkeypatch.setattr(sampling, "_PREFIX_CHARS", 1)
     keys = keys_df.select(sampling.order_hash("pair_id", 5).alias("h"), "pair_id")
-    h, key, _, total = sampling.kth_smallest(keys, "h", "pair_id", k)
-    assert total == 1000
-    assert key == brute_order(range(1000), 5)[k - 1]
+    prefix, want, size, _, total = sampling.cutoff(keys, "h", k)
+    assert total == 1000 and want == size
+    assert keys.where(F.substring("h", 1, len(prefix)) <= prefix).count() == k
 
 
 def test_split_larger_than_input_fails(keys_df):

@@ -1,8 +1,8 @@
-"""Random pairs against a plain-Python model of the reference's semantics.
+"""Random pairs built to have a known status.
 
-The model follows the reference's order of failure: last assistant index of
-each side, prefix comparison, first prompt message, system-message handling,
-then rendering message by message (a NULL string in a concatenation fails).
+Every case starts from a well-formed dialogue made of parts whose rendering is
+written down as they are made; a fault, where one is wanted, is then put in at
+one place. The expected status and texts come from how the pair was built.
 """
 
 import random
@@ -13,119 +13,88 @@ from prefweave.functions import templates as tpl
 from prefweave.operators.triplets import with_status
 from prefweave.schemas import PAIR
 
-EOS = "</s>"
-SYS = "You are a helpful assistant."
-ROLES = ["user", "assistant", "user", "assistant", "system", "tool", None]
-
-
-def last_assistant(msgs):
-    idx = [i for i, m in enumerate(msgs) if m["role"] == "assistant"]
-    return idx[-1] if idx else None
-
-
-def render_alternating(msgs):
-    out = []
-    for i, m in enumerate(msgs):
-        if (m["role"] == "user") != (i % 2 == 0):
-            return "roles_not_alternating", None
-        if m["role"] not in ("user", "assistant"):
-            return "unsupported_role", None
-        if m["content"] is None:
-            return "null_content", None
-        out.append(f"[INST] {m['content']} [/INST]" if m["role"] == "user" else f" {m['content']}{EOS}")
-    return None, "".join(out)
-
-
-def render_chatml(msgs):
-    out = []
-    for m in msgs:
-        if m["role"] is None:
-            return "unsupported_role", None
-        if m["content"] is None:
-            return "null_content", None
-        out.append(f"<|im_start|>{m['role']}\n{m['content']}\n<|im_end|>\n")
-    return None, "".join(out)
-
-
-def model(chosen, rejected, chatml):
-    if chosen is None or rejected is None:
-        return ("null_conversation", None, None, None)
-    ci, ri = last_assistant(chosen), last_assistant(rejected)
-    if ci is None or ri is None:
-        return ("no_assistant", None, None, None)
-    if chosen[:ci] != rejected[:ri]:
-        return ("prefix_mismatch", None, None, None)
-    prompt = list(chosen[:ci])
-    if not prompt:
-        return ("empty_prompt", None, None, None)
-    if prompt[0]["role"] == "system":
-        if not chatml:
-            return ("system_not_supported", None, None, None)
-    elif chatml:
-        prompt.insert(0, {"role": "system", "content": SYS})
-    err, p = (render_chatml if chatml else render_alternating)(prompt)
-    if err:
-        return (err, None, None, None)
-    outs = []
-    for r in (chosen[ci], rejected[ri]):
-        if r["content"] is None:
-            return ("null_content", None, None, None)
-        outs.append(render_chatml([r])[1] if chatml else r["content"] + EOS)
-    return ("ok", p, outs[0], outs[1])
-
-
-def random_pairs(n, seed=1234):
-    rnd = random.Random(seed)
-
-    def msg():
-        return {"role": rnd.choice(ROLES), "content": None if rnd.random() < 0.06 else rnd.choice("abcde")}
-
-    rows = []
-    for pid in range(n):
-        if rnd.random() < 0.03:
-            rows.append((pid, None, [msg()]))
-            continue
-        chosen = [msg() for _ in range(rnd.randint(0, 6))]
-        if rnd.random() < 0.7:                        # well-formed-ish: alternate, end in assistant
-            chosen = [{"role": "user" if i % 2 == 0 else "assistant", "content": m["content"]}
-                      for i, m in enumerate(chosen)] + [{"role": "assistant", "content": "c"}]
-        ci = last_assistant(chosen)
-        rejected = [dict(m) for m in chosen]
-        if ci is not None and rnd.random() < 0.8:
-            rejected = rejected[:ci] + [{"role": "assistant", "content": rnd.choice(["r", None, "c"])}]
-        if rnd.random() < 0.1 and rejected:
-            rejected[0] = {"role": rejected[0]["role"], "content": "edited"}
-        rows.append((pid, chosen, rejected))
-    return rows
+SYSTEM = "You are a helpful assistant."
+
+
+def said(role, text):
+    return {"role": role, "content": text}
+
+
+class Dialogue:
+    """Question and answer rounds, a last question, and the two responses."""
+
+    def __init__(self, rnd, chatml):
+        self.rounds = [(f"q{rnd.random():.3f}", f"r{rnd.random():.3f}") for _ in range(rnd.randint(0, 3))]
+        self.question = f"last{rnd.random():.3f}"
+        self.good, self.bad = f"good{rnd.random():.3f}", rnd.choice([f"bad{rnd.random():.3f}", "same"])
+        self.tail = rnd.choice([[], [said("user", "thanks")]])       # turns after the final answer are not used
+        self.chatml = chatml
+        self.prompt = [said(role, text) for pair in self.rounds for role, text in zip(("user", "assistant"), pair)]
+        self.prompt.append(said("user", self.question))
+
+    def sides(self):
+        return (self.prompt + [said("assistant", self.good)] + self.tail,
+                [dict(x) for x in self.prompt] + [said("assistant", self.bad)])
+
+    def texts(self):
+        if self.chatml:
+            turns = [("system", SYSTEM)] + [t for q, r in self.rounds for t in (("user", q), ("assistant", r))]
+            turn = "<|im_start|>{}\n{}\n<|im_end|>\n".format
+            return ("".join(turn(*t) for t in turns + [("user", self.question)]),
+                    turn("assistant", self.good), turn("assistant", self.bad))
+        rounds = "".join(f"[INST] {q} [/INST] {r}</s>" for q, r in self.rounds)
+        return f"{rounds}[INST] {self.question} [/INST]", f"{self.good}</s>", f"{self.bad}</s>"
+
+
+def faulty(d, fault, rnd):
+    """The dialogue's sides with one fault."""
+    chosen, rejected = d.sides()
+    spot = rnd.randrange(len(d.prompt))
+    if fault == "null_conversation":
+        return rnd.choice([(None, rejected), (chosen, None), (None, None)])
+    if fault == "no_assistant":
+        users = [said("user", "u")] * rnd.randint(0, 2)
+        return rnd.choice([(users, rejected), (chosen, users)])
+    if fault == "prefix_mismatch":
+        rejected[spot] = said(rejected[spot]["role"], "edited")
+        return chosen, rejected
+    if fault == "empty_prompt":
+        return [said("assistant", d.good)], [said("assistant", d.bad)]
+    if fault == "system_not_supported":
+        head = [said("system", "be brief")]
+        return head + chosen, head + rejected
+    if fault == "roles_not_alternating":
+        twice = d.prompt[:spot + 1] + d.prompt[spot:]
+        return twice + [said("assistant", d.good)], twice + [said("assistant", d.bad)]
+    if fault == "unsupported_role":
+        # In an answer's place, so that the alternation still holds.
+        odd = d.prompt + [said(None if d.chatml else "tool", "x"), said("user", "again")]
+        return odd + [said("assistant", d.good)], odd + [said("assistant", d.bad)]
+    if rnd.random() < 0.5:                                               # null_content, in the prompt
+        blank = [dict(x) for x in d.prompt]
+        blank[spot]["content"] = None
+        return blank + [said("assistant", d.good)], blank + [said("assistant", d.bad)]
+    responses = rnd.choice([(None, d.bad), (d.good, None), (None, None)])  # or in a response
+    return tuple(d.prompt + [said("assistant", r)] for r in responses)
+
+
+FAULTS = ["null_conversation", "no_assistant", "prefix_mismatch", "empty_prompt", "unsupported_role", "null_content"]
 
 
 @pytest.mark.parametrize("chatml", [False, True])
-def test_random_pairs_match_model(spark, chatml):
-    rows = random_pairs(400)
-    df = spark.createDataFrame(rows, PAIR)
-    t = (tpl.CHATML, None) if chatml else (tpl.ALTERNATING, tpl.FINAL_TURN)
-    got = {r.pair_id: (r.status, r.prompt, r.chosen, r.rejected) for r in with_status(df, *t).collect()}
-    want = {pid: model(c, r, chatml) for pid, c, r in rows}
-    bad = [(pid, got[pid], want[pid]) for pid in want if got[pid] != want[pid]]
-    assert not bad, bad[:5]
-    statuses = {v[0] for v in want.values()}
-    expected = {"ok", "null_conversation", "no_assistant", "prefix_mismatch", "empty_prompt",
-                "null_content", "unsupported_role"}
-    if not chatml:
-        expected |= {"system_not_supported", "roles_not_alternating"}
-    assert expected <= statuses           # the generator reaches every status
-
-
-@pytest.mark.parametrize("chatml", [False, True])
-def test_fixture_pairs_match_model(spark, chatml):
-    """The real pair fixture (sf0.01) through Spark and through the Python model."""
-    from prefweave.plans import catalog
-    from tests.conftest import SF01
-    pairs = catalog.pairs(spark, SF01)
-    rows = [(r.pair_id, [m.asDict() for m in r.chosen], [m.asDict() for m in r.rejected])
-            for r in pairs.collect()]
-    t = (tpl.CHATML, None) if chatml else (tpl.ALTERNATING, tpl.FINAL_TURN)
-    got = {r.pair_id: (r.status, r.prompt, r.chosen, r.rejected) for r in with_status(pairs, *t).collect()}
-    want = {pid: model(c, r, chatml) for pid, c, r in rows}
-    assert got == want
-    assert sum(v[0] == "ok" for v in want.values()) == (90 if chatml else 70)
+def test_built_pairs_get_the_status_they_were_built_for(spark, chatml):
+    rnd = random.Random(1234 + chatml)
+    faults = FAULTS + ([] if chatml else ["system_not_supported", "roles_not_alternating"])
+    rows, want = [], {}
+    for pid in range(500):
+        d = Dialogue(rnd, chatml)
+        fault = rnd.choice([None] * 4 + faults)
+        sides = faulty(d, fault, rnd) if fault else d.sides()
+        rows.append((pid, *sides))
+        want[pid] = (fault, None, None, None) if fault else ("ok", *d.texts())
+    template = (tpl.CHATML, None) if chatml else (tpl.ALTERNATING, tpl.FINAL_TURN)
+    got = {r.pair_id: (r.status, r.prompt, r.chosen, r.rejected)
+           for r in with_status(spark.createDataFrame(rows, PAIR), *template).collect()}
+    bad = [(rows[pid], got[pid], want[pid]) for pid in want if got[pid] != want[pid]]
+    assert not bad, bad[:3]
+    assert {v[0] for v in want.values()} == {"ok", *faults}
