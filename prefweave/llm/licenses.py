@@ -24,7 +24,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from collections import OrderedDict
 from collections.abc import Iterator, Mapping
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -132,45 +135,45 @@ def by_signature(templates: list[Template]) -> dict[tuple[str, str], list[Templa
 
 def matches(text: str, signatures: dict[tuple[str, str], list[Template]],
             min_dice: float) -> list[tuple[int, int, str, float]]:
-    """(start, end, licence, Dice) of the non-overlapping best runs, by start."""
+    """(start, end, licence, Dice) of the non-overlapping best runs, by start.
+
+    Starts are taken from right to left. ``nearest`` holds every bigram at or
+    after the start, the one that occurs first last, so a run's distinct bigrams
+    are read off its end, however often the text repeats itself."""
     units = _units(text)
     tokens = [w for u in units for w in u[2]]
-    first = [0]
-    for u in units:
-        first.append(first[-1] + len(u[2]))
     unit_of = [i for i, u in enumerate(units) for _ in u[2]]
-    done, found = set(), []
-    for i, b in enumerate(zip(tokens, tokens[1:])):
-        for t in signatures.get(b, ()):
-            # Runs that hold this bigram start at its unit or before, as far as
-            # the size bound lets them reach back.
-            for start in range(unit_of[i], -1, -1):
-                if len(set(zip(tokens[first[start]:i], tokens[first[start] + 1:i + 1]))) > t.most:
-                    break
-                if (start, t) not in done:
-                    done.add((start, t))
-                    found += _runs_from(start, t, units, tokens, first, min_dice)
-    out: list[tuple[int, int, str, float]] = []
+    most = max((t.most for ts in signatures.values() for t in ts), default=0)
+    nearest: OrderedDict[tuple[str, str], int] = OrderedDict()
+    found, at = [], len(tokens)
+    for start in range(len(units) - 1, -1, -1):
+        before, at = at, at - len(units[start][2])
+        for i in range(min(before, len(tokens) - 1) - 1, at - 1, -1):
+            b = (tokens[i], tokens[i + 1])
+            nearest[b] = unit_of[i + 1]
+            nearest.move_to_end(b)
+        ahead = list(islice(reversed(nearest.items()), most + 1))
+        for t in {t for b in signatures.keys() & [b for b, _ in ahead] for t in signatures[b]}:
+            found += _runs_from(start, t, units, ahead, min_dice)
+    taken: list[tuple[int, int, str, float]] = []
     for dice, _, start, name, end in sorted(found):
-        if all(end <= a or start >= b for a, b, _, _ in out):
-            out.append((start, end, name, -dice))
-    return sorted(out)
-
-
-def _runs_from(start, t, units, tokens, first, min_dice):
-    """Matching runs of units that begin with one unit, extended unit by unit."""
-    own, common, out = set(), 0, []
-    for end in range(start, len(units)):
-        for i in range(max(first[end], first[start] + 1), first[end + 1]):
-            b = (tokens[i - 1], tokens[i])
-            if b not in own:
-                own.add(b)
-                common += b in t.bigrams
-        if len(own) > t.most:
-            break
-        dice = 2 * common / (len(own) + len(t.bigrams))
-        if len(own) >= t.least and dice >= min_dice:
-            out.append((-dice, -len(own), units[start][0], t.name, units[end][1]))
+        i = bisect_left(taken, (start,))
+        if (i == 0 or taken[i - 1][1] <= start) and (i == len(taken) or end <= taken[i][0]):
+            taken.insert(i, (start, end, name, -dice))
+    return taken
+
+
+def _runs_from(start, t, units, ahead, min_dice):
+    """Matching runs that begin with unit ``start``; ``ahead``: its distinct
+    bigrams and the units that complete them, in text order. A unit without a
+    new bigram makes no better run and is no end."""
+    common, out = 0, []
+    for own, (b, end) in enumerate(ahead[:t.most], 1):
+        common += b in t.bigrams
+        if own >= t.least and (own == len(ahead) or ahead[own][1] > end):
+            dice = 2 * common / (own + len(t.bigrams))
+            if dice >= min_dice:
+                out.append((-dice, -own, units[start][0], t.name, units[end][1]))
     return out
 
 

@@ -87,6 +87,16 @@ def test_licences_found_as_by_brute_force(docs):
     assert texts[0][start:end] == "Licensed under CC BY-NC 4.0"
 
 
+def test_each_of_many_repeated_notices_is_found(docs):
+    notice = "Licensed under CC BY 4.0.\n"
+    got = licenses.scan_licenses(docs([(1, notice * 20_000), (2, notice * 3 + "Released under the MIT License.")])).collect()
+    by = {r.doc_id: r for r in got}
+    assert by[1].n_matches == 20_000 and by[1].licenses == "CC-BY-4.0"
+    assert by[2].n_matches == 4 and by[2].licenses == "CC-BY-4.0,MIT"
+    spans = [tuple(map(int, s.split(":")[1:3])) for s in by[1].spans.split(",")]
+    assert spans == [(i * len(notice), i * len(notice) + len(notice) - 2) for i in range(20_000)]
+
+
 PARAGRAPH = "This is the text of the article and it has many of the words that a reader would look for in it."
 
 
