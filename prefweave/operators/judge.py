@@ -9,32 +9,39 @@ SPREAD = 8
 
 
 def pairwise_matchups(answers: DataFrame, spread: int = SPREAD) -> DataFrame:
-    """Every unordered pair of models that answered the same question.
+    """Every unordered pair of models that answered the same question (J1), in
+    the same turn of it where the answers have a ``turn``.
 
     An equi-join on the question with ``model_a < model_b``. So that a question
     with very many answers is not one join key, side b is dealt into ``spread``
     shares by a hash of its model and side a is copied into each: the copies do
     not depend on how many models there are.
     """
+    key = _question(answers)
     share = F.pmod(F.xxhash64("model"), F.lit(spread)).cast("int")
-    a = answers.select("question_id", F.col("model").alias("model_a"), F.col("n_chars").alias("n_chars_a"),
+    a = answers.select(*key, F.col("model").alias("model_a"), F.col("n_chars").alias("n_chars_a"),
                        F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("share"))
-    b = answers.select("question_id", F.col("model").alias("model_b"), F.col("n_chars").alias("n_chars_b"),
+    b = answers.select(*key, F.col("model").alias("model_b"), F.col("n_chars").alias("n_chars_b"),
                        share.alias("share"))
-    return (a.join(b, ["question_id", "share"]).where("model_a < model_b")
-            .select("question_id", "model_a", "model_b", "n_chars_a", "n_chars_b"))
+    return (a.join(b, [*key, "share"]).where("model_a < model_b")
+            .select(*key, "model_a", "model_b", "n_chars_a", "n_chars_b"))
+
+
+def _question(answers: DataFrame) -> list[str]:
+    return ["question_id", *(c for c in ("turn",) if c in answers.columns)]
 
 
 def baseline_matchups(answers: DataFrame, baseline: str) -> DataFrame:
     """Every non-baseline answer against the baseline's answer to the same
-    question (J2). The baseline side has one row per question, so a hot
-    question only lengthens the streamed side; AQE picks broadcast from the
-    measured size when it is small."""
+    question (J2), and turn. The baseline side has one row per question and
+    turn, so a hot question only lengthens the streamed side; AQE picks
+    broadcast from the measured size when it is small."""
+    key = _question(answers)
     base = answers.where(F.col("model") == baseline).select(
-        "question_id", F.col("n_chars").alias("baseline_n_chars"))
+        *key, F.col("n_chars").alias("baseline_n_chars"))
     return (answers.where(F.col("model") != baseline)
-            .join(base, "question_id")
-            .select("question_id", "model", F.lit(baseline).alias("baseline"),
+            .join(base, key)
+            .select(*key, "model", F.lit(baseline).alias("baseline"),
                     "n_chars", "baseline_n_chars"))
 
 

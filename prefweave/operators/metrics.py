@@ -42,7 +42,10 @@ def summarize(rows: DataFrame) -> DataFrame:
 
 
 def metric_log(rows: DataFrame, every: int = C.LOGGING_STEPS) -> DataFrame:
-    """Means over consecutive blocks of ``every`` steps, reported at the block's
-    last step (M3): the trainer's logging (25) or evaluation (700) interval."""
+    """Means over consecutive blocks of ``every`` steps (M3): the trainer's
+    logging (25) or evaluation (700) interval. ``log_step`` names the block by
+    its last step; ``last_step`` is the last step seen in it, and ``complete``
+    says whether that is the block's end."""
     log_step = F.expr(f"((step - 1) div {int(every)} + 1) * {int(every)}")
-    return rows.groupBy(log_step.alias("log_step")).agg(*_aggs())
+    log = rows.groupBy(log_step.alias("log_step")).agg(F.max("step").alias("last_step"), *_aggs())
+    return log.withColumn("complete", F.col("last_step") == F.col("log_step"))

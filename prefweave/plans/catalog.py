@@ -7,7 +7,6 @@ rounded to 6 places, so that the SQL oracle can compare values.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,10 +24,9 @@ from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
 from prefweave.plans.prepare import prepare_preference_data, token_length_table
 from prefweave.schemas import PAIR
-from prefweave.session import shared_root
+from prefweave.session import scratch_path
 from prefweave.sources import fixtures
-from prefweave.sources.records import (
-    CACHE_VERSION, fingerprint, materialize_table, path_exists, read_pairs, write_records)
+from prefweave.sources.records import file_state, materialize_table, read_pairs, write_records
 from prefweave.sources.tables import read_table
 
 # Parameters of the registered queries.
@@ -44,7 +42,7 @@ PAD_WIDTH = 32             # constant width: some prompts are cut, others padded
 GROUP_BATCH_SIZE = 7       # 40 prompts -> the last batch is short
 BETA = C.BETA
 LOG_EVERY = C.LOGGING_STEPS
-EVAL_EVERY = C.EVAL_STEPS
+EVAL_EVERY = C.EVAL_STEPS // 10   # several evaluations on the test tables
 BASELINE_MODEL = "src0"
 
 
@@ -66,7 +64,11 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """The pair fixture, derived from the conversations once and written to the
     shared folder; every pair-based query reads it back instead of re-folding."""
     return materialize_table(spark, lambda: fixtures.pairs_from_conversations(conversations(spark, sf)),
-                             "pairs", {"source": sf}, PAIR)
+                             "pairs", _source(spark, sf), PAIR)
+
+
+def _source(spark: SparkSession, sf: str) -> dict[str, str]:
+    return {"source": sf, "files": file_state(spark, f"{sf.rstrip('/')}/conversations.parquet")}
 
 
 def ok_triplets(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,11 +167,8 @@ def q_json_round_trip(spark, sf):
 def q_pairs_json_round_trip(spark, sf):
     """S1 + S3: the pair dataset (nested conversations) written as JSON lines
     to the shared folder and read back by path with the explicit PAIR schema."""
-    tag = {"source": sf, "v": CACHE_VERSION, "run": os.environ.get("PREFWEAVE_RUN_TAG", "")}
-    path = f"{shared_root(spark)}/prefweave/pairs-json-{fingerprint(tag)}"
-    # Deterministic content: write once, so earlier results never lose their files.
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_records(pairs(spark, sf), path, mode="overwrite")
+    path = scratch_path(spark, "pairs-json")
+    write_records(pairs(spark, sf), path)
     back = read_pairs(spark, path, fmt="json")
 
     def transcript(c: str) -> Column:
@@ -179,17 +178,38 @@ def q_pairs_json_round_trip(spark, sf):
                        transcript("chosen").alias("chosen_text"), transcript("rejected").alias("rejected_text"))
 
 
+def q_keyless_pairs(spark, sf):
+    """S1 + L1-L3 on files that hold only chosen and rejected: keys come from
+    the content, then sample and split as usual."""
+    path = scratch_path(spark, "keyless-pairs")
+    write_records(pairs(spark, sf).drop("pair_id"), path)
+    sampled = sample_n(read_pairs(spark, path, fmt="json"), SAMPLE_N, seed=SAMPLE_SEED, allow_fewer=True)
+    return split_column(sampled, test_fraction=TEST_FRACTION, seed=SPLIT_SEED).select("pair_id", "split")
+
+
+def _prepared_sample(spark, sf):
+    return prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
+                                   n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED, allow_fewer=True,
+                                   split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
+
+
 def q_prepare_sampled(spark, sf):
     """The reference's order: seeded sample of pairs -> triplets -> exact split
     -> JSON records -> read back."""
-    parts = prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
-                                    n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED, allow_fewer=True,
-                                    split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
-    return _stacked(parts)
+    return _stacked(_prepared_sample(spark, sf))
+
+
+def q_prepare_outcome(spark, sf):
+    """Where every sampled pair went: its split, or the status it was put in
+    quarantine for."""
+    parts = _prepared_sample(spark, sf)
+    return _stacked(parts).select("pair_id", F.col("split").alias("outcome")).unionByName(
+        parts["quarantine"].select("pair_id", F.col("status").alias("outcome")))
 
 
 def q_dataset_profile(spark, sf):
-    return profile(_prepared(spark, sf))
+    parts = _prepared(spark, sf)
+    return profile({s: parts[s] for s in ("train", "test")})
 
 
 def _lengths(spark, sf):
@@ -254,9 +274,12 @@ def q_preference_row_metrics(spark, sf):
 
 
 _SUMMARY = ["n_pairs", "loss", "margin", "accuracy", "reward_chosen", "reward_rejected"]
+_LOG = ["log_step", "last_step", "complete"]
 
 
 def _round_summary(df: DataFrame, keys: list[str]) -> DataFrame:
+    if "complete" in keys:
+        df = df.withColumn("complete", F.col("complete").cast("bigint"))
     return df.select(*keys, "n_pairs", *[_r(c) for c in _SUMMARY[1:]])
 
 
@@ -265,17 +288,17 @@ def q_preference_summary(spark, sf):
 
 
 def q_preference_metric_log(spark, sf):
-    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), LOG_EVERY), ["log_step"])
+    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), LOG_EVERY), _LOG)
 
 
 def q_preference_eval_log(spark, sf):
-    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), EVAL_EVERY), ["log_step"])
+    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), EVAL_EVERY), _LOG)
 
 
 def q_preference_metric_log_stream(spark, sf):
     from prefweave.streaming.metric_log import run_metric_log_stream
     out = run_metric_log_stream(spark, sf, "embeddings.parquet", every=LOG_EVERY, beta=BETA)
-    return _round_summary(out, ["log_step"])
+    return _round_summary(out, _LOG)
 
 
 def q_pairwise_matchups(spark, sf):
@@ -321,6 +344,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_round_trip": q_json_round_trip,
     "pairs_json_round_trip": q_pairs_json_round_trip,
     "prepare_sampled": q_prepare_sampled,
+    "prepare_outcome": q_prepare_outcome,
+    "keyless_pairs": q_keyless_pairs,
     "dataset_profile": q_dataset_profile,
     "length_limits": q_length_limits,
     "length_filtered": q_length_filtered,

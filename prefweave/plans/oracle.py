@@ -132,12 +132,14 @@ SUMMARY_COLS = """count(*) AS n_pairs, round(avg(loss), 6) AS loss, round(avg(ma
        round(avg(CAST(correct AS DOUBLE)), 6) AS accuracy, round(avg(reward_chosen), 6) AS reward_chosen,
        round(avg(reward_rejected), 6) AS reward_rejected"""
 
-ANSWERS = """ans AS (SELECT CAST(floor(doc_id / 20) AS BIGINT) AS question_id, source AS model, n_chars
+ANSWERS = """ans AS (SELECT doc_id // 40 AS question_id, CAST((doc_id // 20) % 2 + 1 AS INTEGER) AS turn,
+                   source AS model, n_chars
             FROM documents)"""
 
 MATCHUPS = f"""{ANSWERS},
-mu AS (SELECT a.question_id, a.model AS model_a, b.model AS model_b, a.n_chars AS n_chars_a, b.n_chars AS n_chars_b
-       FROM ans a JOIN ans b ON a.question_id = b.question_id AND a.model < b.model)"""
+mu AS (SELECT a.question_id, a.turn, a.model AS model_a, b.model AS model_b,
+              a.n_chars AS n_chars_a, b.n_chars AS n_chars_b
+       FROM ans a JOIN ans b ON a.question_id = b.question_id AND a.turn = b.turn AND a.model < b.model)"""
 
 
 def _last_n(t: str, n: int) -> str:
@@ -272,14 +274,15 @@ FROM m3""",
     "preference_summary": f"WITH {LOGPROBS}\nSELECT {SUMMARY_COLS} FROM m3",
 
     "preference_metric_log": f"""WITH {LOGPROBS}
-SELECT CAST((floor((step - 1) / 25) + 1) * 25 AS BIGINT) AS log_step, {SUMMARY_COLS}
+SELECT CAST((floor((step - 1) / 25) + 1) * 25 AS BIGINT) AS log_step, max(step) AS last_step,
+       CAST(max(step) % 25 = 0 AS BIGINT) AS complete, {SUMMARY_COLS}
 FROM m3 GROUP BY 1""",
 
     "pairwise_matchups": f"WITH {MATCHUPS}\nSELECT * FROM mu",
 
     "baseline_matchups": f"""WITH {ANSWERS}
-SELECT a.question_id, a.model, 'src0' AS baseline, a.n_chars, b.n_chars AS baseline_n_chars
-FROM ans a JOIN ans b ON a.question_id = b.question_id AND b.model = 'src0'
+SELECT a.question_id, a.turn, a.model, 'src0' AS baseline, a.n_chars, b.n_chars AS baseline_n_chars
+FROM ans a JOIN ans b ON a.question_id = b.question_id AND a.turn = b.turn AND b.model = 'src0'
 WHERE a.model <> 'src0'""",
 
     "pairwise_win_rates": f"""WITH {MATCHUPS},
@@ -302,7 +305,7 @@ FROM c""",
 j AS (SELECT a.model AS model_a, b.model AS model_b,
              CASE WHEN abs(a.n_chars - b.n_chars) * 10 <= greatest(a.n_chars, b.n_chars) THEN 'tie'
                   WHEN a.n_chars > b.n_chars THEN 'a' ELSE 'b' END AS winner
-      FROM ans a JOIN ans b ON a.question_id = b.question_id AND b.model = 'src0'
+      FROM ans a JOIN ans b ON a.question_id = b.question_id AND a.turn = b.turn AND b.model = 'src0'
       WHERE a.model <> 'src0'),
 s AS (SELECT model_a AS model, CAST(winner = 'a' AS BIGINT) AS win, CAST(winner = 'b' AS BIGINT) AS loss,
              CAST(winner = 'tie' AS BIGINT) AS tie FROM j
@@ -323,5 +326,21 @@ FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source""",
 
 ORACLE_SQL["preference_metric_log_stream"] = ORACLE_SQL["preference_metric_log"]
 ORACLE_SQL["preference_eval_log"] = f"""WITH {LOGPROBS}
-SELECT CAST((floor((step - 1) / 700) + 1) * 700 AS BIGINT) AS log_step, {SUMMARY_COLS}
+SELECT CAST((floor((step - 1) / 70) + 1) * 70 AS BIGINT) AS log_step, max(step) AS last_step,
+       CAST(max(step) % 70 = 0 AS BIGINT) AS complete, {SUMMARY_COLS}
 FROM m3 GROUP BY 1"""
+ORACLE_SQL["prepare_outcome"] = f"""WITH {triplets_cte()},
+o AS (SELECT t.pair_id, t.status, row_number() OVER (ORDER BY md5('42:' || CAST(t.pair_id AS VARCHAR)), t.pair_id) AS place
+      FROM trip t),
+s AS (SELECT pair_id, status, row_number() OVER (PARTITION BY status = 'ok'
+                                                 ORDER BY md5('7:' || CAST(pair_id AS VARCHAR)), pair_id) AS rn,
+             count(*) FILTER (WHERE status = 'ok') OVER () AS n FROM o WHERE place <= 70)
+SELECT pair_id, CASE WHEN status <> 'ok' THEN status
+                     WHEN rn <= CAST(floor(0.2 * n) AS BIGINT) THEN 'test' ELSE 'train' END AS outcome
+FROM s"""
+ORACLE_SQL["keyless_pairs"] = f"""WITH {PAIRS},
+k AS (SELECT CAST('0x' || substr(md5(CAST(to_json({{'chosen': chosen, 'rejected': rejected}}) AS VARCHAR)), 1, 15) AS BIGINT)
+             AS pair_id FROM pairs),
+s AS (SELECT pair_id FROM k ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)) LIMIT 70),
+r AS (SELECT pair_id, row_number() OVER (ORDER BY md5('7:' || CAST(pair_id AS VARCHAR))) AS rn, count(*) OVER () AS n FROM s)
+SELECT pair_id, CASE WHEN rn <= CAST(floor(0.2 * n) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM r"""

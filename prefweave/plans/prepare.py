@@ -3,9 +3,8 @@
 read pairs -> seeded sample of N -> triplets (status gate) -> exact split ->
 JSON records in the shared folder -> read back.
 
-Plan shape: the sample and the split each find their cutoff with a hash
-histogram plus a bounded top-k over two columns (driver sees only counts and
-one key); the triplet projection is narrow; both splits are written in one
+Plan shape: the sample and the split each find their cutoff by counts of hash
+prefixes (the driver sees only counts); the triplet projection is narrow; both splits are written in one
 partitioned job, and the written records cut the lineage, so training and
 length statistics read plain files.
 """
@@ -19,48 +18,59 @@ from prefweave.functions import templates as tpl
 from prefweave.operators.lengths import with_token_lengths
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets
-from prefweave.sources.records import materialize, write_records
-
-REFERENCE_SAMPLE_SIZE = C.SAMPLE_SIZE
-REFERENCE_TEST_FRACTION = C.TEST_FRACTION
+from prefweave.sources.records import content_state, materialize, materialize_table, write_records
 
 
 def prepare_preference_data(spark: SparkSession, pairs: DataFrame, *, source: str,
-                            n_samples: int | None = REFERENCE_SAMPLE_SIZE,
+                            n_samples: int | None = C.SAMPLE_SIZE,
                             sample_seed: int = 42, split_seed: int = 7,
-                            test_fraction: float = REFERENCE_TEST_FRACTION,
+                            test_fraction: float = C.TEST_FRACTION,
                             template: tpl.ChatTemplate = tpl.ALTERNATING,
                             final_turn: tpl.ChatTemplate | None = tpl.FINAL_TURN,
                             system_message: str = tpl.DEFAULT_SYSTEM_MESSAGE,
                             mode: str = "quarantine", allow_fewer: bool = False,
                             quarantine_path: str | None = None,
                             root: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
-    """Return ``{"train": df, "test": df}`` of ``pair_id, prompt, chosen, rejected``.
-
-    ``source`` identifies the input in the cache fingerprint. Malformed pairs
-    are dropped in quarantine mode (optionally written to ``quarantine_path``)
-    or fail the job in strict mode. An input with fewer than ``n_samples``
-    pairs is an error unless ``allow_fewer`` is set.
+    """Return ``{"train": df, "test": df, "quarantine": df}``: the splits of
+    ``pair_id, prompt, chosen, rejected``, and ``pair_id, status`` of the sampled
+    pairs that are malformed (also written to ``quarantine_path``, if given). In
+    strict mode such a pair fails the job. An input with fewer than
+    ``n_samples`` pairs is an error unless ``allow_fewer`` is set.
+
+    ``source`` is a label in the cache fingerprint, next to every parameter and
+    the state of the pairs themselves: changed input is prepared anew.
     """
     params = {"source": source, "n": n_samples, "sample_seed": sample_seed,
               "split_seed": split_seed, "test_fraction": test_fraction,
               "template": repr(template), "final_turn": repr(final_turn),
-              "system_message": system_message, "mode": mode}
+              "system_message": system_message, "mode": mode, "allow_fewer": allow_fewer,
+              "input": content_state(pairs)}
+
+    def sampled():
+        return pairs if n_samples is None else sample_n(pairs, n_samples, sample_seed, allow_fewer=allow_fewer)
 
     def build():
-        sampled = pairs if n_samples is None else sample_n(pairs, n_samples, sample_seed,
-                                                           allow_fewer=allow_fewer)
-        if mode == "strict":
-            good = create_triplets(sampled, template, final_turn, system_message, mode="strict")
-        else:
-            good, bad = create_triplets(sampled, template, final_turn, system_message)
-            if quarantine_path:
-                write_records(bad, quarantine_path, mode="overwrite")
+        good = create_triplets(sampled(), template, final_turn, system_message, mode=mode)
+        good = good if mode == "strict" else good[0]
         return split_column(good, test_fraction=test_fraction, seed=split_seed)
 
-    return materialize(spark, build, "preference", params, root=root, fmt=fmt)
+    out = materialize(spark, build, "preference", params, root=root, fmt=fmt)
+    if mode == "strict":
+        out[QUARANTINE] = spark.createDataFrame([], QUARANTINED)
+    else:
+        out[QUARANTINE] = materialize_table(
+            spark, lambda: create_triplets(sampled(), template, final_turn, system_message)[1],
+            QUARANTINE, params, QUARANTINED, root=root, fmt=fmt)
+    if quarantine_path:
+        write_records(out[QUARANTINE], quarantine_path, mode="overwrite")
+    return out
 
 
+QUARANTINE = "quarantine"
+QUARANTINED = T.StructType([
+    T.StructField("pair_id", T.LongType()),
+    T.StructField("status", T.StringType()),
+])
 LENGTHS = T.StructType([
     T.StructField("pair_id", T.LongType()),
     T.StructField("prompt_len", T.LongType()),
@@ -70,7 +80,7 @@ LENGTHS = T.StructType([
 
 
 def token_length_table(spark: SparkSession, splits: dict[str, DataFrame], *, source: str,
-                       tokenizer=None, batched: bool = False,
+                       tokenizer=None, batched: bool = False, tokenizer_id: str | None = None,
                        root: str | None = None) -> DataFrame:
     """Token lengths of every split, computed once and kept as a narrow table.
 
@@ -78,7 +88,11 @@ def token_length_table(spark: SparkSession, splits: dict[str, DataFrame], *, sou
     filter; here the three lengths per pair are written once (parquet, by
     split, under the shared folder) and statistics and filter both read them.
     Returns ``pair_id, split, prompt_len, prompt_chosen_len, prompt_rejected_len``.
+    A ``tokenizer`` needs a ``tokenizer_id`` that changes whenever its counts do.
     """
+    if (tokenizer is None) != (tokenizer_id is None):
+        raise ValueError("give tokenizer and tokenizer_id together")
+    splits = {name: df for name, df in splits.items() if name != QUARANTINE}
     names = tuple(splits)
 
     def build():
@@ -90,7 +104,8 @@ def token_length_table(spark: SparkSession, splits: dict[str, DataFrame], *, sou
             out = out.unionByName(p)
         return out
 
-    params = {"source": source, "tokenizer": repr(tokenizer), "batched": batched, "splits": names}
+    params = {"source": source, "tokenizer": tokenizer_id, "batched": batched,
+              "splits": {name: content_state(df) for name, df in splits.items()}}
     tables = materialize(spark, build, "token-lengths", params, schema=LENGTHS, splits=names,
                          root=root, fmt="parquet")
     out = None

@@ -68,9 +68,11 @@ def logprobs_from_embeddings(embeddings: DataFrame) -> DataFrame:
 
 
 def answers_from_documents(documents: DataFrame) -> DataFrame:
-    """Each source plays a model; each block of 20 documents is a question."""
+    """Each source plays a model; each block of 40 documents is a question, its
+    halves the question's two turns."""
     return documents.select(
-        F.expr("doc_id div 20").alias("question_id"),
+        F.expr("doc_id div 40").alias("question_id"),
+        F.expr("cast(doc_id div 20 % 2 + 1 as int)").alias("turn"),
         F.col("source").alias("model"),
         F.col("n_chars"))
 

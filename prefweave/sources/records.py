@@ -4,7 +4,7 @@ S1 ``read_pairs``: a split of a pair dataset from parquet or JSON lines.
 S2 ``read_records`` / S3 ``write_records``: JSON-lines record files.
 S4 ``materialize``: build once, write, and always read back, so a fresh build
 and a cached one behave the same. Unlike fixed file names, the cache path
-carries a fingerprint of everything the build depends on.
+carries a fingerprint of everything the build depends on, its input included.
 """
 
 from __future__ import annotations
@@ -12,25 +12,54 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from prefweave.schemas import PAIR, TRIPLET
 from prefweave.session import shared_root
 
+CORRUPT = "_corrupt_record"
+
+
+def pair_key() -> Column:
+    """A bigint key from a pair's content: the first 60 bits of its JSON's md5.
+    Equal pairs get equal keys."""
+    content = F.to_json(F.struct("chosen", "rejected"), {"ignoreNullFields": "false"})
+    return F.conv(F.substring(F.md5(content), 1, 15), 16, 10).cast("bigint")
+
 
 def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
                split: str | None = None) -> DataFrame:
-    """Read a pair dataset; ``split`` selects a sub-directory (``path/split``)."""
+    """Read a pair dataset; ``split`` selects a sub-directory (``path/split``).
+    Rows without ``pair_id`` (plain chosen/rejected files) get ``pair_key()``."""
     full = f"{path.rstrip('/')}/{split}" if split else path
-    return spark.read.schema(PAIR).format(fmt).load(full)
+    if fmt == "json":
+        rows = read_records(spark, full, PAIR)
+    else:
+        rows = spark.read.schema(PAIR).format(fmt).load(full)
+    return rows.withColumn("pair_id", F.coalesce("pair_id", pair_key()))
 
 
 def read_records(spark: SparkSession, path: str, schema: StructType = TRIPLET) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    """JSON-lines records; a line that does not parse fails the job, named in
+    the error. ``read_lines`` keeps such lines instead."""
+    rows = read_lines(spark, path, schema)
+    # Spark refuses to read the bad lines' column alone, as a bare count would;
+    # naming what was parsed of the line keeps a second column in the scan.
+    parsed = F.to_json(F.struct(F.col(f"`{schema.fields[0].name}`")))
+    message = F.concat(F.lit("bad record: "), F.col(CORRUPT), F.lit("; parsed: "), parsed)
+    ok = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(message).cast("boolean"))
+    return rows.where(F.coalesce(ok, F.lit(True))).drop(CORRUPT)
+
+
+def read_lines(spark: SparkSession, path: str, schema: StructType = TRIPLET) -> DataFrame:
+    """The records with ``_corrupt_record``: null, or the text of a bad line."""
+    return (spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def write_records(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -42,45 +71,93 @@ def fingerprint(params: Mapping) -> str:
     return hashlib.sha256(blob).hexdigest()[:16]
 
 
+def content_state(df: DataFrame) -> str:
+    """Row count and a sum of row hashes: changes with any row, not with order
+    or partitioning. One pass with map-side partials."""
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    n, total = df.agg(F.count(F.lit(1)), F.sum(row)).first()
+    return f"{n}:{total}"
+
+
+def file_state(spark: SparkSession, path: str) -> str:
+    """State of the files under a path: names, sizes and modification times; no
+    file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return content_state(files.select("path", "length", "modificationTime"))
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or directory exists, through the public reader API (a
     missing path fails analysis; no job runs)."""
     try:
         spark.read.format("text").load(path).columns
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if not _missing(error):
+            raise
         return False
 
 
 # Bump when the meaning of a cached output changes, so old caches are never served.
-CACHE_VERSION = "3"
+CACHE_VERSION = "4"
+
+
+def _built(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
+    """The folder of a complete write under ``base``, written now if there is
+    none. Every attempt has its own folder and is announced last, by a small
+    file of its own, so concurrent builders and failed ones never meet."""
+    def announced() -> str | None:
+        try:
+            done = spark.read.option("recursiveFileLookup", "true").text(f"{base}/announced")
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
+            return None
+        return done.agg(F.min("value")).first()[0]
+
+    attempt = announced()
+    if attempt is None:
+        attempt = uuid.uuid4().hex
+        write(f"{base}/{attempt}")
+        spark.range(1).select(F.lit(attempt).alias("value")).write.text(f"{base}/announced/{attempt}")
+    return f"{base}/{attempt}"
+
+
+def _base(spark: SparkSession, name: str, params: Mapping, root: str | None, fmt: str) -> str:
+    tag = {"cache_version": CACHE_VERSION, "fmt": fmt,
+           "run_tag": os.environ.get("PREFWEAVE_RUN_TAG", "")}
+    return f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint({**params, **tag})}"
 
 
 def materialize(spark: SparkSession, build: Callable[[], DataFrame],
                 name: str, params: Mapping, schema: StructType = TRIPLET,
                 splits: tuple[str, ...] = ("train", "test"), split_col: str = "split",
                 root: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
-    """Return ``{split: DataFrame}`` read from ``root/name-<fingerprint>/split=<s>``.
+    """Return ``{split: DataFrame}`` read from ``root/name-<fingerprint>``.
 
     ``build`` returns one DataFrame with a ``split`` column; it is written in a
     single job partitioned by split (so the plan behind it runs once), unless
-    a complete earlier write (``_SUCCESS``) with the same fingerprint exists.
-    A failed run leaves no marker and is overwritten. Splits are always read
-    back with the explicit schema. ``fmt`` is ``json`` (record files, as the
-    reference writes them) or ``parquet`` (columnar, faster to scan at scale).
+    a complete earlier write with the same fingerprint exists. ``params`` must
+    name everything that the rows depend on, the input's state included. Splits
+    are always read back with the explicit schema. ``fmt`` is ``json`` (record
+    files, as the reference writes them) or ``parquet`` (columnar, faster to
+    scan at scale).
     """
     if fmt not in ("json", "parquet"):
         raise ValueError(f"unsupported format {fmt!r}")
-    tag = {"cache_version": CACHE_VERSION, "fmt": fmt,
-           "run_tag": os.environ.get("PREFWEAVE_RUN_TAG", "")}
-    base = f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint({**params, **tag})}"
-    if not path_exists(spark, f"{base}/_SUCCESS"):
-        build().write.mode("overwrite").partitionBy(split_col).format(fmt).save(base)
+    path = _built(spark, _base(spark, name, params, root, fmt),
+                  lambda p: build().write.partitionBy(split_col).format(fmt).save(p))
     out = {}
     for s in splits:
         try:                     # one listing; a split without rows has no folder
-            out[s] = spark.read.schema(schema).format(fmt).load(f"{base}/{split_col}={s}")
-        except AnalysisException:
+            out[s] = spark.read.schema(schema).format(fmt).load(f"{path}/{split_col}={s}")
+        except AnalysisException as error:
+            if not _missing(error):
+                raise
             out[s] = spark.createDataFrame([], schema)
     return out
 
@@ -91,9 +168,5 @@ def materialize_table(spark: SparkSession, build: Callable[[], DataFrame], name:
     """Write an expensive derived table once (per fingerprint) to the shared
     folder and read it back with its explicit schema. Cuts the lineage, so
     every later job starts from plain files instead of recomputing."""
-    tag = {"cache_version": CACHE_VERSION, "fmt": fmt,
-           "run_tag": os.environ.get("PREFWEAVE_RUN_TAG", "")}
-    path = f"{(root or shared_root(spark)).rstrip('/')}/prefweave/{name}-{fingerprint({**params, **tag})}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        build().write.mode("overwrite").format(fmt).save(path)
+    path = _built(spark, _base(spark, name, params, root, fmt), lambda p: build().write.format(fmt).save(p))
     return spark.read.schema(schema).format(fmt).load(path)

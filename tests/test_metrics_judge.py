@@ -27,8 +27,17 @@ def test_fixture_summary_values(spark):
 def test_metric_log_buckets(spark):
     df = spark.createDataFrame([(s, s, 0.0, 0.0, 0.0, 0.0) for s in range(1, 61)],
                                "step long, pair_id long, pol_c double, pol_r double, ref_c double, ref_r double")
-    got = {r.log_step: r.n_pairs for r in metrics.metric_log(metrics.preference_metrics(df), 25).collect()}
-    assert got == {25: 25, 50: 25, 75: 10}
+    log = metrics.metric_log(metrics.preference_metrics(df), 25).collect()
+    assert {r.log_step: r.n_pairs for r in log} == {25: 25, 50: 25, 75: 10}
+    assert {r.log_step: (r.last_step, r.complete) for r in log} == {25: (25, True), 50: (50, True), 75: (60, False)}
+
+
+def test_turns_do_not_mix(spark):
+    ans = spark.createDataFrame([(1, t, m, 10 * t) for t in (1, 2) for m in ("m1", "m2")],
+                                "question_id long, turn int, model string, n_chars long")
+    assert sorted((r.turn, r.n_chars_a, r.n_chars_b) for r in judge.pairwise_matchups(ans).collect()) == \
+        [(1, 10, 10), (2, 20, 20)]
+    assert sorted((r.turn, r.n_chars) for r in judge.baseline_matchups(ans, "m1").collect()) == [(1, 10), (2, 20)]
 
 
 def test_published_judge_rows_golden(spark):

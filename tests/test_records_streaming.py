@@ -16,9 +16,64 @@ def test_prepare_writes_reads_back_and_caches(spark):
     assert not (tr & te)
     assert len(te) == int(0.2 * (len(tr) + len(te)))
     assert set(first["train"].columns) == {"pair_id", "prompt", "chosen", "rejected"}
-    again = prepare_preference_data(spark, pairs.where(F.lit(False)), source="t", n_samples=80, root=root)
-    # The cache is keyed by the fingerprint, so the (empty) input is never read.
-    assert {r.pair_id for r in again["test"].collect()} == te
+    bad = {r.pair_id for r in first["quarantine"].collect()}
+    assert len(tr) + len(te) + len(bad) == 80 and not bad & (tr | te)
+    # The same rows in another order come from the same files; other rows do not.
+    same = prepare_preference_data(spark, pairs.repartition(3), source="t", n_samples=80, root=root)
+    assert sorted(same["test"].inputFiles()) == sorted(first["test"].inputFiles())
+    fewer = prepare_preference_data(spark, pairs.where("pair_id < 90"), source="t", n_samples=80, root=root)
+    ids = {r.pair_id for s in fewer.values() for r in s.collect()}
+    assert len(ids) == 80 and max(ids) < 90
+    import pytest
+    prepare_preference_data(spark, pairs, source="t", n_samples=10_000, allow_fewer=True, root=root)
+    with pytest.raises(ValueError):
+        prepare_preference_data(spark, pairs, source="t", n_samples=10_000, root=root)
+
+
+def test_pairs_follow_the_table(spark):
+    src = scratch_path(spark, "test-growing")
+    conversations = catalog.conversations(spark, SF001)
+    conversations.where("conv_id < 10").write.parquet(f"{src}/conversations.parquet")
+    assert catalog.q_pair_status(spark, src).count() == 10
+    conversations.where("conv_id between 10 and 17").write.mode("append").parquet(f"{src}/conversations.parquet")
+    assert catalog.q_pair_status(spark, src).count() == 18
+
+
+def test_token_lengths_follow_the_splits(spark):
+    import pytest
+    from prefweave.plans.prepare import token_length_table
+    root = scratch_path(spark, "test-lengths")
+    row = spark.createDataFrame([(1, "a b", " c", " d e")], "pair_id long, prompt string, chosen string, rejected string")
+    one = token_length_table(spark, {"train": row}, source="s", root=root)
+    two = token_length_table(spark, {"train": row.withColumn("prompt", F.lit("a b x y"))}, source="s", root=root)
+    assert (one.first().prompt_len, two.first().prompt_len) == (2, 4)
+    with pytest.raises(ValueError):
+        token_length_table(spark, {"train": row}, source="s", root=root, tokenizer=str.split)
+
+
+def test_bad_lines_show(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from prefweave.sources.records import read_lines, read_pairs
+    path = scratch_path(spark, "test-bad-lines")
+    lines = ['{"chosen":[{"role":"user","content":"q"}],"rejected":null}', '{"chosen":[{"role":"us']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    from prefweave.schemas import PAIR
+    assert [r._corrupt_record for r in read_lines(spark, path, PAIR).collect() if r._corrupt_record] == [lines[1]]
+    with pytest.raises(PySparkException):
+        read_pairs(spark, path, fmt="json").collect()
+
+
+def test_pairs_without_keys(spark):
+    from prefweave.operators.sampling import sample_n, split_column
+    from prefweave.sources.records import read_pairs, write_records
+    path = scratch_path(spark, "test-keyless")
+    pairs = catalog.pairs(spark, SF01).drop("pair_id")
+    write_records(pairs.unionByName(pairs), path)
+    back = read_pairs(spark, path, fmt="json")
+    assert back.where("pair_id is null").count() == 0 and back.count() == 2 * pairs.count()
+    assert sample_n(back, 33).count() == 33
+    assert split_column(back, test_size=33).where("split = 'test'").count() == 33
 
 
 def test_stream_equals_batch(spark):
