@@ -4,12 +4,15 @@ A document's set is its distinct ``k``-word shingles. Two documents are linked
 when ``100 * common >= percent * union``. Steps:
 
 1. Equal sets are one class (a 128-bit digest); copies never meet again.
-2. Shingles get a global order: frequent ones last. How frequent a shingle is
-   comes from counts in every task over all documents; any order gives the same
-   links, a good one gives short lists.
+2. Shingles get a global order; any order gives the same links, a good one gives
+   short lists. Shingles in the lower part of the hash space, a little more of it
+   than prefixes take, are counted over all documents. First come those of them
+   that one set alone has, then the upper part, then the shared ones, last the
+   frequent ones, which every task counts.
 3. A set of n shingles keeps its first ``n - ceil(percent * n / 100) + 1``: two
    linked sets share one of them. Classes with identical prefixes and size form
-   one group, which stands in the lists once.
+   one group, which stands in the lists once. Shingles of one set alone need no
+   list, so most documents with text of their own stand in none.
 4. Groups that share a prefix shingle and pass the size and position bounds are
    candidate pairs; groups and pairs are expanded into member classes, and each
    pair of classes is verified: by an upper bound from small histograms of the
@@ -25,8 +28,8 @@ when ``100 * common >= percent * union``. Steps:
 Components are exact: no pair that could join two of them goes unverified, and
 nothing is capped. What the driver
 receives is bounded: the order's frequent shingles (``HOT_SHINGLES``) and bit maps
-of at most ``MAP_BITS`` bits, sieves that spare shuffling shingles and sets no
-pair needs. Texts are read and cut anew in each pass rather than stored as sets.
+of at most ``MAP_BITS`` bits: a fuller map lets more through, which costs work and
+changes no link. Texts are read and cut anew in each pass rather than stored as sets.
 
 Edge cases: null and empty texts have an empty set and no links; a text with
 fewer than ``k`` words has its whole sequence as one shingle; repeated rows are
@@ -52,7 +55,8 @@ HOT_SHINGLES = 200_000
 HOT_LEAST = 4                  # occurrences within one count that make a shingle worth reporting
 COUNTED = 4_000_000            # shingles per count inside a task
 SEEN = 8
-MAP_BITS = 1 << 26
+MAP_BITS = 1 << 28
+COUNTED_SHARE = 1.6            # part of the hash space that is counted, over the part prefixes take
 STAR_ROUNDS = 2
 
 
@@ -107,24 +111,31 @@ def _describe(k: int):
 
 
 class Order:
-    """The global order of shingles: others by hash, then the frequent ones by
-    count and hash."""
+    """The global order of shingles: below ``low`` those that are not shared by
+    hash, then those above ``low`` by hash, then the shared ones below by hash,
+    then the frequent ones by count and hash. ``shared`` is a bit map that holds
+    all shared shingles below ``low`` and maybe others."""
 
-    def __init__(self, hot: list[tuple[int, int]]):
+    def __init__(self, hot: list[tuple[int, int]], low: int, shared: tuple[np.ndarray, int]):
         keys = np.array([h for h, _ in hot], np.int64).view(np.uint64)
         order = np.argsort(keys)
         self.keys, self.counts = keys[order], np.array([c for _, c in hot], np.int64)[order]
-
-    def prefix(self, s: np.ndarray, n: int) -> np.ndarray:
-        if not len(self.keys):
-            return s[:n]
-        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
-        hot = self.keys[at] == s
-        cold = s[~hot][:n]
-        if len(cold) == n:
-            return cold
-        rest, counts = s[hot], self.counts[at[hot]]
-        return np.concatenate([cold, rest[np.lexsort((rest, counts))][:n - len(cold)]])
+        self.low, self.shared = np.uint64(low), shared
+
+    def prefix(self, s: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+        """The first ``n`` of a sorted set, and how many of them no other set has."""
+        lower = s[:np.searchsorted(s, self.low)]
+        common = _in_map(self.shared, lower)
+        single = lower[~common][:n]
+        if len(single) == n:
+            return single, n
+        rest = np.concatenate([s[len(lower):], lower[common]])
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, rest), len(self.keys) - 1)
+            hot = self.keys[at] == rest
+            last, counts = rest[hot], self.counts[at[hot]]
+            rest = np.concatenate([rest[~hot], last[np.lexsort((last, counts))]])
+        return np.concatenate([single, rest[:n - len(single)]]), len(single)
 
 
 def _bit_map(places: DataFrame, n: int) -> tuple[np.ndarray, int]:
@@ -179,44 +190,59 @@ def _sift(percent: int):
     return run
 
 
+def _low_shingles(k: int, low: int):
+    """The shingles below ``low`` of every distinct set, once each for some sets
+    read together and twice if several of those have it."""
+    low = np.uint64(low)
+
+    def batch_of(found):
+        u, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *found.values()]), return_counts=True)
+        return pa.RecordBatch.from_arrays([_signed(np.concatenate([u, u[c > 1]]))], ["shingle"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, waiting = {}, 0
+        for batch in batches:
+            for _, _, buf, offs in chunks(batch):
+                for s in sets_of(buf, offs, k):
+                    if len(s) and (key := digest(s)) not in found:
+                        found[key] = s[:np.searchsorted(s, low)].copy()
+                        waiting += len(found[key])
+                if waiting >= COUNTED:
+                    yield batch_of(found)
+                    found, waiting = {}, 0
+        yield batch_of(found)
+    return run
+
+
 def _groups(sets: list[np.ndarray], order: Order, percent: int):
-    """({(group, size): prefix}, {(group, size, class, histogram)}) of a chunk."""
+    """({(group, size): (prefix, how many of it are single)}, {(group, size,
+    class, histogram)}) of a chunk."""
     prefixes, members = {}, set()
     for s in sets:
         if len(s):
-            p = order.prefix(s, len(s) - -(-percent * len(s) // 100) + 1)
+            p, single = order.prefix(s, len(s) - -(-percent * len(s) // 100) + 1)
             gid = int.from_bytes(hashlib.blake2b(p.tobytes(), digest_size=8).digest(), "little", signed=True)
-            prefixes[gid, len(s)] = p
+            prefixes[gid, len(s)] = p, single
             members.add((gid, len(s), digest(s), histogram(s)))
     return prefixes, members
 
 
-def _prefix_shingles(k: int, percent: int, order):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, buf, offs in chunks(batch):
-                prefixes, _ = _groups(sets_of(buf, offs, k), order.value, percent)
-                yield pa.RecordBatch.from_arrays(
-                    [_signed(np.concatenate([np.zeros(0, np.uint64), *prefixes.values()]))], ["shingle"])
-    return run
-
-
-def _postings(k: int, percent: int, order, shared):
-    """The groups' members, and their prefix shingles that pass the sieve."""
+def _postings(k: int, percent: int, order):
+    """The groups' members, and their prefix shingles that others may have."""
     names = ["shingle", "gid", "n", "pos", "cid", "histogram"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, buf, offs in chunks(batch):
                 prefixes, members = _groups(sets_of(buf, offs, k), order.value, percent)
-                hits = [np.flatnonzero(_in_map(shared.value, p)) for p in prefixes.values()]
-                size = [len(h) for h in hits]
+                size = [len(p) - single for p, single in prefixes.values()]
                 rows = int(np.sum(size, dtype=np.int64))
                 ids, ns = [g for g, _ in prefixes], [n for _, n in prefixes]
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(np.concatenate([np.zeros(0, np.uint64), *(p[h] for p, h in zip(prefixes.values(), hits))])),
+                    [_signed(np.concatenate([np.zeros(0, np.uint64), *(p[i:] for p, i in prefixes.values())])),
                      pa.array(np.repeat(np.array(ids, np.int64), size)), pa.array(np.repeat(np.array(ns, np.int32), size)),
-                     pa.array(np.concatenate([np.zeros(0, np.int64), *hits]).astype(np.int32)),
+                     pa.array(np.concatenate([np.zeros(0, np.int64),
+                                              *(np.arange(i, len(p)) for p, i in prefixes.values())]).astype(np.int32)),
                      pa.nulls(rows, pa.binary()), pa.nulls(rows, pa.binary())], names)
                 g, n, c, h = zip(*sorted(members)) if members else ((), (), (), ())
                 yield pa.RecordBatch.from_arrays(
@@ -320,17 +346,17 @@ class _Join:
             F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
         hot = (described.where("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df"))
                .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).collect())
-        self.order = self.context.broadcast(Order([(r["shingle"], r["df"]) for r in hot]))
-        self._lists()
+        self._lists([(r["shingle"], r["df"]) for r in hot])
 
-    def _lists(self) -> None:
-        # A shingle in one prefix only links nothing; few are in several. Counting
-        # them moves bare shingles; then the lists are made of the shared ones alone.
+    def _lists(self, hot: list[tuple[int, int]]) -> None:
         texts, k, percent = self.docs.select("text"), self.k, self.percent
-        shared = stored(texts.mapInArrow(_prefix_shingles(k, percent, self.order), "shingle bigint")
+        low = int(min(0.9, COUNTED_SHARE * (1 - percent / 100) + 0.01) * 2 ** 64)
+        # Bare shingles are moved; a task has each of them once or twice.
+        shared = stored(texts.mapInArrow(_low_shingles(k, low), "shingle bigint").repartition("shingle")
                         .groupBy("shingle").count().where("count > 1").select("shingle"), "shared-shingles")
-        sieve = self.context.broadcast(_bit_map(shared.select(F.col("shingle").alias("p")), shared.count()))
-        made = stored(texts.mapInArrow(_postings(k, percent, self.order, sieve),
+        order = self.context.broadcast(Order(hot, low, _bit_map(shared.select(F.col("shingle").alias("p")),
+                                                                shared.count())))
+        made = stored(texts.mapInArrow(_postings(k, percent, order),
                                        "shingle bigint, gid bigint, n int, pos int, cid binary, histogram binary"), "prefixes")
         found = made.where("cid is not null").select("gid", "n", "cid", "histogram").dropDuplicates(["cid"])
         self.described = stored(found, "groups")
