@@ -12,7 +12,8 @@ when ``100 * common >= percent * union``. Steps:
 3. A set of n shingles keeps its first ``n - ceil(percent * n / 100) + 1``: two
    linked sets share one of them. Classes with identical prefixes and size form
    one group, which stands in the lists once. Shingles of one set alone need no
-   list, so most documents with text of their own stand in none.
+   list, so most documents with text of their own stand in none; of lists with
+   the same groups one is kept.
 4. Groups that share a prefix shingle and pass the size and position bounds are
    candidate pairs; groups and pairs are expanded into member classes, and each
    pair of classes is verified: by an upper bound from small histograms of the
@@ -361,12 +362,17 @@ class _Join:
         found = made.where("cid is not null").select("gid", "n", "cid", "histogram").dropDuplicates(["cid"])
         self.described = stored(found, "groups")
         self.members = self.described.select("gid", "n", "cid")
-        lists = made.where("cid is null").select("shingle", "gid", "n", "pos")
-        several = lists.groupBy("shingle").agg(F.min("gid").alias("lo"), F.max("gid").alias("hi"), F.min("n").alias("a"),
-                                               F.max("n").alias("b")).where("lo <> hi or a <> b").select("shingle")
+        lists = stored(made.where("cid is null").select("shingle", "gid", "n", "pos").distinct(), "lists")
+        # Two near copies share many shingles, whose lists hold the same groups: the
+        # first of those lists in the global order is enough, as any pair in it meets
+        # there first. Positions follow that order for every member alike.
+        several = lists.groupBy("shingle").agg(
+            F.min(F.struct("gid", "n", "pos")).alias("first"), F.max(F.struct("gid", "n")).alias("hi"),
+            F.count("*").alias("size"), F.bit_xor(F.xxhash64("gid", "n")).alias("who")).where("size > 1")
+        kept = several.groupBy("who", "size", "first.gid", "first.n", "hi").agg(
+            F.min(F.struct("first.pos", "shingle")).alias("l")).select("l.shingle")
         band = F.floor(F.log("n") / math.log(100 / percent * 1.0001)) if percent < 100 else F.col("n")
-        self.postings = stored(lists.join(several, "shingle", "left_semi").distinct()
-                               .withColumn("band", band.cast("int")), "postings")
+        self.postings = stored(lists.join(kept, "shingle", "left_semi").withColumn("band", band.cast("int")), "postings")
 
     def parts(self, components: DataFrame) -> DataFrame:
         """gid, n, cid with its component and the component's size."""
