@@ -8,14 +8,19 @@ rows L, the whitening matrix H and the ridge weights W, a text with presence
 row x scores ``x (L' H W) / |x|``; the small matrix ``L' H W`` is computed once
 and a batch of texts is scored by one sparse-by-dense matrix product.
 
-N-grams are numbered by hash into ``N_GRAMS`` buckets, a fixed space.
+N-grams are numbered by hash into ``N_GRAMS`` buckets, a fixed space. The n-grams
+of a long text would fill it, whatever the language, so a text is cut into
+windows of equal length, at most ``WINDOW`` characters, that cover all of it: its
+kernel, and so its score, is the mean over its windows (those with a letter).
 
 Training reads a bounded sample of labelled rows: per language the
 ``PER_LANGUAGE`` rows with the smallest hash of the id, among rows with a
-non-null language whose crc32 of the id is not 0 modulo 5. Texts are turned
-into presence rows by Spark tasks; only those bit rows come to the driver
-(``PER_LANGUAGE`` x ``N_GRAMS`` bits a language, for at most ``MAX_LANGUAGES``
-languages, checked). Scoring is a narrow Arrow map over whole texts.
+non-null language whose crc32 of the id is not 0 modulo 5. Spark tasks turn each
+text into the presence row of one window, chosen by a hash of the text; of these
+bit rows (``N_GRAMS`` bits each, for at most ``MAX_LANGUAGES`` languages, checked)
+the driver takes the landmarks. Tasks then work out the kernel of every sampled
+text, over all its windows, with the landmarks; one value for each pair comes to
+the driver. Scoring is a narrow Arrow map over whole texts.
 
 Edge cases: a text that is null or has no letter is ``und`` with score 0; if no
 labelled text exists, every text is ``und``; with a single language every text
@@ -25,17 +30,20 @@ language by name; extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from prefweave.llm.tables import need, split_crc
+from prefweave.llm.tables import need, split_crc, stored
 from prefweave.llm.textarrays import mix
 
 N_GRAMS = 1 << 15
 MAX_N = 4
+WINDOW = 1 << 11               # characters; sets a small part of the buckets
+BLOCK = 256                    # windows scored at once
 PER_LANGUAGE = 250             # labelled rows a language to learn from
 LANDMARKS = 64                 # of them, a language
 RIDGE = 0.05
@@ -47,20 +55,16 @@ _SPACE = np.uint64(32)
 
 
 def presence(text: str) -> np.ndarray:
-    """Sorted buckets of the n-grams (n = 1 to MAX_N) that occur in a text."""
+    """Sorted buckets of the n-grams (n = 1 to MAX_N) that occur in a window."""
     flags = np.zeros(N_GRAMS, dtype=bool)
-    step = 1 << 18                                # a long text goes through in pieces
-    whole = text.lower()
-    for at in range(0, max(len(whole), 1), step):
-        codes = np.frombuffer(whole[at:at + step + MAX_N - 1].encode("utf-32-le", "surrogatepass"),
-                              dtype=np.uint32).astype(np.uint64)
-        codes = np.where(codes <= _SPACE, _SPACE, codes)
-        gram = np.zeros(len(codes), dtype=np.uint64)
-        for n in range(MAX_N):
-            if len(codes) <= n:
-                break
-            gram = gram[:len(codes) - n] * np.uint64(0x110003) + codes[n:] + np.uint64(1)
-            flags[mix(gram) & np.uint64(N_GRAMS - 1)] = True
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    codes = np.where(codes <= _SPACE, _SPACE, codes)
+    gram = np.zeros(len(codes), dtype=np.uint64)
+    for n in range(MAX_N):
+        if len(codes) <= n:
+            break
+        gram = gram[:len(codes) - n] * np.uint64(0x110003) + codes[n:] + np.uint64(1)
+        flags[mix(gram) & np.uint64(N_GRAMS - 1)] = True
     return np.flatnonzero(flags)
 
 
@@ -68,13 +72,30 @@ def has_letter(text: str) -> bool:
     return any(c.isalpha() for c in text)
 
 
+def windows(text: str) -> Iterator[str]:
+    """The text in lower case, in even parts; none without a letter. A part
+    reaches into the next, so that every n-gram is in one."""
+    whole = text.lower()
+    n = -(-len(whole) // WINDOW)
+    for i in range(n):
+        a, b = i * len(whole) // n, (i + 1) * len(whole) // n
+        if has_letter(whole[a:b]):
+            yield whole[a:b + MAX_N - 1]
+
+
+def _packed(row: np.ndarray) -> bytes:
+    flags = np.zeros(N_GRAMS, dtype=bool)
+    flags[row] = True
+    return np.packbits(flags).tobytes()
+
+
 def _presence_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         bits = []
         for value in batch.column(1):
-            row = np.zeros(N_GRAMS, dtype=bool)
-            row[presence(value.as_py())] = True
-            bits.append(np.packbits(row).tobytes())
+            own = list(windows(value.as_py()))
+            chosen = own[zlib.crc32(value.as_py().encode("utf-8", "surrogatepass")) % len(own)]
+            bits.append(_packed(presence(chosen)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.binary())], ["lang", "bits"])
 
 
@@ -113,20 +134,32 @@ def _unit_rows(bits: list[bytes]) -> np.ndarray:
     return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
-def fit(labels: list[str], bits: list[bytes]) -> Model | None:
-    """Nystrom landmarks and ridge weights from presence rows."""
+def landmarks_of(labels: list[str], bits: list[bytes]) -> list[bytes]:
+    """The first ``LANDMARKS`` rows of each language."""
+    y = np.array(labels)
+    return [bits[i] for c in sorted(set(labels)) for i in np.flatnonzero(y == c)[:LANDMARKS]]
+
+
+def kernel(text: str, marks: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """Mean kernel of a text's windows with the landmarks (n-gram x landmark)."""
+    total, n = np.zeros(len(norms)), 0
+    for window in windows(text):
+        row = presence(window)
+        total += marks[row].sum(axis=0, dtype=np.int64) / (norms * np.sqrt(len(row)))
+        n += 1
+    return total / max(n, 1)
+
+
+def fit(labels: list[str], kernels: np.ndarray, bits: list[bytes]) -> Model:
+    """Nystrom map and ridge weights from the texts' kernels with the landmarks."""
     languages = sorted(set(labels))
-    if not languages:
-        return None
     y = np.array([languages.index(v) for v in labels])
-    mark = np.concatenate([np.flatnonzero(y == c)[:LANDMARKS] for c in range(len(languages))])
-    landmarks = _unit_rows([bits[i] for i in mark])
+    landmarks = _unit_rows(bits)
     # Nystrom: phi(x) = H' k(x, landmarks) with H = K^(-1/2) over the landmarks.
     values, vectors = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     keep = values > 1e-6 * values.max()
     whiten = vectors[:, keep] / np.sqrt(values[keep])
-    phi = np.concatenate([(_unit_rows(bits[lo:lo + 256]) @ landmarks.T).astype(np.float64) @ whiten
-                          for lo in range(0, len(bits), 256)])
+    phi = kernels.astype(np.float64) @ whiten
     target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
     # Each class counts alike, whatever its share of the sample.
     weight = 1.0 / np.bincount(y, minlength=len(languages))[y]
@@ -139,19 +172,49 @@ def fit(labels: list[str], bits: list[bytes]) -> Model | None:
 
 
 def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
-    rows = (training_sample(documents, per_language)
-            .mapInArrow(_presence_bits, "lang string, bits binary").limit(MAX_LANGUAGES * per_language + 1).collect())
+    sample = stored(training_sample(documents, per_language), "language-sample")
+    rows = sample.mapInArrow(_presence_bits, "lang string, bits binary").limit(MAX_LANGUAGES * per_language + 1).collect()
     if len(rows) > MAX_LANGUAGES * per_language:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    if not rows:
+        return None
     rows = sorted((r["lang"], bytes(r["bits"])) for r in rows)
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    bits = landmarks_of([r[0] for r in rows], [r[1] for r in rows])
+    shared = sample.sparkSession.sparkContext.broadcast(bits)
+
+    def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.ascontiguousarray(np.stack([np.unpackbits(np.frombuffer(b, np.uint8)) for b in shared.value]).T)
+        norms = np.sqrt(np.maximum(marks.sum(axis=0, dtype=np.int64), 1))
+        for batch in batches:
+            own = [kernel(v.as_py(), marks, norms).astype(np.float32).tobytes() for v in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["lang", "kernel"])
+
+    rows = sorted((r["lang"], bytes(r["kernel"])) for r in sample.mapInArrow(kernels, "lang string, kernel binary").collect())
+    return fit([r[0] for r in rows], np.stack([np.frombuffer(r[1], np.float32) for r in rows]), bits)
 
 
 def _classify(model: Model | None, texts: list[str]) -> tuple[list[str], list[float]]:
-    """(language, score) of a batch of texts."""
+    """(language, score) of a batch of texts: the mean over a text's windows."""
     ok = [model is not None and has_letter(t) for t in texts]
-    rows = [presence(t) for t, o in zip(texts, ok) if o]
-    p = np.clip((model.scores(rows) + 1) / 2, 1e-6, 1) if rows else np.zeros((0, 1))
+    known = [t for t, o in zip(texts, ok) if o]
+    total, n = np.zeros((len(known), len(model.languages) if known else 1)), np.zeros(len(known))
+    rows, owner = [], []
+
+    def add() -> None:
+        if rows:
+            np.add.at(total, owner, model.scores(rows))
+            np.add.at(n, owner, 1)
+            rows.clear()
+            owner.clear()
+
+    for i, text in enumerate(known):
+        for window in windows(text):
+            rows.append(presence(window))
+            owner.append(i)
+            if len(rows) == BLOCK:
+                add()
+    add()
+    p = np.clip((total / n[:, None] + 1) / 2, 1e-6, 1)
     p = p / p.sum(axis=1, keepdims=True)
     best = iter(zip(p.argmax(axis=1), p.max(axis=1)))
     names, scores = [], []

@@ -26,6 +26,34 @@ def test_language_edges(docs):
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
 
 
+def varied_text(seed, n_chars):
+    """Words over one alphabet, letters drawn by the language's own pair table."""
+    import random
+    own, rnd = random.Random(seed), random.Random(n_chars)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    follow = {c: own.choices(letters, k=12) for c in letters}
+    words, size = [], 0
+    while size < n_chars:
+        c = rnd.choice(letters)
+        word = c
+        for _ in range(rnd.randint(1, 9)):
+            c = rnd.choice(follow[c]) if rnd.random() < 0.75 else rnd.choice(letters)
+            word += c
+        words.append(word)
+        size += len(word) + 1
+    return " ".join(words)
+
+
+def test_a_long_varied_text_keeps_its_language(docs):
+    names = ["en", "de", "es", "fr"]
+    rows = [(100 * i + j, varied_text(i, 700 + 9 * j), lang) for i, lang in enumerate(names) for j in range(60)]
+    rows += [(9000 + i, varied_text(i, 300_000), None) for i in range(4)]
+    got = {r.doc_id: r for r in language.identify_languages(docs(rows)).collect()}
+    assert [got[9000 + i].lang_pred for i in range(4)] == names
+    assert min(got[9000 + i].score for i in range(4)) > 0.5
+    assert language.keep_identified(docs(rows)).count() == len(rows)
+
+
 def test_quality_held_out_accuracy(spark):
     d, labels = read(spark, SF01, "documents"), read(spark, SF01, "labels")
     rows = quality.score_quality(d, labels).join(labels, "doc_id").where("held_out").collect()
