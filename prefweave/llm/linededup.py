@@ -14,14 +14,18 @@ its windows, hence a fingerprint: none is missed. Steps:
 4. The first place of each window, in order of (doc_id, row, line), stays; every
    other place is a repeat. Overlapping repeats extend each other both ways to
    the whole repeated run.
-5. Delete the runs. Where a run repeats itself (its repeat overlaps the first
-   place), the first place stays whole.
+5. A line that ``min_documents`` different texts or more hold is a repeat by
+   itself, however short: texts are counted by line hash with map-side combine,
+   and every later place of such a line goes, in a run of any length. Its first
+   place, in the same order, is never inside a repeated run.
+6. Delete the runs. Where a run repeats itself (its repeat overlaps the first
+   place), the first place stays, but for lines of step 5.
 
 No step pairs places with each other: a line in a third of all texts costs one
 row per place. Line hashes have 64 bits, window hashes 128.
 
-Edge cases: null and empty texts, and texts with fewer words, stay as they are;
-blank lines go only inside a deleted run; rows equal in id and text count as
+Edge cases: null and empty texts stay as they are, and so do texts with fewer
+words, but for lines of step 5; blank lines go only inside a deleted run; rows equal in id and text count as
 one text, so none is deleted on account of the other; a null id sorts first.
 """
 
@@ -36,7 +40,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from prefweave.llm.tables import stored
 from prefweave.llm.textarrays import chunks, column, mix, span_hashes, words
 
-MIN_WORDS = 30
+MIN_WORDS = 30                 # least repeated run that two places are enough for
+MIN_DOCUMENTS = 20             # texts that make a line a repeat, whatever its length
 OWN_COLUMNS = ("n_lines", "n_removed", "removed", "_runs")     # replaced where the input has them
 
 _U = np.uint64
@@ -131,13 +136,43 @@ def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.concatenate(h), np.concatenate(n).astype(np.int64), rows
 
 
-def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def _line_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h, _, rows = _unpacked(batch)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(rows))
+        yield pa.RecordBatch.from_arrays(
+            [_long(h), column(batch, "doc_id").take(pa.array(row)), column(batch, "rid").take(pa.array(row)),
+             pa.array((np.arange(len(h)) - rows[row]).astype(np.int32))], ["h", "doc_id", "rid", "line"])
+
+
+def _own_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every different line of each text once."""
+    for batch in batches:
+        own = [np.unique(np.frombuffer(v.as_py(), np.uint64)) for v in column(batch, "hashes")]
+        yield pa.RecordBatch.from_arrays([_long(np.concatenate([np.zeros(0, np.uint64), *own]))], ["h"])
+
+
+def common_lines(lines: DataFrame, min_documents: int) -> DataFrame:
+    """doc_id, rid, a, b: the later places of the lines that occur in
+    ``min_documents`` texts or more; ``lines`` has each text once."""
+    common = (lines.mapInArrow(_own_lines, "h bigint").groupBy("h").agg(F.count("*").alias("n"))
+              .where(F.col("n") >= min_documents).select("h"))
+    places = stored(lines.mapInArrow(_line_places, "h bigint, doc_id bigint, rid bigint, line int")
+                    .join(common, "h", "left_semi"), "common-lines")
+    origin = places.groupBy("h").agg(F.min(F.struct("doc_id", "rid", "line")).alias("o"))
+    return places.join(origin, "h").where(F.struct("doc_id", "rid", "line") > F.col("o")).select(
+        "doc_id", "rid", F.col("line").alias("a"), F.col("line").alias("b"))
+
+
+def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """doc_id, rid, runs: the line ranges (of non-blank lines, both ends
     included) to delete from each text that has any."""
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key(documents).alias("rid"),
                             F.col("text").cast("string").alias("text"))
     lines = stored(docs.mapInArrow(_signatures, "doc_id bigint, rid bigint, hashes binary, n_words binary")
-                   .where(F.length("hashes") > 0), "lines")
+                   .where(F.length("hashes") > 0).dropDuplicates(["doc_id", "rid"]), "lines")
 
     def select(batches):
         for batch in batches:
@@ -175,8 +210,7 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
 
     keys = ["doc_id", "rid"]
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["rid"] == b["rid"])          # noqa: E731
-    distinct = lines.dropDuplicates(keys)
-    found = distinct.join(places, same(distinct, places)).select(distinct["doc_id"], distinct["rid"], "hashes", "n_words", "at")
+    found = lines.join(places, same(lines, places)).select(lines["doc_id"], lines["rid"], "hashes", "n_words", "at")
     found = stored(found.mapInArrow(extend, "w1 bigint, w2 bigint, doc_id bigint, rid bigint, first int, last int"),
                    "windows")
     origin = found.groupBy("w1", "w2").agg(F.min(F.struct("doc_id", "rid", "first", "last")).alias("o"),
@@ -184,7 +218,8 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame
     later = found.join(origin, ["w1", "w2"]).where(F.struct("doc_id", "rid", "first", "last") > F.col("o"))
     inside = F.col("doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("rid") == F.col("o.rid"))
     begin = F.when(inside, F.greatest("first", F.col("o.last") + 1)).otherwise(F.col("first"))
-    return (later.select(*keys, begin.alias("a"), F.col("last").alias("b")).where("a <= b").distinct()
+    runs = later.select(*keys, begin.alias("a"), F.col("last").alias("b")).where("a <= b")
+    return (runs.union(common_lines(lines, min_documents)).distinct()
             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")))
 
 
@@ -208,13 +243,13 @@ def remove_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tupl
     return "\n".join(kept), [(a, b) for a, b in merged]
 
 
-def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows and columns, ``text`` without later repeated runs, plus
+def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """All rows and columns, ``text`` without later repeats, plus
     ``n_lines`` (non-blank, before), ``n_removed`` and ``removed``
     (``first-last`` line numbers, from 0)."""
     documents = documents.drop(*OWN_COLUMNS)
     rid = row_key(documents)
-    runs = repeated_runs(documents, min_words).select(F.col("doc_id").alias("_doc"), F.col("rid").alias("_rid"),
+    runs = repeated_runs(documents, min_words, min_documents).select(F.col("doc_id").alias("_doc"), F.col("rid").alias("_rid"),
                                                       F.col("runs").alias("_runs"))
     joined = documents.join(runs, documents["doc_id"].cast("bigint").eqNullSafe(F.col("_doc")) & (rid == F.col("_rid")),
                             "left").drop("_doc", "_rid")
@@ -243,13 +278,13 @@ def dedup_lines(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return joined.mapInArrow(apply, schema)
 
 
-def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with later repeated runs deleted; a document nothing is
+def without_repeats(documents: DataFrame, min_words: int = MIN_WORDS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """The documents with later repeats deleted; a document nothing is
     left of goes. The columns stay; ``n_chars``, where there is one, follows."""
     names = documents.columns
     aside = {c: f"_input_{c}" for c in OWN_COLUMNS if c in names}
     documents = documents.withColumnsRenamed(aside)
-    out = dedup_lines(documents, min_words).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    out = dedup_lines(documents, min_words, min_documents).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     if "n_chars" in names:
         kind = documents.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars"))

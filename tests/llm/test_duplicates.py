@@ -104,6 +104,19 @@ def test_line_runs_equal_brute_force(docs):
         assert [x for x in got[i].text.split("\n") if x.strip()] == kept
 
 
+def test_a_short_line_of_many_texts_stays_once(docs):
+    rows = [(i, f"own {i}\nread more here\nlast {i}") for i in range(25)]
+    rows += [(24, rows[24][1]), (30, "read more here\nx\nread more here")]       # an equal row; twice in one text
+    rows += [(100 + i, f"mine {i}\nseldom seen") for i in range(19)]
+    got = linededup.dedup_lines(docs(rows)).collect()
+    by = {r.doc_id: r for r in got}
+    assert by[0].text == rows[0][1] and by[30].text == "x" and by[30].removed == "0-0,2-2"
+    assert all(r.text == f"own {r.doc_id}\nlast {r.doc_id}" and r.removed == "1-1" for r in got if 0 < r.doc_id < 25)
+    assert len(got) == len(rows) and all(r.n_removed == 0 for r in got if r.doc_id >= 100)
+    few = linededup.dedup_lines(docs([(i, f"{i}\nread more here") for i in range(19)] + [(18, "18\nread more here")]))
+    assert all(r.n_removed == 0 for r in few.collect())                             # equal rows are one text
+
+
 def test_line_edges(docs):
     line = "one two three four five six seven eight"
     rows = [(1, None), (2, ""), (3, line), (3, line), (4, f"x\n{line}\ny"), (None, line), (5, f"{line}\n{line}\n{line}")]
