@@ -4,7 +4,17 @@ Every text is a first layer. A layer is scanned with the rules, then unwrapped:
 percent escapes, ``\\u``/``\\x``/``&#`` escapes, base64 runs, and gzip or zlib data
 found under base64, each giving a new layer that goes back on the worklist
 until nothing new appears. A layer whose content already occurs among its
-ancestors is not entered again, so self-reproducing data ends. Each layer keeps
+ancestors is not entered again, so self-reproducing data ends.
+
+Every decoded layer is scanned, whatever its characters: bytes that are not
+UTF-8 are read as Latin-1, and a layer with NUL characters (UTF-16, UTF-32) also
+gives one without them; the rules decide. A base64 run is decoded from each of
+its first four characters on, so that text which begins after a path or another
+prefix is in phase in one of them; packed data is looked for at the start of each
+and after each separator. ``n_layers`` counts base64 layers that are
+printable UTF-8, unpacked or hold a finding, and what is unwrapped from them.
+
+Each layer keeps
 a map of its stretches to the text it came from, so every finding ends as a
 span of the original text in code points.
 
@@ -20,7 +30,6 @@ scanned whole).
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -45,8 +54,11 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
                     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 DECIMAL_GROUP = 6
+SPACES = {9: " ", 10: " ", 13: " "}
 BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}")      # base64 in lines
+SEPARATOR = re.compile(r"[/+_-]")
+NUL = re.compile("\0+")
 MAX_UNPACKED = 64 << 20
 
 Span = tuple[int, int, int]          # start, kind number, end
@@ -99,20 +111,25 @@ def _replaced(text: str, pieces: list[tuple[int, int, str]]) -> tuple[str, Stret
     return ("".join(out), Stretches(parts)) if parts else None
 
 
-def _readable(data: bytes) -> str | None:
+def _decoded(data: bytes) -> str:
     try:
-        s = data.decode("utf-8")
+        return data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return s if s and all(c.isprintable() or c in "\t\n\r" for c in s) else None
+        return data.decode("latin-1")
+
+
+def _readable(data: bytes) -> bool:
+    try:
+        return data.decode("utf-8").translate(SPACES).isprintable()
+    except UnicodeDecodeError:
+        return False
 
 
 def _percent(text: str):
     pieces = []
     for m in PERCENT.finditer(text):
-        s = _readable(bytes.fromhex(m.group().replace("%", "")))
-        if s is not None:
-            pieces += _by_character(m.start(), s)
+        # Bytes that are not UTF-8 stand alone, as Latin-1.
+        pieces += _by_character(m.start(), bytes.fromhex(m.group().replace("%", "")).decode("utf-8", "surrogateescape"))
     return _replaced(text, pieces)
 
 
@@ -120,8 +137,9 @@ def _by_character(at: int, decoded: str) -> list[tuple[int, int, str]]:
     """One piece per decoded character of a percent run, so spans stay exact."""
     out = []
     for c in decoded:
-        end = at + 3 * len(c.encode("utf-8"))
-        out.append((at, end, c))
+        escaped = "\udc80" <= c <= "\udcff"
+        end = at + 3 * (1 if escaped else len(c.encode("utf-8")))
+        out.append((at, end, chr(ord(c) - 0xDC00) if escaped else c))
         at = end
     return out
 
@@ -135,6 +153,16 @@ def _escapes(text: str):
     return _replaced(text, pieces)
 
 
+def _without_nul(text: str):
+    return _replaced(text, [(m.start(), m.end(), "") for m in NUL.finditer(text)]) if "\0" in text else None
+
+
+def _packed(data: bytes, at: int) -> bool:
+    head = data[at:at + 3]
+    return len(head) == 3 and (head[:2] == b"\x1f\x8b"
+                               or head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0)
+
+
 def _inflate(data: bytes) -> tuple[bytes | None, bool]:
     """(unpacked bytes, whether the guard cut them) of gzip or zlib data."""
     if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0):
@@ -147,22 +175,24 @@ def _inflate(data: bytes) -> tuple[bytes | None, bool]:
         return None, False
 
 
-def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool]]:
-    """(decoded layer, start, end, cut) of each base64 run that holds text."""
+def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
+    """(decoded layer, start, end, cut, whether it is text) of each base64 run,
+    in every phase."""
     for m in chain(BASE64.finditer(text), WRAPPED.finditer(text)):
-        body = re.sub(r"\s", "", m.group()).rstrip("=").replace("-", "+").replace("_", "/")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-        except binascii.Error:
-            continue
-        unpacked, cut = _inflate(data)
-        s = _readable(data if unpacked is None else unpacked)
-        if s is None and unpacked is not None:
-            s = unpacked.decode("latin-1")
-        if s is not None:
-            yield s, m.start(), m.end(), cut
+        run = re.sub(r"\s", "", m.group()).rstrip("=")
+        plain = run.replace("-", "+").replace("_", "/")
+        for phase in range(4):
+            body = plain[phase:]
+            if len(body) % 4 == 1:
+                body = body[:-1]
+            data = base64.b64decode(body + "=" * (-len(body) % 4))
+            yield _decoded(data), m.start(), m.end(), False, _readable(data)
+            after = [x.end() - phase for x in SEPARATOR.finditer(run) if x.end() >= phase and (x.end() - phase) % 4 == 0]
+            for at in dict.fromkeys([0, *(i // 4 * 3 for i in after)]):
+                if _packed(data, at):
+                    block, cut = _inflate(data[at:])
+                    if block is not None:
+                        yield _decoded(block), m.start(), m.end(), cut, True
 
 
 def find_all(text: str) -> tuple[list[Span], list[Span], int, int]:
@@ -170,29 +200,48 @@ def find_all(text: str) -> tuple[list[Span], list[Span], int, int]:
     base = sorted(scan(text))
     found = set(base)
     layers = oversize = 0
-    if not (BASE64.search(text) or "%" in text or "\\" in text or "&#" in text):
+    if not (BASE64.search(text) or "%" in text or "\\" in text or "&#" in text or "\0" in text):
         return base, base, 0, 0
-    work = [(text, None, frozenset())]           # layer, maps back to the text, ancestors
+    entered = set()                              # contents found before in the same place
+    # Layers still to come, with maps back to the text, ancestors and whether
+    # they count as text, level by level.
+    work = [iter([(text, None, frozenset(), True)])]
     while work:
-        layer, maps, above = work.pop()
+        layer, maps, above, is_text = next(work[-1], (None,) * 4)
+        if layer is None:
+            work.pop()
+            continue
         digest = hashlib.sha256(layer.encode("utf-8", "surrogatepass")).digest()
         if digest in above:
             continue
-        above = above | {digest}
         if maps is not None:
-            layers += 1
-            for start, kind, end in scan(layer):
+            whole = (0, len(layer))
+            decoded = len(maps[0].parts) == 1 and not maps[0].parts[0][3]
+            if decoded:                          # one part stands for all of it
+                for stretch in maps:
+                    whole = stretch.source(*whole)
+                if (digest, whole) in entered:
+                    continue
+                entered.add((digest, whole))
+            spans = scan(layer)
+            layers += is_text or bool(spans)
+            for start, kind, end in spans:
                 for stretch in maps:
                     start, end = stretch.source(start, end)
                 found.add((start, kind, end))
-        back = maps or ()
-        for unwrap in (_percent, _escapes):
-            new = unwrap(layer)
-            if new:
-                work.append((new[0], (new[1], *back), above))
-        for decoded, start, end, cut in _base64_layers(layer):
-            oversize += cut
-            work.append((decoded, (Stretches([(0, start, end, False)]), *back), above))
+
+        def inside(layer=layer, back=maps or (), above=above | {digest}, own=is_text):
+            nonlocal oversize
+            for unwrap in (_percent, _escapes, _without_nul):
+                new = unwrap(layer)
+                if new:
+                    yield new[0], (new[1], *back), above, own
+            for decoded, start, end, cut, is_text in _base64_layers(layer):
+                oversize += cut
+                if decoded:
+                    yield decoded, (Stretches([(0, start, end, False)]), *back), above, is_text
+
+        work.append(inside())
     return base, sorted(found), layers, oversize
 
 

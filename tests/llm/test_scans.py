@@ -39,6 +39,19 @@ def test_layers_map_back():
         assert [(s, e) for s, k, e in spans if k == 1] == [(12, 12 + len(hidden))], hidden
 
 
+def test_layers_that_are_not_printable_utf8():
+    inner = f"cl\xe9\xa0: {KEY} fin"
+    for data in (inner.encode(), b"\xef\xbb\xbf" + inner.encode(), inner.encode("latin-1"), inner.encode("utf-16"),
+                 inner.encode("utf-16-be"), f"a\0b\f{KEY}".encode(), b"\xff" + KEY.encode()):
+        for lead in ("", "https://x.io/v1/", "io/v/", "i-v_", "a+"):
+            text = f"see {lead}{b64(data)} there"
+            assert {k for _, k, _ in secrets.find_all(text)[1]} == {1}, (data, lead)
+    text = f"see x/{b64(gzip.compress(KEY.encode()))} there"
+    assert {k for _, k, _ in secrets.find_all(text)[1]} == {1}
+    escaped = "".join(f"%{c:02X}" for c in b"\xe9\xa0\xff" + KEY.encode())
+    assert secrets.find_all(f"a {escaped} b")[1] == [(11, 1, 71)]
+
+
 def test_escape_inside_a_key_keeps_the_base_span():
     text = f"password=abcdefghijkl%41%42 x"
     base, spans, _, _ = secrets.find_all(text)
