@@ -14,6 +14,12 @@ prefix is in phase in one of them; packed data is looked for at the start of eac
 and after each separator. ``n_layers`` counts base64 layers that are
 printable UTF-8, unpacked or hold a finding, and what is unwrapped from them.
 
+Packed data is unpacked in blocks, over all members of a gzip file and without a
+limit. A block ends after a line that no pattern crosses, and what follows goes
+with the next one; without such a line for ``MAX_HELD`` bytes it is cut there,
+with ``OVERLAP`` bytes repeated, and counted in ``n_oversize``: there, only packed
+data inside a base64 run that crosses the cut is not seen.
+
 Each layer keeps
 a map of its stretches to the text it came from, so every finding ends as a
 span of the original text in code points.
@@ -21,10 +27,8 @@ span of the original text in code points.
 Rows are independent: the scan is a narrow Arrow map, with no shuffle.
 
 Edge cases: a null text is an empty text (no findings); repeated rows each give
-a row; extra columns are ignored; ``doc_id`` may be null. Compressed data
-beyond ``MAX_UNPACKED`` bytes is scanned up to there and counted in
-``n_oversize`` (a guard against decompression bombs; original text is always
-scanned whole).
+a row; extra columns are ignored; ``doc_id`` may be null. Packed data that is
+broken off or damaged is scanned up to there.
 """
 
 from __future__ import annotations
@@ -59,7 +63,10 @@ BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
 WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}")      # base64 in lines
 SEPARATOR = re.compile(r"[/+_-]")
 NUL = re.compile("\0+")
-MAX_UNPACKED = 64 << 20
+BLOCK = 4 << 20                # bytes unpacked at once
+MAX_HELD = 64 << 20            # longest stretch without a place to cut
+OVERLAP = 64 << 10
+LINE = re.compile(rb"[A-Za-z0-9+/]{60,}\r?\n\Z")
 
 Span = tuple[int, int, int]          # start, kind number, end
 
@@ -163,16 +170,41 @@ def _packed(data: bytes, at: int) -> bool:
                                or head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0)
 
 
-def _inflate(data: bytes) -> tuple[bytes | None, bool]:
-    """(unpacked bytes, whether the guard cut them) of gzip or zlib data."""
-    if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] & 15 == 8 and (data[0] * 256 + data[1]) % 31 == 0):
-        return None, False
-    try:
+def _unpacked(data: bytes, at: int) -> Iterator[bytes]:
+    """Pieces of all members of the gzip or zlib data that begins at ``at``."""
+    rest = data[at:]
+    while rest and _packed(rest, 0):
         unpack = zlib.decompressobj(47)
-        out = unpack.decompress(data, MAX_UNPACKED)
-        return out, bool(unpack.unconsumed_tail)
-    except zlib.error:
-        return None, False
+        try:
+            while rest and not unpack.eof:
+                piece = unpack.decompress(rest, BLOCK)
+                rest = unpack.unconsumed_tail
+                if piece:
+                    yield piece
+            while not unpack.eof and (piece := unpack.decompress(b"", BLOCK)):
+                yield piece
+        except zlib.error:
+            return
+        rest = unpack.unused_data.lstrip(b"\0")    # a file may be padded between members
+
+
+def _blocks(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
+    """(block, whether it is cut inside a line) of the joined pieces."""
+    held = b""
+    for piece in pieces:
+        held += piece
+        end = len(held)
+        # A cut goes after a line that can't be part of a base64 run over lines.
+        while (end := held.rfind(b"\n", 0, end)) >= 0 and LINE.search(held, max(0, held.rfind(b"\n", 0, end)), end + 1):
+            pass
+        if end >= 0:
+            yield held[:end + 1], False
+            held = held[end + 1:]
+        elif len(held) >= MAX_HELD:
+            yield held, True
+            held = held[-OVERLAP:]
+    if held:
+        yield held, False
 
 
 def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
@@ -190,8 +222,7 @@ def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
             after = [x.end() - phase for x in SEPARATOR.finditer(run) if x.end() >= phase and (x.end() - phase) % 4 == 0]
             for at in dict.fromkeys([0, *(i // 4 * 3 for i in after)]):
                 if _packed(data, at):
-                    block, cut = _inflate(data[at:])
-                    if block is not None:
+                    for block, cut in _blocks(_unpacked(data, at)):
                         yield _decoded(block), m.start(), m.end(), cut, True
 
 

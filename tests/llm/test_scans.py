@@ -52,6 +52,26 @@ def test_layers_that_are_not_printable_utf8():
     assert secrets.find_all(f"a {escaped} b")[1] == [(11, 1, 71)]
 
 
+def test_packed_data_is_read_to_its_end(monkeypatch):
+    members = gzip.compress(b"first\n") + gzip.compress(f"second {KEY}\n".encode())
+    assert {k for _, k, _ in secrets.find_all(b64(members))[1]} == {1}
+    monkeypatch.setattr(secrets, "BLOCK", 1 << 12)
+    monkeypatch.setattr(secrets, "MAX_HELD", 1 << 16)
+    monkeypatch.setattr(secrets, "OVERLAP", 1 << 10)
+    for data in (b"line of text\n" * 50_000 + KEY.encode(), b". " * 50_000 + KEY.encode()):
+        text = b64(gzip.compress(data))
+        _, spans, _, cut = secrets.find_all(text)
+        assert (0, 1, len(text)) in spans and bool(cut) == (data[:1] == b".")
+
+
+def test_blocks_do_not_cut_a_finding(monkeypatch):
+    monkeypatch.setattr(secrets, "BLOCK", 50)
+    hidden = base64.encodebytes(f"{'x' * 200} {KEY} {'y' * 99}".encode()).decode()
+    for text in (f"{'word ' * 30}\n{KEY}\n" * 3, f"{'a b ' * 30}password = '{'k' * 40}'\n", f"mail:\n{hidden}\nend\n" * 2):
+        packed = b64(zlib.compress(text.encode()))
+        assert secrets.find_all(packed)[1], text
+
+
 def test_escape_inside_a_key_keeps_the_base_span():
     text = f"password=abcdefghijkl%41%42 x"
     base, spans, _, _ = secrets.find_all(text)
