@@ -3,7 +3,10 @@
 A page is cut into blocks at block-level tags. First pass: every block is
 judged alone by its length, stop-word density and link density, and by where it
 stands (menus, headers, footers, sidebars, notices, adverts, forms, comments,
-hidden parts are boilerplate). Second pass: a short or undecided block takes
+hidden parts are boilerplate; by element, role or a whole class or id). A name
+never rejects an ``article`` or ``main`` itself, nor, where none stands outside such
+containers, one that holds more than half of the page's text. On a page with too
+few known stop words, length and link density decide. Second pass: a short or undecided block takes
 the label of its nearest decided neighbours in the same main element: good if
 either nearest neighbour is good, or if none is decided and the element is the
 page's article. Where a page has an ``article`` or ``main`` element, main text
@@ -53,11 +56,13 @@ OUTSIDE = frozenset("""aside button dialog fieldset footer form head iframe inpu
 svg template textarea title""".split())
 MAIN = frozenset(("article", "main"))
 CLOSED_BY_BLOCK = frozenset(("p",))
+# Whole classes or ids: a part of one ("no-sidebar", "comments-open") says nothing.
 OUTSIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe"
-    r"|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side-bar|footer|masthead|site-header|page-header|comments?"
-    r"|commentlist|disqus\w*|replies|respond|related|share|sharing|social|pagination|pager|login|search|skip-link)(?=$|[\s_-])",
-    re.I)
+    r"ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|cookie-(?:banner|notice|consent|bar)|consent|notice|popup|modal"
+    r"|newsletter|subscribe|nav|navbar|navigation|(?:main|site|top|post|page)-nav(?:igation)?|menu|(?:main|site|top)-menu"
+    r"|breadcrumbs?|sidebar|side-bar|(?:left|right)-sidebar|sidebar-(?:left|right)|footer|(?:site|page)-(?:header|footer)"
+    r"|masthead|comments?|comments-area|comment-?list|disqus\w*|replies|respond|related|related-(?:posts|articles)|share"
+    r"|sharing|social|social-(?:links|share)|share-buttons|pagination|pager|login|search|search-form|skip-link", re.I)
 OUTSIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 TOKEN = re.compile(
@@ -74,15 +79,15 @@ GOOD, BAD, OPEN = 1, 0, None
 
 
 class Block:
-    __slots__ = ("parts", "link_parts", "outside", "main")
+    __slots__ = ("parts", "link_parts", "outside", "named", "main")
 
-    def __init__(self, outside: bool, main: int):
+    def __init__(self, outside: bool, named: int, main: int):
         self.parts: list[str] = []
         self.link_parts: list[str] = []
-        self.outside, self.main = outside, main
+        self.outside, self.named, self.main = outside, named, main
 
 
-def _hidden_or_named(attributes: str) -> bool:
+def _hidden(attributes: str) -> bool:
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m.group(1).lower(), (m.group(2) or "").strip("\"'")
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
@@ -91,29 +96,53 @@ def _hidden_or_named(attributes: str) -> bool:
             return True
         if name == "role" and value.lower() in OUTSIDE_ROLE:
             return True
-        if name in ("class", "id") and OUTSIDE_NAME.search(value):
-            return True
     return False
 
 
+def _named(attributes: str) -> bool:
+    return any(m.group(1).lower() in ("class", "id") and any(map(OUTSIDE_NAME.fullmatch, (m.group(2) or "").strip("\"'").split()))
+               for m in ATTRIBUTE.finditer(attributes))
+
+
+def _reject_named(found: list[Block], parents: list[int]) -> None:
+    """Blocks inside containers with a boilerplate name become outside, unless
+    the container holds most of the text. ``parents``: of each container the one
+    around it (0: none)."""
+    if len(parents) == 1:
+        return
+    sizes = [0] * len(parents)
+    for b in found:
+        if not b.outside:
+            sizes[b.named] += sum(len(x) - x.count(" ") for x in b.parts)
+    for i in range(len(parents) - 1, 0, -1):
+        sizes[parents[i]] += sizes[i]
+    spare = not any(b.main and not b.named and not b.outside for b in found)
+    rejected = [False] * len(parents)
+    for i in range(1, len(parents)):
+        rejected[i] = rejected[parents[i]] or not (spare and 2 * sizes[i] > sizes[0])
+    for b in found:
+        b.outside = b.outside or rejected[b.named]
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order, with their place: outside the main text or
     not, and the number of the innermost article or main element (0: none)."""
-    stack: list[tuple[str, bool, int]] = []        # open element, outside, main element
-    outside, main, links, n_main = False, 0, 0, 0
-    block = Block(False, 0)
+    stack: list[tuple[str, bool, int, int]] = []   # open element, outside, named container, main element
+    outside, named, main, links, n_main = False, 0, 0, 0, 0
+    parents = [0]
+    block = Block(False, 0, 0)
     found = [block]
 
     def new_block() -> None:
         nonlocal block
-        if block.parts or (block.outside, block.main) != (outside, main):
-            block = Block(outside, main)
+        if block.parts or (block.outside, block.named, block.main) != (outside, named, main):
+            block = Block(outside, named, main)
             found.append(block)
 
     def unwind(depth: int) -> None:
-        nonlocal outside, main, links
+        nonlocal outside, named, main, links
         while len(stack) > depth:
-            name, outside, main = stack.pop()
+            name, outside, named, main = stack.pop()
             links -= name == "a"
 
     at = 0
@@ -144,20 +173,24 @@ def blocks_of(page: str) -> list[Block]:
         if name == "body":
             unwind(0)
         if name not in VOID and not m.group(3).rstrip().endswith("/"):
-            stack.append((name, outside, main))
+            stack.append((name, outside, named, main))
             links += name == "a"
             if not outside:
                 if name in OUTSIDE or name == "header" and not main:
                     outside = True
-                elif m.group(3) and name not in ("html", "body") and _hidden_or_named(m.group(3)):
+                elif m.group(3) and name not in ("html", "body") and _hidden(m.group(3)):
                     outside = True
                 elif name in MAIN:
                     n_main += 1
                     main = n_main
+                elif m.group(3) and name not in ("html", "body") and _named(m.group(3)):
+                    parents.append(named)
+                    named = len(parents) - 1
         if is_block:
             new_block()
     if at < len(page):
         block.parts.append(page[at:])
+    _reject_named(found, parents)
     return found
 
 
@@ -165,13 +198,21 @@ def _clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-def first_pass(text: str, link_chars: int, in_main: bool) -> int | None:
-    """Label of a block on its own; None if it can't be decided."""
+def stop_words(text: str) -> tuple[int, int]:
+    """(stop words, words) of a block."""
     tokens = WORD.findall(text.lower())
-    density = sum(t in STOP_WORDS for t in tokens) / len(tokens) if tokens else 0.0
+    return sum(t in STOP_WORDS for t in tokens), len(tokens)
+
+
+def first_pass(text: str, link_chars: int, in_main: bool, density: float, known: bool) -> int | None:
+    """Label of a block on its own; None if it can't be decided. ``known``: the
+    page is in a language with stop words; else lengths count in bytes, as
+    scripts with several bytes a character say more in each."""
     linked = link_chars / len(text)
     if linked > MAX_LINKS:
         return OPEN if in_main and density >= STOP_LOW else BAD
+    if not known:
+        return GOOD if len(text.encode("utf-8", "surrogatepass")) >= SHORT_CHARS else OPEN
     if len(text) < SHORT_CHARS:
         return OPEN
     if density >= STOP_HIGH or density >= STOP_LOW and len(text) >= GOOD_CHARS:
@@ -187,15 +228,17 @@ def main_text(page: str | None) -> str:
     rows = []                                      # text, main element, label
     blocks = blocks_of(page)
     in_main_only = any(b.main and not b.outside for b in blocks)
-    for b in blocks:
-        text = _clean("".join(b.parts))
+    texts = [_clean("".join(b.parts)) for b in blocks]
+    stops = [(0, 0) if b.outside or in_main_only and not b.main else stop_words(t) for b, t in zip(blocks, texts)]
+    known = sum(s for s, _ in stops) >= STOP_LOW * sum(n for _, n in stops)
+    for b, text, (n_stop, n_words) in zip(blocks, texts, stops):
         if not text:
             continue
         if b.outside or in_main_only and not b.main:
             label = BAD
         else:
             link = len(_clean(" ".join(b.link_parts))) if b.link_parts else 0
-            label = first_pass(text, link, b.main > 0)
+            label = first_pass(text, link, b.main > 0, n_stop / max(n_words, 1), known)
         rows.append((text, 0 if label == BAD and b.outside else b.main, label))
     # Second pass: nearest decided neighbours in the same main element.
     before, after = [], [None] * len(rows)

@@ -152,6 +152,23 @@ def test_main_text_without_an_article_and_edges(spark):
     assert [(r.page_id, r.n_chars) for r in got if r.page_id < 3] == [(1, 0), (2, 0)] and len(got) == 4
 
 
+def test_names_reject_whole_classes_and_not_the_main_text():
+    for page in (f'<div class="site no-sidebar"><article class="post comments-open"><p>{PARAGRAPH}</p></article></div>',
+                 f'<main class="with-sidebar">{PARAGRAPH}</main>', f'<article class="related"><p>{PARAGRAPH}</article>',
+                 f'<nav>menu</nav><div id="search"><div class="x"><p>{PARAGRAPH}</p></div></div><p>Imprint</p>'):
+        assert htmltext.main_text(page).startswith(PARAGRAPH), page
+    page = f'<article>{PARAGRAPH}</article><div class="Comments x"><article>{PARAGRAPH * 3}</article></div>'
+    assert htmltext.main_text(page) == PARAGRAPH
+
+
+def test_pages_in_languages_without_known_stop_words():
+    for text in ("Nel mezzo di questa storia ogni persona trova sempre qualcosa che non aveva cercato prima, anche oggi.",
+                 "W środku tej historii każdy człowiek zawsze znajduje coś, czego wcześniej nie szukał, także dzisiaj.",
+                 "在这个故事的中间，每个人总能找到一些以前没有寻找过的东西，今天也是如此，明天仍然这样。"):
+        page = f"<ul><li><a href=x>{text}</a></li></ul><div><p>{text}</p><p>{text}</p></div><div class=menu>{text}</div>"
+        assert htmltext.main_text(page) == f"{text}\n{text}", text
+
+
 def test_article_blocks_equal_the_articles_of_the_pages_table():
     import re
 
