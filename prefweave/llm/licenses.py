@@ -87,6 +87,41 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",),
 }
+
+
+def _gnu(name: str, subject: str, version: str) -> str:
+    """The notice of the GNU licences, in their own words."""
+    return (f"{subject} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} "
+            f"as published by the Free Software Foundation, either version {version} of the License, or (at your option) "
+            "any later version.")
+
+
+TEMPLATES["GPL-2.0"] += (
+    _gnu("General Public License", "This program", "2").replace("software:", "software;").replace("either", "; either"),)
+TEMPLATES |= {
+    "LGPL-2.1": (_gnu("Lesser General Public License", "This library", "2.1"),
+                 "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    "LGPL-2.0": (_gnu("Library General Public License", "This library", "2"),
+                 "This work is licensed under the GNU Library General Public License, version 2."),
+    "LGPL-3.0": (_gnu("Lesser General Public License", "This program", "3"),
+                 "This work is licensed under the GNU Lesser General Public License, version 3."),
+    "AGPL-3.0": (_gnu("Affero General Public License", "This program", "3"),
+                 "This work is licensed under the GNU Affero General Public License, version 3."),
+    "BSD-3-Clause": (
+        TEMPLATES["BSD-2-Clause"][0] + " 3. Neither the name of the copyright holder nor the names of its contributors "
+        "may be used to endorse or promote products derived from this software without specific prior written "
+        "permission.",),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, "
+        "for any purpose, commercial or non-commercial, and by any means.",),
+    "CC0-1.0": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty.",),
+}
 COMMON_WORDS = frozenset("a an and any are as at be by for form from if in is it may not of on or software that the this "
                          "to under with you".split())
 

@@ -120,6 +120,18 @@ def test_licences_found_as_by_brute_force(docs):
     assert texts[0][start:end] == "Licensed under CC BY-NC 4.0"
 
 
+def test_each_of_the_families_has_its_own_name(docs):
+    gnu = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as "
+           "published by the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+    texts = {"GPL-2.0": gnu.format("program", "General Public", "2"), "GPL-3.0": gnu.format("program", "General Public", "3"),
+             "LGPL-2.1": gnu.format("library", "Lesser General Public", "2.1"),
+             "LGPL-3.0": gnu.format("program", "Lesser General Public", "3"),
+             "AGPL-3.0": gnu.format("program", "Affero General Public", "3")}
+    texts |= {name: licenses.TEMPLATES[name][0] for name in ("BSD-2-Clause", "BSD-3-Clause", "EPL-2.0", "Unlicense", "CC0-1.0")}
+    got = licenses.scan_licenses(docs([(i, f"Hello.\n{t}\nOther words.") for i, t in enumerate(texts.values())])).collect()
+    assert [r.licenses for r in sorted(got, key=lambda r: r.doc_id)] == list(texts)
+
+
 def test_each_of_many_repeated_notices_is_found(docs):
     notice = "Licensed under CC BY 4.0.\n"
     got = licenses.scan_licenses(docs([(1, notice * 20_000), (2, notice * 3 + "Released under the MIT License.")])).collect()
