@@ -7,9 +7,10 @@ few shares), is encoded by one tanh layer, gets a gated attention weight
 the weighted mean of the encodings is scored by a logistic head.
 
 Training: a bounded sample of labelled rows, ``PER_LABEL`` of each label, the
-smallest hashes of the id among rows whose crc32 of the id is not 0 modulo 5
-and whose text has at most ``TRAIN_CHARS`` characters (this bounds what is
-learned from; scoring reads every whole text). Passage features are made by
+smallest hashes of the id among rows whose crc32 of the id is not 0 modulo 5,
+whatever their length. Of a text with more than ``TRAIN_PASSAGES`` passages, that
+many from evenly across the whole text are learned from (this bounds the driver's
+memory; scoring reads every whole text). Passage features are made by
 Spark tasks; the driver gets them as half floats and fits the small network by
 full-batch gradients with numpy. Scoring is a narrow Arrow map; a document's
 passages pass through in blocks with a running softmax, so a very long text
@@ -35,7 +36,7 @@ from prefweave.llm.textarrays import IS_SPACE, chunks, mix, word_hashes, words
 PASSAGE_WORDS = 48
 BUCKETS = 256                  # hashed byte bigrams
 PER_LABEL = 500
-TRAIN_CHARS = 20_000
+TRAIN_PASSAGES = 64            # of a document, at most, in training
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, LEARNING_RATE, DECAY = 160, 0.02, 1e-4
 THRESHOLD = 0.3
@@ -164,11 +165,17 @@ class Network:
         return 1 / (1 + np.exp(-((bag / total[:, None]) @ self.head + self.head_b)))
 
 
+def _spread(x: np.ndarray) -> np.ndarray:
+    """At most ``TRAIN_PASSAGES`` rows, evenly from first to last."""
+    n = len(x)
+    return x if n <= TRAIN_PASSAGES else x[np.arange(TRAIN_PASSAGES) * (n - 1) // (TRAIN_PASSAGES - 1)]
+
+
 def _feature_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, buf, offs in chunks(batch):
             x, first = passage_features(buf, offs)
-            rows = [x[a:b].astype(np.float16).tobytes() for a, b in zip(first[:-1], first[1:])]
+            rows = [_spread(x[a:b]).astype(np.float16).tobytes() for a, b in zip(first[:-1], first[1:])]
             yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], batch.column(1)[lo:hi], pa.array(rows, pa.binary())],
                                              ["doc_id", "y", "x"])
 
@@ -177,7 +184,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_label: int) ->
     """(doc_id, y, text) of the bounded labelled sample."""
     marks = need(labels, "doc_id", "quality").where(F.col("quality").isNotNull() & (split_crc() != 0))
     marks = marks.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("y"))
-    fit = need(documents, "doc_id", "text").where(F.length("text") <= TRAIN_CHARS)
+    fit = need(documents, "doc_id", "text").where(F.col("text").isNotNull())
     marks = marks.join(fit.select("doc_id").distinct(), "doc_id", "left_semi")
     marks = marks.withColumn("h", F.xxhash64("doc_id")).withColumn("salt", F.pmod(F.hash("doc_id"), F.lit(64)))
     near = Window.partitionBy("y", "salt").orderBy("h", "doc_id")

@@ -68,6 +68,13 @@ def test_quality_blocks_give_the_same_score(spark):
     assert np.allclose(network.score(x, first), network.score(x, first, block=7))
 
 
+def test_quality_learns_from_long_texts(spark, docs):
+    rows = [(i, ("good plain words in a line " * 1000) if i % 2 else "buy!!! 99 $$$ now " * 20) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    got = quality.score_quality(docs(rows), labels).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in got)
+
+
 def test_quality_edges(spark, docs):
     d = docs([(1, None), (2, ""), (3, "word " * 100_000), (3, "word"), (None, "x")])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
