@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from prefweave.llm import ann, decontaminate, htmltext, language, licenses, linededup, ngram_join, packing, quality, secrets
+from prefweave.llm import (ann, codes, decontaminate, htmltext, language, licenses, linededup, ngram_join, packing,
+                           quality, secrets, urls, whitening)
+from prefweave.llm.oracle import ORACLE_SQL  # noqa: F401  (registered by the entry point)
 from prefweave.llm.tables import read
 
 QUERY_EVERY = 20               # ids divisible by this are the queries of the search
@@ -54,11 +56,19 @@ def op10_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return urls.filter_urls(read(spark, sf, "pages"))
+
+
+def op12_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return codes.compress(read(spark, sf, "embeddings"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_language_id, op3_hash_prefix_forest, op4_ngram_jaccard_join, op5_line_dedup,
-    op6_best_fit_packing, op7_decontamination, op8_quality_mil, op9_html_extraction, op10_license_scan)}
-
-# None of them is plain SQL (trained models, decoding, tiling, packing, graph
-# components over whole texts); tests/llm checks each against brute force,
-# round trips or held-out accuracy.
-ORACLE_SQL: dict[str, str] = {}
+    op6_best_fit_packing, op7_decontamination, op8_quality_mil, op9_html_extraction, op10_license_scan,
+    op11_url_filter, op12_vector_codes, op13_embedding_whitening)}
