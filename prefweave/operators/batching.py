@@ -30,21 +30,24 @@ def template_prompts(prompts: DataFrame, template: tpl.ChatTemplate = tpl.ALTERN
 _ROW_BITS = 33          # monotonically_increasing_id: partition id above, row number below
 
 
-def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos") -> DataFrame:
+def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos",
+                   then_by: list[str] | None = None) -> DataFrame:
     """Dense 0-based positions in ``order_by`` order (unique keys), for inputs
-    without a list index (K4).
+    without a list index (K4). ``then_by`` orders rows with equal keys, which
+    meet in one partition.
 
     No global window (it would pull every row into one task): rows are range-
     partitioned and sorted, tagged with ``monotonically_increasing_id`` and
     written once to the shared folder, so the tags stay fixed even if an
     executor is lost. A table of one row per partition holds its offset and is
-    joined by partition; a position is offset + row number within the partition.
+    broadcast (two numbers for each written file, so no row is shuffled again);
+    a position is offset + row number within the partition.
     """
     from prefweave.session import scratch_path
 
     spark = df.sparkSession
     path = scratch_path(spark, "positions")
-    (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by, *(then_by or []))
      .withColumn("_mid", F.monotonically_increasing_id())
      .write.parquet(path))
     tagged = spark.read.parquet(path)
@@ -53,7 +56,7 @@ def with_positions(df: DataFrame, order_by: list[str], pos: str = "pos") -> Data
     offsets = (tagged.groupBy(pid.alias("_p")).count()              # one row per partition
                .select("_p", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before")))
     row = F.col("_mid").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (tagged.withColumn("_p", pid).join(offsets, "_p")
+    return (tagged.withColumn("_p", pid).join(F.broadcast(offsets), "_p")
             .withColumn(pos, (F.col("_before") + row).cast("bigint")).drop("_mid", "_p", "_before"))
 
 

@@ -17,6 +17,8 @@ from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
     assign_batches, collect_batches, template_prompts, truncate_left, with_positions)
 from prefweave.operators.conversations import final_assistant, prompt_and_response, turns_to_messages
+from prefweave.operators.flat_turns import (
+    final_assistant_turns, number_turns, pair_status, prompt_and_response_turns)
 from prefweave.operators.lengths import filter_by_length, length_limits
 from prefweave.operators.profile import profile
 from prefweave.operators.sampling import sample_n, split_column
@@ -114,6 +116,23 @@ def q_prompt_and_response(spark, sf):
                      F.col("response.content").alias("response_content"))
 
 
+def q_final_assistant_flat(spark, sf):
+    """A1, A2 without an array per conversation: a long one spans many tasks."""
+    return final_assistant_turns(number_turns(conversations(spark, sf), ["conv_id"]), ["conv_id"]).select(
+        "conv_id", "final_idx", "final_content")
+
+
+def q_prompt_and_response_flat(spark, sf):
+    """A3, A4 as rows: the turns of every prompt and response in their places."""
+    t = prompt_and_response_turns(number_turns(conversations(spark, sf), ["conv_id"]), ["conv_id"])
+    return t.select("conv_id", "idx", "part", "role", "text")
+
+
+def q_pair_status_flat(spark, sf):
+    """P6, P7 from flat pairs: prefixes compared as sums, then turn by turn."""
+    return pair_status(fixtures.flat_pairs_from_conversations(conversations(spark, sf)))
+
+
 def q_pair_status(spark, sf):
     return with_status(pairs(spark, sf)).select("pair_id", "status")
 
@@ -334,7 +353,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "turns_to_messages": q_turns_to_messages,
     "final_assistant": q_final_assistant,
     "prompt_and_response": q_prompt_and_response,
+    "final_assistant_flat": q_final_assistant_flat,
+    "prompt_and_response_flat": q_prompt_and_response_flat,
     "pair_status": q_pair_status,
+    "pair_status_flat": q_pair_status_flat,
     "triplets_alternating": q_triplets_alternating,
     "triplets_chatml": q_triplets_chatml,
     "prompts_upstream_template": q_prompts_upstream_template,

@@ -166,6 +166,13 @@ SELECT conv_id, CAST(len(pm) AS BIGINT) AS n_prompt_messages,
        resp.content AS response_content
 FROM p""",
 
+    "prompt_and_response_flat": f"""WITH r AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS idx
+  FROM conversations),
+f AS (SELECT conv_id, max(idx) AS fi FROM r WHERE role = 'assistant' GROUP BY conv_id)
+SELECT r.conv_id, r.idx, CASE WHEN r.idx = f.fi THEN 'response' ELSE 'prompt' END AS part, r.role, r.text
+FROM r JOIN f ON f.conv_id = r.conv_id WHERE r.idx <= f.fi""",
+
     "pair_status": f"WITH {triplets_cte()}\nSELECT pair_id, status FROM trip",
 
     "triplets_alternating": f"""WITH {triplets_cte()}
@@ -344,3 +351,7 @@ k AS (SELECT CAST('0x' || substr(md5(CAST(to_json({{'chosen': chosen, 'rejected'
 s AS (SELECT pair_id FROM k ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)) LIMIT 70),
 r AS (SELECT pair_id, row_number() OVER (ORDER BY md5('7:' || CAST(pair_id AS VARCHAR))) AS rn, count(*) OVER () AS n FROM s)
 SELECT pair_id, CASE WHEN rn <= CAST(floor(0.2 * n) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM r"""
+
+# The flat forms give the rows of the array forms.
+ORACLE_SQL["final_assistant_flat"] = ORACLE_SQL["final_assistant"]
+ORACLE_SQL["pair_status_flat"] = ORACLE_SQL["pair_status"]

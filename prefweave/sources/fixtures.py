@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from prefweave.functions.conversation import final_assistant_index, message_at
 from prefweave.operators.conversations import turns_to_messages
+from prefweave.operators.flat_turns import conversation_bounds, final_assistant_turns, number_turns
+from prefweave.operators.keyed import join_by_key
 
 PREFIX_EDIT_EVERY = 13      # conversations whose id is a multiple get turn 0 edited
 PREFIX_EDIT_SUFFIX = " (edited)"
@@ -57,6 +59,30 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
         F.transform("messages", rejected_message).alias("rejected"))
 
 
+def flat_pairs_from_conversations(conversations: DataFrame) -> DataFrame:
+    """The same pairs as flat turns ``pair_id, side, turn, role, text``, without
+    an array per conversation: the last assistant text of the next conversation
+    and the place of each turn come from narrow tables, one row a conversation."""
+    key = ["conv_id"]
+    numbered = number_turns(conversations.where(F.col("conv_id").isNotNull()), key)
+    last = final_assistant_turns(numbered, key)
+    n_convs = last.select(F.count(F.lit(1))).scalar()
+    alt = last.select(F.col("conv_id").alias("next_id"), F.col("final_content").alias("alt_text"))
+    bounds = conversation_bounds(numbered, key)
+    per_conv = (bounds.withColumn("next_id", (F.col("conv_id") + 1) % n_convs).join(alt, "next_id", "left")
+                .drop("next_id"))
+    rows = join_by_key(numbered, per_conv, key, "n_turns")
+    fi, idx = F.col("_last") - F.col("_first"), F.col("_at") - F.col("_first")
+    edited = (F.when(idx == fi, F.coalesce("alt_text", "text"))
+              .when((F.col("conv_id") % PREFIX_EDIT_EVERY == 0) & (idx == 0) & (fi > 0),
+                    F.concat("text", F.lit(PREFIX_EDIT_SUFFIX))).otherwise(F.col("text")))
+
+    def side(name: str, text) -> DataFrame:
+        return rows.select(F.col("conv_id").alias("pair_id"), F.lit(name).alias("side"), "turn", "role", text.alias("text"))
+
+    return side("chosen", F.col("text")).unionByName(side("rejected", edited))
+
+
 def logprobs_from_embeddings(embeddings: DataFrame) -> DataFrame:
     """Stand-in log-probabilities: four consecutive vectors per step."""
     e = F.col("embedding")

@@ -1,9 +1,11 @@
-from pyspark.sql import functions as F
+import random
+
+import pytest
+from pyspark.sql import types as T
 
 from prefweave.functions.conversation import final_assistant_index
 from prefweave.operators.conversations import final_assistant, prompt_and_response, turns_to_messages
 from prefweave.schemas import CONVERSATION
-from pyspark.sql import types as T
 
 
 def _convs(spark, rows):
@@ -15,22 +17,36 @@ def m(role, content="x"):
     return {"role": role, "content": content}
 
 
-def test_final_assistant_index_cases(spark):
-    # Ends in an answer; ends in an open question; empty.
-    df = _convs(spark, [
-        (1, [m("user", "q1"), m("assistant", "r1"), m("user", "q2"), m("assistant", "r2")]),
-        (2, [m("user", "q1"), m("assistant", "r1"), m("user", "q2")]),
-        (3, []),
-    ])
-    got = dict(df.select("conv_id", final_assistant_index("messages").alias("i")).collect())
-    assert got == {1: 3, 2: 1, 3: None}
+def last_place(roles, wanted="assistant"):
+    """A plain loop from the front."""
+    found = None
+    for place, role in enumerate(roles):
+        if role == wanted:
+            found = place
+    return found
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_last_assistant_place_of_generated_conversations(spark, seed):
+    """Role sequences drawn at random: null and unknown roles, none at all, no
+    assistant turn, a single assistant turn at either end, some thousand turns."""
+    rng = random.Random(seed)
+    kinds = ["assistant", "user", "system", "tool", "Assistant", "", None]
+    drawn = [[rng.choice(kinds) for _ in range(rng.randrange(0, 9))] for _ in range(300)]
+    drawn += [[rng.choice(kinds[1:]) for _ in range(n)] for n in (1, 2, 7, 2500)]
+    drawn += [["assistant"] + ["user"] * 3000, [None] * 40 + ["assistant"]]
+    df = _convs(spark, [(i, [m(r, f"{i}/{k}") for k, r in enumerate(roles)]) for i, roles in enumerate(drawn)] + [(-1, None)])
+    got = {r.conv_id: r for r in final_assistant(df).select("conv_id", "final_idx", "final_content").collect()}
+    assert got[-1].final_idx is None and len(got) == len(drawn) + 1
+    for i, roles in enumerate(drawn):
+        place = last_place(roles)
+        assert (got[i].final_idx, got[i].final_content) == (place, None if place is None else f"{i}/{place}"), roles[:12]
 
 
 def test_final_assistant_and_split(spark):
     df = _convs(spark, [(1, [m("user", "a"), m("assistant", "b"), m("user", "c")]),
                         (2, [m("user", "a")])])
-    fa = {r.conv_id: (r.final_idx, r.final_content) for r in final_assistant(df).collect()}
-    assert fa == {1: (1, "b"), 2: (None, None)}
+    assert df.select(final_assistant_index("messages").alias("i")).schema["i"].dataType == T.IntegerType()
     pr = {r.conv_id: r for r in prompt_and_response(df).collect()}
     assert [x.role for x in pr[1].prompt_messages] == ["user"]
     assert pr[1].response.content == "b"
