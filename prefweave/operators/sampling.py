@@ -69,8 +69,10 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "pair_id",
 
 def split_column(df: DataFrame, test_size: int | None = None, test_fraction: float = 0.2,
                  seed: int = 7, key: str = "pair_id", column: str = "split", chosen="test", rest="train",
-                 allow_fewer: bool = False) -> DataFrame:
+                 allow_fewer: bool = False, among: Column | None = None) -> DataFrame:
     """Add ``split`` = 'test' for exactly ``test_size`` rows, else 'train' (L3).
+    With ``among`` only the rows it holds for are counted and split; the others
+    stay, with a null split.
 
     Default size is ``int(test_fraction * count)``, the reference's rule; the
     count (G5) comes from the same job as the first step of the search. Use a
@@ -78,24 +80,25 @@ def split_column(df: DataFrame, test_size: int | None = None, test_fraction: flo
     sample.
     """
     h, c = "_order", "_content"
-    keyed = df.withColumn(h, order_hash(key, seed))
-    prefix, want, size, k, total = cutoff(keyed.select(h), h, test_size,
+    counted = F.lit(True) if among is None else among
+    keyed = df.withColumn(h, F.when(counted, order_hash(key, seed)))
+    prefix, want, size, k, total = cutoff(keyed.select(h).where(F.col(h).isNotNull()), h, test_size,
                                           None if test_size is not None else test_fraction)
     if k > total and not allow_fewer:
         raise ValueError(f"{total} rows in the input, fewer than the {k} asked for")
     if k <= 0 or k >= total:
-        return df.withColumn(column, F.lit(rest if k <= 0 else chosen))
+        return df.withColumn(column, F.when(counted, F.lit(rest if k <= 0 else chosen)))
 
     def mark(rows: DataFrame, by: str, upto: str) -> DataFrame:
         at = F.substring(by, 1, len(upto))
-        return rows.withColumn(column, F.when(at <= upto, F.lit(chosen)).otherwise(F.lit(rest)))
+        return rows.withColumn(column, F.when(at <= upto, F.lit(chosen)).when(at > upto, F.lit(rest)))
 
     if want == size:
         return mark(keyed, h, prefix).drop(h)
     # Rows of one key at the cutoff: in order of their content.
     tied = keyed.where(F.col(h) == prefix).withColumn(c, content_hash(df))
     upto, want, size, _, _ = cutoff(tied.select(c), c, want)
-    marked = mark(keyed.where(F.col(h) != prefix), h, prefix).drop(h)
+    marked = mark(keyed.where(F.col(h).isNull() | (F.col(h) != prefix)), h, prefix).drop(h)
     if want == size:
         return marked.unionByName(mark(tied, c, upto).drop(h, c))
     # Rows equal in everything: any ``want`` of them, the others stay behind.

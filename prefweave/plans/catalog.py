@@ -24,8 +24,8 @@ from prefweave.operators.profile import profile
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets, with_status
 from prefweave.plans.eval_prompts import padded_prompt_batches
-from prefweave.plans.prepare import prepare_preference_data, token_length_table
-from prefweave.schemas import PAIR
+from prefweave.plans.prepare import prepare_files, prepare_preference_data, token_length_table
+from prefweave.schemas import FLAT_PAIR, PAIR
 from prefweave.session import scratch_path
 from prefweave.sources import fixtures
 from prefweave.sources.records import file_state, materialize_table, read_pairs, write_records
@@ -130,7 +130,9 @@ def q_prompt_and_response_flat(spark, sf):
 
 def q_pair_status_flat(spark, sf):
     """P6, P7 from flat pairs: prefixes compared as sums, then turn by turn."""
-    return pair_status(fixtures.flat_pairs_from_conversations(conversations(spark, sf)))
+    flat = materialize_table(spark, lambda: fixtures.flat_pairs_from_conversations(conversations(spark, sf)),
+                             "flat-pairs", _source(spark, sf), FLAT_PAIR)
+    return pair_status(flat)
 
 
 def q_pair_status(spark, sf):
@@ -175,7 +177,7 @@ def _stacked(parts: dict[str, DataFrame]) -> DataFrame:
 def _prepared(spark, sf):
     return prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
                                    n_samples=None, split_seed=SPLIT_SEED,
-                                   test_fraction=TEST_FRACTION)
+                                   test_fraction=TEST_FRACTION, state=_source(spark, sf)["files"])
 
 
 def q_json_round_trip(spark, sf):
@@ -209,7 +211,7 @@ def q_keyless_pairs(spark, sf):
 def _prepared_sample(spark, sf):
     return prepare_preference_data(spark, pairs(spark, sf), source=f"conversations:{sf}",
                                    n_samples=SAMPLE_N, sample_seed=SAMPLE_SEED, allow_fewer=True,
-                                   split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
+                                   split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION, state=_source(spark, sf)["files"])
 
 
 def q_prepare_sampled(spark, sf):
@@ -226,6 +228,38 @@ def q_prepare_outcome(spark, sf):
         parts["quarantine"].select("pair_id", F.col("status").alias("outcome")))
 
 
+def q_prepare_outcome_counts(spark, sf):
+    """The counts that the write of ``prepare_sampled`` observed, by outcome."""
+    counts = _prepared_sample(spark, sf).counts
+    return spark.createDataFrame([(k, n) for k, n in counts.items() if n], "outcome string, n_pairs bigint")
+
+
+def q_prepare_growing(spark, sf):
+    """Pair files prepared, a file added, prepared again. Only the new file's
+    pairs are read the second time; the result is that of a cold start."""
+    path = scratch_path(spark, "growing-pairs")
+    first = F.col("pair_id") % 3 != 0
+    pairs(spark, sf).where(first).write.parquet(path)
+    prepare_files(spark, path, n_samples=None, split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION)
+    pairs(spark, sf).where(~first).coalesce(1).write.mode("append").parquet(path)
+    return _stacked(prepare_files(spark, path, n_samples=None, split_seed=SPLIT_SEED, test_fraction=TEST_FRACTION))
+
+
+def q_triplets_strict(spark, sf):
+    """P7 strict over clean pairs: the first malformed pair would fail the job.
+    They are written first: the check is a filter, which Spark would move in
+    front of any join or filter that picked them."""
+    path, p = scratch_path(spark, "clean-pairs"), pairs(spark, sf)
+    clean = with_status(p).where(F.col("status") == "ok").select("pair_id")
+    p.join(clean, "pair_id", "left_semi").write.parquet(path)
+    return create_triplets(read_pairs(spark, path), mode="strict")
+
+
+def q_pair_status_varied(spark, sf):
+    """§2.10: pairs with every status among them."""
+    return with_status(fixtures.varied_pairs(pairs(spark, sf))).select("pair_id", "status")
+
+
 def q_dataset_profile(spark, sf):
     parts = _prepared(spark, sf)
     return profile({s: parts[s] for s in ("train", "test")})
@@ -367,6 +401,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pairs_json_round_trip": q_pairs_json_round_trip,
     "prepare_sampled": q_prepare_sampled,
     "prepare_outcome": q_prepare_outcome,
+    "prepare_outcome_counts": q_prepare_outcome_counts,
+    "prepare_growing": q_prepare_growing,
+    "triplets_strict": q_triplets_strict,
+    "pair_status_varied": q_pair_status_varied,
     "keyless_pairs": q_keyless_pairs,
     "dataset_profile": q_dataset_profile,
     "length_limits": q_length_limits,

@@ -61,7 +61,22 @@ _ALT_RENDER = """array_to_string(list_transform(pm, lambda x:
 _CHATML_PIECE = "'<|im_start|>' || {x}.role || chr(10) || {x}.content || chr(10) || '<|im_end|>' || chr(10)"
 
 
-def triplets_cte(chatml: bool = False) -> str:
+def _varied(side: str) -> str:
+    null_answer = "WHEN pair_id % 16 = 6 AND i - 1 = fi THEN NULL " if side == "rejected" else ""
+    null_side = "WHEN pair_id % 16 = 1 THEN NULL " if side == "chosen" else ""
+    return f"""CASE {null_side}WHEN pair_id % 16 = 2 AND fi IS NOT NULL THEN list_slice({side}, fi + 1, fi + 1)
+     ELSE list_transform({side}, lambda x, i: {{
+       'role': CASE WHEN pair_id % 16 = 3 AND i = 2 AND fi > 1 THEN 'tool' WHEN pair_id % 16 = 4 AND i = 1 AND fi > 0 THEN NULL
+                    WHEN pair_id % 16 = 7 AND i = 1 AND fi > 0 THEN 'assistant' ELSE x.role END,
+       'content': CASE WHEN pair_id % 16 = 5 AND i = 1 AND fi > 0 THEN NULL {null_answer}ELSE x.content END}}) END AS {side}"""
+
+
+VARIED = f"""{PAIRS.replace("pairs AS (", "plain_pairs AS (")},
+placed_pairs AS (SELECT *, {_fi('chosen')} AS fi FROM plain_pairs),
+pairs AS (SELECT pair_id, {_varied('chosen')}, {_varied('rejected')} FROM placed_pairs)"""
+
+
+def triplets_cte(chatml: bool = False, pairs: str = PAIRS) -> str:
     """CTEs ``tp_*`` ending in ``trip(pair_id, status, prompt, chosen, rejected)``."""
     if chatml:
         pm = ("CASE WHEN coalesce(pr[1].role = 'system', false) THEN pr "
@@ -76,7 +91,7 @@ def triplets_cte(chatml: bool = False) -> str:
         violation = _ALT_VIOLATION
         render = _ALT_RENDER
         final_c, final_r = "resp_c.content || '</s>'", "resp_r.content || '</s>'"
-    return f"""{PAIRS},
+    return f"""{pairs},
 tp_idx AS (SELECT pair_id, chosen, rejected, {_fi('chosen')} AS ci, {_fi('rejected')} AS ri FROM pairs),
 tp_parts AS (SELECT pair_id, ci, ri, chosen IS NULL OR rejected IS NULL AS null_conv,
                     list_slice(chosen, 1, ci) AS pr, list_slice(rejected, 1, ri) AS rr,
@@ -352,6 +367,12 @@ s AS (SELECT pair_id FROM k ORDER BY md5('42:' || CAST(pair_id AS VARCHAR)) LIMI
 r AS (SELECT pair_id, row_number() OVER (ORDER BY md5('7:' || CAST(pair_id AS VARCHAR))) AS rn, count(*) OVER () AS n FROM s)
 SELECT pair_id, CASE WHEN rn <= CAST(floor(0.2 * n) AS BIGINT) THEN 'test' ELSE 'train' END AS split FROM r"""
 
+_OUTCOMES = f"({ORACLE_SQL['prepare_outcome']})"
+ORACLE_SQL["prepare_outcome_counts"] = f"SELECT outcome, count(*) AS n_pairs FROM {_OUTCOMES} GROUP BY outcome"
+ORACLE_SQL["prepare_growing"] = ORACLE_SQL["json_round_trip"]
+ORACLE_SQL["triplets_strict"] = ORACLE_SQL["triplets_alternating"]
+ORACLE_SQL["pair_status_varied"] = f"WITH {triplets_cte(pairs=VARIED)}\nSELECT pair_id, status FROM trip"
+
 # The flat forms give the rows of the array forms.
 ORACLE_SQL["final_assistant_flat"] = ORACLE_SQL["final_assistant"]
 ORACLE_SQL["pair_status_flat"] = ORACLE_SQL["pair_status"]

@@ -14,6 +14,15 @@ PAIR = T.StructType([
     T.StructField("rejected", CONVERSATION),
 ])
 
+# A pair as turns, a row each (``operators.flat_turns``).
+FLAT_PAIR = T.StructType([
+    T.StructField("pair_id", T.LongType()),
+    T.StructField("side", T.StringType()),
+    T.StructField("turn", T.LongType()),
+    T.StructField("role", T.StringType()),
+    T.StructField("text", T.StringType()),
+])
+
 # The reference's triplet has exactly three strings; we keep the pair key next
 # to them because a DataFrame has no "row 0" to preview or split by.
 TRIPLET = T.StructType([

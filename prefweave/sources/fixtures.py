@@ -59,6 +59,33 @@ def pairs_from_conversations(conversations: DataFrame) -> DataFrame:
         F.transform("messages", rejected_message).alias("rejected"))
 
 
+def varied_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs with faults of every kind put in by ``pair_id % 16``: 1 a null
+    conversation, 2 the last answer alone, 3 an unknown role in the second turn,
+    4 a null role first, 5 a null content first, 6 a null content in the rejected
+    answer, 7 an answer first. Both sides alike, so that prefixes still agree,
+    but for 1 and 6."""
+    kind, fi = F.col("pair_id") % 16, final_assistant_index("chosen")
+
+    def faulty(side: str):
+        def message(x, i):
+            first = i == 0
+            role = (F.when((kind == 3) & (i == 1) & (fi > 1), F.lit("tool"))
+                    .when((kind == 4) & first & (fi > 0), F.lit(None).cast("string"))
+                    .when((kind == 7) & first & (fi > 0), F.lit("assistant")).otherwise(x.role))
+            content = F.when((kind == 5) & first & (fi > 0), F.lit(None).cast("string")).otherwise(x.content)
+            if side == "rejected":
+                content = F.when((kind == 6) & (i == fi), F.lit(None).cast("string")).otherwise(content)
+            return F.struct(role.alias("role"), content.alias("content"))
+
+        whole = F.transform(side, message)
+        if side == "chosen":
+            whole = F.when(kind != 1, whole)
+        return F.when((kind == 2) & fi.isNotNull(), F.slice(side, fi + 1, 1)).otherwise(whole)
+
+    return pairs.select("pair_id", faulty("chosen").alias("chosen"), faulty("rejected").alias("rejected"))
+
+
 def flat_pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     """The same pairs as flat turns ``pair_id, side, turn, role, text``, without
     an array per conversation: the last assistant text of the next conversation

@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from prefweave.schemas import PAIR, TRIPLET
@@ -44,7 +44,7 @@ def read_pairs(spark: SparkSession, path: str, fmt: str = "parquet",
     return rows.withColumn("pair_id", F.coalesce("pair_id", pair_key()))
 
 
-def read_records(spark: SparkSession, path: str, schema: StructType = TRIPLET) -> DataFrame:
+def read_records(spark: SparkSession, path: str | list[str], schema: StructType = TRIPLET) -> DataFrame:
     """JSON-lines records; a line that does not parse fails the job, named in
     the error. ``read_lines`` keeps such lines instead."""
     rows = read_lines(spark, path, schema)
@@ -56,7 +56,7 @@ def read_records(spark: SparkSession, path: str, schema: StructType = TRIPLET) -
     return rows.where(F.coalesce(ok, F.lit(True))).drop(CORRUPT)
 
 
-def read_lines(spark: SparkSession, path: str, schema: StructType = TRIPLET) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], schema: StructType = TRIPLET) -> DataFrame:
     """The records with ``_corrupt_record``: null, or the text of a bad line."""
     return (spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())]))
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path))
@@ -103,28 +103,31 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 # Bump when the meaning of a cached output changes, so old caches are never served.
-CACHE_VERSION = "4"
+CACHE_VERSION = "5"
 
 
-def _built(spark: SparkSession, base: str, write: Callable[[str], None]) -> str:
+def _built(spark: SparkSession, base: str, write: Callable[[str], dict | None]) -> tuple[str, dict]:
     """The folder of a complete write under ``base``, written now if there is
-    none. Every attempt has its own folder and is announced last, by a small
-    file of its own, so concurrent builders and failed ones never meet."""
-    def announced() -> str | None:
+    none, and what ``write`` returned then. Every attempt has its own folder and
+    is announced last, by a small file of its own, so concurrent builders and
+    failed ones never meet."""
+    def announced() -> dict | None:
         try:
             done = spark.read.option("recursiveFileLookup", "true").text(f"{base}/announced")
         except AnalysisException as error:
             if not _missing(error):
                 raise
             return None
-        return done.agg(F.min("value")).first()[0]
+        first = done.agg(F.min("value")).first()[0]
+        return None if first is None else json.loads(first)
 
-    attempt = announced()
-    if attempt is None:
+    entry = announced()
+    if entry is None:
         attempt = uuid.uuid4().hex
-        write(f"{base}/{attempt}")
-        spark.range(1).select(F.lit(attempt).alias("value")).write.text(f"{base}/announced/{attempt}")
-    return f"{base}/{attempt}"
+        entry = {"attempt": attempt, "about": write(f"{base}/{attempt}") or {}}
+        line = json.dumps(entry, sort_keys=False)
+        spark.range(1).select(F.lit(line).alias("value")).write.text(f"{base}/announced/{attempt}")
+    return f"{base}/{entry['attempt']}", entry["about"]
 
 
 def _base(spark: SparkSession, name: str, params: Mapping, root: str | None, fmt: str) -> str:
@@ -136,30 +139,59 @@ def _base(spark: SparkSession, name: str, params: Mapping, root: str | None, fmt
 def materialize(spark: SparkSession, build: Callable[[], DataFrame],
                 name: str, params: Mapping, schema: StructType = TRIPLET,
                 splits: tuple[str, ...] = ("train", "test"), split_col: str = "split",
-                root: str | None = None, fmt: str = "json") -> dict[str, DataFrame]:
-    """Return ``{split: DataFrame}`` read from ``root/name-<fingerprint>``.
+                root: str | None = None, fmt: str = "json",
+                count: tuple[str, ...] = ()) -> "Materialized":
+    """The splits read from ``root/name-<fingerprint>``.
 
-    ``build`` returns one DataFrame with a ``split`` column; it is written in a
-    single job partitioned by split (so the plan behind it runs once), unless
-    a complete earlier write with the same fingerprint exists. ``params`` must
+    ``build`` returns one DataFrame with a ``split_col`` column; it is written in
+    a single job partitioned by it (so the plan behind it runs once), unless a
+    complete earlier write with the same fingerprint exists. ``params`` must
     name everything that the rows depend on, the input's state included. Splits
     are always read back with the explicit schema. ``fmt`` is ``json`` (record
     files, as the reference writes them) or ``parquet`` (columnar, faster to
-    scan at scale).
+    scan at scale). The rows of each value in ``count`` are counted by the write
+    itself, and the counts kept with it.
     """
     if fmt not in ("json", "parquet"):
         raise ValueError(f"unsupported format {fmt!r}")
-    path = _built(spark, _base(spark, name, params, root, fmt),
-                  lambda p: build().write.partitionBy(split_col).format(fmt).save(p))
-    out = {}
-    for s in splits:
+
+    def write(path: str) -> dict:
+        df, seen = build(), Observation()
+        if count:
+            df = df.observe(seen, *[F.count(F.when(F.col(split_col) == v, 1)).alias(v) for v in count])
+        df.write.partitionBy(split_col).format(fmt).save(path)
+        return {v: int(n or 0) for v, n in seen.get.items()} if count else {}
+
+    path, counts = _built(spark, _base(spark, name, params, root, fmt), write)
+    return Materialized(spark, path, schema, split_col, fmt, splits, counts)
+
+
+class Materialized(dict):
+    """``{split: DataFrame}`` of one written folder. ``counts``: rows by value of
+    the split column, if asked for; ``state``: names the written rows, so that
+    later steps need not look at them to know them; ``others``: the rows of every
+    other value."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, split_col: str, fmt: str,
+                 splits: tuple[str, ...], counts: dict[str, int]):
+        self.spark, self.path, self.state, self.counts = spark, path, path, counts
+        self.schema, self.split_col, self.fmt, self.splits = schema, split_col, fmt, splits
+        super().__init__({s: self._split(s) for s in splits})
+
+    def _split(self, name: str) -> DataFrame:
         try:                     # one listing; a split without rows has no folder
-            out[s] = spark.read.schema(schema).format(fmt).load(f"{path}/{split_col}={s}")
+            return self.spark.read.schema(self.schema).format(self.fmt).load(f"{self.path}/{self.split_col}={name}")
         except AnalysisException as error:
             if not _missing(error):
                 raise
-            out[s] = spark.createDataFrame([], schema)
-    return out
+            return self.spark.createDataFrame([], self.schema)
+
+    def others(self, *columns: str) -> DataFrame:
+        """``columns`` and the split column of the rows outside ``splits``; only
+        their folders are read."""
+        kept = [f for f in self.schema.fields if f.name in columns]
+        rows = self.spark.read.schema(StructType([*kept, StructField(self.split_col, StringType())]))
+        return rows.format(self.fmt).load(self.path).where(~F.col(self.split_col).isin(*self.splits))
 
 
 def materialize_table(spark: SparkSession, build: Callable[[], DataFrame], name: str,
@@ -168,5 +200,6 @@ def materialize_table(spark: SparkSession, build: Callable[[], DataFrame], name:
     """Write an expensive derived table once (per fingerprint) to the shared
     folder and read it back with its explicit schema. Cuts the lineage, so
     every later job starts from plain files instead of recomputing."""
-    path = _built(spark, _base(spark, name, params, root, fmt), lambda p: build().write.format(fmt).save(p))
+    path, _ = _built(spark, _base(spark, name, params, root, fmt),
+                     lambda p: build().write.format(fmt).save(p))
     return spark.read.schema(schema).format(fmt).load(path)
