@@ -21,6 +21,7 @@ from prefweave.functions.conversation import ASSISTANT, SYSTEM
 from prefweave.operators import triplets as tri
 from prefweave.operators.batching import with_positions
 from prefweave.operators.keyed import join_by_key
+from prefweave.sources.tables import stored
 
 AT = "_at"
 SIDES = ("chosen", "rejected")
@@ -43,7 +44,7 @@ def conversation_bounds(numbered: DataFrame, keys: list[str]) -> DataFrame:
 def place_turns(numbered: DataFrame, keys: list[str]) -> DataFrame:
     """Every turn with ``idx``, its 0-based place in the conversation, and
     ``final_idx``, that of the last assistant turn (A2)."""
-    placed = join_by_key(numbered, conversation_bounds(numbered, keys), keys, "n_turns")
+    placed = join_by_key(numbered, stored(conversation_bounds(numbered, keys), "bounds"), keys, "n_turns")
     return (placed.withColumn("idx", F.col(AT) - F.col("_first"))
             .withColumn("final_idx", F.col("_last") - F.col("_first")).drop("_first", "_last"))
 

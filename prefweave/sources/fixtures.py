@@ -13,6 +13,7 @@ from prefweave.functions.conversation import final_assistant_index, message_at
 from prefweave.operators.conversations import turns_to_messages
 from prefweave.operators.flat_turns import conversation_bounds, final_assistant_turns, number_turns
 from prefweave.operators.keyed import join_by_key
+from prefweave.sources.tables import stored
 
 PREFIX_EDIT_EVERY = 13      # conversations whose id is a multiple get turn 0 edited
 PREFIX_EDIT_SUFFIX = " (edited)"
@@ -98,7 +99,7 @@ def flat_pairs_from_conversations(conversations: DataFrame) -> DataFrame:
     bounds = conversation_bounds(numbered, key)
     per_conv = (bounds.withColumn("next_id", (F.col("conv_id") + 1) % n_convs).join(alt, "next_id", "left")
                 .drop("next_id"))
-    rows = join_by_key(numbered, per_conv, key, "n_turns")
+    rows = join_by_key(numbered, stored(per_conv, "bounds"), key, "n_turns")
     fi, idx = F.col("_last") - F.col("_first"), F.col("_at") - F.col("_first")
     edited = (F.when(idx == fi, F.coalesce("alt_text", "text"))
               .when((F.col("conv_id") % PREFIX_EDIT_EVERY == 0) & (idx == 0) & (fi > 0),
