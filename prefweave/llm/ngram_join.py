@@ -53,8 +53,8 @@ from prefweave.llm.tables import need, stored
 from prefweave.llm.textarrays import chunks, column, shingles, word_hashes
 
 HOT_SHINGLES = 200_000
-HOT_LEAST = 4                  # occurrences within one count that make a shingle worth reporting
-COUNTED = 4_000_000            # shingles per count inside a task
+HOT_LEAST = 2                  # occurrences within one count that make a shingle worth reporting
+COUNTED = 1 << 20              # shingles per count inside a task
 SEEN = 8
 MAP_BITS = 1 << 28
 COUNTED_SHARE = 1.6            # part of the hash space that is counted, over the part prefixes take
@@ -79,6 +79,16 @@ def digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
+def counted(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs. Empties ``parts``,
+    so that their memory is free before the sort, which is in place."""
+    whole = np.concatenate([np.zeros(0, np.uint64), *parts])
+    parts.clear()
+    whole.sort()
+    first = np.flatnonzero(np.concatenate([[True], whole[1:] != whole[:-1]])) if len(whole) else np.zeros(0, np.int64)
+    return whole[first], np.diff(np.append(first, len(whole)))
+
+
 def _signed(a) -> pa.Array:
     return pa.array(np.asarray(a, dtype=np.uint64).view(np.int64))
 
@@ -88,7 +98,7 @@ def _describe(k: int):
         names = ["doc_id", "n", "cid", "shingle", "df"]
 
         def frequent(parts):
-            u, c = np.unique(np.concatenate(parts), return_counts=True)
+            u, c = counted(parts)
             u, c = u[c >= HOT_LEAST], c[c >= HOT_LEAST]
             nothing = [pa.nulls(len(u), t) for t in (pa.int64(), pa.int64(), pa.binary())]
             return pa.RecordBatch.from_arrays([*nothing, _signed(u), pa.array(c.astype(np.int64))], names)
@@ -197,7 +207,9 @@ def _low_shingles(k: int, low: int):
     low = np.uint64(low)
 
     def batch_of(found):
-        u, c = np.unique(np.concatenate([np.zeros(0, np.uint64), *found.values()]), return_counts=True)
+        parts = list(found.values())
+        found.clear()
+        u, c = counted(parts)
         return pa.RecordBatch.from_arrays([_signed(np.concatenate([u, u[c > 1]]))], ["shingle"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,7 +222,7 @@ def _low_shingles(k: int, low: int):
                         waiting += len(found[key])
                 if waiting >= COUNTED:
                     yield batch_of(found)
-                    found, waiting = {}, 0
+                    waiting = 0
         yield batch_of(found)
     return run
 
@@ -372,6 +384,7 @@ class _Join:
         kept = several.groupBy("who", "size", "first.gid", "first.n", "hi").agg(
             F.min(F.struct("first.pos", "shingle")).alias("l")).select("l.shingle")
         band = F.floor(F.log("n") / math.log(100 / percent * 1.0001)) if percent < 100 else F.col("n")
+        order.destroy()
         self.postings = stored(lists.join(kept, "shingle", "left_semi").withColumn("band", band.cast("int")), "postings")
 
     def parts(self, components: DataFrame) -> DataFrame:
@@ -428,7 +441,9 @@ class _Join:
         links = (pairs.join(sa, F.col("ca") == F.col("sa.cid")).select("ca", "cb", F.col("sa.members").alias("sa"))
                  .join(sb, F.col("cb") == F.col("sb.cid")).select("ca", "cb", "sa", F.col("sb.members").alias("sb"))
                  .mapInArrow(_verify(self.percent), "ca binary, cb binary"))
-        return stored(links, "links")
+        linked = stored(links, "links")
+        wanted.destroy()
+        return linked
 
 
 def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
