@@ -6,7 +6,7 @@ reference log-probabilities of the chosen and rejected responses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from prefweave import constants as C
 from prefweave.functions.metrics import neg_log_sigmoid
@@ -49,3 +49,23 @@ def metric_log(rows: DataFrame, every: int = C.LOGGING_STEPS) -> DataFrame:
     log_step = F.expr(f"((step - 1) div {int(every)} + 1) * {int(every)}")
     log = rows.groupBy(log_step.alias("log_step")).agg(F.max("step").alias("last_step"), *_aggs())
     return log.withColumn("complete", F.col("last_step") == F.col("log_step"))
+
+
+def eval_points(rows: DataFrame, every: int = C.EVAL_STEPS) -> DataFrame:
+    """The metrics at each evaluation point that was reached (M3): at every
+    multiple of ``every`` up to the last step, those of the last step logged by
+    then, ``last_step``. A point without a step of its own since the point before
+    repeats that one. Steps are averaged first, with map-side partials; then one
+    row a point is left to carry forward."""
+    values = [c for c in ("n_pairs", "loss", "margin", "accuracy", "reward_chosen", "reward_rejected")]
+    per_step = rows.where("step >= 1").groupBy("step").agg(*_aggs())
+    point = F.expr(f"((step - 1) div {int(every)} + 1) * {int(every)}")
+    at = per_step.groupBy(point.alias("eval_step")).agg(
+        F.max_by(F.struct("step", *values), "step").alias("m"), F.max("step").alias("reached"))
+    # A point holds until the next one that has steps of its own; the last holds
+    # as far as steps go.
+    order = Window.orderBy("eval_step")
+    until = F.coalesce(F.lead("eval_step").over(order) - every, F.col("reached"))
+    points = at.withColumn("until", until).where("until >= eval_step").select(
+        F.explode(F.sequence("eval_step", "until", F.lit(int(every)).cast("bigint"))).alias("eval_step"), "m")
+    return points.select("eval_step", F.col("m.step").alias("last_step"), *[F.col(f"m.{v}").alias(v) for v in values])

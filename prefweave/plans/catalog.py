@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefweave import constants as C
-from prefweave.functions import templates as tpl
+from prefweave.functions import templates as tpl, vocabulary
 from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
     assign_batches, collect_batches, template_prompts, truncate_left, with_positions)
@@ -20,6 +20,7 @@ from prefweave.operators.conversations import final_assistant, prompt_and_respon
 from prefweave.operators.flat_turns import (
     final_assistant_turns, number_turns, pair_status, prompt_and_response_turns)
 from prefweave.operators.lengths import filter_by_length, length_limits
+from prefweave.operators.permutation import shuffled_positions
 from prefweave.operators.profile import profile
 from prefweave.operators.sampling import sample_n, split_column
 from prefweave.operators.triplets import create_triplets, with_status
@@ -39,6 +40,7 @@ TEST_FRACTION = C.TEST_FRACTION
 TARGET_PERCENTILE = C.TARGET_PERCENTILE
 TRUNC_PROMPT = 64          # small limits so that cuts occur on the test tables
 TRUNC_SEQUENCE = 96
+VOCABULARY_SIZE = 500
 PAD_BATCH_SIZE = 8
 PAD_WIDTH = 32             # constant width: some prompts are cut, others padded
 GROUP_BATCH_SIZE = 7       # 40 prompts -> the last batch is short
@@ -282,6 +284,26 @@ def q_length_filtered(spark, sf):
     return filter_by_length(lengths, limit).select("pair_id", "split", "prompt_chosen_len")
 
 
+def q_length_limits_vocabulary(spark, sf):
+    """The limits by a tokenizer with a vocabulary file. The file is made
+    from the conversations' words, sent to every executor once, and opened once
+    by each Python worker; texts reach it in Arrow batches."""
+    turns = conversations(spark, sf)
+    words = turns.select(F.explode(F.regexp_extract_all("text", F.lit(vocabulary.WORD), 0)).alias("word"))
+    top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(VOCABULARY_SIZE).select("word")
+    counter = vocabulary.send(spark, top)
+    parts = _prepared(spark, sf)
+    lengths = token_length_table(spark, parts, source=f"conversations:{sf}", tokenizer=counter, batched=True,
+                                 tokenizer_id=f"vocabulary:{VOCABULARY_SIZE}")
+    return length_limits(lengths.where(F.col("split") == "train"), TARGET_PERCENTILE)
+
+
+def q_shuffled_positions(spark, sf):
+    """L1: where each pair goes when all are shuffled, computed from its place."""
+    p = pairs(spark, sf).select("pair_id")
+    return shuffled_positions(p, p.count(), seed=SAMPLE_SEED, pos="pair_id")
+
+
 def q_left_truncated(spark, sf):
     t = truncate_left(ok_triplets(spark, sf), TRUNC_PROMPT, TRUNC_SEQUENCE)
     return t.select("pair_id", _size("prompt_tokens").alias("n_prompt_tokens"),
@@ -345,7 +367,7 @@ def q_preference_metric_log(spark, sf):
 
 
 def q_preference_eval_log(spark, sf):
-    return _round_summary(metrics.metric_log(logprob_metrics(spark, sf), EVAL_EVERY), _LOG)
+    return _round_summary(metrics.eval_points(logprob_metrics(spark, sf), EVAL_EVERY), ["eval_step", "last_step"])
 
 
 def q_preference_metric_log_stream(spark, sf):
@@ -409,6 +431,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dataset_profile": q_dataset_profile,
     "length_limits": q_length_limits,
     "length_filtered": q_length_filtered,
+    "length_limits_vocabulary": q_length_limits_vocabulary,
+    "shuffled_positions": q_shuffled_positions,
     "left_truncated": q_left_truncated,
     "prompt_batches": q_prompt_batches,
     "positioned_batches": q_positioned_batches,

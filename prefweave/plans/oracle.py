@@ -135,10 +135,13 @@ lim0 AS (SELECT CAST(floor(quantile_cont(prompt_len, 0.97)) AS BIGINT) AS prompt
          FROM lens WHERE split = 'train'),
 lim AS (SELECT *, greatest(max_seq_length_chosen, max_seq_length_rejected) AS max_seq_length FROM lim0)"""
 
-LOGPROBS = """lp AS (SELECT CAST(floor(vec_id / 4) AS BIGINT) + 1 AS step, vec_id AS pair_id,
-                  CAST(embedding[1] AS DOUBLE) * 100 AS pol_c, CAST(embedding[2] AS DOUBLE) * 100 AS pol_r,
-                  CAST(embedding[3] AS DOUBLE) * 100 AS ref_c, CAST(embedding[4] AS DOUBLE) * 100 AS ref_r
-           FROM embeddings),
+def _quarter(i: int) -> str:
+    return f"list_sum(list_transform(list_slice(embedding, {i} * q + 1, {i} * q + q), lambda c: CAST(c AS DOUBLE))) * 100"
+
+
+LOGPROBS = f"""lp AS (SELECT CAST(floor(vec_id / 4) AS BIGINT) + 1 AS step, vec_id AS pair_id,
+                  {_quarter(0)} AS pol_c, {_quarter(1)} AS pol_r, {_quarter(2)} AS ref_c, {_quarter(3)} AS ref_r
+           FROM (SELECT *, len(embedding) // 4 AS q FROM embeddings)),
 m1 AS (SELECT *, 0.1 * (pol_c - ref_c) AS reward_chosen, 0.1 * (pol_r - ref_r) AS reward_rejected FROM lp),
 m2 AS (SELECT *, reward_chosen - reward_rejected AS margin FROM m1),
 m3 AS (SELECT *, greatest(-margin, 0) + ln(1 + exp(-abs(margin))) AS loss, margin > 0 AS correct FROM m2)"""
@@ -347,10 +350,11 @@ FROM documents d JOIN labels l ON l.doc_id = d.doc_id GROUP BY d.source""",
 }
 
 ORACLE_SQL["preference_metric_log_stream"] = ORACLE_SQL["preference_metric_log"]
-ORACLE_SQL["preference_eval_log"] = f"""WITH {LOGPROBS}
-SELECT CAST((floor((step - 1) / 70) + 1) * 70 AS BIGINT) AS log_step, max(step) AS last_step,
-       CAST(max(step) % 70 = 0 AS BIGINT) AS complete, {SUMMARY_COLS}
-FROM m3 GROUP BY 1"""
+ORACLE_SQL["preference_eval_log"] = f"""WITH {LOGPROBS},
+per_step AS (SELECT step, {SUMMARY_COLS} FROM m3 GROUP BY step),
+points AS (SELECT unnest(range(70, (SELECT max(step) FROM m3) + 1, 70)) AS eval_step)
+SELECT p.eval_step, s.step AS last_step, s.n_pairs, s.loss, s.margin, s.accuracy, s.reward_chosen, s.reward_rejected
+FROM points p ASOF JOIN per_step s ON p.eval_step >= s.step"""
 ORACLE_SQL["prepare_outcome"] = f"""WITH {triplets_cte()},
 o AS (SELECT t.pair_id, t.status, row_number() OVER (ORDER BY md5('42:' || CAST(t.pair_id AS VARCHAR)), t.pair_id) AS place
       FROM trip t),
@@ -376,3 +380,54 @@ ORACLE_SQL["pair_status_varied"] = f"WITH {triplets_cte(pairs=VARIED)}\nSELECT p
 # The flat forms give the rows of the array forms.
 ORACLE_SQL["final_assistant_flat"] = ORACLE_SQL["final_assistant"]
 ORACLE_SQL["pair_status_flat"] = ORACLE_SQL["pair_status"]
+
+
+def _feistel(source: str, n: str, seed: int = 42, rounds: int = 8) -> str:
+    """CTE ``walked(pos, place)``: the network written out, walked on up to 24 times."""
+    from prefweave.operators.permutation import PRIME, round_keys
+
+    def h(x: str, key: tuple[int, int, int]) -> str:
+        k, m, c = key
+        t = f"(({x} + {k}) % {PRIME})"
+        return f"(({t} * {t} % {PRIME} * {m} + {c}) % {PRIME})"
+
+    def once(x: str) -> str:
+        sub = f"SELECT pos, a, b, {x} // b AS l, {x} % b AS r FROM src0"
+        for i, key in enumerate(round_keys(seed, rounds)):
+            new = f"(l + {h('r', key)}) % a AS l, r" if i % 2 == 0 else f"l, (r + {h('l', key)}) % b AS r"
+            sub = f"SELECT pos, a, b, {new} FROM ({sub})"
+        return sub
+
+    step = once("x").replace("FROM src0", "FROM walk WHERE x >= n OR fresh")
+    step = step.replace("pos, a, b", "pos, n, a, b")
+    return f"""base AS ({source}),
+size AS (SELECT n, a, CAST(ceil(CAST(n AS DOUBLE) / a) AS BIGINT) AS b FROM (
+  SELECT {n} AS n, CAST(ceil(sqrt({n})) AS BIGINT) AS a FROM base)),
+walk AS (SELECT pos, n, a, b, pos AS x, true AS fresh FROM base, size
+  UNION ALL SELECT pos, n, a, b, l * b + r AS x, false AS fresh FROM ({step})),
+walked AS (SELECT pos, x AS place FROM walk WHERE NOT fresh AND x < n)"""
+
+
+ORACLE_SQL["shuffled_positions"] = f"""WITH RECURSIVE {PAIRS},
+{_feistel("SELECT pair_id AS pos FROM pairs", "count(*)")}
+SELECT pos AS pair_id, place FROM walked"""
+
+# Words in the vocabulary are one token, others one a character.
+ORACLE_SQL["length_limits_vocabulary"] = f"""WITH {SPLIT},
+words AS (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')) AS w FROM conversations),
+vocab AS (SELECT w FROM words GROUP BY w ORDER BY count(*) DESC, w LIMIT 500),
+pieces AS (SELECT pair_id, split, 'p' AS k, prompt AS t FROM split
+           UNION ALL SELECT pair_id, split, 'c', prompt || chosen FROM split
+           UNION ALL SELECT pair_id, split, 'r', prompt || rejected FROM split),
+cut AS (SELECT pair_id, split, k, unnest(regexp_extract_all(t, '[^ \\t\\n\\x0B\\f\\r]+')) AS w FROM pieces),
+counts AS (SELECT pair_id, split, k, sum(CASE WHEN w IN (SELECT w FROM vocab) THEN 1 ELSE length(w) END) AS n
+           FROM cut GROUP BY pair_id, split, k),
+lim0 AS (SELECT CAST(floor(quantile_cont(n, 0.97) FILTER (WHERE k = 'p')) AS BIGINT) AS prompt_length,
+                CAST(floor(quantile_cont(n, 0.97) FILTER (WHERE k = 'c')) AS BIGINT) AS max_seq_length_chosen,
+                CAST(floor(quantile_cont(n, 0.97) FILTER (WHERE k = 'r')) AS BIGINT) AS max_seq_length_rejected
+         FROM counts WHERE split = 'train'),
+lim AS (SELECT *, greatest(max_seq_length_chosen, max_seq_length_rejected) AS max_seq_length FROM lim0)
+SELECT prompt_length, max_seq_length_chosen, max_seq_length_rejected, max_seq_length,
+       CAST(((prompt_length + 1) // 2) * 2 AS BIGINT) AS prompt_length_even,
+       CAST(((max_seq_length + 1) // 2) * 2 AS BIGINT) AS max_seq_length_even
+FROM lim"""

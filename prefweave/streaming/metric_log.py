@@ -2,21 +2,30 @@
 
 A trainer appends log-probability files while it runs; this query keeps the
 per-interval means up to date. The running aggregate lives in the state store
-(on executors, checkpointed to the shared folder), each micro-batch writes the
-full, small table of intervals, and a restart resumes from the checkpoint.
-Steps are a counter, not event time, so there is no watermark: the result
-table has one row per logging interval.
+(on executors, checkpointed to the shared folder), and a restart resumes from the
+checkpoint. Steps are a counter, not event time, so there is no watermark: the
+result table has one row per logging interval.
+
+Each micro-batch writes the full, small table of intervals into a folder of its
+own attempt, and then announces it in a file named by the epoch. Readers take the
+last announced epoch, so they always see a whole table: neither a batch in the
+middle of its write nor one that is tried again shows. An epoch that is written
+twice counts once.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from prefweave import constants as C
 from prefweave.operators.metrics import metric_log, preference_metrics
 from prefweave.schemas import TABLES
 from prefweave.session import scratch_path
 from prefweave.sources.fixtures import logprobs_from_embeddings
+from prefweave.sources.records import path_exists
 
 
 def metric_log_stream(logprobs: DataFrame, every: int = C.LOGGING_STEPS, beta: float = C.BETA) -> DataFrame:
@@ -24,12 +33,42 @@ def metric_log_stream(logprobs: DataFrame, every: int = C.LOGGING_STEPS, beta: f
     return metric_log(preference_metrics(logprobs, beta), every)
 
 
+ANNOUNCED = "epoch bigint, folder string"
+
+
+def publish(batch: DataFrame, epoch: int, out: str) -> None:
+    """Write a table and announce it as that of ``epoch``."""
+    folder = f"epoch-{epoch:09d}-{uuid.uuid4().hex[:12]}"
+    batch.write.parquet(f"{out}/tables/{folder}")
+    entry = batch.sparkSession.createDataFrame([(epoch, folder)], ANNOUNCED)
+    entry.coalesce(1).write.json(f"{out}/announced/{folder}")
+
+
+def announced(spark: SparkSession, out: str) -> list[tuple[int, str]]:
+    """(epoch, folder) of every announced table, in order."""
+    if not path_exists(spark, f"{out}/announced"):
+        return []
+    rows = spark.read.schema(ANNOUNCED).option("recursiveFileLookup", "true").json(f"{out}/announced")
+    return sorted((r["epoch"], r["folder"]) for r in rows.collect())
+
+
+def read_published(spark: SparkSession, out: str, schema: StructType) -> DataFrame:
+    """The table of the last announced epoch; empty, with its columns, before the
+    first. Of an epoch written twice the first by name counts, always the same."""
+    known = announced(spark, out)
+    if not known:
+        return spark.createDataFrame([], schema)
+    last = max(e for e, _ in known)
+    folder = min(f for e, f in known if e == last)
+    return spark.read.schema(schema).parquet(f"{out}/tables/{folder}")
+
+
 def run_metric_log_stream(spark: SparkSession, directory: str, file_glob: str = "*.parquet",
                           every: int = C.LOGGING_STEPS, beta: float = C.BETA,
                           out: str | None = None, checkpoint: str | None = None,
                           max_files_per_trigger: int = 100) -> DataFrame:
     """Drain the files in ``directory`` matching ``file_glob`` (embeddings
-    layout) once and return the table.
+    layout) once and return the published table.
 
     Uses ``trigger(availableNow=True)``: every file present is processed in
     micro-batches of at most ``max_files_per_trigger`` files (bounded memory
@@ -42,11 +81,7 @@ def run_metric_log_stream(spark: SparkSession, directory: str, file_glob: str =
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("pathGlobFilter", file_glob).parquet(directory))
     agg = metric_log_stream(logprobs_from_embeddings(src), every, beta)
-
-    def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_batch)
+    q = (agg.writeStream.outputMode("complete").foreachBatch(lambda batch, epoch: publish(batch, epoch, out))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return read_published(spark, out, agg.schema)

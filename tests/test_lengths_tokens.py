@@ -79,3 +79,14 @@ def test_lengths_count_the_concatenated_text(spark):
     df = spark.createDataFrame([("ab", "cd", " x")], "prompt string, chosen string, rejected string")
     r = with_token_lengths(df).first()
     assert (r.prompt_len, r.prompt_chosen_len, r.prompt_rejected_len) == (1, 1, 2)
+
+
+def test_vocabulary_file_reaches_the_workers(spark):
+    from prefweave.functions import vocabulary
+    from prefweave.functions.tokens import token_count
+    words = spark.createDataFrame([("the",), ("cat",), ("l\u00e0",)], "word string")
+    counter = vocabulary.send(spark, words)
+    df = spark.createDataFrame([("the cat",), ("the\x0bcats  l\u00e0",), ("",), (None,), ("\u00a0the",)], "t string").repartition(3)
+    got = {r.t: r.n for r in df.select("t", token_count("t", counter, batched=True).alias("n")).collect()}
+    assert got == {"the cat": 2, "the\x0bcats  l\u00e0": 6, "": 0, None: None, "\u00a0the": 4}
+    assert vocabulary.tokenize("the dog", frozenset({"the"})) == ["the", "d", "o", "g"]

@@ -20,8 +20,25 @@ def test_loss_is_stable_and_correct(spark):
 
 
 def test_fixture_summary_values(spark):
+    # The same from plain numpy: sums of each vector's quarters, beta 0.1.
+    import numpy as np
+    vectors = np.array([r.embedding for r in spark.read.parquet(f"{SF01}/embeddings.parquet").collect()], float)
+    pol_c, pol_r, ref_c, ref_r = (vectors.reshape(len(vectors), 4, -1).sum(axis=2) * 100).T
+    margin = 0.1 * (pol_c - ref_c) - 0.1 * (pol_r - ref_r)
     r = catalog.q_preference_summary(spark, SF01).first()
-    assert (r.loss, r.margin, r.accuracy) == (1.246783, -0.020109, 0.506)
+    assert (r.loss, r.margin, r.accuracy) == pytest.approx(
+        (np.logaddexp(0, -margin).mean(), margin.mean(), (margin > 0).mean()), abs=1e-6)
+
+
+def test_eval_points_carry_the_last_step_reached(spark):
+    # Steps 1-3, 12 and 31-41: points 10 (step 3), 20 and 30 (step 12, none in between), 40; 50 is not reached.
+    steps = [1, 2, 3, 12, *range(31, 42), 0, None]
+    rows = spark.createDataFrame([(s, float(s or 0), k) for s in steps for k in (0, 1)], "step long, pol_c double, pair_id long")
+    logged = rows.select("step", "pair_id", "pol_c", *[F.lit(0.0).alias(c) for c in ("pol_r", "ref_c", "ref_r")])
+    got = metrics.eval_points(metrics.preference_metrics(logged, 1.0), 10).orderBy("eval_step").collect()
+    assert [(r.eval_step, r.last_step, r.n_pairs, r.margin) for r in got] == [
+        (10, 3, 2, 3.0), (20, 12, 2, 12.0), (30, 12, 2, 12.0), (40, 40, 2, 40.0)]
+    assert metrics.eval_points(metrics.preference_metrics(logged.where("step < 0"), 1.0), 10).count() == 0
 
 
 def test_metric_log_buckets(spark):

@@ -174,3 +174,31 @@ def test_prepare_is_independent_of_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert results[0] == results[1]
     assert len(results[0]["test"]) == int(0.2 * (len(results[0]["train"]) + len(results[0]["test"])))
+
+
+def test_stream_readers_see_whole_tables(spark):
+    """Between epochs, after a batch that died before its announcement, and
+    after one that was written twice; an empty source gives an empty table."""
+    from prefweave.schemas import TABLES
+    from prefweave.sources.tables import read_table
+    from prefweave.streaming.metric_log import announced, publish, read_published
+    src, out = scratch_path(spark, "test-pub-src"), scratch_path(spark, "test-pub-out")
+    spark.createDataFrame([], TABLES["embeddings"]).write.parquet(src)
+    empty = run_metric_log_stream(spark, src, out=out)
+    assert empty.count() == 0 and "loss" in empty.columns and empty.schema["n_pairs"].dataType.typeName() == "long"
+    emb, seen = read_table(spark, SF001, "embeddings"), []
+    for k in range(3):
+        emb.where(F.col("vec_id") % 3 == k).coalesce(1).write.mode("append").parquet(src)
+        seen.append(run_metric_log_stream(spark, src, out=out, checkpoint=out + "-checkpoint"))
+    # Readers of the earlier tables still read theirs, whole.
+    total = emb.count()
+    counts = [t.agg(F.sum("n_pairs")).first()[0] for t in seen]
+    assert counts[0] < counts[1] < counts[2] == total
+    # A batch that is written and not announced does not show; one announced twice counts once.
+    schema, last = seen[-1].schema, max(e for e, _ in announced(spark, out))
+    seen[-1].limit(1).write.parquet(f"{out}/tables/epoch-{last + 1:09d}-dead")
+    assert read_published(spark, out, schema).agg(F.sum("n_pairs")).first()[0] == total
+    for _ in range(2):
+        publish(seen[-1], last + 1, out)
+    now = [read_published(spark, out, schema).inputFiles() for _ in range(2)]
+    assert now[0] == now[1] and read_published(spark, out, schema).count() == seen[-1].count()
