@@ -47,7 +47,12 @@ BLOCK = 256                    # windows scored at once
 PER_LANGUAGE = 250             # labelled rows a language to learn from
 LANDMARKS = 64                 # of them, a language
 RIDGE = 0.05
-MAX_LANGUAGES = 64
+# Bounds of what is learned from, whatever the labels hold: the languages with
+# the most rows in the sample, and rows and landmarks of all languages together
+# (each language has its even share of them, PER_LANGUAGE and LANDMARKS at most).
+MAX_LANGUAGES = 512
+MAX_ROWS = 16_000
+MAX_LANDMARKS = 4096
 UNKNOWN = "und"
 MIN_SCORE = 0.3                # least score of a kept document in the pipeline
 
@@ -111,8 +116,21 @@ def training_sample(documents: DataFrame, per_language: int) -> DataFrame:
               .withColumn("r", F.row_number().over(near)).where(F.col("r") <= per_language)
               .withColumn("r", F.row_number().over(far)).where(F.col("r") <= per_language))
     ids = picked.select(F.col("doc_id").alias("id"), F.col("lang").alias("l")).distinct()
-    return rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("l"))) \
-        .select("lang", F.col("text").cast("string").alias("text"))
+    found = rows.join(F.broadcast(ids), (F.col("doc_id") == F.col("id")) & (F.col("lang") == F.col("l")))
+    # Repeated rows count once, and an id with many texts has no more than its share.
+    found = found.select("lang", "doc_id", F.col("text").cast("string").alias("text")).distinct()
+    return first_rows(found, "lang", per_language).select("lang", "text")
+
+
+def first_rows(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """At most ``most`` rows (doc_id, text) of each ``by``, by hash of id and
+    text; first within 64 shares of it, so that no task gets all its rows."""
+    order = ("h", "doc_id", "t", "text")
+    rows = rows.withColumns({"h": F.xxhash64("doc_id"), "t": F.xxhash64("text")})
+    rows = rows.withColumn("salt", F.pmod("t", F.lit(64)))
+    for keys in ((by, "salt"), (by,)):
+        rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("r") <= most)
+    return rows.drop("h", "t", "salt", "r")
 
 
 class Model:
@@ -134,10 +152,10 @@ def _unit_rows(bits: list[bytes]) -> np.ndarray:
     return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
 
 
-def landmarks_of(labels: list[str], bits: list[bytes]) -> list[bytes]:
-    """The first ``LANDMARKS`` rows of each language."""
+def landmarks_of(labels: list[str], bits: list[bytes], most: int = LANDMARKS) -> list[bytes]:
+    """The first ``most`` rows of each language."""
     y = np.array(labels)
-    return [bits[i] for c in sorted(set(labels)) for i in np.flatnonzero(y == c)[:LANDMARKS]]
+    return [bits[i] for c in sorted(set(labels)) for i in np.flatnonzero(y == c)[:most]]
 
 
 def kernel(text: str, marks: np.ndarray, norms: np.ndarray) -> np.ndarray:
@@ -173,13 +191,19 @@ def fit(labels: list[str], kernels: np.ndarray, bits: list[bytes]) -> Model:
 
 def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     sample = stored(training_sample(documents, per_language), "language-sample")
-    rows = sample.mapInArrow(_presence_bits, "lang string, bits binary").limit(MAX_LANGUAGES * per_language + 1).collect()
-    if len(rows) > MAX_LANGUAGES * per_language:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not rows:
+    counts = sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    if not counts:
         return None
+    rows_each = max(1, min(per_language, MAX_ROWS // len(counts)))
+    marks_each = max(1, min(LANDMARKS, MAX_LANDMARKS // len(counts)))
+    if rows_each < per_language:
+        order = Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text")
+        sample = sample.where(F.col("lang").isin(*[r["lang"] for r in counts]))
+        sample = stored(sample.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows_each).drop("r"),
+                        "language-sample")
+    rows = sample.mapInArrow(_presence_bits, "lang string, bits binary").collect()
     rows = sorted((r["lang"], bytes(r["bits"])) for r in rows)
-    bits = landmarks_of([r[0] for r in rows], [r[1] for r in rows])
+    bits = landmarks_of([r[0] for r in rows], [r[1] for r in rows], marks_each)
     shared = sample.sparkSession.sparkContext.broadcast(bits)
 
     def kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

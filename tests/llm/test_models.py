@@ -83,3 +83,27 @@ def test_quality_edges(spark, docs):
     one = spark.createDataFrame([(3, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     assert all(r.score in (0.5, 1.0) for r in quality.score_quality(d, one).collect())
     assert quality.score_quality(docs([]), labels).count() == 0
+
+
+def test_repeated_labelled_rows_and_many_languages(spark, docs):
+    """17,000 copies of one row, an id with many texts, and 70 languages."""
+    from pyspark.sql import functions as F
+    d = docs([(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de")])
+    many = d.where("doc_id = 1").withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(17_000)))).drop("_i")
+    texts = d.where("doc_id = 2").withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(2_000)))).withColumn(
+        "text", F.concat("text", F.lit(" "), F.col("_i").cast("string"))).drop("_i")
+    both = many.unionByName(texts)
+    assert language.training_sample(both, 250).groupBy("lang").count().orderBy("lang").collect() == [("de", 250), ("en", 1)]
+    got = language.identify_languages(both)
+    assert got.groupBy("lang_pred").count().orderBy("lang_pred").collect() == [("de", 2_000), ("en", 17_000)]
+    rows = [(1000 * i + j, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{k}" for k in range(j, j + 6)), f"l{i:02}")
+            for i in range(70) for j in range(4)]
+    found = language.identify_languages(docs(rows))
+    assert found.select("lang_pred").distinct().count() > 64
+
+
+def test_an_id_with_many_texts_has_no_more_than_the_bound(spark, docs):
+    rows = [(1, f"word{i} and more words", None) for i in range(900)] + [(2, "other", None)]
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    sample = quality.training_sample(docs(rows), labels, 100)
+    assert {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()} == {1: 100, 0: 1}
