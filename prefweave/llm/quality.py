@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from prefweave.llm.language import first_rows
 from prefweave.llm.tables import need, split_crc
 from prefweave.llm.textarrays import IS_SPACE, chunks, mix, word_hashes, words
 
@@ -193,8 +194,9 @@ def training_sample(documents: DataFrame, labels: DataFrame, per_label: int) ->
            .withColumn("r", F.row_number().over(far)).where(F.col("r") <= per_label)
            .select(F.col("doc_id").alias("id"), "y"))
     texts = fit.join(F.broadcast(ids), F.col("doc_id") == F.col("id"))       # at most 2 * per_label ids
-    return texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("y").cast("int").alias("y"),
-                        F.col("text").cast("string").alias("text")).dropDuplicates(["doc_id", "text"])
+    texts = texts.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("y").cast("int").alias("y"),
+                         F.col("text").cast("string").alias("text")).dropDuplicates(["doc_id", "text"])
+    return first_rows(texts, "y", per_label)              # of ids with many texts, no more than the bound
 
 
 def learn(documents: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Network | float:
