@@ -186,8 +186,28 @@ def test_contamination_edges(spark, docs):
                                   "item_id long, text string")
     d = docs([(1, None), (2, ""), (3, "A, b; c d e"), (3, "A, b; c d e"), (4, "v w x y z " * 5000), (5, "a b")])
     got = decontaminate.find_contamination(d, bench).collect()
-    assert sorted((r.doc_id, str(r.item_id)) for r in got) == [(3, "1"), (3, "1"), (4, "None")]
+    assert sorted((r.doc_id, str(r.item_id)) for r in got) == [(3, "1"), (3, "1"), (4, "None"), (5, "4")]
     kept = decontaminate.drop_contaminated(d, bench)
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5] and kept.columns == d.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2] and kept.columns == d.columns
     assert decontaminate.find_contamination(d, bench.where("false")).count() == 0
     assert decontaminate.find_contamination(docs([]), bench).count() == 0
+
+
+def test_short_items_and_scripts_without_spaces(spark, docs):
+    bench = spark.createDataFrame([(1, "Capital of France?"), (2, "\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f"),
+                                   (3, "\u00c9T\u00c9 \u00c0 LA MER BLEUE"), (4, "Paris"), (4, "Paris"), (5, "?!"),
+                                   (6, "\u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e")], "item_id long, text string")
+    d = docs([(1, "A quiz. Capital of France? I know it"), (2, "The capital of France is not asked for"),
+              (3, "\u554f\u984c\u3002\u4e2d\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f\u5317\u4eac"), (4, "\u00e9t\u00e9 \u00e0 la mer bleue"),
+              (5, "I saw Paris last year"), (6, "one\nPARIS\ntwo"), (7, "capital\nof France"),
+              (8, "x \u0e01\u0e23\u0e38\u0e07\u0e40\u0e17\u0e1e y"), (9, "\u4e2d\u56fd\u7684\u9996\u5bcc\u662f\u8c01\uff1f")])
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.find_contamination(d, bench).collect())
+    assert got == [(1, 1), (3, 2), (4, 3), (6, 4), (6, 4), (8, 6)]
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(d, bench).collect()) == [2, 5, 7, 9]
+
+
+def test_repeated_items_are_held_once(spark, docs):
+    bench = spark.createDataFrame([(1, "a b c d e f")] * 3000, "item_id long, text string")
+    blocks = list(decontaminate._blocks(bench, 4, 0.7, 500_000))
+    assert [b.ids for b in blocks] == [[1]] and blocks[0].copies == [3000]
+    assert decontaminate.find_contamination(docs([(7, "x a b c d e f y")]), bench).count() == 3000
