@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from prefweave.llm.tables import need, split_crc, stored
-from prefweave.llm.textarrays import mix
+from prefweave.llm.textarrays import mix, release
 
 N_GRAMS = 1 << 15
 MAX_N = 4
@@ -212,6 +212,7 @@ def learn(documents: DataFrame, per_language: int = PER_LANGUAGE) -> Model | Non
         for batch in batches:
             own = [kernel(v.as_py(), marks, norms).astype(np.float32).tobytes() for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.binary())], ["lang", "kernel"])
+            release()
 
     rows = sorted((r["lang"], bytes(r["kernel"])) for r in sample.mapInArrow(kernels, "lang string, kernel binary").collect())
     return fit([r[0] for r in rows], np.stack([np.frombuffer(r[1], np.float32) for r in rows]), bits)
@@ -271,6 +272,7 @@ def predict(documents: DataFrame, model: Model | None, keep: tuple[str, ...] = (
             names, scores = _classified(shared.value, batch.column(len(out)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(out)], pa.array(names, pa.string()),
                                               pa.array(scores, pa.float64())], [*out, "lang_pred", "score"])
+            release()
 
     schema = T.StructType([*docs.schema.fields[:-1], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType())])
@@ -293,5 +295,6 @@ def keep_identified(documents: DataFrame, min_score: float = MIN_SCORE) -> DataF
             names, scores = _classified(shared.value, batch.column(text))
             keep = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores)]
             yield batch.filter(pa.array(keep, pa.bool_()))
+            release()
 
     return documents.mapInArrow(run, documents.schema)

@@ -8,7 +8,9 @@ task, run or partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -62,6 +64,22 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+@functools.cache
+def _trim() -> Callable[[int], int] | None:
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):       # another C library
+        return None
+
+
+def release() -> None:
+    """Give freed memory back to the system. Python workers are used again by
+    later stages; without this each keeps what its largest batch once took."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def chunks(batch: pa.RecordBatch, name: str = "text",
            most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) pieces of a batch with at most
@@ -73,6 +91,7 @@ def chunks(batch: pa.RecordBatch, name: str = "text",
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, buf[offs[lo]:offs[hi]], offs[lo:hi + 1] - offs[lo]
         lo = hi
+    release()
 
 
 def _span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
