@@ -9,21 +9,26 @@ containers, one that holds more than half of the page's text. On a page with too
 few known stop words, length and link density decide. Second pass: a short or undecided block takes
 the label of its nearest decided neighbours in the same main element: good if
 either nearest neighbour is good, or if none is decided and the element is the
-page's article. Where a page has an ``article`` or ``main`` element, main text
-is looked for inside it only; otherwise in the whole body.
+page's article; a long block with few stop words must stand between two good ones.
+Where a page has an ``article`` or ``main`` element, main text
+is looked for inside it only, and there only its place makes a block bad; otherwise
+in the whole body.
 
 Pages are independent: a narrow Arrow map, with no shuffle; whole pages are
 read whatever their length.
 
 Edge cases: a null or empty page gives an empty text and 0; plain text without
-tags is one block; unclosed tags, comments, scripts and quotes end with the
-page; repeated rows each give a row; extra columns are ignored.
+tags is one block; unclosed tags, comments and scripts end with the page; a tag whose
+quote never closes ends at its first ``>``, and so do the tags after it. Character
+references are decoded within one stretch of text, not across tags. Repeated rows
+each give a row; extra columns are ignored. Work is linear in the page's length.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -65,17 +70,28 @@ OUTSIDE_NAME = re.compile(
     r"|sharing|social|social-(?:links|share)|share-buttons|pagination|pager|login|search|search-form|skip-link", re.I)
 OUTSIDE_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)"
-    r"|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
-    re.S | re.I)
+_NO_TAG = (r"<!--.*?(?:--!?>|\Z)"
+           r"|<(?:script|style)\b[^>]*>.*?(?:</(?:script|style)\s*>|\Z)"
+           r"|<[!?][^>]*(?:>|\Z)")
+_NAME = r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)"
+TOKEN = re.compile(_NO_TAG + "|" + _NAME + r"""((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z|(["']))""", re.S | re.I)
+TOKEN_TO_FIRST = re.compile(_NO_TAG + "|" + _NAME + r"([^>]*+)(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"""(?:^|[\s/"'])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""",
                        re.I)
 WORD = re.compile(r"[^\W\d_]+")
 
-GOOD, BAD, OPEN = 1, 0, None
+GOOD, BAD, OPEN, BETWEEN = 1, 0, None, -1      # BETWEEN: good between two good blocks only
+
+
+def _tokens(page: str) -> Iterator[re.Match]:
+    """Comments, scripts and tags in order. From the first tag on whose quote
+    never closes, quotes are not looked at."""
+    at = 0
+    while (m := TOKEN.search(page, at)) and m.group(4) is None:
+        yield m
+        at = m.end()
+    if m:
+        yield from TOKEN_TO_FIRST.finditer(page, m.start())
 
 
 class Block:
@@ -128,6 +144,7 @@ def blocks_of(page: str) -> list[Block]:
     """The page's blocks in order, with their place: outside the main text or
     not, and the number of the innermost article or main element (0: none)."""
     stack: list[tuple[str, bool, int, int]] = []   # open element, outside, named container, main element
+    n_open: Counter[str] = Counter()               # open elements by name
     outside, named, main, links, n_main = False, 0, 0, 0, 0
     parents = [0]
     block = Block(False, 0, 0)
@@ -143,12 +160,13 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal outside, named, main, links
         while len(stack) > depth:
             name, outside, named, main = stack.pop()
+            n_open[name] -= 1
             links -= name == "a"
 
     at = 0
-    for m in TOKEN.finditer(page):
+    for m in _tokens(page):
         if m.start() > at:
-            text = page[at:m.start()]
+            text = html.unescape(page[at:m.start()])
             block.parts.append(text)
             if links:
                 block.link_parts.append(text)
@@ -162,9 +180,8 @@ def blocks_of(page: str) -> list[Block]:
             continue
         is_block = name in BLOCK
         if m.group(1):
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                unwind(depth)
+            if n_open[name]:
+                unwind(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
             if is_block:
                 new_block()
             continue
@@ -174,6 +191,7 @@ def blocks_of(page: str) -> list[Block]:
             unwind(0)
         if name not in VOID and not m.group(3).rstrip().endswith("/"):
             stack.append((name, outside, named, main))
+            n_open[name] += 1
             links += name == "a"
             if not outside:
                 if name in OUTSIDE or name == "header" and not main:
@@ -189,13 +207,13 @@ def blocks_of(page: str) -> list[Block]:
         if is_block:
             new_block()
     if at < len(page):
-        block.parts.append(page[at:])
+        block.parts.append(html.unescape(page[at:]))
     _reject_named(found, parents)
     return found
 
 
 def _clean(text: str) -> str:
-    return " ".join(html.unescape(text).split())
+    return " ".join(text.split())
 
 
 def stop_words(text: str) -> tuple[int, int]:
@@ -210,7 +228,7 @@ def first_pass(text: str, link_chars: int, in_main: bool, density: float, known:
     scripts with several bytes a character say more in each."""
     linked = link_chars / len(text)
     if linked > MAX_LINKS:
-        return OPEN if in_main and density >= STOP_LOW else BAD
+        return OPEN if in_main else BAD
     if not known:
         return GOOD if len(text.encode("utf-8", "surrogatepass")) >= SHORT_CHARS else OPEN
     if len(text) < SHORT_CHARS:
@@ -219,7 +237,7 @@ def first_pass(text: str, link_chars: int, in_main: bool, density: float, known:
         return GOOD
     if density >= STOP_LOW or in_main:
         return OPEN
-    return BAD
+    return BETWEEN
 
 
 def main_text(page: str | None) -> str:
@@ -245,18 +263,20 @@ def main_text(page: str | None) -> str:
     last: dict[int, int | None] = {}
     for text, main, label in rows:
         before.append(last.get(main))
-        if label is not OPEN:
+        if label in (GOOD, BAD):
             last[main] = label
     last = {}
     for i in range(len(rows) - 1, -1, -1):
         _, main, label = rows[i]
         after[i] = last.get(main)
-        if label is not OPEN:
+        if label in (GOOD, BAD):
             last[main] = label
     out = []
     for (text, main, label), a, b in zip(rows, before, after):
         if label is OPEN:
             label = GOOD if GOOD in (a, b) or (a is None and b is None and main) else BAD
+        elif label == BETWEEN and a == b == GOOD:
+            label = GOOD
         if label == GOOD:
             out.append(text)
     return "\n".join(out)

@@ -190,3 +190,30 @@ def test_article_blocks_equal_the_articles_of_the_pages_table():
         inside = page.split("<article>")[1].split("</article>")[0]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in re.split(r"</?(?:p|h1)>|<br>", inside)]
         assert htmltext.main_text(page) == "\n".join(b for b in blocks if b)
+
+
+def test_broken_quotes_and_references_across_tags():
+    assert htmltext.main_text(f'<p>{PARAGRAPH} See <a title="x>link</a> now.</p>') == f"{PARAGRAPH} See link now."
+    assert htmltext.main_text(f"<p title='a > b'>{PARAGRAPH}</p><p>AT&<b>amp;</b>T &amp;lt; x") == f"{PARAGRAPH}\nAT&amp;T &lt; x"
+    assert htmltext.main_text(f"<p>{PARAGRAPH} <b x='>one</b> <i y=\"z\">two</i>") == f"{PARAGRAPH} one two"
+
+
+def test_an_article_keeps_its_lists_of_links():
+    page = (f"<article><p>{PARAGRAPH}</p><ul><li><a href=x>Alpha report</a><li><a href=y>Beta report</a></ul>"
+            f"<p><a href=z>{PARAGRAPH}</a></p></article><ul><li><a>menu</a></ul>")
+    assert htmltext.main_text(page) == f"{PARAGRAPH}\nAlpha report\nBeta report\n{PARAGRAPH}"
+
+
+def test_a_paragraph_of_facts_between_two_good_ones_stays():
+    facts = "Zürich 434000 inhabitants, Genève 203000, Basel 173000, Lausanne 140000, Winterthur 114000, Luzern 82000."
+    assert htmltext.main_text(f"<p>{PARAGRAPH}<p>{facts}<p>{PARAGRAPH}<p>{facts}") == f"{PARAGRAPH}\n{facts}\n{PARAGRAPH}"
+
+
+def test_page_work_is_linear():
+    import time
+    n = 200_000
+    for page in ("<i></b>" * n, "<div>" * n, "</p>" * n, '<a ">"' * n + "'", "<b x='\">" * n + "'", "<p " * n, "&amp" * n,
+                 "<a title=\"x>" * (n + 1), "<!--" * n, "<" + "a" * n + " '"):
+        begin = time.monotonic()
+        htmltext.main_text(page)
+        assert time.monotonic() - begin < 10, page[:20]
