@@ -1,9 +1,9 @@
 """Secret scan: recursive decoding worklist (operator 1).
 
 Every text is a first layer. A layer is scanned with the rules, then unwrapped:
-percent escapes, ``\\u``/``\\x``/``&#`` escapes, base64 runs, and gzip or zlib data
-found under base64, each giving a new layer that goes back on the worklist
-until nothing new appears. A layer whose content already occurs among its
+percent escapes, ``\\u``/``\\x``/``&#`` escapes, base64 runs, and packed data (gzip,
+zlib, bzip2, raw deflate) whose bytes are written as any of these, each giving a new
+layer that goes back on the worklist until nothing new appears. A layer whose content already occurs among its
 ancestors is not entered again, so self-reproducing data ends.
 
 Every decoded layer is scanned, whatever its characters: bytes that are not
@@ -11,7 +11,9 @@ UTF-8 are read as Latin-1, and a layer with NUL characters (UTF-16, UTF-32) also
 gives one without them; the rules decide. A base64 run is decoded from each of
 its first four characters on, so that text which begins after a path or another
 prefix is in phase in one of them; packed data is looked for at the start of each
-and after each separator. ``n_layers`` counts base64 layers that are
+and after each separator, in escaped bytes at each place that looks like a head; raw
+deflate has no head and is looked for at the beginning of a run, where it must end
+with the run. ``n_layers`` counts base64 layers that are
 printable UTF-8, unpacked or hold a finding, and what is unwrapped from them.
 
 Packed data is unpacked in blocks, over all members of a gzip file and without a
@@ -34,6 +36,7 @@ broken off or damaged is scanned up to there.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
 import re
 import zlib
@@ -60,10 +63,23 @@ ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa
 DECIMAL_GROUP = 6
 SPACES = {9: " ", 10: " ", 13: " "}
 BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
-WRAPPED = re.compile(r"(?:[A-Za-z0-9+/]{60,}\r?\n)+[A-Za-z0-9+/]+={0,2}")      # base64 in lines
+# Base64 in lines; tried once where a run begins, so that a long run costs its length.
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/])(?:[A-Za-z0-9+/]{60,}+\r?\n)+[A-Za-z0-9+/]+={0,2}")
+# Bytes written as text: percent escapes and what they leave as it is, or escapes of string literals and of markup.
+# A stretch begins at most 16 characters before its first escape.
+_PERCENT, _KEPT = r"%[0-9A-Fa-f]{2}", r"[A-Za-z0-9_.~*!'()/+-]"
+PERCENT_BYTES = re.compile(f"{_KEPT}{{0,16}}+{_PERCENT}(?:{_PERCENT}|{_KEPT})*+")
+_LITERAL = r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[0abfnrtv'"\\/]|&#[xX]0*[0-9A-Fa-f]{1,2};|&#[0-9]{1,3};)"""
+_PLAIN = r"[ !#-&(-\[\]-~\x80-\xff]"
+LITERAL_BYTES = re.compile(f"{_PLAIN}{{0,16}}{_LITERAL}(?:{_LITERAL}|{_PLAIN})*+")
+PERCENT_UNIT = re.compile(r"%(..)|(\+)")
+LITERAL_UNIT = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\(.)|&#[xX]([0-9A-Fa-f]+);|&#([0-9]+);")
+SHORT_ESCAPES = dict(zip("0abfnrtv'\"\\/", b"\0\a\b\f\n\r\t\v'\"\\/"))
+HEAD = re.compile(rb"\x1f\x8b\x08|[\x08\x18\x28\x38\x48\x58\x68\x78](?=[\x00-\xff])|BZh[1-9]1AY&SY")
 SEPARATOR = re.compile(r"[/+_-]")
 NUL = re.compile("\0+")
 BLOCK = 4 << 20                # bytes unpacked at once
+FEED = 1 << 16                 # packed bytes given at once
 MAX_HELD = 64 << 20            # longest stretch without a place to cut
 OVERLAP = 64 << 10
 LINE = re.compile(rb"[A-Za-z0-9+/]{60,}\r?\n\Z")
@@ -165,27 +181,86 @@ def _without_nul(text: str):
 
 
 def _packed(data: bytes, at: int) -> bool:
-    head = data[at:at + 3]
-    return len(head) == 3 and (head[:2] == b"\x1f\x8b"
-                               or head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0)
-
-
-def _unpacked(data: bytes, at: int) -> Iterator[bytes]:
-    """Pieces of all members of the gzip or zlib data that begins at ``at``."""
-    rest = data[at:]
-    while rest and _packed(rest, 0):
-        unpack = zlib.decompressobj(47)
+    head = data[at:at + 10]
+    return len(head) >= 3 and (head[:2] == b"\x1f\x8b"
+                               or head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0
+                               or head[:3] == b"BZh" and head[4:] == b"1AY&SY")
+
+
+def _unpacked(data: bytes, at: int, raw: bool = False) -> Iterator[bytes]:
+    """Pieces of all members of the packed data that begins at ``at``; ``raw``:
+    of a deflate stream without a head."""
+    view = memoryview(data)
+    while raw or _packed(data, at):
+        if raw:
+            unpack = zlib.decompressobj(-15)
+        else:
+            unpack = bz2.BZ2Decompressor() if data[at] == ord("B") else zlib.decompressobj(47)
         try:
-            while rest and not unpack.eof:
-                piece = unpack.decompress(rest, BLOCK)
-                rest = unpack.unconsumed_tail
-                if piece:
+            while not unpack.eof:
+                fed = view[at:at + FEED]
+                at += len(fed)
+                piece = unpack.decompress(fed, BLOCK)
+                while piece:
                     yield piece
-            while not unpack.eof and (piece := unpack.decompress(b"", BLOCK)):
-                yield piece
-        except zlib.error:
+                    piece = b"" if unpack.eof else unpack.decompress(getattr(unpack, "unconsumed_tail", b""), BLOCK)
+                if not fed:
+                    break
+        except (zlib.error, OSError):
             return
-        rest = unpack.unused_data.lstrip(b"\0")    # a file may be padded between members
+        at -= len(unpack.unused_data)
+        if raw or not unpack.eof:
+            return
+        while at < len(data) and not data[at]:     # a file may be padded between members
+            at += 1
+
+
+def _is_deflate(data: bytes) -> bool:
+    """Whether the bytes are one deflate stream without a head, from first to last."""
+    if len(data) < 3 or data[0] & 6 == 6 or _readable(data):
+        return False
+    unpack, at, view = zlib.decompressobj(-15), 0, memoryview(data)
+    try:
+        while not unpack.eof:
+            fed = unpack.unconsumed_tail or view[at:at + FEED]
+            at += 0 if unpack.unconsumed_tail else len(fed)
+            if not unpack.decompress(fed, BLOCK) and not len(fed):
+                return False
+    except zlib.error:
+        return False
+    return at == len(data) and not unpack.unused_data
+
+
+def _code(unit: re.Match) -> int:
+    """The byte that an escape stands for."""
+    if unit.re is PERCENT_UNIT:
+        return int(unit[1], 16) if unit[1] else 32
+    if unit[2]:
+        return SHORT_ESCAPES.get(unit[2], 92)
+    return min(255, int(unit[4]) if unit[4] else int(unit[1] or unit[3], 16))
+
+
+def _escaped_bytes(text: str) -> Iterator[tuple[bytes, Stretches, int, int]]:
+    """(bytes, where they lie in the stretch, start, end) of the stretches that write
+    bytes as percent escapes or as escapes of literals and markup."""
+    for signs, stretch, unit in (("%", PERCENT_BYTES, PERCENT_UNIT), ("\\&", LITERAL_BYTES, LITERAL_UNIT)):
+        if any(sign in text for sign in signs):
+            for m in stretch.finditer(text):
+                data, where = _replaced(m.group(), [(u.start(), u.end(), chr(_code(u))) for u in unit.finditer(m.group())])
+                yield data.encode("latin-1"), where, m.start(), m.end()
+
+
+def _packed_layers(text: str) -> Iterator[tuple[str, int, int, bool]]:
+    """(decoded layer, start, end, cut) of packed data in escaped bytes."""
+    for data, where, start, end in _escaped_bytes(text):
+        for head in HEAD.finditer(data):
+            at = head.start()
+            if _packed(data, at):
+                for block, cut in _blocks(_unpacked(data, at)):
+                    yield _decoded(block), start + where.source(at, at + 1)[0], end, cut
+        if _is_deflate(data):
+            for block, cut in _blocks(_unpacked(data, 0, raw=True)):
+                yield _decoded(block), start, end, cut
 
 
 def _blocks(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
@@ -224,6 +299,9 @@ def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
                 if _packed(data, at):
                     for block, cut in _blocks(_unpacked(data, at)):
                         yield _decoded(block), m.start(), m.end(), cut, True
+            if phase == 0 and _is_deflate(data):
+                for block, cut in _blocks(_unpacked(data, 0, raw=True)):
+                    yield _decoded(block), m.start(), m.end(), cut, _readable(block)
 
 
 def find_all(text: str) -> tuple[list[Span], list[Span], int, int]:
@@ -267,6 +345,9 @@ def find_all(text: str) -> tuple[list[Span], list[Span], int, int]:
                 new = unwrap(layer)
                 if new:
                     yield new[0], (new[1], *back), above, own
+            for decoded, start, end, cut in _packed_layers(layer):
+                oversize += cut
+                yield decoded, (Stretches([(0, start, end, False)]), *back), above, True
             for decoded, start, end, cut, is_text in _base64_layers(layer):
                 oversize += cut
                 if decoded:

@@ -217,3 +217,34 @@ def test_page_work_is_linear():
         begin = time.monotonic()
         htmltext.main_text(page)
         assert time.monotonic() - begin < 10, page[:20]
+
+
+def test_packed_data_under_every_byte_layer():
+    import bz2
+    import urllib.parse
+    inner = f"line\nkey {KEY} ok\n".encode() * 3
+    raw = zlib.compressobj(wbits=-15)
+    packed = {"gzip": gzip.compress(inner), "zlib": zlib.compress(inner), "bz2": bz2.compress(inner),
+              "deflate": raw.compress(inner) + raw.flush()}
+    written = {"base64": b64, "percent": lambda d: "".join(f"%{c:02X}" for c in d), "quote": urllib.parse.quote,
+               "quote_plus": urllib.parse.quote_plus, "hex": lambda d: "".join(f"\\x{c:02x}" for c in d),
+               "unicode": lambda d: "".join(f"\\u{c:04x}" for c in d), "repr": lambda d: repr(d)[2:-1],
+               "markup": lambda d: "".join(f"&#{c};" for c in d)}
+    for kind, data in packed.items():
+        for form, write in written.items():
+            text = f'é "{write(data)}" and more'
+            found = [(s, e) for s, k, e in secrets.find_all(text)[1] if k == 1]
+            assert found == [(3, len(text) - 10)], (kind, form, found)
+    two = bz2.compress(b"first\n") + bz2.compress(inner)
+    assert {k for _, k, _ in secrets.find_all(b64(two))[1]} == {1}
+
+
+def test_long_runs_cost_their_length():
+    import random
+    import time
+    data = random.Random(3).randbytes(3 << 18)
+    for text in (b64(data), "a" * 1_000_000, b64(zlib.compress(b"word " * 400_000)), "%41" * 300_000,
+                 base64.encodebytes(data).decode()):
+        begin = time.monotonic()
+        secrets.find_all(text)
+        assert time.monotonic() - begin < 30, (text[:20], time.monotonic() - begin)
