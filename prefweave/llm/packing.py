@@ -8,12 +8,13 @@ pieces are then dealt to the patterns' places by their rank among the pieces of
 their length, which Spark works out in salted windows.
 
 The solver is bin completion branch-and-bound: best-fit decreasing gives the
-first incumbent; then, around the largest remaining length, fillings of the rest
-that no other filling dominates are tried, exact ones first, each for as many
-sequences at once as the counts allow; a branch is cut when its waste exceeds
-what an improvement on the incumbent may waste. It ends when the lower bound is
-reached, the tree is exhausted, or after ``NODES`` nodes, with the best packing
-found so far.
+first incumbent; then, around the largest remaining length, all fillings of the rest
+that no other filling dominates are tried, made one at a time and the fullest first,
+each for as many sequences at once as the counts allow and then for fewer; a branch is
+cut when its waste exceeds what an improvement on the incumbent may waste. It ends when
+the lower bound is reached, the tree is exhausted (the packing is then the best there
+is), or after ``NODES`` steps, with the best packing found so far. A step is a node of
+the tree or of the search for its fillings; no other limit ends it.
 
 Edge cases: a null or empty text is one piece with the end id alone; repeated
 rows are packed one by one; an empty table gives no rows; extra columns are
@@ -36,7 +37,7 @@ from prefweave.llm.textarrays import chunks, column
 
 CAPACITY = 1024
 END_ID = 2
-NODES = 20_000                   # search nodes after the first incumbent
+NODES = 50_000                 # search steps after the first incumbent
 RANKED = 200_000               # pieces of one length that one ranking group aims at
 
 Pattern = tuple[tuple[int, ...], int]          # lengths, largest first; number of sequences
@@ -92,53 +93,92 @@ def best_fit(counts: list[int], capacity: int) -> list[Pattern]:
     return done + [(tuple(l), n) for bins in open_bins.values() for l, n in bins]
 
 
-def fillings(counts: list[int], sizes: list[int], room: int, most: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of a room, the fullest first. A single length that
-    fills it exactly dominates all others; of pairs, those with the largest
-    fill for each first length stay; beyond, a depth-first search with the
-    largest lengths first finds the fullest it can."""
-    fit = [s for s in sizes if s <= room]
-    if not fit:
-        return [()]
-    if counts[room] > 0:
-        return [(room,)]
-    out: list[tuple[int, ...]] = []
-    smallest = fit[-1]
-    for a in fit:                                   # exact pairs
-        b = room - a
-        if b > a:
-            continue
-        if b and counts[b] > (a == b):
-            out.append((a, b))
-            if len(out) >= most:
-                return out
-        if b <= 0 or a * 2 < room:
-            break
-    best, seen, tries = -1, [], 0
-
-    def search(at: int, rest: int, chosen: list[int]) -> bool:
-        nonlocal best, tries
-        tries += 1
-        filled = room - rest
-        if filled > best:
-            best = filled
-            seen.append(tuple(chosen))
-        if rest < smallest or tries > 400:
-            return best == room or tries > 400
-        for i in range(at, len(fit)):
-            s = fit[i]
-            if s > rest:
+class Steps:
+    """What is left of the search's steps."""
+
+    def __init__(self, left: float):
+        self.left = left
+
+    def take(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def _spread(bits: int, most: int) -> int:
+    """Every bit moved up by each of 0 to ``most`` places."""
+    by = 1
+    while by <= most:
+        bits |= bits << min(by, most + 1 - by)
+        by *= 2
+    return bits
+
+
+def fillings(counts: list[int], room: int, steps: Steps | None = None) -> Iterator[tuple[int, ...]]:
+    """The undominated fillings of a room from ``counts``, lengths largest first,
+    the fullest first, each once.
+
+    A filling is dominated if another holds, for groups of its lengths, single
+    ones at least as long. That is so exactly if a length it does not use up can
+    take the place of some of its shorter lengths (or of none): their sum is at
+    most that length, and the whole still fits. Sets of sums are bits of an
+    integer; a part that is dominated whatever follows is left at once."""
+    steps = steps or Steps(math.inf)
+    if room <= 0 or not any(counts[1:room + 1]):
+        yield ()
+        return
+    sizes = [s for s in range(room, 0, -1) if counts[s]]
+    most = (1 << (room + 1)) - 1
+    reach = [1] * (len(sizes) + 1)                 # sums of the lengths from each on
+    for i in range(len(sizes) - 1, -1, -1):
+        bits, copies, by = reach[i + 1], min(counts[sizes[i]], room // sizes[i]), 1
+        while copies:
+            by = min(by, copies)
+            bits |= (bits << by * sizes[i]) & most
+            copies, by = copies - by, by * 2
+        reach[i] = bits
+    free_at_first = sum(1 << s for s in sizes)
+
+    def dominated(free: int, one: int, more: int, slack: int, above: int) -> bool:
+        """``one``, ``more``: sums of one and of several chosen lengths;
+        ``free``: lengths not used up; looked at: those over ``above``."""
+        free &= -(1 << above + 1)
+        if more & free:
+            return True
+        # Over a sum, by no more than the slack.
+        return slack > 0 and _spread((1 | one | more) << 1, slack - 1) & free != 0
+
+    def chosen(i: int, rest: int, slack: int, free: int, one: int, more: int) -> Iterator[tuple[int, ...]]:
+        if not rest:
+            if not dominated(free, one, more, slack, 0):
+                yield ()
+            return
+        if slack and free >> rest + 1 & ((1 << slack) - 1):
+            return                                 # one length takes the place of all that is to come
+        alone = bool(free >> rest & 1)             # so it does for two or more
+        for j in range(i, len(sizes)):
+            if not reach[j] >> rest & 1:
+                return
+            s = sizes[j]
+            if s > rest or alone and s != rest:
                 continue
-            copies = chosen.count(s)
-            if copies < counts[s]:
-                chosen.append(s)
-                if search(i, rest - s, chosen):
-                    return True
-                chosen.pop()
-        return False
+            one_s, more_s = one, more
+            for copies in range(1, min(counts[s], rest // s) + 1):
+                if not steps.take():
+                    return
+                more_s |= (one_s | more_s) << s & most
+                one_s |= 1 << s
+                left = rest - copies * s
+                if not reach[j + 1] >> left & 1:
+                    continue
+                free_s = free & ~(1 << s) if copies == counts[s] else free
+                if dominated(free_s, one_s, more_s, slack, s):
+                    break
+                for tail in chosen(j + 1, left, slack, free_s, one_s, more_s):
+                    yield (s,) * copies + tail
 
-    search(0, room, [])
-    return (out + seen[::-1])[:most] or [()]
+    for total in range(room, 0, -1):
+        if reach[0] >> total & 1:
+            yield from chosen(0, total, room - total, free_at_first, 0, 0)
 
 
 def complete_bins(counts: list[int], capacity: int, nodes: int = NODES) -> tuple[list[Pattern], int]:
@@ -147,36 +187,45 @@ def complete_bins(counts: list[int], capacity: int, nodes: int = NODES) -> tuple
     n_best = sum(n for _, n in incumbent)
     bound = waste_bound(counts, capacity)
     total = sum(s * c for s, c in enumerate(counts))
-    # A node: counts, patterns so far (linked), sequences, waste.
-    stack = [(list(counts), None, 0, 0)]
-    while stack and n_best > bound and nodes > 0:
-        left, made, used, waste = stack.pop()
-        nodes -= 1
-        sizes = [s for s in range(capacity, 0, -1) if left[s]]
-        if not sizes:
-            if used < n_best:
-                n_best, incumbent = used, []
-                while made:
-                    made, pattern = made
-                    incumbent.append(pattern)
-            continue
-        s = sizes[0]
-        left[s] -= 1
-        options = fillings(left, sizes if left[s] else sizes[1:], capacity - s)
-        left[s] += 1
-        for fill in reversed(options):
+    steps = Steps(nodes)
+
+    def branches(left: list[int], waste: int) -> Iterator[tuple[tuple[int, ...], int, int]]:
+        """(lengths, number of sequences, waste after them), the least waste first."""
+        s = next(s for s in range(capacity, 0, -1) if left[s])
+        rest = list(left)
+        rest[s] -= 1
+        for fill in fillings(rest, capacity - s, steps):
             lengths = (s, *fill)
-            uses = {v: lengths.count(v) for v in lengths}
-            times = min(left[v] // u for v, u in uses.items())
-            lost = waste + times * (capacity - sum(lengths))
-            if lost > (n_best - 1) * capacity - total:
-                if times == 1 or waste + capacity - sum(lengths) > (n_best - 1) * capacity - total:
-                    continue
-                times, lost = 1, waste + capacity - sum(lengths)
-            rest = list(left)
-            for v, u in uses.items():
-                rest[v] -= u * times
-            stack.append((rest, (made, (lengths, times)), used + times, lost))
+            each = capacity - sum(lengths)
+            most = min(left[v] // lengths.count(v) for v in set(lengths))
+            if each:
+                most = min(most, ((n_best - 1) * capacity - total - waste) // each)
+            if most <= 0:
+                return                             # those that follow waste as much or more
+            for times in range(most, 0, -1):
+                yield lengths, times, waste + times * each
+
+    # The path from the root: branches still to try, counts, pattern taken, sequences so far.
+    path = [(branches(list(counts), 0), list(counts), None, 0)] if any(counts) else []
+    while path and n_best > bound:
+        options, left, _, used = path[-1]
+        option = next(options, None)
+        if option is None or not steps.take():
+            if steps.left < 0:
+                break
+            path.pop()
+            continue
+        lengths, times, waste = option
+        if waste > (n_best - 1) * capacity - total or used + times >= n_best:
+            continue
+        rest = list(left)
+        for v in lengths:
+            rest[v] -= times
+        if any(rest):
+            path.append((branches(rest, waste), rest, (lengths, times), used + times))
+        else:
+            n_best = used + times
+            incumbent = [p for _, _, p, _ in path[1:]] + [(lengths, times)]
     return incumbent, bound
 
 
@@ -243,7 +292,9 @@ def pieces(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | Non
 def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | None = None, end_id: int = END_ID,
          nodes: int = NODES) -> DataFrame:
     """One row per piece with its sequence and place in it."""
-    rows = stored(pieces(documents, capacity, vocabulary, end_id), "pieces")
+    # The written number tells equal rows apart, so that copies are dealt to all windows.
+    rows = stored(pieces(documents, capacity, vocabulary, end_id).withColumn("row", F.monotonically_increasing_id()),
+                  "pieces")
     counts = [0] * (capacity + 1)
     for r in rows.groupBy("length").count().collect():        # at most ``capacity`` lengths
         counts[r["length"]] = r["count"]
@@ -254,8 +305,8 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str | None
     places = rows.sparkSession.sparkContext.broadcast(Places(patterns))     # bounded by the number of lengths
 
     salts = max(1, max(counts + [full]) // RANKED + 1)
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
-    near = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)))
+    near = Window.partitionBy("length", "salt").orderBy("row")
     before = (rows.groupBy("length", "salt").count()
               .withColumn("before", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count"))
               .drop("count"))

@@ -71,6 +71,62 @@ def test_solver_keeps_all_and_is_optimal_on_small_cases():
         assert bound <= sum(n for _, n in patterns) == optimum(sizes, 20)
 
 
+def every_filling(counts, room):
+    sizes = [s for s in range(room, 0, -1) if counts[s]]
+
+    def some(i, rest):
+        if i == len(sizes):
+            yield ()
+            return
+        for c in range(min(counts[sizes[i]], rest // sizes[i]) + 1):
+            for tail in some(i + 1, rest - c * sizes[i]):
+                yield (sizes[i],) * c + tail
+
+    return list(some(0, room))
+
+
+def covers(a, b):
+    """Whether b's lengths can be dealt to a's as to rooms."""
+    def deal(i, rooms):
+        return i == len(b) or any(deal(i + 1, rooms[:j] + (r - b[i],) + rooms[j + 1:])
+                                  for j, r in enumerate(rooms) if r >= b[i])
+    return deal(0, tuple(a))
+
+
+def test_fillings_are_the_undominated_ones():
+    rnd = random.Random(5)
+    for _ in range(200):
+        room = rnd.randint(0, 22)
+        counts = [0] * (room + 8)
+        for _ in range(rnd.randint(1, 6)):
+            counts[rnd.randint(1, room + 5)] += rnd.randint(1, 3)
+        every = every_filling(counts, room)
+        undominated = {b for b in every if not any(a != b and covers(a, b) for a in every)}
+        got = list(packing.fillings(counts, room))
+        assert len(got) == len(set(got)) and set(got) == undominated, (room, counts)
+        assert [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+    counts = [0] * 501
+    for s in (300, 200, 190, 180, 100):
+        counts[s] = 1
+    assert next(packing.fillings(counts, 500)) == (300, 200)
+
+
+def test_steps_alone_end_the_search():
+    counts = [0] * 1025
+    for s in range(200, 700, 3):
+        counts[s] = 1 + s % 7
+    some, bound = packing.complete_bins(counts, 1024, nodes=10)
+    more, _ = packing.complete_bins(counts, 1024, nodes=20_000)
+    assert used(some, 1024) == used(more, 1024) == counts[:1025]
+    assert bound <= sum(n for _, n in more) <= sum(n for _, n in some)
+
+
+def test_many_equal_rows_are_packed_apart(spark, docs):
+    rows = packing.pack(docs([(1, "a b c")] * 5000)).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 5000
+    assert len({r.sequence_id for r in rows}) == math.ceil(5000 / (1024 // rows[0].length))
+
+
 def test_pieces_and_places(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
