@@ -9,19 +9,22 @@ are compared by exact inner products in double precision.
 
 So that the largest inner product is also the smallest angle, indexed vectors
 get one more component, ``sqrt(m^2 - |x|^2)`` with m the largest norm, and
-queries a zero there.
+queries a zero there. Hash strings and the first comparison use single precision, on
+vectors divided by the largest component of all, so that large finite vectors do not
+overflow there; scores come from the original vectors.
 
 Vectors are dealt by hash into shards of about ``shard_rows`` and queries into
 blocks of about ``query_rows``; a task indexes one shard and answers one block,
-so its memory is bounded whatever the input, and no vector is left unindexed.
+so its memory is bounded by ``shard_rows`` vectors of the input's dimension, and no
+vector is left unindexed.
 A query's best of all shards are merged at the end. The projections come from a
 fixed seed; nothing is fitted.
 
 Edge cases: rows with a null id, and vectors that are null, empty, zero or hold
 null or non-finite components, take no part; equal ids count once, with the
 least vector; vectors of different lengths are not compared; with fewer
-candidates than ``k`` a query gets all; ties go to the smaller id; an empty
-table gives no rows.
+candidates than ``k`` a query gets all; ties go to the smaller id, also among
+products beyond the range of doubles (infinite); an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -55,14 +58,16 @@ def valid_vectors(embeddings: DataFrame) -> DataFrame:
 class Forest:
     """Sorted hash strings of one shard, per tree."""
 
-    def __init__(self, x: np.ndarray, longest: float, trees: int, bits: int):
-        self.x, self.bits = x, bits
+    def __init__(self, x: np.ndarray, unit: float, longest: float, trees: int, bits: int):
+        """``unit``: largest component of all vectors; ``longest``: largest norm in that unit."""
+        self.x, self.bits, self.longest, self.largest = x, bits, longest, unit
         d = x.shape[1] + 1
         rng = np.random.default_rng(97)
         self.planes = rng.standard_normal((trees, d, bits)).astype(np.float32)
-        extra = np.sqrt(np.maximum(longest ** 2 - (x * x).sum(axis=1), 0))
-        wide = np.hstack([x, extra[:, None]]).astype(np.float32)
-        self.near = x.astype(np.float32)
+        small = x / unit
+        extra = np.sqrt(np.maximum(longest ** 2 - (small * small).sum(axis=1), 0))
+        wide = np.hstack([small, extra[:, None]]).astype(np.float32)
+        self.near = small.astype(np.float32)
         self.order, self.strings = [], []
         for plane in self.planes:
             s = self._strings(wide, plane)
@@ -74,6 +79,10 @@ class Forest:
         weights = (np.int64(1) << np.arange(self.bits - 1, -1, -1)).astype(np.float64)
         return ((wide @ plane > 0) @ weights).astype(np.int64)
 
+    @staticmethod
+    def _small(queries: np.ndarray) -> np.ndarray:
+        return queries / np.abs(queries).max(axis=1, keepdims=True)
+
     def _bounds(self, t: int, q: np.ndarray, drop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Range of each query's vectors whose strings agree but for the last
         ``drop`` bits."""
@@ -83,7 +92,7 @@ class Forest:
 
     def candidates(self, queries: np.ndarray, enough: int):
         """Candidate rows of each query, in turn."""
-        wide = np.hstack([queries, np.zeros((len(queries), 1))]).astype(np.float32)
+        wide = np.hstack([self._small(queries), np.zeros((len(queries), 1))]).astype(np.float32)
         strings = [self._strings(wide, plane) for plane in self.planes]
         # The longest prefix length with enough candidates: fewest dropped bits.
         low, high = np.zeros(len(queries), np.int64), np.full(len(queries), self.bits, np.int64)
@@ -107,24 +116,29 @@ class Forest:
     def nearest(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int, enough: int):
         """(query place, row, score) of the k best candidates of each query."""
         out = []
+        small = self._small(queries)
         for i, found in enumerate(self.candidates(queries, enough)):
             found = found[ids[found] != query_ids[i]]
-            if len(found) > 4 * k:
+            size = float(np.linalg.norm(small[i])) * self.longest
+            in_range = self._in_range(queries[i])
+            if len(found) > 4 * k and in_range:
                 # Single precision sorts out what can't be among the best.
-                rough = self.near[found] @ queries[i].astype(np.float32)
+                rough = self.near[found] @ small[i].astype(np.float32)
                 cut = np.partition(rough, len(rough) - k)[len(rough) - k]
-                slack = 1e-4 * (np.abs(cut) + np.linalg.norm(queries[i]) * self.longest_near)
-                found = found[rough >= cut - slack]
-            scores = (self.x[found] * queries[i]).sum(axis=1)
+                found = found[rough >= cut - 1e-4 * (np.abs(cut) + size)]
+            if in_range:
+                scores = (self.x[found] * queries[i]).sum(axis=1)
+            else:                                  # one factor at a time: infinite, never inf - inf
+                with np.errstate(over="ignore", under="ignore"):
+                    scores = (self.x[found] / self.largest * small[i]).sum(axis=1) * self.largest * np.abs(queries[i]).max()
             best = np.lexsort((ids[found], -scores))[:k]
             out += [(i, found[j], scores[j]) for j in best]
         return out
 
-    @property
-    def longest_near(self) -> float:
-        if not hasattr(self, "_longest"):
-            self._longest = float(np.sqrt((self.x * self.x).sum(axis=1)).max())
-        return self._longest
+    def _in_range(self, query: np.ndarray) -> bool:
+        """Whether no product with this query can leave the doubles' range."""
+        with np.errstate(over="ignore", under="ignore"):
+            return 1e-250 < np.abs(query).max() * self.largest < 1e300
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -139,9 +153,11 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int = 20, t
     (``vec_id``, ``embedding``) among ``embeddings``, without its own id."""
     vectors = stored(valid_vectors(embeddings), "vectors")
     asked = stored(valid_vectors(queries), "queries")
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    stats = vectors.agg(F.count("*").alias("n"), F.max(norm).alias("m")).first()
-    n, longest, n_queries = stats["n"], float(stats["m"] or 0.0), asked.count()
+    most = F.array_max(F.transform("v", F.abs))
+    stats = vectors.agg(F.count("*").alias("n"), F.max(most).alias("m")).first()
+    n, unit, n_queries = stats["n"], float(stats["m"] or 1.0), asked.count()
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.lit(unit)) * (x / F.lit(unit))))
+    longest = float(vectors.agg(F.max(norm)).first()[0] or 0.0)
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(n_queries / query_rows))
 
     part = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
@@ -157,7 +173,7 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int = 20, t
             return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())],
                                         names)
         ids, query_ids = rows["vec_id"].to_numpy(), block["vec_id"].to_numpy()
-        forest = Forest(_matrix(rows["v"]), longest, trees, bits)
+        forest = Forest(_matrix(rows["v"]), unit, longest, trees, bits)
         found = forest.nearest(_matrix(block["v"]), query_ids, ids, k, min(math.ceil(share * len(ids)) + least,
                                                                            trees * len(ids)))
         return pa.Table.from_arrays(

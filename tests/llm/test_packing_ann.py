@@ -201,3 +201,23 @@ def test_pipeline_stages(spark):
     assert sizes == sorted(sizes, reverse=True) and sizes[-1] > 0
     out = corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
     assert out.select("doc_id").distinct().count() <= sizes[-1]
+
+
+def test_large_finite_vectors_and_clashing_columns(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((600, 16))
+    ids = np.arange(600)
+    for scale in (1e25, 1e-30, 1e200):
+        rows = [(int(i), (v * scale).tolist(), 7, 0.5) for i, v in zip(ids, x)]
+        e = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int, score double")
+        got = ann.nearest_neighbours(e, e.where("vec_id % 60 = 0"), k=5, shard_rows=200).toPandas()
+        for q, own in got.groupby("query_id"):
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = (x * scale * (x[q] * scale)).sum(axis=1)
+            scores[q] = -np.inf
+            best = ids[np.lexsort((ids, -scores))[:5]]
+            own = own.sort_values("rank")
+            if scale == 1e200:
+                assert np.isposinf(own.score).all() and len(own) == 5 and (x[own.vec_id] @ x[q] > 0).all()
+            else:
+                assert len(set(best) & set(own.vec_id)) >= 4 and np.allclose(scores[own.vec_id], own.score, rtol=1e-12)
