@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from prefweave import constants as C
 from prefweave.functions import templates as tpl, vocabulary
+from prefweave.functions.template_text import compile_template
 from prefweave.operators import judge, metrics
 from prefweave.operators.batching import (
     assign_batches, collect_batches, template_prompts, truncate_left, with_positions)
@@ -158,6 +159,37 @@ def q_prompts_upstream_template(spark, sf):
                     F.when(v == "ok", t.render("messages")).alias("text"))
 
 
+# The alternating, final-turn and upstream templates as text, each a parameter of its query.
+TURNS_TEXT = """{%- for message in messages %}
+  {% if loop.index0 % 2 == 0 and message.role != 'user' or loop.index0 % 2 == 1 and message.role == 'user' %}
+    {{- raise_exception('order') -}}
+  {% endif %}
+  {%- if message.role == 'user' -%} {{ '[INST] ' + message.content }} [/INST]
+  {%- elif message.role == 'assistant' -%} {{ between + message.content + eos_token -}}
+  {%- else -%} {{ raise_exception('role') -}}
+  {%- endif -%}
+{%- endfor -%}"""
+FINAL_TEXT = """{% for turn in messages %}
+{% if turn.role == 'assistant' %}{{ turn.content + eos_token }}{% else %}{{ raise_exception('role') }}{% endif %}
+{% endfor %}"""
+RAISED = {"order": tpl.ROLES_NOT_ALTERNATING, "role": tpl.UNSUPPORTED_ROLE}
+
+
+def q_triplets_template_text(spark, sf):
+    """T1, T2 from template text."""
+    good, _ = create_triplets(pairs(spark, sf), compile_template(TURNS_TEXT, statuses=RAISED, between=" "),
+                              final_turn=compile_template(FINAL_TEXT, statuses=RAISED))
+    return good
+
+
+def q_prompts_template_text(spark, sf):
+    """T3 from template text."""
+    t = compile_template("{{ bos_token }}" + TURNS_TEXT, statuses=RAISED, between="")
+    v = F.coalesce(t.violation("messages"), F.lit("ok"))
+    return turns_to_messages(conversations(spark, sf)).select(
+        "conv_id", v.alias("status"), F.when(v == "ok", t.render("messages")).alias("text"))
+
+
 def q_templated_eval_prompts(spark, sf):
     return template_prompts(prompts(spark, sf)).select("pos", "templated")
 
@@ -416,6 +448,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "triplets_alternating": q_triplets_alternating,
     "triplets_chatml": q_triplets_chatml,
     "prompts_upstream_template": q_prompts_upstream_template,
+    "triplets_template_text": q_triplets_template_text,
+    "prompts_template_text": q_prompts_template_text,
     "templated_eval_prompts": q_templated_eval_prompts,
     "sample_n": q_sample_n,
     "train_test_split": q_train_test_split,

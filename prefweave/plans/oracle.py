@@ -375,6 +375,9 @@ _OUTCOMES = f"({ORACLE_SQL['prepare_outcome']})"
 ORACLE_SQL["prepare_outcome_counts"] = f"SELECT outcome, count(*) AS n_pairs FROM {_OUTCOMES} GROUP BY outcome"
 ORACLE_SQL["prepare_growing"] = ORACLE_SQL["json_round_trip"]
 ORACLE_SQL["triplets_strict"] = ORACLE_SQL["triplets_alternating"]
+# Templates given as text must give the same rows as the built-in ones.
+ORACLE_SQL["triplets_template_text"] = ORACLE_SQL["triplets_alternating"]
+ORACLE_SQL["prompts_template_text"] = ORACLE_SQL["prompts_upstream_template"]
 ORACLE_SQL["pair_status_varied"] = f"WITH {triplets_cte(pairs=VARIED)}\nSELECT pair_id, status FROM trip"
 
 # The flat forms give the rows of the array forms.
