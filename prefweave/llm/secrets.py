@@ -71,6 +71,7 @@ _PERCENT, _KEPT = r"%[0-9A-Fa-f]{2}", r"[A-Za-z0-9_.~*!'()/+-]"
 PERCENT_BYTES = re.compile(f"{_KEPT}{{0,16}}+{_PERCENT}(?:{_PERCENT}|{_KEPT})*+")
 _LITERAL = r"""(?:\\x[0-9A-Fa-f]{2}|\\u00[0-9A-Fa-f]{2}|\\[0abfnrtv'"\\/]|&#[xX]0*[0-9A-Fa-f]{1,2};|&#[0-9]{1,3};)"""
 _PLAIN = r"[ !#-&(-\[\]-~\x80-\xff]"
+ANY_PERCENT, ANY_LITERAL = re.compile(_PERCENT), re.compile(_LITERAL)
 LITERAL_BYTES = re.compile(f"{_PLAIN}{{0,16}}{_LITERAL}(?:{_LITERAL}|{_PLAIN})*+")
 PERCENT_UNIT = re.compile(r"%(..)|(\+)")
 LITERAL_UNIT = re.compile(r"\\(?:x|u00)([0-9A-Fa-f]{2})|\\(.)|&#[xX]([0-9A-Fa-f]+);|&#([0-9]+);")
@@ -243,8 +244,8 @@ def _code(unit: re.Match) -> int:
 def _escaped_bytes(text: str) -> Iterator[tuple[bytes, Stretches, int, int]]:
     """(bytes, where they lie in the stretch, start, end) of the stretches that write
     bytes as percent escapes or as escapes of literals and markup."""
-    for signs, stretch, unit in (("%", PERCENT_BYTES, PERCENT_UNIT), ("\\&", LITERAL_BYTES, LITERAL_UNIT)):
-        if any(sign in text for sign in signs):
+    for escape, stretch, unit in ((ANY_PERCENT, PERCENT_BYTES, PERCENT_UNIT), (ANY_LITERAL, LITERAL_BYTES, LITERAL_UNIT)):
+        if escape.search(text):
             for m in stretch.finditer(text):
                 data, where = _replaced(m.group(), [(u.start(), u.end(), chr(_code(u))) for u in unit.finditer(m.group())])
                 yield data.encode("latin-1"), where, m.start(), m.end()
@@ -285,7 +286,7 @@ def _blocks(pieces: Iterator[bytes]) -> Iterator[tuple[bytes, bool]]:
 def _base64_layers(text: str) -> Iterator[tuple[str, int, int, bool, bool]]:
     """(decoded layer, start, end, cut, whether it is text) of each base64 run,
     in every phase."""
-    for m in chain(BASE64.finditer(text), WRAPPED.finditer(text)):
+    for m in chain(BASE64.finditer(text), WRAPPED.finditer(text) if "\n" in text else ()):
         run = re.sub(r"\s", "", m.group()).rstrip("=")
         plain = run.replace("-", "+").replace("_", "/")
         for phase in range(4):
