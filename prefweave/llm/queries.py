@@ -18,6 +18,11 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan_secrets(read(spark, sf, "documents"))
 
 
+def secret_base_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """The scan's base findings alone, which SQL can state."""
+    return op1_secret_scan(spark, sf).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify_languages(read(spark, sf, "documents"))
 
@@ -71,4 +76,4 @@ def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_secret_scan, op2_language_id, op3_hash_prefix_forest, op4_ngram_jaccard_join, op5_line_dedup,
     op6_best_fit_packing, op7_decontamination, op8_quality_mil, op9_html_extraction, op10_license_scan,
-    op11_url_filter, op12_vector_codes, op13_embedding_whitening)}
+    op11_url_filter, op12_vector_codes, op13_embedding_whitening, secret_base_spans)}
