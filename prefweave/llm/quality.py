@@ -13,8 +13,8 @@ many from evenly across the whole text are learned from (this bounds the driver'
 memory; scoring reads every whole text). Passage features are made by
 Spark tasks; the driver gets them as half floats and fits the small network by
 full-batch gradients with numpy. Scoring is a narrow Arrow map; a document's
-passages pass through in blocks with a running softmax, so a very long text
-needs no more memory than its bytes.
+passages are made and pass through in blocks of ``BLOCK_BYTES`` of text with a running
+softmax, so a very long text needs its own bytes and one block's features.
 
 Edge cases: an empty or null text has one passage without words and gets its
 score; without two labels to learn from, every score is the label's share (0.5
@@ -38,6 +38,7 @@ PASSAGE_WORDS = 48
 BUCKETS = 256                  # hashed byte bigrams
 PER_LABEL = 500
 TRAIN_PASSAGES = 64            # of a document, at most, in training
+BLOCK_BYTES = 1 << 18          # of text whose passages are scored at once
 HIDDEN, ATTENTION = 24, 12
 EPOCHS, LEARNING_RATE, DECAY = 160, 0.02, 1e-4
 THRESHOLD = 0.3
@@ -95,6 +96,32 @@ def passage_features(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.
     return x, first
 
 
+def passage_blocks(buf: np.ndarray, offs: np.ndarray,
+                   most: int = BLOCK_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(feature rows, text of each) of a chunk, some ``most`` bytes at a time.
+    A longer text is cut where a passage begins, so its rows are those of
+    ``passage_features`` on the whole."""
+    lo, n = 0, len(offs) - 1
+    while lo < n:
+        hi = min(max(int(np.searchsorted(offs, offs[lo] + most, side="right")) - 1, lo + 1), n)
+        at, end, size = int(offs[lo]), int(offs[hi]), most
+        while hi == lo + 1 and end - at > size:
+            piece = buf[at:at + size]
+            starts, _, _ = words(piece, np.array([0, size]))
+            # The last word may go on behind the piece; its start is a start all the same.
+            whole = (len(starts) - 1) // PASSAGE_WORDS
+            if whole < 1:
+                size *= 2
+                continue
+            cut = int(starts[whole * PASSAGE_WORDS])
+            x, _ = passage_features(piece[:cut], np.array([0, cut]))
+            yield x, np.full(len(x), lo)
+            at, size = at + cut, most
+        x, first = passage_features(buf[at:end], np.concatenate([[0], offs[lo + 1:hi + 1] - at]))
+        yield x, np.repeat(np.arange(lo, hi), np.diff(first))
+        lo = hi
+
+
 class Network:
     """Passage encoder, gated attention and head; ``mean``/``scale`` centre the features."""
 
@@ -116,29 +143,32 @@ class Network:
         t, s = np.tanh(h @ self.v), 1 / (1 + np.exp(-(h @ self.u)))
         return h, t, s, (t * s) @ self.w
 
+    def gradients(self, x: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the weighted log loss of the documents, by parameter."""
+        z, doc = (x - self.mean) * self.scale, np.repeat(np.arange(len(y)), np.diff(first))
+        h, t, s, a = self.passages(x)
+        a = np.exp(a - np.maximum.reduceat(a, first[:-1])[doc])
+        a /= np.add.reduceat(a, first[:-1])[doc]
+        bag = np.add.reduceat(a[:, None] * h, first[:-1], axis=0)
+        p = 1 / (1 + np.exp(-(bag @ self.head + self.head_b)))
+        d = weight * (p - y)
+        d_bag = d[:, None] * self.head
+        d_a = (d_bag[doc] * h).sum(axis=1)
+        d_a = a * (d_a - np.add.reduceat(a * d_a, first[:-1])[doc])      # through the softmax
+        d_t, d_s = d_a[:, None] * self.w * s * (1 - t * t), d_a[:, None] * self.w * t * s * (1 - s)
+        d_h = (a[:, None] * d_bag[doc] + d_t @ self.v.T + d_s @ self.u.T) * (1 - h * h)
+        return {"encode": z.T @ d_h, "encode_b": d_h.sum(axis=0), "v": h.T @ d_t, "u": h.T @ d_s,
+                "w": (t * s).T @ d_a, "head": bag.T @ d, "head_b": np.array([d.sum()])}
+
     def fit(self, x: np.ndarray, first: np.ndarray, y: np.ndarray) -> None:
         """Adam on the class-balanced log loss of the documents."""
         x = x.astype(np.float64)
         self.mean, deviation = x.mean(axis=0), x.std(axis=0)
         self.scale = 1 / np.maximum(deviation, 0.05)
-        z, doc = (x - self.mean) * self.scale, np.repeat(np.arange(len(y)), np.diff(first))
         weight = 0.5 / np.bincount(y, minlength=2)[y]
         moments = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))) for n in self.NAMES}
         for epoch in range(1, EPOCHS + 1):
-            h, t, s, a = self.passages(x)
-            a = np.exp(a - np.maximum.reduceat(a, first[:-1])[doc])
-            a /= np.add.reduceat(a, first[:-1])[doc]
-            bag = np.add.reduceat(a[:, None] * h, first[:-1], axis=0)
-            p = 1 / (1 + np.exp(-(bag @ self.head + self.head_b)))
-            d = weight * (p - y)
-            d_bag = d[:, None] * self.head
-            d_a = (d_bag[doc] * h).sum(axis=1)
-            d_a = a * (d_a - np.add.reduceat(a * d_a, first[:-1])[doc])      # through the softmax
-            d_t, d_s = d_a[:, None] * self.w * s * (1 - t * t), d_a[:, None] * self.w * t * s * (1 - s)
-            d_h = (a[:, None] * d_bag[doc] + d_t @ self.v.T + d_s @ self.u.T) * (1 - h * h)
-            grads = {"encode": z.T @ d_h, "encode_b": d_h.sum(axis=0), "v": h.T @ d_t, "u": h.T @ d_s,
-                     "w": (t * s).T @ d_a, "head": bag.T @ d, "head_b": np.array([d.sum()])}
-            for n, g in grads.items():
+            for n, g in self.gradients(x, first, y, weight).items():
                 value = getattr(self, n)
                 g = g + DECAY * value
                 m, v2 = moments[n]
@@ -146,15 +176,12 @@ class Network:
                 v2 += 0.001 * (g * g - v2)
                 value -= LEARNING_RATE * (m / (1 - 0.9 ** epoch)) / (np.sqrt(v2 / (1 - 0.999 ** epoch)) + 1e-8)
 
-    def score(self, x: np.ndarray, first: np.ndarray, block: int = 4096) -> np.ndarray:
-        """Score of each document; passages go through in blocks, with a
-        running maximum for the softmax."""
-        n = len(first) - 1
+    def score(self, blocks: Iterator[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+        """Score of each of ``n`` documents; their passages come in blocks of
+        (features, document of each, ascending), with a running maximum for the softmax."""
         top, total, bag = np.full(n, -np.inf), np.zeros(n), np.zeros((n, HIDDEN))
-        doc = np.repeat(np.arange(n), np.diff(first))
-        for lo in range(0, len(x), block):
-            h, _, _, a = self.passages(x[lo:lo + block])
-            d = doc[lo:lo + block]
+        for x, d in blocks:
+            h, _, _, a = self.passages(x)
             edge = np.flatnonzero(np.diff(d, prepend=-1))
             own = d[edge]
             high = np.maximum(top[own], np.maximum.reduceat(a, edge))
@@ -225,7 +252,7 @@ def predict(documents: DataFrame, model: Network | float, threshold: float = THR
                 if isinstance(m, float):
                     s = np.full(hi - lo, m)
                 else:
-                    s = m.score(*passage_features(buf, offs))
+                    s = m.score(passage_blocks(buf, offs), hi - lo)
                 s = np.clip(s, 0, 1)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[lo:hi], batch.column(2)[lo:hi], pa.array(s, pa.float64()),

@@ -60,12 +60,106 @@ def test_quality_held_out_accuracy(spark):
     assert len(rows) > 40 and sum(r.predicted == r.quality for r in rows) / len(rows) >= 0.95
 
 
-def test_quality_blocks_give_the_same_score(spark):
+def test_quality_blocks_give_the_same_score():
+    """Passages made block by block are those of the whole texts, whatever the cut."""
+    import random
+    import numpy as np
+    rnd = random.Random(4)
+    texts = ["", "  ", " one", "x" * 900] + [
+        rnd.choice(["", " ", "\n\n"]) + "".join("\u00e9w"[:rnd.randint(1, 2)] * rnd.randint(1, 9) + rnd.choice([" ", "\t", " \n"])
+                                             for _ in range(n)) for n in (1, 47, 48, 49, 96, 97, 700, 2000)]
+    rnd.shuffle(texts)
+    data = [t.encode() for t in texts]
+    buf, offs = np.frombuffer(b"".join(data), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in data])])
+    x, first = quality.passage_features(buf, offs)
+    doc = np.repeat(np.arange(len(texts)), np.diff(first))
+    network = quality.Network()
+    whole = network.score(iter([(x, doc)]), len(texts))
+    for most in (64, 500, 3000, 1 << 20):
+        blocks = list(quality.passage_blocks(buf, offs, most))
+        assert np.array_equal(np.concatenate([b[0] for b in blocks]), x)
+        assert np.array_equal(np.concatenate([b[1] for b in blocks]), doc)
+        assert np.allclose(network.score(iter(blocks), len(texts)), whole, atol=1e-12)
+
+
+def attention_loss(network, bags, y, weight):
+    """Log loss of gated attention, passage by passage with plain loops."""
+    import math
+    loss = 0.0
+    for bag, label, share in zip(bags, y, weight):
+        encoded, attention = [], []
+        for x in bag:
+            h = [math.tanh(v) for v in ((x - network.mean) * network.scale) @ network.encode + network.encode_b]
+            t = [math.tanh(sum(h[i] * network.v[i][j] for i in range(len(h)))) for j in range(len(network.w))]
+            g = [1 / (1 + math.exp(-sum(h[i] * network.u[i][j] for i in range(len(h))))) for j in range(len(network.w))]
+            encoded.append(h)
+            attention.append(math.exp(sum(w * a * b for w, a, b in zip(network.w, t, g))))
+        pooled = [sum(a * h[i] for a, h in zip(attention, encoded)) / sum(attention) for i in range(len(network.head))]
+        p = 1 / (1 + math.exp(-(sum(a * b for a, b in zip(pooled, network.head)) + network.head_b[0])))
+        loss -= share * (label * math.log(p) + (1 - label) * math.log(1 - p))
+    return loss
+
+
+def test_quality_gradients_equal_differences():
+    """Every parameter's gradient against differences of a loss written with loops."""
     import numpy as np
+    rng = np.random.default_rng(3)
     network = quality.Network()
-    x = np.random.default_rng(1).normal(size=(50, quality.N_FEATURES))
-    first = np.array([0, 1, 30, 50])
-    assert np.allclose(network.score(x, first), network.score(x, first, block=7))
+    network.mean, network.scale = rng.normal(size=quality.N_FEATURES), rng.uniform(0.5, 1.5, quality.N_FEATURES)
+    bags = [rng.normal(size=(n, quality.N_FEATURES)) for n in (1, 5, 3)]
+    first, y, weight = np.array([0, 1, 6, 9]), np.array([1, 0, 1]), np.array([0.25, 0.5, 0.25])
+    got = network.gradients(np.concatenate(bags), first, y, weight)
+    assert set(got) == set(network.NAMES)
+    for name in network.NAMES:
+        value = getattr(network, name)
+        for place in rng.choice(value.size, min(value.size, 6), replace=False):
+            at, step = np.unravel_index(place, value.shape), 1e-5
+            value[at] += step
+            high = attention_loss(network, bags, y, weight)
+            value[at] -= 2 * step
+            low = attention_loss(network, bags, y, weight)
+            value[at] += step
+            assert abs((high - low) / (2 * step) - got[name][at]) < 1e-6, name
+
+
+def test_language_model_equals_dense_kernel_ridge():
+    """Scores through the n-gram matrix against weighted kernel ridge solved in the
+    dual, on the dense kernel of all texts through the landmarks."""
+    import numpy as np
+    texts = [(lang, varied_text(i, 150 + 7 * j)) for i, lang in enumerate(("en", "de", "fr")) for j in range(9 + 2 * i)]
+    texts.sort()
+    sets = [set(language.presence(t).tolist()) for _, t in texts]
+    asked = [set(language.presence(varied_text(i, 333)).tolist()) for i in range(5)]
+    marks = [i for i in range(len(texts)) if i % 3 == 0]
+
+    def dense(left, right):
+        return np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in right] for a in left])
+
+    own = [sets[i] for i in marks]
+    middle = np.linalg.pinv(dense(own, own), rcond=1e-6, hermitian=True)
+    k_fit, k_ask = dense(sets, own) @ middle @ dense(own, sets), dense(asked, own) @ middle @ dense(own, sets)
+    languages = sorted({lang for lang, _ in texts})
+    y = [lang for lang, _ in texts]
+    w = np.array([1 / y.count(v) for v in y])
+    w /= w.mean()
+    share = w / w.sum()
+    target = np.array([[1.0 if v == c else -1.0 for c in languages] for v in y])
+    mean = share @ target
+    centred = k_fit - np.outer(np.ones(len(y)), share @ k_fit)
+    centred -= np.outer(centred @ share, np.ones(len(y)))
+    ask = k_ask - (share @ k_fit)[None, :]
+    ask -= (ask @ share)[:, None]
+    expected = mean + ask @ np.linalg.solve(centred + language.RIDGE * np.diag(1 / w), target - mean)
+
+    def bits(buckets):
+        flags = np.zeros(language.N_GRAMS, bool)
+        flags[sorted(buckets)] = True
+        return np.packbits(flags).tobytes()
+
+    model = language.fit(y, dense(sets, own), [bits(s) for s in own])
+    got = model.scores([np.array(sorted(s)) for s in asked])
+    assert model.languages == languages and np.abs(got - expected).max() < 2e-3
+    assert np.abs(expected).max() > 0.2
 
 
 def test_quality_learns_from_long_texts(spark, docs):
