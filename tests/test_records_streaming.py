@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from prefweave.plans import catalog
@@ -195,10 +196,45 @@ def test_stream_readers_see_whole_tables(spark):
     counts = [t.agg(F.sum("n_pairs")).first()[0] for t in seen]
     assert counts[0] < counts[1] < counts[2] == total
     # A batch that is written and not announced does not show; one announced twice counts once.
-    schema, last = seen[-1].schema, max(e for e, _ in announced(spark, out))
-    seen[-1].limit(1).write.parquet(f"{out}/tables/epoch-{last + 1:09d}-dead")
+    schema, last = seen[-1].schema, announced(spark, out)[-1][0]
+    seen[-1].limit(1).write.parquet(f"{out}/tables/epoch-{last + 1:09d}-dead")      # its writer died
     assert read_published(spark, out, schema).agg(F.sum("n_pairs")).first()[0] == total
     for _ in range(2):
         publish(seen[-1], last + 1, out)
     now = [read_published(spark, out, schema).inputFiles() for _ in range(2)]
     assert now[0] == now[1] and read_published(spark, out, schema).count() == seen[-1].count()
+
+
+@pytest.mark.parametrize("compact_every", [50, 2])
+def test_stream_publishes_a_closed_block_once(spark, compact_every):
+    """Steps in order over five drops: an epoch holds the blocks it changed, a
+    closed block stands in one epoch, and the log is the batch's after each drop;
+    late rows of a closed block correct it. The same with whole tables between."""
+    from prefweave.operators.metrics import metric_log, preference_metrics
+    from prefweave.sources.fixtures import logprobs_from_embeddings
+    from prefweave.sources.tables import read_table
+    from prefweave.streaming.metric_log import announced, closed_blocks, published_epochs
+    src, out, every = scratch_path(spark, "test-closed-src"), scratch_path(spark, "test-closed-out"), 10
+    emb = read_table(spark, SF001, "embeddings")
+    step = logprobs_from_embeddings(emb).select("pair_id", "step")
+    steps = {r["pair_id"]: r["step"] for r in step.collect()}
+    last = max(steps.values())
+    late = sorted(k for k, v in steps.items() if v == 3)[0]
+    bounds = [0, last // 4, last // 2, 3 * last // 4, last]
+    drops = [[k for k, v in steps.items() if lo < v <= hi and k != late] for lo, hi in zip(bounds, bounds[1:])] + [[late]]
+    written, so_far = [], []
+    for drop in drops:
+        emb.where(F.col("vec_id").isin(drop)).coalesce(1).write.mode("append").parquet(src)
+        so_far += drop
+        log = run_metric_log_stream(spark, src, every=every, out=out, checkpoint=out + "-c", compact_every=compact_every)
+        batch = metric_log(preference_metrics(logprobs_from_embeddings(emb.where(F.col("vec_id").isin(so_far)))), every)
+        cols = ["log_step", "last_step", "n_pairs", "complete", F.round("loss", 9).alias("loss")]
+        assert sorted(log.select(*cols).collect()) == sorted(batch.select(*cols).collect())
+        assert sorted(closed_blocks(spark, out, log.schema).select(*cols).collect()) == sorted(
+            batch.where("complete").select(*cols).collect())
+        written.append({(r["epoch"], r["log_step"]) for r in
+                        published_epochs(spark, out, log.schema).where("complete").select("epoch", "log_step").collect()})
+    assert [whole for _, _, whole in announced(spark, out)] == [(e + 1) % compact_every == 0 for e in range(5)]
+    if compact_every == 50:
+        before, after = [b for _, b in written[-2]], [b for _, b in written[-1]]
+        assert len(before) == len(set(before)) and sorted(after) == sorted(before + [every])
