@@ -21,8 +21,10 @@ A query's best of all shards are merged at the end. The projections come from a
 fixed seed; nothing is fitted.
 
 Edge cases: rows with a null id, and vectors that are null, empty, zero or hold
-null or non-finite components, take no part; equal ids count once, with the
-least vector; vectors of different lengths are not compared; with fewer
+null or non-finite components, take no part; every row counts, also where ids repeat:
+a query's own row is one row with its id and vector, further copies of that row are
+candidates like any other, and fill a rank each. Rows of one id with different vectors
+ask one query each, equal rows the same one. Vectors of different lengths are not compared; with fewer
 candidates than ``k`` a query gets all; ties go to the smaller id, also among
 products beyond the range of doubles (infinite); an empty table gives no rows; extra columns are ignored.
 """
@@ -43,16 +45,16 @@ SHARD_ROWS = 20_000
 QUERY_ROWS = 2_048
 SHARE, LEAST = 0.5, 1024
 
-RESULT = "query_id bigint, vec_id bigint, score double"
+RESULT = "qid bigint, query_id bigint, vec_id bigint, score double, copies bigint"
 
 
 def valid_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of doubles) of the rows that take part, one per id."""
+    """vec_id, v (array of doubles), copies (equal rows) of the rows that take part."""
     v = need(embeddings, "vec_id", "embedding").select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = v.where(F.col("vec_id").isNotNull() & (F.size("v") > 0) & finite & F.exists("v", lambda x: x != 0))
-    return v.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return v.groupBy("vec_id", "v").agg(F.count("*").alias("copies"))
 
 
 class Forest:
@@ -113,12 +115,16 @@ class Forest:
             mask[found] = False
             yield found
 
-    def nearest(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, k: int, enough: int):
-        """(query place, row, score) of the k best candidates of each query."""
+    def nearest(self, queries: np.ndarray, query_ids: np.ndarray, ids: np.ndarray, copies: np.ndarray, k: int,
+                enough: int):
+        """(query place, row, score, copies without the query's own) of the k best
+        candidates of each query."""
         out = []
         small = self._small(queries)
         for i, found in enumerate(self.candidates(queries, enough)):
-            found = found[ids[found] != query_ids[i]]
+            same = found[ids[found] == query_ids[i]]
+            own = same[(self.x[same] == queries[i]).all(axis=1)]         # at most one: rows are distinct
+            found = np.setdiff1d(found, own[copies[own] == 1], assume_unique=True)
             size = float(np.linalg.norm(small[i])) * self.longest
             in_range = self._in_range(queries[i])
             if len(found) > 4 * k and in_range:
@@ -132,7 +138,7 @@ class Forest:
                 with np.errstate(over="ignore", under="ignore"):
                     scores = (self.x[found] / self.largest * small[i]).sum(axis=1) * self.largest * np.abs(queries[i]).max()
             best = np.lexsort((ids[found], -scores))[:k]
-            out += [(i, found[j], scores[j]) for j in best]
+            out += [(i, found[j], scores[j], copies[found[j]] - np.isin(found[j], own)) for j in best]
         return out
 
     def _in_range(self, query: np.ndarray) -> bool:
@@ -152,7 +158,7 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int = 20, t
     """query_id, rank, vec_id, score: the ``k`` nearest found of every query
     (``vec_id``, ``embedding``) among ``embeddings``, without its own id."""
     vectors = stored(valid_vectors(embeddings), "vectors")
-    asked = stored(valid_vectors(queries), "queries")
+    asked = stored(valid_vectors(queries).withColumn("qid", F.monotonically_increasing_id()), "queries")
     most = F.array_max(F.transform("v", F.abs))
     stats = vectors.agg(F.count("*").alias("n"), F.max(most).alias("m")).first()
     n, unit, n_queries = stats["n"], float(stats["m"] or 1.0), asked.count()
@@ -160,28 +166,33 @@ def nearest_neighbours(embeddings: DataFrame, queries: DataFrame, k: int = 20, t
     longest = float(vectors.agg(F.max(norm)).first()[0] or 0.0)
     shards, blocks = max(1, math.ceil(n / shard_rows)), max(1, math.ceil(n_queries / query_rows))
 
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    block = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int")
-    left = vectors.select("vec_id", "v", F.size("v").alias("dim"), part.alias("shard"),
+    part = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")       # an id may have many vectors
+    block = F.pmod(F.xxhash64("vec_id", "v", F.lit(1)), F.lit(blocks)).cast("int")
+    left = vectors.select("vec_id", "v", "copies", F.size("v").alias("dim"), part.alias("shard"),
                           F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.select("vec_id", "v", F.size("v").alias("dim"), block.alias("block"),
+    right = asked.select("qid", "vec_id", "v", F.size("v").alias("dim"), block.alias("block"),
                          F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
 
+    schema = pa.schema([("qid", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()),
+                        ("copies", pa.int64())])
+
     def search(rows: pa.Table, block: pa.Table) -> pa.Table:
-        names = ["query_id", "vec_id", "score"]
         if not rows.num_rows or not block.num_rows:
-            return pa.Table.from_arrays([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())],
-                                        names)
+            return pa.Table.from_pylist([], schema)
         ids, query_ids = rows["vec_id"].to_numpy(), block["vec_id"].to_numpy()
         forest = Forest(_matrix(rows["v"]), unit, longest, trees, bits)
-        found = forest.nearest(_matrix(block["v"]), query_ids, ids, k, min(math.ceil(share * len(ids)) + least,
-                                                                           trees * len(ids)))
-        return pa.Table.from_arrays(
-            [pa.array([query_ids[i] for i, _, _ in found], pa.int64()), pa.array([ids[j] for _, j, _ in found], pa.int64()),
-             pa.array([s for _, _, s in found], pa.float64())], names)
+        found = forest.nearest(_matrix(block["v"]), query_ids, ids, rows["copies"].to_numpy(), k,
+                               min(math.ceil(share * len(ids)) + least, trees * len(ids)))
+        asked_as = block["qid"].to_numpy()
+        columns = ([asked_as[i] for i, *_ in found], [query_ids[i] for i, *_ in found], [ids[j] for _, j, *_ in found],
+                   [s for _, _, s, _ in found], [c for *_, c in found])
+        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
 
     keys = ["dim", "shard", "block"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, RESULT)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    # Copies fill a rank each; a query has at most k rows of every shard.
+    best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = found.withColumn("before", F.coalesce(F.sum("copies").over(best), F.lit(0))).where(F.col("before") < k)
+    last = F.least(F.col("before") + F.col("copies"), F.lit(k))
+    ranks = F.sequence((F.col("before") + 1).cast("int"), last.cast("int"))
+    return ranked.select("query_id", F.explode(ranks).alias("rank"), "vec_id", "score")

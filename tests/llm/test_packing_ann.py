@@ -182,11 +182,29 @@ def test_search_edges(spark):
             (6, [2.0, 0.0]), (7, []), (8, [1.0, 1.0, 1.0]), (None, [1.0, 1.0]), (9, [-1.0, 0.0]), (9, [-1.0, 0.0])]
     e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = sorted(map(tuple, ann.nearest_neighbours(e, e.where("vec_id in (0, 1, 8)"), k=20).collect()))
-    assert got == [(0, 1, 5, 2.0), (0, 2, 6, 2.0), (0, 3, 9, -1.0)]
+    assert got == [(0, 1, 5, 2.0), (0, 2, 6, 2.0), (0, 3, 9, -1.0), (0, 4, 9, -1.0)]
     none = e.where("false")
     assert ann.nearest_neighbours(none, none).count() == 0
 
 
+def test_every_row_of_a_repeated_id_counts(spark):
+    """Copies and different vectors under one id against loops over the rows; an id
+    that holds most rows, over several shards and blocks."""
+    rng = np.random.default_rng(6)
+    rows = [(int(i), rng.integers(-4, 5, 6).tolist()) for i in range(120)]
+    rows += [(20, rng.integers(-4, 5, 6).tolist()) for _ in range(150)] + rows[:45] + [rows[40]] * 30
+    rows = [(i, [float(c) for c in v]) for i, v in rows]
+    e = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = ann.nearest_neighbours(e, e.where("vec_id % 20 = 0"), k=20, shard_rows=90, query_rows=50, share=1.0)
+    expected = []
+    for q, v in {(i, tuple(v)) for i, v in rows if i % 20 == 0 and any(v)}:
+        others = [(i, w) for i, w in rows if any(w)]
+        others.remove((q, list(v)))                                      # its own row, once
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in others)[:20]
+        expected += [(q, r, i, -s) for r, (s, i) in enumerate(scored, 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     d = read(spark, SF001, "documents")
