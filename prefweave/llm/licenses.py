@@ -1,10 +1,11 @@
 """Licence scan by Dice coefficient over word bigrams (operator 10).
 
 Text and licence templates are normalised alike: lower case, every run of
-characters that are no letter or digit is a separator. A text is cut into
-units at line ends and sentence ends; a candidate is a run of whole units. It
-matches a template if ``2 * common / (own + template)`` over their sets of word
-bigrams is at least ``min_dice``.
+characters that are no letter or digit is a separator. A candidate is a run of
+words, wherever it begins and ends, also inside a sentence; it matches a template if
+``2 * common / (own + template)`` over their sets of word bigrams is at least
+``min_dice``. Only runs that begin and end with a bigram of the template are looked
+at: without a foreign first or last bigram the coefficient is no lower.
 
 Two exact bounds prune the templates. Size: a match has between
 ``T * d / (2 - d)`` and ``T * (2 - d) / d`` bigrams for a template of T.
@@ -13,8 +14,8 @@ template's bigrams, so it holds at least one of any that many plus one; the
 ones with the fewest common words are looked up for the whole batch at once,
 and only texts with such a bigram are looked at further.
 
-Of overlapping matches the best stays (higher Dice, then more bigrams, then the
-earlier, then the licence's name). Rows are independent: a narrow Arrow map.
+The best of all runs is taken first (higher Dice, then more bigrams, then the
+earlier, then the licence's name), then the best of those beside it, and so on. Rows are independent: a narrow Arrow map.
 
 Edge cases: a null or empty text has no match; repeated rows each give a row;
 repeated notices in a text are each reported; extra columns are ignored.
@@ -24,9 +25,10 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator, Mapping
+from heapq import heapify, heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -126,13 +128,12 @@ COMMON_WORDS = frozenset("a an and any are as at be by for form from if in is it
                          "to under with you".split())
 
 WORD = re.compile(r"[^\W_]+")
-UNIT_END = re.compile(r"\n|(?<=[.!?;:])\s+")
 
 
 class Template:
-    def __init__(self, name: str, text: str, min_dice: float):
+    def __init__(self, name: str, text: str, min_dice: float, number: int = 0):
         tokens = WORD.findall(text.lower())
-        self.name = name
+        self.name, self.number = name, number
         self.bigrams = frozenset(zip(tokens, tokens[1:]))
         n = len(self.bigrams)
         self.least = math.ceil(n * min_dice / (2 - min_dice) - 1e-9)
@@ -142,74 +143,82 @@ class Template:
 
 
 def build(templates: Mapping[str, tuple[str, ...]], min_dice: float) -> list[Template]:
-    out = [Template(name, t, min_dice) for name, texts in templates.items() for t in texts]
+    named = [(name, t) for name, texts in templates.items() for t in texts]
+    out = [Template(name, t, min_dice, number) for number, (name, t) in enumerate(named)]
     return [t for t in out if t.bigrams]
 
 
-def _units(text: str) -> list[tuple[int, int, list[str]]]:
-    out, at = [], 0
-    for m in UNIT_END.finditer(text):
-        out.append((at, m.start()))
-        at = m.end()
-    out.append((at, len(text)))
-    units = []
-    for a, b in out:
-        spans = [w.span() for w in WORD.finditer(text, a, b)]
-        if spans:
-            units.append((spans[0][0], spans[-1][1], [text[s:e].lower() for s, e in spans]))
-    return units
+class Index:
+    """The templates by their bigrams, and their signatures."""
 
-
-def by_signature(templates: list[Template]) -> dict[tuple[str, str], list[Template]]:
-    out: dict[tuple[str, str], list[Template]] = {}
-    for t in templates:
-        for b in t.signature:
-            out.setdefault(b, []).append(t)
-    return out
+    def __init__(self, templates: list[Template]):
+        self.of_bigram: dict[tuple[str, str], list[Template]] = {}
+        for t in templates:
+            for b in t.bigrams:
+                self.of_bigram.setdefault(b, []).append(t)
+        self.signatures = frozenset().union(*(t.signature for t in templates))
+        self.most = max((t.most for t in templates), default=0)
 
 
-def matches(text: str, signatures: dict[tuple[str, str], list[Template]],
-            min_dice: float) -> list[tuple[int, int, str, float]]:
+def matches(text: str, index: Index, min_dice: float) -> list[tuple[int, int, str, float]]:
     """(start, end, licence, Dice) of the non-overlapping best runs, by start.
 
     Starts are taken from right to left. ``nearest`` holds every bigram at or
     after the start, the one that occurs first last, so a run's distinct bigrams
     are read off its end, however often the text repeats itself."""
-    units = _units(text)
-    tokens = [w for u in units for w in u[2]]
-    unit_of = [i for i, u in enumerate(units) for _ in u[2]]
-    most = max((t.most for ts in signatures.values() for t in ts), default=0)
+    spans = [m.span() for m in WORD.finditer(text)]
+    tokens = [text[a:b].lower() for a, b in spans]
     nearest: OrderedDict[tuple[str, str], int] = OrderedDict()
-    found, at = [], len(tokens)
-    for start in range(len(units) - 1, -1, -1):
-        before, at = at, at - len(units[start][2])
-        for i in range(min(before, len(tokens) - 1) - 1, at - 1, -1):
-            b = (tokens[i], tokens[i + 1])
-            nearest[b] = unit_of[i + 1]
-            nearest.move_to_end(b)
-        ahead = list(islice(reversed(nearest.items()), most + 1))
-        for t in {t for b in signatures.keys() & [b for b, _ in ahead] for t in signatures[b]}:
-            found += _runs_from(start, t, units, ahead, min_dice)
-    taken: list[tuple[int, int, str, float]] = []
-    for dice, _, start, name, end in sorted(found):
-        i = bisect_left(taken, (start,))
-        if (i == 0 or taken[i - 1][1] <= start) and (i == len(taken) or end <= taken[i][0]):
+    runs, signed = [], False
+    for start in range(len(tokens) - 2, -1, -1):
+        b = (tokens[start], tokens[start + 1])
+        nearest[b] = start
+        nearest.move_to_end(b)
+        signed = signed or b in index.signatures
+        if signed and b in index.of_bigram:
+            ahead = list(islice(reversed(nearest.items()), index.most))
+            bigrams = {b for b, _ in ahead}
+            for t in index.of_bigram[b]:
+                if not t.signature.isdisjoint(bigrams):
+                    runs.append(_best_run(start, t, ahead, min_dice))
+    runs = [r for r in runs if r]
+    heapify(runs)
+    taken: list[tuple[int, int, str, float]] = []         # word ranges
+    while runs:
+        dice, _, start, name, end, _, t = heappop(runs)
+        i = bisect_right(taken, (start, len(tokens)))
+        if i and taken[i - 1][1] > start:
+            continue
+        if i == len(taken) or end <= taken[i][0]:
             taken.insert(i, (start, end, name, -dice))
-    return taken
-
-
-def _runs_from(start, t, units, ahead, min_dice):
-    """Matching runs that begin with unit ``start``; ``ahead``: its distinct
-    bigrams and the units that complete them, in text order. A unit without a
-    new bigram makes no better run and is no end."""
-    common, out = 0, []
-    for own, (b, end) in enumerate(ahead[:t.most], 1):
-        common += b in t.bigrams
-        if own >= t.least and (own == len(ahead) or ahead[own][1] > end):
+        else:                                             # the best that ends before the neighbour
+            run = _best_run(start, t, _ahead(tokens, start, taken[i][0], t.most), min_dice)
+            if run:
+                heappush(runs, run)
+    return [(spans[a][0], spans[e - 1][1], name, dice) for a, e, name, dice in taken]
+
+
+def _ahead(tokens: list[str], start: int, end: int, most: int) -> list[tuple[tuple[str, str], int]]:
+    """The first ``most`` distinct bigrams of a range of words and their places."""
+    places: dict[tuple[str, str], int] = {}
+    for i in range(start, end - 1):
+        places.setdefault((tokens[i], tokens[i + 1]), i)
+        if len(places) == most:
+            break
+    return list(places.items())
+
+
+def _best_run(start: int, t: Template, ahead: list[tuple[tuple[str, str], int]], min_dice: float):
+    """The best matching run that begins at word ``start``, as an entry of the heap;
+    ``ahead``: its distinct bigrams and their places, in text order."""
+    common, best = 0, None
+    for own, (b, at) in enumerate(ahead[:t.most], 1):
+        if b in t.bigrams:
+            common += 1
             dice = 2 * common / (own + len(t.bigrams))
-            if dice >= min_dice:
-                out.append((-dice, -own, units[start][0], t.name, units[end][1]))
-    return out
+            if own >= t.least and dice >= min_dice and (best is None or (-dice, -own) < best[:2]):
+                best = (-dice, -own, start, t.name, at + 2, t.number, t)
+    return best
 
 
 def scan_licenses(documents: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
@@ -218,7 +227,7 @@ def scan_licenses(documents: DataFrame, templates: Mapping[str, tuple[str, ...]]
     name), and ``licence:start:end:dice`` of each match in code points."""
     docs = need(documents, "doc_id", "text").selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text")
     compiled = build(templates, min_dice)
-    signatures = by_signature(compiled)
+    index = Index(compiled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rare = Lookup(compiled)
@@ -228,7 +237,7 @@ def scan_licenses(documents: DataFrame, templates: Mapping[str, tuple[str, ...]]
                 texts = batch.column(1)[lo:hi]
                 n, names, spans = [], [], []
                 for i, hit in enumerate(hits):
-                    got = matches(texts[i].as_py(), signatures, min_dice) if hit else []
+                    got = matches(texts[i].as_py(), index, min_dice) if hit else []
                     n.append(len(got))
                     names.append(",".join(sorted({g[2] for g in got})))
                     spans.append(",".join(f"{name}:{a}:{b}:{d:.4f}" for a, b, name, d in got))
