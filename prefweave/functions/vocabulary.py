@@ -7,7 +7,6 @@ it. The same path serves any tokenizer that is loaded from a file.
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Callable
 
@@ -18,20 +17,18 @@ from prefweave.session import scratch_path
 
 WORD = r"[^ \t\n\x0B\f\r]+"      # the same in Java, Python and RE2
 _WORD = re.compile(WORD)
-_loaded: dict[str, frozenset[str]] = {}
+_loaded: dict[tuple[str, ...], frozenset[str]] = {}
 
 
-def words_of_file(name: str) -> frozenset[str]:
+def words_of_files(names: tuple[str, ...]) -> frozenset[str]:
     """The words of a sent vocabulary, read once per worker."""
-    if name not in _loaded:
+    if names not in _loaded:
         words: set[str] = set()
-        for part, _, files in os.walk(SparkFiles.get(name)):
-            for f in files:
-                if f.startswith("part-"):
-                    with open(os.path.join(part, f), encoding="utf-8", newline="\n") as lines:
-                        words.update(line.rstrip("\n") for line in lines)
-        _loaded[name] = frozenset(words)
-    return _loaded[name]
+        for name in names:
+            with open(SparkFiles.get(name), encoding="utf-8", newline="\n") as lines:
+                words.update(line.rstrip("\n") for line in lines)
+        _loaded[names] = frozenset(words)
+    return _loaded[names]
 
 
 def tokenize(text: str, words: frozenset[str]) -> list[str]:
@@ -42,9 +39,12 @@ def tokenize(text: str, words: frozenset[str]) -> list[str]:
 def send(spark: SparkSession, words: DataFrame) -> Callable[[list[str]], list[list[str]]]:
     """Write the vocabulary (one column of words, without line ends), send it to
     the executors, and return a batched tokenizer for ``token_count``. A
-    vocabulary is held whole by every worker: it must be of a bounded size."""
+    vocabulary is held whole by every worker: it must be of a bounded size. Its
+    file is sent, not its folder: a cluster takes no folder from a local disk."""
     path = scratch_path(spark, "vocabulary")
     words.coalesce(1).write.text(path)
-    spark.sparkContext.addFile(path, recursive=True)
-    name = path.rsplit("/", 1)[-1]
-    return lambda texts: [tokenize(t, words_of_file(name)) for t in texts]
+    files = sorted(spark.read.text(path).inputFiles())
+    for file in files:
+        spark.sparkContext.addFile(file)
+    names = tuple(file.rsplit("/", 1)[-1] for file in files)
+    return lambda texts: [tokenize(t, words_of_files(names)) for t in texts]

@@ -90,3 +90,21 @@ def test_vocabulary_file_reaches_the_workers(spark):
     got = {r.t: r.n for r in df.select("t", token_count("t", counter, batched=True).alias("n")).collect()}
     assert got == {"the cat": 2, "the\x0bcats  l\u00e0": 6, "": 0, None: None, "\u00a0the": 4}
     assert vocabulary.tokenize("the dog", frozenset({"the"})) == ["the", "d", "o", "g"]
+
+
+def test_vocabulary_is_sent_as_files(spark):
+    # A cluster takes no folder from a local disk, local mode does.
+    import os
+    from urllib.parse import urlparse
+    from prefweave.functions import vocabulary
+    before = set(spark.sparkContext.listFiles)
+    vocabulary.send(spark, spark.createDataFrame([("the",)], "word string"))
+    sent = [urlparse(f).path for f in set(spark.sparkContext.listFiles) - before]
+    assert len(sent) == 1 and os.path.isfile(sent[0])
+
+
+def test_empty_vocabulary(spark):
+    from prefweave.functions import vocabulary
+    counter = vocabulary.send(spark, spark.createDataFrame([], "word string"))
+    df = spark.createDataFrame([("the cat",)], "t string")
+    assert df.select(token_count("t", counter, batched=True)).first()[0] == 6
