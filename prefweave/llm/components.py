@@ -12,7 +12,8 @@ def _min_neighbour(sides: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    sides = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    sides = edges.select(F.explode(both).alias("e")).select("e.u", "e.v")
     return (sides.join(_min_neighbour(sides), "u").where("v > u and v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
 
@@ -24,23 +25,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return linked.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether each node is the greater end of one edge alone, or only the lesser
+    end of any number; ``edges`` are distinct with ``u`` greater."""
+    up = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"))
+    ends = up.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up")))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.count("*").alias("n"))
+    return seen.where("up > 0 and n > 1").isEmpty()
+
+
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) of every node with an edge; ``root`` is the least node of
     its component, which is a node of its own component. Every round is written
     to the shared folder, so the plan stays short and a lost executor costs one
     round at most; hot nodes meet only in counts with map-side combine and in
-    joins that Spark can split."""
-    now = stored(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "edges")
-
-    def state(df):
-        return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    before = None
-    while True:
-        now = stored(_small_star(_large_star(now)), "edges")
-        after = state(now)
-        if after == before:
-            break
-        before = after
+    joins that Spark can split. Rounds end when every component is a star."""
+    now = stored(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a) != F.col(b))
+                 .distinct(), "edges")
+    while not _is_forest_of_stars(now):
+        now = stored(_small_star(stored(_large_star(now), "large-stars")), "edges")
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -187,8 +187,8 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, min_document
 
     selected = stored(lines.mapInArrow(select, "h bigint, doc_id bigint, rid bigint, line int"), "fingerprints")
     shared = selected.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    places = selected.join(shared, "h", "left_semi").groupBy("doc_id", "rid").agg(
-        F.collect_set("line").alias("at"))         # a text's own lines
+    places = stored(selected.join(shared, "h", "left_semi").groupBy("doc_id", "rid").agg(
+        F.collect_set("line").alias("at")), "places")         # a text's own lines
 
     def extend(batches):
         for batch in batches:
@@ -219,8 +219,8 @@ def repeated_runs(documents: DataFrame, min_words: int = MIN_WORDS, min_document
     inside = F.col("doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("rid") == F.col("o.rid"))
     begin = F.when(inside, F.greatest("first", F.col("o.last") + 1)).otherwise(F.col("first"))
     runs = later.select(*keys, begin.alias("a"), F.col("last").alias("b")).where("a <= b")
-    return (runs.union(common_lines(lines, min_documents)).distinct()
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")))
+    return stored(runs.union(common_lines(lines, min_documents)).distinct()
+                  .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("runs")), "runs")
 
 
 def remove_lines(text: str, runs: list[tuple[int, int]]) -> tuple[str, list[tuple[int, int]]]:

@@ -30,7 +30,9 @@ Components are exact: no pair that could join two of them goes unverified, and
 nothing is capped. What the driver
 receives is bounded: the order's frequent shingles (``HOT_SHINGLES``) and bit maps
 of at most ``MAP_BITS`` bits: a fuller map lets more through, which costs work and
-changes no link. Texts are read and cut anew in each pass rather than stored as sets.
+changes no link. Texts are read and cut anew in each pass rather than stored as sets;
+smaller tables are written between steps, since the driver's memory grows with the scans
+and exchanges of one plan.
 
 Edge cases: null and empty texts have an empty set and no links; a text with
 fewer than ``k`` words has its whole sequence as one shingle; repeated rows are
@@ -127,10 +129,10 @@ class Order:
     then the frequent ones by count and hash. ``shared`` is a bit map that holds
     all shared shingles below ``low`` and maybe others."""
 
-    def __init__(self, hot: list[tuple[int, int]], low: int, shared: tuple[np.ndarray, int]):
-        keys = np.array([h for h, _ in hot], np.int64).view(np.uint64)
+    def __init__(self, hot: tuple[np.ndarray, np.ndarray], low: int, shared: tuple[np.ndarray, int]):
+        keys = hot[0].astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
-        self.keys, self.counts = keys[order], np.array([c for _, c in hot], np.int64)[order]
+        self.keys, self.counts = keys[order], hot[1].astype(np.int64)[order]
         self.low, self.shared = np.uint64(low), shared
 
     def prefix(self, s: np.ndarray, n: int) -> tuple[np.ndarray, int]:
@@ -302,8 +304,8 @@ def _stars(postings: DataFrame, percent: int) -> DataFrame:
     component with the leader, a group of the largest component there; and the
     leaders of neighbouring bands. As many pairs as list entries at most."""
     entry = F.struct("size", F.xxhash64("gid").alias("h"), "gid", "n", "pos", "comp")
-    leaders = postings.groupBy("shingle", "band").agg(F.max(entry).alias("l"), F.min("comp").alias("lo"),
-                                                      F.max("comp").alias("hi"))
+    leaders = stored(postings.groupBy("shingle", "band").agg(F.max(entry).alias("l"), F.min("comp").alias("lo"),
+                                                             F.max("comp").alias("hi")), "leaders")
     mixed = leaders.where("lo <> hi").select("shingle", "band", "l")
     inside = postings.join(mixed, ["shingle", "band"]).where("comp <> l.comp").select(
         "gid", "n", "pos", F.col("l.gid").alias("lg"), F.col("l.n").alias("ln"), F.col("l.pos").alias("lp"))
@@ -325,7 +327,7 @@ def _candidates(postings: DataFrame, percent: int) -> DataFrame:
     bounds. Lists that hold one component are left out first."""
     spread = postings.groupBy("shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")) \
         .where("lo <> hi").select("shingle")
-    postings = postings.join(spread, "shingle", "left_semi")
+    postings = stored(postings.join(spread, "shingle", "left_semi"), "spread-lists")
     listed = postings.groupBy("gid", "n", "comp", "band").agg(
         F.sort_array(F.collect_list(F.struct("pos", "shingle"))).alias("l"))
     listed = listed.select("gid", "n", "comp", "band", F.expr(f"transform(slice(l, 1, {SEEN}), x -> x.shingle)").alias("early"),
@@ -357,11 +359,12 @@ class _Join:
         self.rows = described.where("n is not null").select("doc_id", "n", "cid")
         self.classes = stored(self.rows.where("cid is not null").groupBy("cid").agg(
             F.min("doc_id").alias("first"), F.count("*").alias("copies")), "classes")
+        # As Arrow the first of all are picked in a task; collected rows would be merged in the driver.
         hot = (described.where("shingle is not null").groupBy("shingle").agg(F.sum("df").alias("df"))
-               .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).collect())
-        self._lists([(r["shingle"], r["df"]) for r in hot])
+               .orderBy(F.desc("df"), "shingle").limit(HOT_SHINGLES).toArrow())
+        self._lists((hot["shingle"].to_numpy(), hot["df"].to_numpy()))
 
-    def _lists(self, hot: list[tuple[int, int]]) -> None:
+    def _lists(self, hot: tuple[np.ndarray, np.ndarray]) -> None:
         texts, k, percent = self.docs.select("text"), self.k, self.percent
         low = int(min(0.9, COUNTED_SHARE * (1 - percent / 100) + 0.01) * 2 ** 64)
         # Bare shingles are moved; a task has each of them once or twice.
@@ -401,7 +404,8 @@ class _Join:
         reps = parts.groupBy("gid", "n").agg(best).select("gid", "n", F.col("rep.cid").alias("rep"),
                                                           F.col("rep.comp").alias("comp"), F.col("rep.size").alias("size"))
         reps = stored(reps, "group-representatives")
-        groups = _stars(self.postings.join(reps.drop("rep"), ["gid", "n"]), self.percent)
+        entries = stored(self.postings.join(reps.drop("rep"), ["gid", "n"]), "list-entries")
+        groups = stored(_stars(entries, self.percent), "group-pairs")
         left = reps.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("rep").alias("ca"))
         right = reps.select(F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("rep").alias("cb"))
         across = groups.join(left, ["ga", "na"]).join(right, ["gb", "nb"]).select("ca", "cb")
@@ -412,7 +416,8 @@ class _Join:
     def cross_pairs(self, parts: DataFrame) -> DataFrame:
         """All class pairs of different components that may still be linked."""
         spots = parts.select("gid", "n", "comp").distinct()
-        groups = stored(_candidates(self.postings.join(spots, ["gid", "n"]), self.percent), "group-pairs")
+        entries = stored(self.postings.join(spots, ["gid", "n"]), "list-entries")
+        groups = stored(_candidates(entries, self.percent), "group-pairs")
         m1 = parts.select(F.col("gid").alias("ga"), F.col("n").alias("na"), F.col("comp").alias("xa"),
                           F.col("cid").alias("ca"))
         m2 = parts.select(F.col("gid").alias("gb"), F.col("n").alias("nb"), F.col("comp").alias("xb"),
@@ -422,15 +427,21 @@ class _Join:
             .select("ca", "cb")
         return across.unionByName(within)
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """The linked pairs: first those whose histograms leave room for a link,
-        then by whole sets; a class's set is taken from its first document."""
-        pairs = pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct()
+    def verified(self, pairs: DataFrame) -> DataFrame | None:
+        """The linked pairs, None without any: first those whose histograms leave
+        room for a link, then by whole sets; a class's set is taken from its first
+        document."""
+        pairs = stored(pairs.select(F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")).distinct(),
+                       "candidate-pairs")
+        if pairs.isEmpty():
+            return None
         of = self.described
         ha = of.select(F.col("cid").alias("ca"), F.col("n").alias("na"), F.col("histogram").alias("ha"))
         hb = of.select(F.col("cid").alias("cb"), F.col("n").alias("nb"), F.col("histogram").alias("hb"))
         pairs = stored(pairs.join(ha, "ca").join(hb, "cb").select("ca", "cb", "na", "ha", "nb", "hb")
                        .mapInArrow(_sift(self.percent), "ca binary, cb binary"), "class-pairs")
+        if pairs.isEmpty():
+            return None
         paired = pairs.select(F.col("ca").alias("cid")).unionByName(pairs.select(F.col("cb").alias("cid"))).distinct()
         first = stored(self.classes.join(paired, "cid", "left_semi").select("cid", "first"), "wanted")
         wanted = self.context.broadcast(_bit_map(first.select(F.xxhash64("first").alias("p")), first.count()))
@@ -443,7 +454,7 @@ class _Join:
                  .mapInArrow(_verify(self.percent), "ca binary, cb binary"))
         linked = stored(links, "links")
         wanted.destroy()
-        return linked
+        return None if linked.isEmpty() else linked
 
 
 def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> tuple[DataFrame, DataFrame]:
@@ -451,11 +462,16 @@ def jaccard_components(documents: DataFrame, k: int = 4, percent: int = 85) -> t
     row; cid, first id and component root of every class."""
     join = _Join(documents, k, percent)
     components = join.classes.select("cid", F.col("cid").alias("root")).where("false")
-    links = None
+    links, parts, last = None, join.parts(components), None
     for pairs in (*[join.star_pairs] * STAR_ROUNDS, join.cross_pairs):
-        found = join.verified(pairs(join.parts(components)))
-        links = found if links is None else links.unionByName(found)
-        components = connected_components(links, "ca", "cb").select(F.col("node").alias("cid"), "root")
+        if parts is None:
+            parts = join.parts(components)
+        elif pairs == last:                # the same components: the same pairs again
+            continue
+        found, last = join.verified(pairs(parts)), pairs
+        if found is not None:
+            links, parts = found if links is None else links.unionByName(found), None
+            components = connected_components(links, "ca", "cb").select(F.col("node").alias("cid"), "root")
     classes = join.classes.join(components, "cid", "left").select("cid", "first", F.coalesce("root", "cid").alias("root"))
     return join.rows, stored(classes, "components")
 

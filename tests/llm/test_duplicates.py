@@ -211,3 +211,42 @@ def test_repeated_items_are_held_once(spark, docs):
     blocks = list(decontaminate._blocks(bench, 4, 0.7, 500_000))
     assert [b.ids for b in blocks] == [[1]] and blocks[0].copies == [3000]
     assert decontaminate.find_contamination(docs([(7, "x a b c d e f y")]), bench).count() == 3000
+
+
+def test_components_of_odd_shapes(spark):
+    from prefweave.llm.components import connected_components
+    rng = random.Random(5)
+    edges = [(i + 1, i) for i in range(40)] + [(100 + i, 100 + (i + 1) % 9) for i in range(9)]      # a chain, a ring
+    edges += [(250, 200 + i) for i in range(30)] + [(300, 300), (301, None), (401, 400), (400, 401)]
+    edges += [(rng.randrange(500, 600), rng.randrange(500, 600)) for _ in range(70)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if b is not None and a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    df = spark.createDataFrame(edges, "a long, b long")
+    got = [(r.node, r.root) for r in connected_components(df, "a", "b").collect()]
+    assert sorted(got) == sorted((x, find(x)) for x in root)
+    assert connected_components(df.where("false"), "a", "b").count() == 0
+
+
+def test_without_links_no_round_is_repeated(spark):
+    # Every job costs the driver memory, however little it reads: 137 ran here
+    # when rounds without pairs still looked for links and components.
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(60))) for i in range(40)],
+                                 "doc_id long, text string")
+    sc = spark.sparkContext
+    sc.setJobGroup("no-links", "near duplicates of texts without links")
+    try:
+        got = ngram_join.near_duplicates(docs, 5, 80).collect()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, i) for i in range(40)]
+    n = len(sc.statusTracker().getJobIdsForGroup("no-links"))
+    assert 20 < n < 100, n
